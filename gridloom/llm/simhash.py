@@ -101,7 +101,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     size = F.ceil(F.col("n") / F.lit(block)).cast("long")
     hot = rows.where(F.col("n") > block).withColumn("c", F.pmod(F.xxhash64("fp"), size))
     hot = hot.select("variant", "fp", "c", F.explode(F.sequence(F.lit(0).cast("long"), size - 1)).alias("d"))
-    hot = hot.groupBy("variant", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q")).agg(
+    hot = hot.select("variant", "fp", "c", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q")).groupBy("variant", "p", "q").agg(
         F.collect_list(F.when(F.col("c") == F.col("p"), F.col("fp"))).alias("a"), F.collect_list(F.when(F.col("c") != F.col("p"), F.col("fp"))).alias("b")
     ).select("a", "b")
 
