@@ -3,11 +3,11 @@
 A sequence of tokens is the encoding of a string if and only if each two neighbours encode to
 themselves; so each prefix of a string has one last token, and the encoding of a longer prefix
 extends that of a shorter one by one token. A state of the transducer holds the places at which the
-encoding of what follows may still be cut: for each the tokens up to there that are not yet settled and the node of
+encoding of what follows may still be cut: for each the token that ends there and the node of
 the vocabulary's trie that has been reached from it. Reading a byte moves the nodes, drops dead
-places, adds the one new place, and emits the tokens on which all places agree. The
-lookahead is bounded by the longest token. States and arcs are made when first met, and
-dropped all together when there are too many.
+places, adds the one new place, and gives the token that ends there. What comes before the
+last token on which all open places agree is settled and emitted; since a place stays open for no longer than the longest token,
+the lookahead is bounded. States and arcs are made when first met, and dropped all together when there are too many.
 
 Decoding is streamed: the arcs of a UTF-8 state machine are compiled for whole tokens, so that a
 character split over tokens comes out once its last byte is there; malformed bytes become
@@ -32,17 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-MAX_STATES, MAX_WORDS, LONG_WORD = 100_000, 150_000, 48
-
-
-class State:
-    """Places that are still open. ``last`` is the token settled before them, -1 at a string's start."""
-
-    __slots__ = ("arcs", "last", "places", "rest")
-
-    def __init__(self, last: int, places: tuple):
-        self.last, self.places, self.arcs = last, places, {}
-        self.rest = next(path for path, node in places if node == 0)
+MAX_STATES, MAX_WORDS, LONG_WORD, FLUSH = 250_000, 200_000, 16, 1 << 12
 
 
 class Transducer:
@@ -51,79 +41,126 @@ class Transducer:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.step: dict[int, int] = {}  # node * 256 + byte: node
         self.token: dict[int, int] = {}  # node: token that ends there
-        nodes = 1
+        self.depth = [0]
+        inner = set()
         for word, token in ranks.items():
             node = 0
             for byte in word:
                 key = node * 256 + byte
+                inner.add(node)
                 if key not in self.step:
-                    self.step[key] = nodes
-                    nodes += 1
+                    self.step[key] = len(self.depth)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.step[key]
             self.token[node] = token
+        self.leaves = {node for node in self.token if node not in inner}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.splits: dict[int, tuple[int, int] | None] = {}
+        self.size = {i: len(b) for i, b in self.bytes_of.items()}
+        #: Tokens that no merges lead to; as a whole string they count all the same.
+        self.odd = {b for i, b in self.bytes_of.items() if len(b) > 1 and self.split(i) is None}
         self.clear()
 
     def clear(self) -> None:
-        self.states: dict[tuple, State] = {}
-        self.start = self.state(-1, (((), 0),))
+        self.states: dict[tuple, dict] = {}
+        self.start = self.state(((-1, 0),))
 
-    def state(self, last: int, places: tuple) -> State:
-        key = (last, places)
-        found = self.states.get(key)
+    def state(self, places: tuple) -> dict:
+        """A state is the mapping of its arcs: byte to (state, token); at -1 it has its places."""
+        found = self.states.get(places)
         if found is None:
-            found = self.states[key] = State(last, places)
+            found = self.states[places] = {-1: places}
         return found
 
-    def merged(self, word: bytes) -> list[int]:
-        """The tokens of a short string by the merges themselves: lowest rank first, then leftmost."""
-        parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
-            if rank == 1 << 40:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens of the last merge that makes a token; a single byte has none."""
+        if token not in self.splits:
+            word = self.bytes_of[token]
+            self.splits[token] = next(
+                ((self.ranks[word[:i]], self.ranks[word[i:]]) for i in range(1, len(word))
+                 if word[:i] in self.ranks and word[i:] in self.ranks and self.apart(self.ranks[word[:i]], self.ranks[word[i:]], token)),
+                None,
+            )
+        return self.splits[token]
+
+    def apart(self, a: int, b: int, before: int) -> bool:
+        """Whether the merges below rank ``before`` leave a and b, side by side, as these two tokens.
+
+        Undoes the merges on both sides of the border from the last to the first, and asks each time
+        whether a merge across the border would have come earlier. Of equal ranks the left one comes first."""
+        if a >= before or b >= before:
+            return False
+        limit = before
+        while True:
+            across = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+            if across is not None and across < limit:
+                return False
+            left, right = self.split(a), self.split(b)
+            if right is not None and (left is None or b >= a):
+                limit, b = b + 1, right[0]
+            elif left is not None:
+                limit, a = a, left[1]
+            else:
+                return True
 
     def fits(self, a: int, b: int) -> bool:
         """Whether token b may follow token a; a is -1 at the start."""
+        if a < 0:
+            return len(self.bytes_of[b]) == 1 or self.split(b) is not None
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) > 1_000_000:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged((self.bytes_of[a] if a >= 0 else b"") + self.bytes_of[b]) == ([a, b] if a >= 0 else [b])
+            known = self.pairs[a, b] = self.apart(a, b, 1 << 40)
         return known
 
-    def arc(self, s: State, byte: int) -> tuple[State, tuple]:
-        places, new = [], None
-        for path, node in s.places:
-            child = self.step.get(node * 256 + byte)
-            if child is None:
-                continue
-            if new is None and (t := self.token.get(child)) is not None and self.fits(path[-1] if path else s.last, t):
-                new = (*path, t)
-            places.append((path, child))
+    def arc(self, s: dict, byte: int) -> tuple[dict, int]:
+        places, new, step, token = [], -1, self.step, self.token
+        for place in s[-1]:
+            child = step.get(place[1] * 256 + byte)
+            if child is not None:
+                if new < 0 and (t := token.get(child)) is not None and self.fits(place[0], t):
+                    new = t
+                if child not in self.leaves:
+                    places.append((place[0], child))
         places.append((new, 0))
-        least = min(len(p) for p, _ in places)
-        k = 0
-        while k < least and all(p[k] == new[k] for p, _ in places):
-            k += 1
-        out = new[:k]
-        to = self.state(out[-1] if out else s.last, tuple((p[k:], n) for p, n in places))
-        s.arcs[byte] = to, out
-        return to, out
+        found = s[byte] = self.state(tuple(places)), new
+        return found
 
     def encode(self, word: bytes) -> list[int]:
         """The tokens of a string, in one pass."""
-        if (whole := self.ranks.get(word)) is not None:
-            return [whole]
+        if word in self.odd:
+            return [self.ranks[word]]
         if len(self.states) > MAX_STATES:
             self.clear()
         s, out = self.start, []
-        for byte in word:
-            s, settled = s.arcs.get(byte) or self.arc(s, byte)
-            out += settled
-        return [*out, *s.rest]
+        for i in range(0, len(word), FLUSH):
+            ends = self.settle(s, ends, out) if i else []
+            push = ends.append
+            for byte in word[i : i + FLUSH]:
+                s, t = s.get(byte) or self.arc(s, byte)
+                push(t)
+        return out + self.back(ends, len(ends)) if out else self.back(ends, len(ends))
+
+    def back(self, ends: list[int], n: int) -> list[int]:
+        """The tokens of the first n bytes, from the token that ends at each."""
+        out, size = [], self.size
+        while n > 0:
+            t = ends[n - 1]
+            out.append(t)
+            n -= size[t]
+        out.reverse()
+        return out
+
+    def settle(self, s: dict, ends: list[int], out: list[int]) -> list[int]:
+        """Emit what all open places agree on; returns the rest of ``ends``."""
+        paths = [self.back(ends, len(ends) - self.depth[node]) for _, node in s[-1]]
+        k, done = 0, 0
+        while k < min(map(len, paths)) and all(p[k] == paths[0][k] for p in paths):
+            done += self.size[paths[0][k]]
+            k += 1
+        out += paths[0][:k]
+        return ends[done:]
 
 
 class Utf8:
@@ -132,6 +169,8 @@ class Utf8:
     def __init__(self, bytes_of: dict[int, bytes]):
         self.bytes_of = bytes_of
         self.arcs: dict[tuple[bytes, int], tuple[bytes, str]] = {}
+        whole = {i: self.read(b"", b) for i, b in bytes_of.items()}
+        self.plain = {i: text for i, (held, text) in whole.items() if not held}
 
     @staticmethod
     def bounds(held: bytes) -> tuple[int, int, int]:
@@ -167,13 +206,19 @@ class Utf8:
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of the tokens, piece by piece."""
+        ids = list(ids)
+        pieces = list(map(self.plain.get, ids))  # arcs from the empty state back to itself
+        if None not in pieces:
+            yield from pieces
+            return
         held, arcs = b"", self.arcs
-        for token in ids:
-            arc = arcs.get((held, token))
-            if arc is None:
-                arc = arcs[held, token] = self.read(held, self.bytes_of[token])
-            held, text = arc
-            yield text
+        for token, piece in zip(ids, pieces, strict=True):
+            if held or piece is None:
+                arc = arcs.get((held, token))
+                if arc is None:
+                    arc = arcs[held, token] = self.read(held, self.bytes_of[token])
+                held, piece = arc
+            yield piece
         if held:
             yield "�"
 
@@ -184,7 +229,9 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.fst, self.split, self.known = Transducer(ranks), regex.compile(pattern).findall, {}
+        self.fst, self.split = Transducer(ranks), regex.compile(pattern).findall
+        self.known: dict[str, list[int]] = {}  # words met lately, and those met before them
+        self.older: dict[str, list[int]] = {}
         self.utf8 = Utf8(self.fst.bytes_of)
 
     def encode(self, text: str) -> list[int]:
@@ -192,10 +239,11 @@ class Codec:
         for word in self.split(text):
             ids = known.get(word)
             if ids is None:
-                ids = self.fst.encode(word.encode("utf-8", "surrogatepass"))
+                ids = self.older.get(word) or self.fst.encode(word.encode("utf-8", "surrogatepass"))
                 if len(word) <= LONG_WORD:
                     if len(known) >= MAX_WORDS:
-                        known.clear()
+                        self.older, self.known = known, {}
+                        known = self.known
                     known[word] = ids
             out += ids
         return out
