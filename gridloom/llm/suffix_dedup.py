@@ -226,7 +226,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     # One text for each open span, fetched once.
     lists = need.groupBy("key", "th").agg(F.collect_list(F.struct("seed", "m", "c1", "c2", "lone", "a", "b", "o")).alias("want"))
     texts = docs.join(lists.select(F.col("key").alias("k"), F.col("th").alias("t"), "want"), docs["key"].eqNullSafe(F.col("k")) & (F.col("th") == F.col("t")))
-    texts = texts.select("th", "key", F.encode("text", "UTF-8").alias("data"), F.explode("want").alias("w")).select(
+    texts = texts.select("th", "key", F.col("text").cast("binary").alias("data"), F.explode("want").alias("w")).select(
         "w.*", F.expr(f"substring(data, w.a + 1, w.b - w.a + {length})").alias("span")
     )
     opened = staged(
@@ -267,7 +267,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             yield pd.DataFrame({"_key": batch["_key"], "_th": batch["_th"], "_cuts": out})
 
     found = found.mapInPandas(merge, found.schema)
-    data = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
+    data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.withColumn("_x", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = rows.join(found, rows[key].eqNullSafe(found["_key"]) & (rows["_x"] == found["_th"]), "left").withColumn("_data", data)
     size = F.octet_length("_data")
@@ -286,3 +286,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select(
         "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256")
     )
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with repeated passages cut out of their texts; columns as given, n_chars brought up to date.
+
+    A cut inside a character leaves U+FFFD for the rest of it. A null text stays null."""
+    left = remove_repeats(docs, key, text)
+    new = F.when(F.col(text).isNull(), F.col(text)).otherwise(F.make_valid_utf8(F.col("_kept").cast("string")))
+    left = left.withColumn(text, new)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
