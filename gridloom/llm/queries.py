@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embed_dedup, license_rules, packing, simhash, suffix_dedup, topk, toxicity, url_rules
+from . import bpe, embed_dedup, html_crf, license_rules, packing, simhash, suffix_dedup, topk, toxicity, url_rules
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_url_filters": url_rules.op4_url_filters,
     "op5_packing": packing.op5_packing,
     "op6_embed_dedup": embed_dedup.op6_embed_dedup,
+    "op7_html": html_crf.op7_html,
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scans": license_rules.op9_license_scans,
     "op10_topk": topk.op10_topk,
