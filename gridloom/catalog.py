@@ -1,4 +1,6 @@
 """All queries of the raster engine by name, and the SQL that says the same."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .queries import colour, focal, geodesy, mosaics, planning, records, tiling  # noqa: F401
+from .queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
