@@ -214,6 +214,9 @@ def _page(rnd: random.Random) -> tuple[str, list[bool]]:
         return out
 
     out = "<body>"
+    if rnd.random() < 0.15:  # main text alone
+        tag = rnd.choice(("article", "main", "div", "section"))
+        return f"<body><{tag}>" + "".join(f"<p>{text(True, 1, rnd.choice((6, 40, 120)))}</p>" for _ in range(rnd.randint(1, 4))) + f"</{tag}>", labels
     if rnd.random() < 0.3:
         out += box("notice")
     if rnd.random() < 0.5:

@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links among ``a``, or among ``a`` and ``b`` together."""
     x = a if b is None else np.concatenate([a, b])
+    bits = x.view(np.uint64)  # numpy counts the bits of absolute values
     root = np.arange(len(x))
     edges = []
 
@@ -70,7 +71,7 @@ def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> lis
         return i
 
     for i in range(len(x)):
-        near = np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]) <= max_bits) + i + 1
+        near = np.flatnonzero(np.bitwise_count(bits[i + 1 :] ^ bits[i]) <= max_bits) + i + 1
         for j in near:
             p, q = find(i), find(int(j))
             if p != q:
