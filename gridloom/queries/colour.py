@@ -87,9 +87,11 @@ def _grade_sql(source, g, name):
 {name} AS (SELECT {SQL_KEYS}, {step(lambda c: _clip(f'CASE WHEN {c} < {g.low_break} THEN {c} * {g.low_slope} WHEN {c} < {hb} THEN {y1!r} + ({c} - {g.low_break}) * {g.mid_slope} ELSE {y2!r} + ({c} - {hb}) * {hs!r} END'))} FROM {name}4)"""
 
 
-@query("q_preview", f"WITH {UNIT}, {_grade_sql('p', color.PREVIEW, 'd')} SELECT {SQL_KEYS}, {_each(lambda c: c)} FROM d")
+@query("q_preview", f"WITH {UNIT}, {_grade_sql('p', color.PREVIEW, 'd')} SELECT {SQL_KEYS}, {', '.join(f'round({c}, 11) AS {c}' for c in RGB)} FROM d")
 def q_preview(spark, sf_dir):
-    return _out(_unit(spark, sf_dir), color.grade(_rgb(), color.PREVIEW))
+    # All factors are short decimals, so values end within ten digits: at eleven no engine has a tie to round.
+    rgb = color.grade(_rgb(), color.PREVIEW)
+    return _unit(spark, sf_dir).select(*KEYS, *(F.round(c, 11).alias(n) for c, n in zip(rgb, RGB, strict=True)))
 
 
 def _smooth(x, a, b):
