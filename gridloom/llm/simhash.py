@@ -46,15 +46,15 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """Rows (key, fp long: the fingerprint's 64 bits as a signed number)."""
+    """Rows (key, th long: xxhash64 of the text, fp long: the fingerprint's 64 bits as a signed number)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(x, words) for x in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": b["key"], "fp": fp})
+            yield pd.DataFrame({"key": b["key"], "th": b["th"], "fp": fp})
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, fp long").withColumnRenamed("key", key)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, f"key {kind}, th long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
@@ -114,24 +114,29 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     return small.unionByName(hot).mapInPandas(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """Rows (key, fingerprint string, component_id: the smallest key reachable by links)."""
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """Rows (key, th, fp, root: the class's smallest fingerprint, component_id: its smallest key), one for each document."""
     marked = staged(fingerprints(docs, key, text, words), "fingerprints")
-    least = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
+    least = staged(marked.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
     groups = components(links(least.select("fp")))
     roots = least.join(groups, least["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return marked.join(roots.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """Rows (key, fingerprint string, component_id: the smallest key reachable by links)."""
+    return classes(docs, key, text, words).select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without all but one of each near-duplicate group: the row with the smallest key stays
-    (of rows that repeat that key, one). Columns as given."""
-    groups = near_duplicates(docs, key, text).select(F.col(key).alias("_key"), "component_id")
-    stay = groups.where(F.col("_key").eqNullSafe(F.col("component_id"))).select("_key").distinct()
-    rows = docs.join(stay, docs[key].eqNullSafe(stay["_key"]), "left_semi")
-    return rows.dropDuplicates([key])
+    """One document of each near-duplicate group: of the smallest key, null keys last. Of rows with the same key and
+    text one stays. Columns as given."""
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
+    stay = classes(docs, key, text).groupBy("root").agg(first).select(F.col("s.key").alias("_key"), F.col("s.th").alias("_th"))
+    rows = docs.withColumn("_own", F.xxhash64(text))
+    rows = rows.join(stay, rows[key].eqNullSafe(stay["_key"]) & (rows["_own"] == stay["_th"]), "left_semi")
+    return rows.dropDuplicates([key, "_own"]).select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
