@@ -196,6 +196,9 @@ def test_simhash_links_are_complete(spark):
 def test_keep_one_keeps_the_columns(docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
+    rows = [(None, "a lone text without a key"), (None, "another one that has none either"), (5, "five five five"), (5, "another text of the same key"), (5, "five five five"), (None, "five five five"), (9, None), (8, "")]
+    few = docs.sparkSession.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, simhash.keep_one(few).collect())) == sorted(f"Row(doc_id={k}, text={t!r})" for k, t in [*rows[:4], rows[7]])
     keys = [r.doc_id for r in kept.collect()]
     assert len(keys) == len(set(keys)) and 0 in keys and 12 not in keys and 13 not in keys
 
@@ -226,6 +229,18 @@ def test_packing_is_whole_and_gapless(docs):
     assert len(seqs) <= -(-sum(r.length for r in rows) // 1024) + 2
 
 
+def test_both_libraries_give_the_same_ids():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, own, rnd = Tokenizer.from_file(path), packing.tokenizer(path), random.Random(6)
+    t.encode_special_tokens = True
+    texts = ["".join(rnd.choice(kind) for _ in range(rnd.randint(0, 80))) for kind in ("ab", "the ing\n\t ", "éüñß €中😀", "01 .,!'s", "\x1c\x85\u180e\xa0 a\0") for _ in range(200)]
+    texts += [x[1] or "" for x in corpus()] + ["<|endoftext|> a", " " * 3000, "x" * (packing.LONG + 5)]
+    assert [own(x) for x in texts] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert packing.tokenizer(public_tokenizers.path("word_bpe_49k.json"))("Two words") == Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("Two words", add_special_tokens=False).ids
+
+
 def test_plans_fit_and_lose_nothing():
     rnd = random.Random(4)
     for n, top, groups in ((1, 1024, 256), (300, 1024, 256), (2000, 1024, 512), (500, 130, 4), (40, 1024, 3)):
