@@ -39,12 +39,13 @@ def _bounds_sql(z):
     return f"((tx / {n} * 360.0 - 180.0) * {R} / 180.0) AS minx, {y('ty + 1')} AS miny, (((tx + 1) / {n} * 360.0 - 180.0) * {R} / 180.0) AS maxx, {y('ty')} AS maxy"
 
 
-@query("q_tile_bounds", f"WITH {METRES}, t AS (SELECT DISTINCT {_tile_sql(7)} FROM m), b AS (SELECT tx, ty, {_bounds_sql(7)} FROM t) SELECT tx, ty, round(minx, 3) AS minx, round(miny, 3) AS miny, round(maxx, 3) AS maxx, round(maxy, 3) AS maxy FROM b")
+@query("q_tile_bounds", f"WITH {METRES}, t AS (SELECT DISTINCT {_tile_sql(7)} FROM m), b AS (SELECT tx, ty, {_bounds_sql(7)} FROM t) SELECT tx, ty, round(minx, 3) + 0.0 AS minx, round(miny, 3) + 0.0 AS miny, round(maxx, 3) + 0.0 AS maxx, round(maxy, 3) + 0.0 AS maxy FROM b")
 def q_tile_bounds(spark, sf_dir):
     tx, ty = geo.tile_at("x", "y", 7)
     tiles = _metres(spark, sf_dir).select(tx.alias("tx"), ty.alias("ty")).distinct()
     names = ("minx", "miny", "maxx", "maxy")
-    return tiles.select("tx", "ty", *(F.round(c, 3).alias(n) for c, n in zip(geo.tile_bounds(7, F.col("tx"), F.col("ty")), names, strict=True)))
+    # Adding zero makes a negative zero a plain one.
+    return tiles.select("tx", "ty", *((F.round(c, 3) + 0.0).alias(n) for c, n in zip(geo.tile_bounds(7, F.col("tx"), F.col("ty")), names, strict=True)))
 
 
 SIZE9 = 2 * R / 2**9
