@@ -61,3 +61,18 @@ def halo(cells: DataFrame, keys: list[str], block: int, width: int) -> DataFrame
     near = lambda c: F.array_distinct(F.transform(F.array(F.lit(-width), F.lit(0), F.lit(width)), lambda d: F.floor((F.col(c) + d) / block).cast("int")))
     wide = cells.select("*", F.explode(near("row")).alias("br")).select("*", F.explode(near("col")).alias("bc"))
     return wide.withColumn("core", (F.floor(F.col("row") / block) == F.col("br")) & (F.floor(F.col("col") / block) == F.col("bc")))
+
+
+def aligned_window(origin: tuple[float, float], pixel: float, size: tuple[int, int], bounds: tuple[float, float, float, float], target_pixel: float, same_crs: bool = True) -> tuple[int, int, int, int] | None:
+    """(column, row, width, height) of north-up source pixels that are just the target's, so that a crop will do; None if they must be resampled.
+
+    Pixel sizes may differ by 1e-9, bounds by 1e-6."""
+    if not same_crs or abs(pixel - target_pixel) > 1e-9:
+        return None
+    minx, miny, maxx, maxy = bounds
+    col, row = round((minx - origin[0]) / pixel), round((origin[1] - maxy) / pixel)
+    width, height = round((maxx - minx) / pixel), round((maxy - miny) / pixel)
+    fitted = (origin[0] + col * pixel, origin[1] - (row + height) * pixel, origin[0] + (col + width) * pixel, origin[1] - row * pixel)
+    if any(abs(a - b) > 1e-6 for a, b in zip(fitted, bounds, strict=True)):
+        return None
+    return (col, row, width, height) if col >= 0 and row >= 0 and col + width <= size[0] and row + height <= size[1] else None

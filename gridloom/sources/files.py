@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = "path string, bx int, by int, x0 double, y0 double, px double, width int, height int, data array<float>"
@@ -24,6 +24,11 @@ def binary(spark: SparkSession, path: str, pattern: str | None = None, recursive
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
+def fresh(files: DataFrame, now: Column, days: int = 90) -> DataFrame:
+    """Cached files that are younger than so many days."""
+    return files.where(F.col("modificationTime") >= now - F.make_dt_interval(F.lit(days)))
+
+
 def zip_members(files: DataFrame, suffix: str = "") -> DataFrame:
     """(path, member, content) of archives, members in order of name."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,5 +1,6 @@
 """Worked arithmetic, invariants and edges of the raster functions."""
 
+import json
 import math
 
 import numpy as np
@@ -229,3 +230,29 @@ def test_names(spark):
     rows = df.select(text.folder_parts(F.col("f")).alias("p"), text.cache_name(F.col("f")).alias("c")).collect()
     assert (rows[0].p.code, rows[0].p.unit, rows[0].c) == ("10TEK", "10TEK_0_1", "10TEK_0_1") and rows[1].p.code is None
     assert values(spark, [None, 0, 61, 3661], text.eta) == ["calculating", "0s", "1m 01s", "1h 01m 01s"]
+
+
+def test_assets_of_overlapping_features(spark):
+    feature = lambda box, *hrefs: {"bbox": box, "assets": {f"a{i}": {"href": h} for i, h in enumerate(hrefs)}}
+    collection = {"features": [feature([0, 0, 1, 1], "x.json", "one.tif", "two.tif"), feature([1, 0, 2, 1], "far.tif"), feature([0.2, 0.2, 0.4, 0.4], "none.txt")]}
+    rows = spark.createDataFrame([("near", json.dumps(collection)), ("far", json.dumps(collection))], "dataset string, json string")
+    sets = spark.createDataFrame([("near", [0.0, 0.0, 5.0, 5.0]), ("far", [7.0, 7.0, 8.0, 8.0])], "dataset string, bbox array<double>")
+    assert [tuple(r) for r in scenes.stac_assets(rows, (0.1, 0.1, 1.0, 1.0), sets).collect()] == [("near", "one.tif")]
+
+
+def test_aligned_windows():
+    at = resample.aligned_window
+    assert at((0, 100), 10, (10, 10), (20, 50, 40, 80), 10) == (2, 2, 2, 3)
+    assert at((0, 100), 10, (10, 10), (21, 50, 41, 80), 10) is None and at((0, 100), 10, (10, 10), (20, 50, 40, 80), 9.9) is None
+    assert at((0, 100), 10, (10, 10), (90, 50, 120, 80), 10) is None and at((0, 100), 10, (10, 10), (20, 50, 40, 80), 10, same_crs=False) is None
+
+
+def test_recent_falls_back_where_nothing_is_recent(spark):
+    df = spark.createDataFrame([(1, "2020-01-01"), (1, "2024-05-01"), (1, None), (2, "2019-01-01")], "cell int, start string")
+    assert sorted((r.cell, r.start or "") for r in scenes.recent(df, "cell", "start", "2021-01-01").collect()) == [(1, ""), (1, "2024-05-01"), (2, "2019-01-01")]
+
+
+def test_option_choice(spark):
+    rows = [(1, 1, "GeoTIFF", True), (1, 2, "JPEG2000 a", True), (1, 3, "JPEG2000 b", True), (2, 1, "GeoTIFF", True), (2, 2, "x.jp2", True), (2, 3, "y.jp2", True), (3, 1, "jp2", False), (3, 2, "GeoTIFF", True), (3, 3, "other", True)]
+    df = spark.createDataFrame(rows, "entity int, seq int, name string, available boolean")
+    assert {r.entity: r.seq for r in scenes.preferred_option(df, "entity", "name", "seq").collect()} == {1: 3, 2: 2, 3: 2}

@@ -36,6 +36,9 @@ def test_zip_and_tree(spark, tmp_path):
         z.writestr("a.tif", b"1")
         z.writestr("c.txt", b"3")
     (tmp_path / "x.zip").write_bytes(buf.getvalue())
+    zips = files.binary(spark, str(tmp_path), "*.zip")
+    assert files.fresh(zips, F.current_timestamp()).count() == 1
+    assert files.fresh(zips, F.current_timestamp() + F.make_dt_interval(F.lit(91))).count() == 0
     rows = files.zip_members(files.binary(spark, str(tmp_path), "*.zip"), ".tif").collect()
     assert [(r.member, bytes(r.content)) for r in rows] == [("a.tif", b"1"), ("b.tif", b"2")]
     at = tmp_path / "tree/3/4"
