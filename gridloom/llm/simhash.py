@@ -14,6 +14,13 @@ Defined cases: null and empty texts, and texts without a word, have fingerprint
 link like any other; fewer words than a shingle count as one shingle; a null key keeps its row
 and never becomes a class id unless all keys of the class are null; repeated rows stay; an empty table gives no rows;
 other columns are ignored.
+
+The filtering stage, ``keep_one``, goes by similarity and not by fingerprint: texts link at a Jaccard similarity of
+``SIMILAR`` = 0.8 or more of their sets of five-word shingles. Such texts differ in some ten of 64 fingerprint bits, a
+radius at which one-wildcard segments are eight bits or shorter and every two texts meet. Its candidates
+therefore share one of ``BANDS`` = 20 keys of ``ROWS`` = 4 least hashes each (a pair at 0.8 is missed with a chance of
+3 in 100,000, a closer one more rarely), and every link is verified on the shingles themselves. Equal sets collapse
+first. The members of a key are first compared with one of them, then only those of different components, in blocks.
 """
 
 from __future__ import annotations
@@ -29,6 +36,9 @@ from pyspark.sql import functions as F
 from .common import components, staged, table
 
 WORDS, MAX_BITS, SEED, BLOCK = 3, 3, 42, 2048
+STAGE_WORDS, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
+# Fixed odd factors and masks: each pair makes another order of the hashes.
+FACTORS, MASKS = (np.random.default_rng(SEED).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1))
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -129,11 +139,109 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return classes(docs, key, text, words).select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def shingles(text: str | None, words: int = STAGE_WORDS) -> np.ndarray:
+    """The sorted distinct hashes of a text's word shingles; none of a text without a word."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    of = xxhash.xxh64_intdigest
+    return np.unique(np.array([of(b" ".join(parts[i : i + words]), SEED) for i in range(max(1, len(parts) - words + 1))], np.uint64))
+
+
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """``BANDS`` keys of a set of shingles, each of the least of its hashes in ``ROWS`` orders."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(own), 4096):  # bounded memory for long texts
+        least = np.minimum(least, ((own[a : a + 4096, None] ^ MASKS) * FACTORS).min(0))
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+
+
+def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (key, th, sig long: a hash of the set of shingles, size int of the set, bands array<long>)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [shingles(x) for x in b["text"]]
+            sig = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            yield pd.DataFrame({"key": b["key"], "th": b["th"], "sig": sig, "size": [len(x) for x in sets], "bands": [band_keys(x) for x in sets]})
+
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, bands array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``sets`` (sig, own binary) have a Jaccard similarity of ``SIMILAR`` or more."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= SIMILAR * (len(x) + len(y) - both))
+            yield batch.loc[good, ["a", "b"]]
+
+    left, right = sets.select(F.col("sig").alias("a"), F.col("own").alias("x")), sets.select(F.col("sig").alias("b"), F.col("own").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+
+
+def cross_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (a, b) that share a band and may be similar by their sizes, but have different roots.
+    rows: (band, n: rows of the band, sig, size, root)."""
+    split = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    parts = F.ceil(F.col("n") / F.lit(block)).cast("long")
+    dealt = rows.join(split, "band").withColumn("c", F.pmod(F.xxhash64("sig"), parts))
+    # A common band: its rows in blocks, each pair of blocks a row of its own.
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("d")).groupBy(
+        "band", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q")
+    ).agg(F.collect_list(F.struct("sig", "size", "root")).alias("m"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for sig, size, root in zip(batch["sig"], batch["size"], batch["root"], strict=True):
+                by = np.argsort(size, kind="stable")
+                sig, size, root = np.asarray(sig)[by], np.asarray(size)[by], np.asarray(root)[by]
+                for i, end in enumerate(np.searchsorted(SIMILAR * size, size, "right")):  # sorted: the smaller first
+                    j = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
+                    if len(j):
+                        yield pd.DataFrame({"a": np.minimum(sig[i], sig[j]), "b": np.maximum(sig[i], sig[j])})
+
+    return dealt.select("m.sig", "m.size", "m.root").mapInPandas(run, "a long, b long").distinct()
+
+
+def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (key, th, root), one for each document: root is one for the texts that links of similarity connect."""
+    marked = staged(sketches(docs, key, text), "sketches")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
+    nodes = marked.groupBy("sig").agg(first, F.first("size").alias("size"), F.first("bands").alias("bands")).where("size > 0")
+    nodes = staged(nodes.select("sig", "s.key", "s.th", "size", "bands"), "distinct")
+    filed = nodes.select("sig", "size", F.explode("bands").alias("band"))
+    hub = F.min(F.struct(F.xxhash64("sig", "band").alias("order"), "sig"))["sig"].alias("hub")
+    met = filed.groupBy("band").agg(F.count("*").alias("n"), hub).where("n > 1")
+    rows = staged(filed.join(met, "band"), "bands")
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"sig": b["sig"], "own": [shingles(x).tobytes() for x in b["text"]]})
+
+    need = nodes.join(rows.select("sig").distinct(), "sig", "left_semi").select("sig", F.col("key").alias("_key"), F.col("th").alias("_th"))
+    texts = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    texts = texts.join(need, texts["key"].eqNullSafe(need["_key"]) & (texts["th"] == need["_th"])).select("sig", "text").dropDuplicates(["sig"])
+    sets = staged(texts.mapInPandas(own, "sig long, own binary"), "shingles")
+    pairs = rows.where("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
+    links = staged(verified(pairs, sets), "links")
+    groups = components(links)
+    open_ = rows.join(groups, rows["sig"] == groups["node"], "left").select("band", "n", "sig", "size", F.coalesce("root", "sig").alias("root"))
+    more = staged(verified(cross_pairs(open_).join(pairs, ["a", "b"], "left_anti"), sets), "links")
+    if not more.isEmpty():
+        groups = components(links.unionByName(more))
+    return marked.join(groups, marked["sig"] == groups["node"], "left").select("key", "th", F.coalesce("root", "sig").alias("root"))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each near-duplicate group: of the smallest key, null keys last. Of rows with the same key and
+    """One document of each group of similar texts: of the smallest key, null keys last. Of rows with the same key and
     text one stays. Columns as given."""
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
-    stay = classes(docs, key, text).groupBy("root").agg(first).select(F.col("s.key").alias("_key"), F.col("s.th").alias("_th"))
+    stay = similar_classes(docs, key, text).groupBy("root").agg(first).select(F.col("s.key").alias("_key"), F.col("s.th").alias("_th"))
     rows = docs.withColumn("_own", F.xxhash64(text))
     rows = rows.join(stay, rows[key].eqNullSafe(stay["_key"]) & (rows["_own"] == stay["_th"]), "left_semi")
     return rows.dropDuplicates([key, "_own"]).select(*docs.columns)

@@ -193,6 +193,39 @@ def test_simhash_links_are_complete(spark):
         assert groups([tuple(r) for r in simhash.links(frame, block=block).collect()]) == want
 
 
+def test_keep_one_drops_texts_of_similarity_and_no_others(spark):
+    rnd = random.Random(8)
+    texts = []
+    for i in range(24):
+        base = words(rnd, 60 + 20 * i).split()
+        texts.append(base)
+        for every in (150, 60, 40, 14):  # one word replaced in so many: above and below 0.8
+            texts.append([words(rnd, 1) if n % every == 7 else w for n, w in enumerate(base)])
+    texts += [texts[0], [*texts[5], "end"], ["x", *texts[10][:20]]]
+    sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    want = {find(i) for i in range(len(texts))}
+    assert 40 < len(want) < 80
+    frame = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(frame).collect()} == want
+    rows = [(1, 6, i, 10 + i % 3, i % 4) for i in range(6)]
+    pairs = {(i, j) for i in range(6) for j in range(6) if i < j and i % 4 != j % 4}
+    for block in (2048, 2):
+        crossed = simhash.cross_pairs(spark.createDataFrame(rows, "band long, n long, sig long, size int, root long"), block)
+        assert {tuple(r) for r in crossed.collect()} == pairs
+
+
 def test_keep_one_keeps_the_columns(docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
