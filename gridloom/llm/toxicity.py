@@ -46,7 +46,8 @@ def features(text: str | None, words: frozenset[str], stems: frozenset[str]) ->
     hits = [i for i, w in enumerate(found) if w in words]
     stem_hits = sum(w[:STEM] in stems for w in found if len(w) > STEM)
     you = [i for i, w in enumerate(found) if w in YOU]
-    near = int((np.abs(np.subtract.outer(hits[:500], you[:500])) <= 5).any(1).sum()) if hits and you else 0
+    at = np.asarray(hits, np.int64)
+    near = int((np.searchsorted(you, at - 5, "left") < np.searchsorted(you, at + 5, "right")).sum())  # both lists are sorted
     odd = ODD.findall(text)
     masked = sum((plain := w.lower().translate(LEET).replace(".", "")) in words or plain[:STEM] in stems for w in odd)
     upper = sum(map(str.isupper, text))

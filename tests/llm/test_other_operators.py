@@ -159,6 +159,16 @@ def test_toxicity(spark):
     assert toxicity.score(frame.where("false"), known).count() == 0
 
 
+def test_second_person_words_count_anywhere_in_a_long_text():
+    near = lambda text: toxicity.features(text, frozenset({"bad"}), frozenset())[5] * len(text.split())
+    far = "far " * 20
+    assert round(near("bad " * 600 + far + "you bad " * 30 + far + "you " * 600)) == 30
+    assert round(near("bad " * 700 + "you")) == 5 and round(near("you " * 700 + "a b c d bad a bad")) == 1
+    rnd = random.Random(4)
+    found = [rnd.choice(["bad", "you", *["so"] * 12]) for _ in range(9000)]
+    assert round(near(" ".join(found))) == sum(w == "bad" and "you" in found[max(0, i - 5) : i + 6] for i, w in enumerate(found))
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
