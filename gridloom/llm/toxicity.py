@@ -66,10 +66,13 @@ def _words(text: str = "text"):
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: x != ""))
 
 
-def with_copies_marked(sample: DataFrame) -> DataFrame:
-    """Adds ``sig``, which copies of a text nearly always share: two least hashes of its words."""
+def without_copies(sample: DataFrame) -> DataFrame:
+    """One row for each (toxic, text) of ``sample``, texts being copies if they are equal but for case and white space: the one of
+    the smallest hash. Adds ``sig``, a hash of the text so normalised, and ``kin``, which near copies nearly always share: two least hashes of its words."""
     least = lambda seed: F.array_min(F.transform("w", lambda x: F.xxhash64(x, F.lit(seed))))
-    return sample.withColumn("w", _words()).withColumn("sig", F.xxhash64(least(1), least(2))).drop("w")
+    marked = sample.withColumn("sig", F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))))
+    one = marked.groupBy("toxic", "sig").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.withColumn("w", _words()).withColumn("kin", F.xxhash64(least(1), least(2))).drop("w")
 
 
 def lexicon(sample: DataFrame, stem: int | None = None, most: int = MAX_LEXICON) -> frozenset[str]:
@@ -103,8 +106,9 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # At most ``sample`` ids, by hash order; so few that they may be broadcast.
     known = known.orderBy(F.xxhash64(key), key).limit(sample)
     texts = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias("text"))
-    taught = with_copies_marked(texts.join(F.broadcast(known), key).select("toxic", "text"))
-    taught = staged(taught.dropDuplicates(["toxic", "sig"]).withColumn("fold", F.pmod(F.col("sig"), F.lit(5))), "taught")
+    taught = without_copies(texts.join(F.broadcast(known), key).select("toxic", "text"))
+    # Near copies are in one fold, so that the calibration does not see what the trees learned from.
+    taught = staged(taught.withColumn("fold", F.pmod(F.col("kin"), F.lit(5))).drop("kin"), "taught")
     share = taught.agg(F.avg("toxic"), F.min("toxic"), F.max("toxic")).first()
     base = docs.select(F.col(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
     if share[1] == share[2]:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridloom.llm import embed_dedup, html_crf, topk, toxicity, url_rules
@@ -169,6 +170,22 @@ def test_second_person_words_count_anywhere_in_a_long_text():
     assert round(near(" ".join(found))) == sum(w == "bad" and "you" in found[max(0, i - 5) : i + 6] for i, w in enumerate(found))
 
 
+def test_unlike_texts_of_common_words_all_teach(spark, monkeypatch):
+    rnd = random.Random(6)
+    common = ["".join(rnd.choice("abdeimnorstu") for _ in range(6)) for _ in range(60)]
+    texts = [" ".join([*rnd.sample(common, 60), f"own{'abcdefghijklmnopqrst'[i]}"]) for i in range(20)]
+    rows = [(i, x) for i, x in enumerate([*texts, texts[0].upper() + " \n", "  " + texts[1].replace(" ", "  ")])]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 0, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    taught = []
+    staged = toxicity.staged
+    monkeypatch.setattr(toxicity, "held_out", lambda key: F.lit(False))
+    monkeypatch.setattr(toxicity, "staged", lambda df, name: taught.append(staged(df, name)) or taught[-1])
+    toxicity.score(docs, known)
+    toxicity.score(docs.repartition(7), known)
+    got = [sorted(r.text for r in x.collect()) for x in taught]
+    assert got[0] == got[1] and sorted(" ".join(x.lower().split()) for x in got[0]) == sorted(texts)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
