@@ -14,6 +14,10 @@ from gridloom.llm.simhash import keep_one
 from gridloom.llm.suffix_dedup import without_repeats
 from gridloom.llm.toxicity import drop_toxic
 
+#: What the third stage calls a repeated passage: strings of so many bytes that start elsewhere too, joined to runs of over
+#: 50 words. Passages of over 50 words are 224 bytes and longer; the grams are short for them, so that windows share seeds.
+PASSAGE = {"length": 224, "gram": 32, "over_words": 50}
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
@@ -24,7 +28,9 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_repeats(docs)
+    """Runs of over 50 words that stand elsewhere too are cut out. Null, empty and short texts stay as they are; of a
+    passage every copy goes; a row whose text is all repeated stays with an empty text; rows of equal texts repeat each other."""
+    return without_repeats(docs, **PASSAGE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@
 
 Defined cases: a null text counts as empty; texts under 400 bytes lose nothing; rows repeated
 with the same key and text are rows of their own (and so repeat each other); a null key is a key;
-matches never cross documents; an empty table gives no rows; other columns are ignored.
+matches never cross documents; an empty table gives no rows; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -220,6 +220,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     docs = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text")).where(F.octet_length("text") >= length)
     docs = docs.withColumn("th", F.xxhash64("text"))
     spans = staged(_spans_of(docs, length, gram), "spans")
+    # Most seeds stand once; only the spans of the others go on.
+    twice = staged(spans.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "seeds")
+    spans = staged(spans.join(twice, "seed"), "met")
     kinds = staged(spans.groupBy("seed", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("th", "key", "a", "b", "o")).alias("at")), "kinds")
     several = kinds.groupBy("seed").agg(F.count("*").alias("m")).where("m > 1")
     need = kinds.join(several, "seed").select("seed", "m", "c1", "c2", (F.col("n") == 1).alias("lone"), "at.*")
@@ -247,16 +250,21 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     whole = kinds.where("n > 1").select("c1", "c2", F.lit(0).alias("a"), F.expr("at.b - at.a").alias("b"))
     marks = found.unionByName(whole).select("c1", "c2", F.col("a").alias("x"), F.col("b").alias("y"))
     cuts = spans.select("key", "th", "a", "c1", "c2").join(marks, ["c1", "c2"]).select("key", "th", F.expr("a + x").alias("a"), F.expr(f"a + y + {length}").alias("b"))
-    return cuts.groupBy("key", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("cuts")).withColumnRenamed("key", key)
+    return cuts.groupBy("key", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("cuts"))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """The input's columns, and _n_bytes long, _n_removed long, _n_spans long, _kept binary: the bytes left."""
-    found = repeated_spans(docs, key, text, length, gram, hot).select(F.col(key).alias("_key"), F.col("th").alias("_th"), F.col("cuts").alias("_cuts"))
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, over_words: int = 0) -> DataFrame:
+    """The input's columns, and _n_bytes long, _n_removed long, _n_spans long, _kept binary: the bytes left.
+
+    ``over_words``: only runs of more words than that (parted by ASCII white space) are removed. Input columns named like
+    the new ones are an error; any other name may occur."""
+    if clash := {"_n_bytes", "_n_removed", "_n_spans", "_kept"} & set(docs.columns):
+        raise ValueError(f"columns named like results: {sorted(clash)}")
+
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for cuts in batch["_cuts"]:
+            for cuts in batch["cuts"]:
                 runs: list[list[int]] = []
                 for x in cuts:
                     if runs and runs[-1][1] >= x["a"]:
@@ -264,21 +272,27 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                     else:
                         runs.append([x["a"], x["b"]])
                 out.append([{"a": a, "b": b} for a, b in runs])
-            yield pd.DataFrame({"_key": batch["_key"], "_th": batch["_th"], "_cuts": out})
-
-    found = found.mapInPandas(merge, found.schema)
-    data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.withColumn("_x", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(found, rows[key].eqNullSafe(found["_key"]) & (rows["_x"] == found["_th"]), "left").withColumn("_data", data)
-    size = F.octet_length("_data")
-    runs = F.coalesce("_cuts", F.array().cast("array<struct<a:int,b:int>>"))
-    # Piece i lies between cut i and cut i + 1.
-    begins = F.concat(F.array(F.lit(0)), F.transform(runs, lambda x: x["b"]))
-    ends = F.concat(F.transform(runs, lambda x: x["a"]), F.array(size))
-    rows = rows.withColumn("_runs", runs).withColumn("_pieces", F.arrays_zip(begins.alias("p"), ends.alias("q")))
-    kept = F.aggregate("_pieces", F.lit(b""), lambda acc, x: F.concat(acc, F.call_function("substring", F.col("_data"), x["p"] + 1, x["q"] - x["p"])))
-    gone = F.aggregate("_runs", F.lit(0).cast("long"), lambda acc, x: acc + x["b"] - x["a"])
-    return rows.select(*docs.columns, size.cast("long").alias("_n_bytes"), gone.alias("_n_removed"), F.size("_runs").cast("long").alias("_n_spans"), kept.alias("_kept"))
+            yield batch[["key", "th"]].assign(cuts=out)
+
+    found = repeated_spans(docs, key, text, length, gram, hot)
+    found = found.mapInPandas(merge, found.schema).withColumnsRenamed({"key": "k", "th": "t"})
+    # The input's row is kept as one value, so that its names meet none of those used here.
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.struct("*").alias("row"))
+    rows = rows.join(found, rows["key"].eqNullSafe(found["k"]) & (rows["th"] == found["t"]), "left")
+    rows = rows.select("row", "cuts", F.coalesce(F.col("row").getField(text), F.lit("")).cast("binary").alias("data"))
+    part = lambda a, n: F.call_function("substring", F.col("data"), a + 1, n)
+    runs = F.coalesce("cuts", F.array().cast("array<struct<a:int,b:int>>"))
+    if over_words:
+        runs = F.filter(runs, lambda x: F.regexp_count(part(x["a"], x["b"] - x["a"]).cast("string"), F.lit(r"\S+")) > over_words)
+    rows = rows.select("row", "data", runs.alias("runs"))
+    size = F.octet_length("data")
+    # Piece i lies between cut i and cut i + 1; the pieces are joined at once, as hex digits.
+    begins = F.concat(F.array(F.lit(0)), F.transform("runs", lambda x: x["b"]))
+    ends = F.concat(F.transform("runs", lambda x: x["a"]), F.array(size))
+    pieces = F.transform(F.arrays_zip(begins.alias("p"), ends.alias("q")), lambda x: F.hex(part(x["p"], x["q"] - x["p"])))
+    kept = F.when(F.size("runs") == 0, F.col("data")).otherwise(F.unhex(F.array_join(pieces, "")))
+    gone = F.aggregate("runs", F.lit(0).cast("long"), lambda acc, x: acc + x["b"] - x["a"])
+    return rows.select("row.*", size.cast("long").alias("_n_bytes"), gone.alias("_n_removed"), F.size("runs").cast("long").alias("_n_spans"), kept.alias("_kept"))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,13 +302,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with repeated passages cut out of their texts; columns as given, n_chars brought up to date.
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, over_words: int = 0) -> DataFrame:
+    """The documents with repeated passages cut out of their texts; columns as given, under any names, n_chars brought up to date.
 
     A cut inside a character leaves U+FFFD for the rest of it. A null text stays null."""
-    left = remove_repeats(docs, key, text)
-    new = F.when(F.col(text).isNull(), F.col(text)).otherwise(F.make_valid_utf8(F.col("_kept").cast("string")))
-    left = left.withColumn(text, new)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    row = F.struct(F.lit(0).alias("_"), *(c for c in docs.columns if c != text))
+    left = remove_repeats(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), row.alias("row")), "key", "text", length, gram, over_words=over_words)
+    new = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.make_valid_utf8(F.col("_kept").cast("string")))
+    left = left.select("row", new.alias("text"))
+    out = [(F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns]
+    if "n_chars" in docs.columns and text != "n_chars":
+        out[docs.columns.index("n_chars")] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return left.select(*out)

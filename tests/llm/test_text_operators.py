@@ -122,6 +122,47 @@ def test_repeats_with_short_strings(docs):
     assert rows == repeats(corpus(), 50)
 
 
+def test_only_runs_of_many_words_go(docs):
+    passage = {"length": 224, "gram": 32, "over_words": 50}
+    rows = corpus()
+    seen = {}
+    for _, t, *_ in rows:
+        b = (t or "").encode()
+        for s in range(len(b) - 223):
+            seen[b[s : s + 224]] = seen.get(b[s : s + 224], 0) + 1
+    want, some = [], 0
+    for k, t, *_ in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b) + 1, np.int8)
+        for s in range(len(b) - 223):
+            if seen[b[s : s + 224]] > 1:
+                gone[s : s + 224] = 1
+        at = np.flatnonzero(np.diff(np.r_[0, gone]))
+        for a, z in zip(at[::2], at[1::2]):
+            if len(b[a:z].split()) <= 50:
+                gone[a:z] = 0
+                some += 1
+        want.append((str(k), None if t is None else np.frombuffer(b, np.uint8)[gone[:-1] == 0].tobytes().decode("utf-8", "replace") if b else ""))
+    assert some and any(x and len(x) < len(t or "") for (_, x), (_, t, *_) in zip(want, rows))
+    got = suffix_dedup.without_repeats(docs, **passage)
+    assert got.columns == docs.columns
+    got = got.collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(want, key=lambda x: (x[0], x[1] or ""))
+    assert all((r.th, r.n_chars) == (1, None if r.text is None else len(r.text)) for r in got if r.doc_id is not None)
+
+
+def test_names_of_other_columns_meet_none_inside(spark):
+    rows = [(i, "the same text of many words " * 40, *range(8)) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _x long, _data long, runs long, key long, row long, cuts long, th long, data long")
+    got = suffix_dedup.remove_repeats(frame)
+    assert got.columns == [*frame.columns, "_n_bytes", "_n_removed", "_n_spans", "_kept"]
+    assert {tuple(r[2:10]) for r in got.collect()} == {tuple(range(8))}
+    cut = suffix_dedup.without_repeats(frame)
+    assert cut.columns == frame.columns and {tuple(r)[1:] for r in cut.collect()} == {("", *range(8))}
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(frame.withColumnRenamed("_x", "_kept"))
+
+
 def test_pieces_of_long_texts_meet(spark, monkeypatch):
     rnd = random.Random(9)
     text = words(rnd, 400)
