@@ -17,11 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset.
 
-    The fallback is for a single-machine session (tests); a cluster names its folder."""
+    Only a session on one machine may leave it unset; on a cluster each executor would write to a disk of its own."""
     if named := spark.conf.get("spark.checkpoint.dir", None):
         return named
     sc = spark.sparkContext
     if (own := sc._jsc.sc().getCheckpointDir()).isEmpty():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
         own = sc._jsc.sc().getCheckpointDir()
     return own.get()
@@ -40,6 +42,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstaged(df: DataFrame) -> None:
+    """Delete the folder of a ``staged`` table that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def few(df: DataFrame, rows: int = 20_000) -> bool:
+    """Whether a table is small enough to broadcast."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a long, b long): rows (node, root), where
     root is the smallest node that can be reached. Nodes without an edge have no row.
@@ -53,7 +67,8 @@ def components(edges: DataFrame) -> DataFrame:
     ).distinct()
     now = staged(now, "edges")
     while not _is_star(now):
-        now = staged(_small_star(_large_star(now)), "edges")
+        last, now = now, staged(_small_star(_large_star(now)), "edges")
+        unstaged(last)
     nodes = now.groupBy("hi").agg(F.min("lo").alias("root")).select(F.col("hi").alias("node"), "root")
     return nodes.unionByName(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 

@@ -54,17 +54,68 @@ def test_embedding_groups_equal_brute_force(frame, block):
     assert got == want and sum(w[1] for w in want) > 50
 
 
+def test_windows_of_sorted_projections_count_collisions():
+    rnd = np.random.default_rng(3)
+    a, b = rnd.standard_normal((40, 64)), rnd.standard_normal((90, 64))
+    b[::3] = a[rnd.integers(0, 40, 30)] + rnd.standard_normal((30, 64)) * 0.05
+    pa, pb = embed_dedup.projections(a, 32), embed_dedup.projections(b, 32)
+    for misses in (15, 25, 40):
+        for i, j in enumerate(embed_dedup.collisions(pa, pb, 0.05, misses)):
+            counts = (np.abs(pb - pa[i]) <= np.float32(0.05 + 1e-5)).sum(1)
+            assert j.tolist() == np.flatnonzero(counts >= 32 - misses).tolist()
+    i, j = embed_dedup.meeting(a, b, 0.98, 0.05, 32, False)
+    cos = (a / np.linalg.norm(a, axis=1)[:, None]) @ (b / np.linalg.norm(b, axis=1)[:, None]).T
+    assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(cos >= 0.98)))) and len(i) > 5
+
+
+def test_embedding_groups_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, h1 string, node string")
+    assert embed_dedup.near_duplicates(none).count() == 0
+
+
 @pytest.mark.parametrize("sizes", [(8192, 1024), (16, 5)])
 def test_top_k_equals_brute_force(frame, sizes):
     rows = [r for r in vectors() if r[1] is not None and (r[1] == [] or good(r[1]))]
-    got = {}
+    whole = [np.floor(np.array(r[1], float) * 64).astype(int) for r in rows]
+    got, want = [], []
     for r in topk.top_k(frame, frame["vec_id"] % 20 == 0, candidates=sizes[0], queries=sizes[1]).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    for q in {r[0]: r for r in rows if r[0] % 20 == 0}.values():
-        z = np.floor(np.array(q[1], float) * 64).astype(int)
-        scores = sorted((-int(np.floor(np.array(r[1], float) * 64).astype(int) @ z), r[0]) for r in rows if r[0] != q[0] and len(r[1]) == len(q[1]))
-        if q[0] != 320:
-            assert sorted(got.get(q[0], [])) == [(i + 1, k, -s) for i, (s, k) in enumerate(scores[:20])]
+        got.append((r.query_id, r["rank"], r.vec_id, r.score))
+    for i, q in enumerate(rows):
+        if q[0] % 20 == 0:
+            scores = sorted((-int(whole[j] @ whole[i]), r[0]) for j, r in enumerate(rows) if j != i and len(r[1]) == len(q[1]))
+            want += [(q[0], n + 1, k, -s) for n, (s, k) in enumerate(scores[:20])]
+    assert sorted(got) == sorted(want) and sum(w[0] == 320 for w in want) == 40
+
+
+def test_top_k_eliminates_and_stops_early():
+    rnd = np.random.default_rng(4)
+    centres = rnd.integers(-2000, 2000, (40, 8))
+    x = np.concatenate([c + rnd.integers(-9, 9, (200, 8)) for c in centres])
+    q = x[::100]
+    pivots = topk.farthest(x[::7].astype(float), topk.PIVOTS)
+    far, ids = topk.distances(x.astype(float), pivots), rnd.permutation(len(x))
+    scores = q @ x.T
+    low = np.sort(scores, 1)[:, -20]
+    assert (topk.upper(far[::100], far, low) >= scores).all() and (topk.upper(far[::100], far, low) < low[:, None]).mean() > 0.3
+    for least in (np.full(len(q), -np.inf), low):
+        found = {}
+        for i, j, s in topk.search(q, far[::100], least, np.full(len(q), -1), x, far, ids, 20):
+            for a, b, c in zip(i, j, s):
+                found.setdefault(int(a), []).append((-int(c), int(ids[b])))
+        assert all(found[i] == sorted((-int(s), int(n)) for s, n in zip(scores[i], ids))[:20] for i in range(len(q)))
+
+
+def test_top_k_of_huge_components_and_ties(spark):
+    rows = [(i, [2.0e7 * (i % 3) + i, 1.0e7 + 1]) for i in range(60)] + [(i, [1.0, 1.0, 1.0]) for i in range(100, 160)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5, candidates=16).collect()
+    want = []
+    for k, v in rows:
+        if k % 20 == 0:
+            scores = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(v, w)), j) for j, w in rows if j != k and len(v) == len(w))
+            want += [(k, n + 1, j, -s) for n, (s, j) in enumerate(scores[:5])]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>, block string")
+    assert topk.top_k(none, F.col("vec_id") % 20 == 0).count() == 0
 
 
 def test_components(spark):
