@@ -1,23 +1,27 @@
 """Embedding near-duplicates by counting collisions of one-dimensional projections.
 
-Unit vectors are projected onto an orthonormal basis, a fixed random rotation. For a pair with
-cosine >= c the squared differences of all projections sum to at most 2 - 2c, so at most
-(2 - 2c) / w^2 of them can lie outside a window of half-width w around the query's value. The
-count that a pair must reach among ``COUNTED`` projections follows from this bound; its recall is 1, whatever the data.
-Pairs that reach it are verified in double precision.
+Unit vectors are projected onto an orthonormal basis, a fixed random rotation. For a pair with cosine >= c the squared
+differences of all projections sum to at most 2 - 2c, so at most (2 - 2c) / w^2 of them can lie outside a window of
+half-width w around the query's value. The count that a pair must reach among ``COUNTED`` projections is
+calibrated by this bound: its recall is 1, whatever the data. Pairs that reach it are verified in double precision.
 
-The first projection sorts: rows are filed by label and by cells as wide as the largest
-difference that a link allows, so partners stand in the same cell or the next. Full cells are dealt out
-as pairs of blocks. Exact copies are collapsed before. A task emits counts of links and a spanning
-forest, never the pairs.
+1. Each label's most selective projection, that of the largest variance, files its rows by cells as wide as the largest
+   difference that a link allows, so partners stand in the same cell or the next. Full cells are dealt out as pairs of blocks.
+2. In a pair of blocks every projection's values are sorted. A query's windows are looked up in all the sorted
+   lists, and how often each row stands in them is counted: rows outside of the windows are never touched.
+3. Rows with enough collisions are verified. A task emits counts of links and a spanning forest, never the pairs.
+
+Exact copies are collapsed before, by 128-bit hashes. A label whose vectors point everywhere is narrowed little by one projection,
+so that its work grows with the square of its size.
 
 Defined cases: a null label, a null, empty or zero vector, and one with null or non-finite
 components link with nothing; vectors of different length never link; a null vec_id keeps its row; rows repeated with the same id are
-vectors of their own; an empty table gives no rows; other columns are ignored.
+vectors of their own; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -26,66 +30,83 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, staged, table
+from .common import components, few, staged, table
 
-COSINE, WINDOW, COUNTED, BLOCK = 0.98, 0.05, 32, 1024
+COSINE, WINDOW, COUNTED, BLOCK, SALTS = 0.98, 0.05, 32, 2048, 16
 
 
+@functools.lru_cache(16)
 def rotation(dim: int) -> np.ndarray:
     """A fixed random orthonormal basis, by columns."""
     return np.linalg.qr(np.random.default_rng(dim).standard_normal((dim, dim)))[0]
 
 
+def projections(x: np.ndarray, counted: int) -> np.ndarray:
+    """The projections of unit vectors, by columns."""
+    return ((x / np.linalg.norm(x, axis=1)[:, None]) @ rotation(x.shape[1])[:, :counted]).astype(np.float32)
+
+
+def allowed_misses(cosine: float, window: float) -> int:
+    return math.ceil((2 - 2 * cosine + 1e-9) / window**2) - 1
+
+
+def collisions(a: np.ndarray, b: np.ndarray, window: float, misses: int) -> Iterator[np.ndarray]:
+    """For each row of ``a`` (projections by columns) the rows of ``b`` that stand in enough of its windows."""
+    lists = [np.argsort(b[:, k], kind="stable") for k in range(b.shape[1])]
+    half = np.float32(window + 1e-5)
+    ends = [(np.searchsorted(b[at, k], a[:, k] - half, "left"), np.searchsorted(b[at, k], a[:, k] + half, "right")) for k, at in enumerate(lists)]
+    low, high = (np.array([e[s] for e in ends]).T.tolist() for s in (0, 1))
+    need = b.shape[1] - misses
+    for x, y in zip(low, high, strict=True):
+        met = np.concatenate([at[p:q] for at, p, q in zip(lists, x, y, strict=True)])
+        yield np.flatnonzero(np.bincount(met, minlength=len(b)) >= need)
+
+
 def meeting(a: np.ndarray, b: np.ndarray, cosine: float, window: float, counted: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows of a and b with enough collisions and the cosine; same: a is b, pairs once."""
-    dim = a.shape[1]
-    counted = min(counted, dim)
-    misses = math.ceil((2 - 2 * cosine + 1e-9) / window**2) - 1
-    unit_a, unit_b = (x / np.linalg.norm(x, axis=1)[:, None] for x in (a, b))
-    basis = rotation(dim)[:, :counted]
-    pa, pb = (unit_a @ basis).T.astype(np.float32), (unit_b @ basis).T.astype(np.float32)
-    half = np.float32(window + 1e-5)
-    out = np.zeros((len(a), len(b)), np.uint8)  # windows missed so far
-    dense = min(counted, max(misses + 1, counted // 2))
-    for k in range(dense):
-        out += np.abs(pa[k][:, None] - pb[k]) > half
-    i, j = np.nonzero(out <= misses)
-    missed = out[i, j].astype(np.int32)
-    if same:
-        i, j, missed = (x[i < j] for x in (i, j, missed))
-    for k in range(dense, counted):
-        missed += np.abs(pa[k][i] - pb[k][j]) > half
-        if k % 4 == 3:
-            i, j, missed = (x[missed <= misses] for x in (i, j, missed))
-    i, j = (x[missed <= misses] for x in (i, j))
-    keep = np.zeros(len(i), bool)
-    for s in range(0, len(i), 1 << 16):  # verified in bounded memory
-        p, q = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-        keep[s : s + (1 << 16)] = (a[p] * b[q]).sum(1) / (np.linalg.norm(a[p], axis=1) * np.linalg.norm(b[q], axis=1)) >= cosine
-    return i[keep], j[keep]
+    pa, pb = projections(a, counted), projections(b, counted)
+    norm_a, norm_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i, j in enumerate(collisions(pa, pb, window, allowed_misses(cosine, window))):
+        j = j[j > i] if same else j
+        j = j[(b[j] * a[i]).sum(1) / (norm_a[i] * norm_b[j]) >= cosine]
+        left.append(np.full(len(j), i))
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label", vector: str = "embedding", cosine: float = COSINE, window: float = WINDOW, counted: int = COUNTED, block: int = BLOCK) -> DataFrame:
     """Rows (key, n_links long, component_id, kept boolean)."""
-    reach = math.sqrt(2 - 2 * cosine) + 1e-9
+    reach = math.sqrt(2 - 2 * cosine) + 1e-5  # projections are single precision
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
-    rows = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"), v.alias("v")).withColumn("node", F.when(F.coalesce(fine_at("label", "v"), F.lit(False)), F.xxhash64("label", "v")))
-    rows = staged(rows.select("key", "label", "v", "node"), "vectors")
-    own = rows.where("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.first("label").alias("label"), F.first("v").alias("v"))
-
-    def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"), v.alias("v"))
+    fine = F.coalesce(fine_at("label", "v"), F.lit(False))
+    rows = rows.select("*", F.when(fine, F.xxhash64("label", "v")).alias("h1"), F.when(fine, F.xxhash64(F.lit("again"), "v", "label")).alias("h2"))
+    rows = staged(rows, "vectors")
+    own = rows.where("h1 is not null").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.first("label").alias("label"), F.first("v").alias("v"))
+    own = staged(own.withColumn("node", F.monotonically_increasing_id()), "distinct")
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            cells = [math.floor(x @ rotation_column(len(x)) / np.linalg.norm(x) / reach) for x in b["v"]]
-            yield pd.DataFrame({"label": b["label"], "dim": [len(x) for x in b["v"]], "cell": cells, "node": b["node"], "n": b["n"], "least": b["least"], "v": b["v"]})
+            values = np.empty(len(b), object)
+            for at in b.groupby(b["v"].map(len)).indices.values():
+                for i, x in zip(at, projections(np.stack(b["v"].iloc[at].to_list()), counted), strict=True):
+                    values[i] = x
+            yield b.assign(dim=b["v"].map(len), p=values)
 
     kinds = dict(rows.dtypes)
-    filed = staged(own.select("label", "node", "n", "least", "v").mapInPandas(file, f"label {kinds['label']}, dim int, cell int, node long, n long, least {kinds['key']}, v array<double>"), "filed")
-    size = filed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    filed = own.select("label", "node", "n", "least", "v").mapInPandas(project, f"label {kinds['label']}, node long, n long, least {kinds['key']}, v array<double>, dim int, p array<float>")
+    filed = staged(filed, "projected")
+    spread = filed.groupBy("label", "dim").agg(*(F.var_pop(F.get("p", F.lit(i))).alias(f"s{i}") for i in range(counted)))
+    widths = F.array(*(F.coalesce(F.col(f"s{i}"), F.lit(-1.0)) for i in range(counted)))
+    spread = staged(spread.select("label", "dim", (F.array_position(widths, F.array_max(widths)) - 1).cast("int").alias("axis")), "axes")
+    filed = _with_few(filed, spread, ["label", "dim"]).withColumn("cell", F.floor(F.get("p", F.col("axis")) / reach).cast("int")).drop("p", "axis")
+    size = staged(filed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cells")
     after = size.select("label", "dim", (F.col("cell") - 1).alias("cell"), F.col("blocks").alias("next"))
     before = size.select("label", "dim", (F.col("cell") + 1).alias("cell"), F.col("blocks").alias("prev"))
     where = ["label", "dim", "cell"]
     size = size.join(after, where, "left").join(before, where, "left")
-    cut = filed.join(size, where).withColumn("sub", F.pmod(F.hash("node"), F.col("blocks")))
+    cut = _with_few(filed, size, where).withColumn("sub", F.pmod(F.hash("node"), F.col("blocks")))
     # Each row goes to its block's meetings: with the blocks of its cell, and with those of the next and the previous cell.
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     meet = F.concat(
@@ -126,11 +147,11 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
     found = staged(met.groupBy("label", "dim", "cell", "gap", "p", "q").applyInPandas(count, "node long, links long, to long"), "links")
     groups = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
     total = found.groupBy("node").agg(F.sum("links").alias("links"))
-    named = filed.select("node", "n", "least").join(total, "node", "left").join(groups, "node", "left")
-    named = staged(named.select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "named")
+    named = own.select("h1", "h2", "node", "n", "least").join(total, "node", "left").join(groups, "node", "left")
+    named = staged(named.select("h1", "h2", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "named")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("node", "n_links", "component_id")
-    out = rows.select("key", "node").join(named, "node", "left")
+    named = named.join(ids, "root").select("h1", "h2", "n_links", "component_id")
+    out = rows.select("key", "h1", "h2").join(named, ["h1", "h2"], "left")
     # A vector that takes no part is its own component, and so is one whose component has no id.
     return out.select(
         F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "key").alias("component_id"),
@@ -143,14 +164,12 @@ def fine_at(label: str, v: str):
     return F.col(label).isNotNull() & F.col(v).isNotNull() & ~odd & F.exists(v, lambda x: x != 0)
 
 
-def rotation_column(dim: int) -> np.ndarray:
-    """The first projection's direction."""
-    if dim not in _FIRST:
-        _FIRST[dim] = rotation(dim)[:, 0]
-    return _FIRST[dim]
-
-
-_FIRST: dict[int, np.ndarray] = {}
+def _with_few(rows: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` joined with a table of its groups: broadcast if checked to be small, else dealt by salted keys."""
+    if few(small):
+        return rows.join(F.broadcast(small), by)
+    salted = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS))).join(salted, [*by, "salt"]).drop("salt")
 
 
 def op6_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
