@@ -13,14 +13,16 @@ places them by the plan and adds up offsets.
 A document is its ids and the end id; only longer ones are cut, the first piece taking what
 is over whole sequences.
 
-Defined cases: a null or empty text is the end id alone; repeated rows are packed each on its own; an empty table
-gives no rows; other columns are ignored.
+Defined cases: a null or empty text is the end id alone; the strings of special ids in a text are those ids, as the
+tokenizers library has it; repeated rows are packed each on its own; an empty table gives no rows; other columns are ignored,
+whatever their names; a key named like a result (piece, start, length, ids_crc32, sequence_id, offset) is an error.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -35,27 +37,31 @@ from tokenizers import Tokenizer
 
 from .common import staged, table
 
-CAPACITY, END, GROUPS, SMALL, LONG = 1024, 2, 1024, 4, 1_000_000
+CAPACITY, END, GROUPS, SMALL = 1024, 2, 128, 4
+# Fixed value: what the pattern's \s stands for (Unicode's White_Space), in long runs.
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+RESULTS = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @functools.lru_cache(2)
 def tokenizer(path: str) -> Callable[[str], list[int]]:
-    """Text to ids by a byte-level BPE file of the tokenizers library.
+    """Text to ids by a byte-level BPE file of the tokenizers library, special ids' strings included.
 
     Such a file's ids are ranks of its merges, so tiktoken, which takes a quarter of the time, gives the same ids
-    from the same file (tests compare them); texts over a million characters, on which its pattern
-    matcher may give up, and files of another make go to the tokenizers library."""
+    from the same file (tests compare them). Its matcher needs stack for each character of a run of white space; a run
+    of 1000 or more is therefore cut out beforehand where the pattern cuts it: before its last character, or
+    at its end if no text follows. Files of another make go to the tokenizers library."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
     plain = lambda text: own.encode(text, add_special_tokens=False).ids
     model, split = spec["model"], spec.get("pre_tokenizer") or {}
-    special = {x["content"] for x in spec["added_tokens"]}
+    special = {x["content"]: x["id"] for x in spec["added_tokens"]}
     vocab = {w: i for w, i in model["vocab"].items() if w not in special}
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     alike = (
         model["type"] == "BPE" and split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split["use_regex"] and not spec["normalizer"]
+        and not any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] or not x["special"] for x in spec["added_tokens"])
         and [vocab.get(a + b) for a, b in merges] == list(range(256, 256 + len(merges)))
     )
     if not alike:
@@ -63,13 +69,28 @@ def tokenizer(path: str) -> Callable[[str], list[int]]:
     # The library writes bytes as characters: printable ones as they are, the others from 256 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
-    fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks={bytes(byte_of[c] for c in w): i for w, i in vocab.items()}, special_tokens={})
-    return lambda text: fast.encode_ordinary(text) if len(text) <= LONG else plain(text)
+    fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks={bytes(byte_of[c] for c in w): i for w, i in vocab.items()}, special_tokens=special)
+    every = set(special)
+
+    def encode(text: str) -> list[int]:
+        ids, at = [], 0
+        for run in WHITE.finditer(text):
+            a, b = run.span()
+            if b < len(text) and not text.startswith(tuple(every), b):
+                b -= 1
+            ids += fast.encode(text[at:a], allowed_special=every)
+            ids += fast._encode_single_piece(text[a:b])
+            at = b
+        return ids + fast.encode(text[at:], allowed_special=every)
+
+    return encode
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Rows (key, piece int, start long, length long, ids_crc32 long)."""
     path = path or public_tokenizers.path("byte_bpe_50k.json")
+    if key in RESULTS:
+        raise ValueError(f"the key is named like a result: {key}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = tokenizer(path)

@@ -308,9 +308,11 @@ def test_both_libraries_give_the_same_ids():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t, own, rnd = Tokenizer.from_file(path), packing.tokenizer(path), random.Random(6)
-    t.encode_special_tokens = True
     texts = ["".join(rnd.choice(kind) for _ in range(rnd.randint(0, 80))) for kind in ("ab", "the ing\n\t ", "éüñß €中😀", "01 .,!'s", "\x1c\x85\u180e\xa0 a\0") for _ in range(200)]
-    texts += [x[1] or "" for x in corpus()] + ["<|endoftext|> a", " " * 3000, "x" * (packing.LONG + 5)]
+    texts += [x[1] or "" for x in corpus()] + ["<|endoftext|> a", "a  <|endoftext|>  b<|endoftext|>", " " * 3000, "x" * 1_000_005]
+    white = " \t\n\r\x0b\x0c\x85\xa0\u2003\u3000"
+    for run in (" " * 999, " " * 1000, " " * 1001, "\n" * 4000, "".join(rnd.choice(white) for _ in range(5000)), " " * 1_300_000):
+        texts += [run, run + "x", run + "\n", "x" + run, "a." + run + "b " + run + "'s", run + "<|endoftext|>" + run + "7", "\x1c" + run + "\x1c" + run + "é"]
     assert [own(x) for x in texts] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
     assert packing.tokenizer(public_tokenizers.path("word_bpe_49k.json"))("Two words") == Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("Two words", add_special_tokens=False).ids
 
