@@ -242,9 +242,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     text one stays. Columns as given."""
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
     stay = similar_classes(docs, key, text).groupBy("root").agg(first).select(F.col("s.key").alias("_key"), F.col("s.th").alias("_th"))
-    rows = docs.withColumn("_own", F.xxhash64(text))
-    rows = rows.join(stay, rows[key].eqNullSafe(stay["_key"]) & (rows["_own"] == stay["_th"]), "left_semi")
-    return rows.dropDuplicates([key, "_own"]).select(*docs.columns)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.struct("*").alias("row"))
+    rows = rows.join(stay, rows["key"].eqNullSafe(stay["_key"]) & (rows["th"] == stay["_th"]), "left_semi")
+    return rows.dropDuplicates(["key", "th"]).select("row.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ labelled training rows, the calibration on the rest. Every document is scored, b
 Defined cases: null and empty texts have all features zero and get a score like any other; without labels of both
 classes the score is the share of toxic training rows (0 without any); several labels of
 a document count as toxic if one is; null labels and null ids teach nothing; repeated rows are
-scored each on its own; an empty table gives no rows; other columns are left alone, and columns
-of ``docs`` named like a result (_held_out, _score, _predicted) are an error.
+scored each on its own; an empty table gives no rows; other columns of ``docs`` are ignored by ``score`` and carried along by
+``drop_toxic``, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, table
 
-SAMPLE, FOLDS, MAX_LEXICON, STEM = 20_000, 5, 5_000, 5
+SAMPLE, FOLDS, STEM = 20_000, 5, 5
 # Second-person words of the four languages.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta vous votre vos tú ti usted ustedes vosotros tus".split())
 LEET = str.maketrans("013457@$!*", "oieastasi.")
@@ -75,9 +75,10 @@ def without_copies(sample: DataFrame) -> DataFrame:
     return one.withColumn("w", _words()).withColumn("kin", F.xxhash64(least(1), least(2))).drop("w")
 
 
-def lexicon(sample: DataFrame, stem: int | None = None, most: int = MAX_LEXICON) -> frozenset[str]:
+def lexicon(sample: DataFrame, stem: int | None = None) -> frozenset[str]:
     """Words (or stems of so many letters, of longer words) that mark toxic texts: log odds over 3.5 standard errors, at
-    least 4 documents, 5 times as often. Copies of a text, by ``sig``, count once."""
+    least 4 documents, 5 times as often. Copies of a text, by ``sig``, count once. As each word marks 4 texts or more, the
+    sample bounds their number."""
     n = {bool(r["toxic"]): r["n"] for r in sample.groupBy("toxic").agg(F.count_distinct("sig").alias("n")).collect()}
     word = _words()
     if stem:
@@ -87,7 +88,7 @@ def lexicon(sample: DataFrame, stem: int | None = None, most: int = MAX_LEXICON)
     odds = F.log((a + 0.5) / (n[True] - a + 0.5)) - F.log((b + 0.5) / (n[False] - b + 0.5))
     z = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     often = (a >= 4) & (a * n[False] >= 5 * (b + 0.5) * n[True])
-    return frozenset(r.word for r in seen.where(often & (z > 3.5)).orderBy(z.desc(), "word").limit(most).collect())
+    return frozenset(r.word for r in seen.where(often & (z > 3.5)).select("word").collect())
 
 
 def with_features(docs: DataFrame, text: str, words: frozenset[str], stems: frozenset[str]) -> DataFrame:
@@ -130,9 +131,10 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are not predicted to be toxic; columns as given. Rows with the same key and text share the verdict."""
-    bad = score(docs, labels, key, text).where("_predicted = 1").select(F.col(key).alias("_key"), "_th").distinct()
-    rows = docs.withColumn("_own", F.xxhash64(text))
-    return rows.join(bad, rows[key].eqNullSafe(bad["_key"]) & (rows["_own"] == bad["_th"]), "left_anti").drop("_own")
+    found = score(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), labels.withColumnRenamed(key, "key"), "key", "text")
+    bad = found.where("_predicted = 1").select(F.col("key").alias("k"), "_th").distinct()
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.struct("*").alias("row"))
+    return rows.join(bad, rows["key"].eqNullSafe(bad["k"]) & (rows["th"] == bad["_th"]), "left_anti").select("row.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

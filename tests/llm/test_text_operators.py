@@ -13,7 +13,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, license_rules, packing, simhash, suffix_dedup
+from gridloom.llm import bpe, license_rules, packing, simhash, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, th long"
 
@@ -267,6 +267,15 @@ def test_keep_one_drops_texts_of_similarity_and_no_others(spark):
         assert {tuple(r) for r in crossed.collect()} == pairs
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(1, "some text of five words", *range(6)), (2, "some text of five words", *range(6)), (3, None, *range(6))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key long, th long, row long, _own long, _th long, k long")
+    assert sorted(map(tuple, simhash.keep_one(frame).collect())) == [rows[0], rows[2]]
+    labels = spark.createDataFrame([(1, 0, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    got = toxicity.drop_toxic(frame, labels)
+    assert got.columns == frame.columns and sorted(map(tuple, got.collect())) == rows
+
+
 def test_keep_one_keeps_the_columns(docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
