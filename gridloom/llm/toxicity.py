@@ -75,20 +75,20 @@ def without_copies(sample: DataFrame) -> DataFrame:
     return one.withColumn("w", _words()).withColumn("kin", F.xxhash64(least(1), least(2))).drop("w")
 
 
-def lexicon(sample: DataFrame, stem: int | None = None) -> frozenset[str]:
-    """Words (or stems of so many letters, of longer words) that mark toxic texts: log odds over 3.5 standard errors, at
-    least 4 documents, 5 times as often. Copies of a text, by ``sig``, count once. As each word marks 4 texts or more, the
-    sample bounds their number."""
-    n = {bool(r["toxic"]): r["n"] for r in sample.groupBy("toxic").agg(F.count_distinct("sig").alias("n")).collect()}
-    word = _words()
-    if stem:
-        word = F.array_distinct(F.transform(F.filter(word, lambda x: F.length(x) > stem), lambda x: F.substring(x, 1, stem)))
-    seen = sample.select("toxic", "sig", F.explode(word).alias("word")).distinct().groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    a, b = F.least(F.col("a"), F.lit(n[True])), F.least(F.col("b"), F.lit(n[False]))
-    odds = F.log((a + 0.5) / (n[True] - a + 0.5)) - F.log((b + 0.5) / (n[False] - b + 0.5))
+def lexicon(sample: DataFrame, clean: int, toxic: int) -> tuple[frozenset[str], frozenset[str]]:
+    """Words, and stems of ``STEM`` letters of longer words, that mark toxic texts: log odds over 3.5 standard errors, at
+    least 4 documents, 5 times as often. sample: texts without copies, of which ``clean`` and ``toxic`` are so labelled. As each
+    word marks 4 texts or more, the sample bounds their number."""
+    words = _words()
+    stems = F.array_distinct(F.transform(F.filter(words, lambda x: F.length(x) > STEM), lambda x: F.substring(x, 1, STEM)))
+    of = lambda kind, found: F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("word")))
+    seen = sample.select("toxic", F.explode(F.concat(of("word", words), of("stem", stems))).alias("x")).groupBy("x").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    odds = F.log((a + 0.5) / (toxic - a + 0.5)) - F.log((b + 0.5) / (clean - b + 0.5))
     z = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    often = (a >= 4) & (a * n[False] >= 5 * (b + 0.5) * n[True])
-    return frozenset(r.word for r in seen.where(often & (z > 3.5)).select("word").collect())
+    often = (a >= 4) & (a * clean >= 5 * (b + 0.5) * toxic)
+    found = seen.where(often & (z > 3.5)).select("x.*").collect()
+    return tuple(frozenset(r.word for r in found if r.kind == kind) for kind in ("word", "stem"))
 
 
 def with_features(docs: DataFrame, text: str, words: frozenset[str], stems: frozenset[str]) -> DataFrame:
@@ -110,17 +110,18 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     taught = without_copies(texts.join(F.broadcast(known), key).select("toxic", "text"))
     # Near copies are in one fold, so that the calibration does not see what the trees learned from.
     taught = staged(taught.withColumn("fold", F.pmod(F.col("kin"), F.lit(5))).drop("kin"), "taught")
-    share = taught.agg(F.avg("toxic"), F.min("toxic"), F.max("toxic")).first()
+    counts = {(r.toxic, r.spare): r.n for r in taught.groupBy("toxic", (F.col("fold") == 0).alias("spare")).agg(F.count("*").alias("n")).collect()}
+    clean, toxic = (sum(n for (t, _), n in counts.items() if t == kind) for kind in (0, 1))
     base = docs.select(F.col(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
-    if share[1] == share[2]:
-        flat = float(share[0] or 0.0)
-        return base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat >= 0.5)).alias("_predicted"))
-    words, stems = lexicon(taught), lexicon(taught, STEM)
+    if not clean or not toxic:
+        flat = float(toxic > 0)
+        return base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat)).alias("_predicted"))
+    words, stems = lexicon(taught, clean, toxic)
     rows = staged(with_features(taught, "text", words, stems).select("toxic", "fold", array_to_vector("_features").alias("features")).coalesce(6), "features")
-    fit = rows.where("fold > 0") if not rows.where("fold > 0").agg(F.countDistinct("toxic")).first()[0] < 2 else rows
+    both = lambda spare: (0, spare) in counts and (1, spare) in counts
+    fit, spare = rows.where("fold > 0") if both(False) else rows, rows.where("fold = 0") if both(True) else rows
     trees = GBTClassifier(labelCol="toxic", maxIter=12, maxDepth=4, maxBins=32, stepSize=0.3, seed=1, checkpointInterval=-1).fit(fit)
     raw = lambda df: trees.transform(df).withColumn("raw", F.element_at(vector_to_array("probability"), 2))
-    spare = rows.where("fold = 0") if rows.where("fold = 0").agg(F.countDistinct("toxic")).first()[0] == 2 else rows
     curve = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="level").fit(raw(spare).select("raw", F.col("toxic").cast("double").alias("toxic")))
     seen = with_features(base, "text", words, stems).withColumn("features", array_to_vector("_features"))
     # A thousandth of the trees' own probability keeps the order within the calibration's steps.
@@ -131,7 +132,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are not predicted to be toxic; columns as given. Rows with the same key and text share the verdict."""
-    found = score(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), labels.withColumnRenamed(key, "key"), "key", "text")
+    found = score(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), labels.select(F.col(key).alias("key"), "toxic"), "key", "text")
     bad = found.where("_predicted = 1").select(F.col("key").alias("k"), "_th").distinct()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.struct("*").alias("row"))
     return rows.join(bad, rows["key"].eqNullSafe(bad["k"]) & (rows["th"] == bad["_th"]), "left_anti").select("row.*")
