@@ -1,6 +1,8 @@
 """Scores, URLs, vectors, pages and the pipeline."""
 
+import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -155,6 +157,54 @@ def test_urls(spark):
     assert url_rules.filter_urls(pages.where("false")).count() == 0
 
 
+def plain_rules(rows, least, confidence):
+    """All rules of any length, by counting every set of tokens."""
+    seen = {}
+    for items, verdict in rows:
+        for n in range(1, len(items) + 1):
+            for x in itertools.combinations(sorted(items), n):
+                seen.setdefault(x, {}).setdefault(verdict, 0)
+                seen[x][verdict] += 1
+    return {(x, v): (k / sum(c.values()), k / len(rows)) for x, c in seen.items() for v, k in c.items() if k >= least and k >= confidence * sum(c.values())}
+
+
+def test_mined_rules_equal_plain_counting(spark):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(400):
+        items = {t for t, p in (("a", 0.5), ("b", 0.4), ("c", 0.6), ("d", 0.3), ("e", 0.2), ("pure", 0.0)) if rnd.random() < p}
+        items |= {"twin", "longer twin"} if rnd.random() < 0.4 else set()
+        odds = 0.95 if {"a", "b"} <= items else 0.05 if {"c", "d", "twin"} <= items else 0.5
+        verdict = "block" if rnd.random() < odds else "allow"
+        if verdict == "block" and rnd.random() < 0.2:
+            items.add("pure")
+        rows.append((sorted(items), verdict))
+    frame = spark.createDataFrame(rows, "items array<string>, verdict string")
+    want = plain_rules(rows, max(0.02 * 400, 8), 0.8)
+    mined = url_rules.mine(frame, 0.02, 0.8).collect()
+    got = {(tuple(r.antecedent), r.verdict): (r.confidence, r.support) for r in mined}
+    assert any(len(x) > 2 for x, _ in got) and all(np.allclose(want[k], v) for k, v in got.items())
+    one_less = lambda x: (x[:i] + x[i + 1 :] for i in range(len(x)))
+    needed = {(x, v) for (x, v), (c, _) in want.items() if not any(want.get((y, v), (0,))[0] >= c for y in one_less(x)) and "twin" not in x}
+    assert needed <= set(got)
+    urls = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(rows)], "row int, items array<string>")
+    found = {r.row: (r.mined_verdict, r.mined_confidence) for r in url_rules.match(urls, url_rules.mine(frame, 0.02, 0.8)).collect()}
+    for i, (items, _) in enumerate(rows):
+        best = max(((*c, v) for (x, v), c in want.items() if set(x) <= set(items)), default=None)
+        assert found.get(i) == (best and (best[2], pytest.approx(best[0])))
+
+
+def test_deep_paths_and_long_urls(spark):
+    deep = "/".join(f"segment{i}" for i in range(10))
+    rows = [(i, f"http://s{i % 3}.a.b.example.com/{'fr' if i % 2 else 'de'}/{deep}/{i}") for i in range(200)]
+    rows += [(1000, "http://" + "a." * 300_000 + "com/de/" + "x/" * 200_000), (1001, "http://example.net/" + "y" * 1_000_000), (1002, f"http://x.net/de/{deep}/7")]
+    began = time.time()
+    got = {r.page_id: r for r in url_rules.filter_urls(spark.createDataFrame(rows, "page_id int, url string")).collect()}
+    assert time.time() - began < 40 and got[1000].rule == "com/de/" and got[1001].verdict == "allow" and got[1002].verdict == "block"
+    nested = [(i, "http://a.example.com/" + ("fr" if i % 2 else "de") + "".join(f"/n{k}" for k in range(i % 40))) for i in range(2000)]
+    assert url_rules.filter_urls(spark.createDataFrame(nested, "page_id int, url string")).count() == 2000
+
+
 def test_mined_rules_judge_the_rest(spark):
     rows = [(i, f"http://s{i % 7}.example.{t}/{p}/{i}") for i, (t, p) in enumerate([("com", "fr"), ("com", "de"), ("net", "de"), ("net", "fr")] * 40)]
     got = url_rules.filter_urls(spark.createDataFrame(rows, "page_id int, url string")).where("rule is null").groupBy("path").agg({"verdict": "max"}).collect()
