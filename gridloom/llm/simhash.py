@@ -20,7 +20,8 @@ The filtering stage, ``keep_one``, goes by similarity and not by fingerprint: te
 radius at which one-wildcard segments are eight bits or shorter and every two texts meet. Its candidates
 therefore share one of ``BANDS`` = 20 keys of ``ROWS`` = 4 least hashes each (a pair at 0.8 is missed with a chance of
 3 in 100,000, a closer one more rarely), and every link is verified on the shingles themselves. Equal sets collapse
-first. The members of a key are first compared with one of them, then only those of different components, in blocks.
+first. The members of a key are first compared with one of them, then only those of different components, in blocks, by
+lists of what each shingle stands in; a task emits a spanning forest.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import components, staged, table
 
-WORDS, MAX_BITS, SEED, BLOCK = 3, 3, 42, 2048
+WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
 STAGE_WORDS, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
 # Fixed odd factors and masks: each pair makes another order of the hashes.
 FACTORS, MASKS = (np.random.default_rng(SEED).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1))
@@ -184,28 +185,75 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def cross_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (a, b) that share a band and may be similar by their sizes, but have different roots.
-    rows: (band, n: rows of the band, sig, size, root)."""
-    split = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    parts = F.ceil(F.col("n") / F.lit(block)).cast("long")
-    dealt = rows.join(split, "band").withColumn("c", F.pmod(F.xxhash64("sig"), parts))
-    # A common band: its rows in blocks, each pair of blocks a row of its own.
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("d")).groupBy(
-        "band", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q")
-    ).agg(F.collect_list(F.struct("sig", "size", "root")).alias("m"))
+def similar_forest(root: list[int], sets: list[np.ndarray], side: list[int]) -> list[tuple[int, int]]:
+    """Edges (places i, j) of a spanning forest of the links among ``sets``, where equal roots are linked already; if there are
+    two sides, links within a side are left to others."""
+    part = {}
+    of = [part.setdefault(r, i) for i, r in enumerate(root)]
+    sizes, sides = np.array([len(x) for x in sets]), np.array(side)
+    words, at = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    crossing, edges = len(set(side)) > 1, []
+
+    def find(i: int) -> int:
+        while of[i] != i:
+            of[i] = of[of[i]]
+            i = of[i]
+        return i
+
+    def link(i: int, shared: np.ndarray) -> None:
+        near = shared >= SIMILAR * (sizes + sizes[i] - shared)
+        for j in np.flatnonzero(near & (sides != sides[i]) if crossing else near):
+            p, q = find(i), find(int(j))
+            if p != q:
+                of[max(p, q)] = min(p, q)
+                edges.append((i, int(j)))
+
+    link(0, np.bincount(at[np.isin(words, sets[0])], minlength=len(sets)))
+    roots = np.array([find(i) for i in range(len(sets))])
+    # Sets of the largest class are not compared with each other: what the others hold is listed by shingle.
+    names, counts = np.unique(roots, return_counts=True)
+    open_ = (roots != names[counts.argmax()])[at]
+    by = np.argsort(words[open_], kind="stable")
+    words, at = words[open_][by], at[open_][by]
+    for i, own in enumerate(sets):
+        low, high = np.searchsorted(words, own, "left"), np.searchsorted(words, own, "right")
+        n = high - low
+        if total := int(n.sum()):
+            place = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(total)
+            link(i, np.bincount(at[place], minlength=len(sets)))
+    return edges
+
+
+def cross_links(rows: DataFrame, sets: DataFrame, block: int = BLOCK, room: int = ROOM) -> DataFrame:
+    """Edges (a, b) that, with the roots, connect what all links within the bands do. rows: (band, sig, size, root). Only bands
+    of several roots are looked at, each in one task; those of over ``block`` sets or ``room`` shingles as pairs of blocks. A task
+    emits a spanning forest, never the pairs."""
+    split = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.greatest(F.count("*") / block, F.sum("size") / room)).cast("long").alias("parts"))
+    dealt = rows.join(split.where("low < high").select("band", "parts"), "band").join(sets, "sig").withColumn("c", F.pmod(F.xxhash64("sig"), "parts"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("d"))
+    dealt = dealt.select("band", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q"), "c", "sig", "root", "own")
+
+    def forest_of(group: list[tuple]) -> list[tuple[int, int]]:
+        side, sig, root, own = zip(*group, strict=True)
+        if len(set(root)) < 2:
+            return []
+        return [(min(sig[i], sig[j]), max(sig[i], sig[j])) for i, j in similar_forest(root, [np.frombuffer(x, np.uint64) for x in own], side)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, now = [], None
         for batch in batches:
-            for sig, size, root in zip(batch["sig"], batch["size"], batch["root"], strict=True):
-                by = np.argsort(size, kind="stable")
-                sig, size, root = np.asarray(sig)[by], np.asarray(size)[by], np.asarray(root)[by]
-                for i, end in enumerate(np.searchsorted(SIMILAR * size, size, "right")):  # sorted: the smaller first
-                    j = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
-                    if len(j):
-                        yield pd.DataFrame({"a": np.minimum(sig[i], sig[j]), "b": np.maximum(sig[i], sig[j])})
+            out = []
+            for band, p, q, *rest in batch.itertuples(index=False, name=None):
+                if (band, p, q) != now and group:
+                    out += forest_of(group)
+                    group = []
+                now = band, p, q
+                group.append(rest)
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        if group:
+            yield pd.DataFrame(forest_of(group), columns=["a", "b"], dtype="int64")
 
-    return dealt.select("m.sig", "m.size", "m.root").mapInPandas(run, "a long, b long").distinct()
+    return dealt.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q").mapInPandas(run, "a long, b long").distinct()
 
 
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,8 +278,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     pairs = rows.where("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
     links = staged(verified(pairs, sets), "links")
     groups = components(links)
-    open_ = rows.join(groups, rows["sig"] == groups["node"], "left").select("band", "n", "sig", "size", F.coalesce("root", "sig").alias("root"))
-    more = staged(verified(cross_pairs(open_).join(pairs, ["a", "b"], "left_anti"), sets), "links")
+    open_ = rows.join(groups, rows["sig"] == groups["node"], "left").select("band", "sig", "size", F.coalesce("root", "sig").alias("root"))
+    more = staged(cross_links(staged(open_, "open"), sets), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     return marked.join(groups, marked["sig"] == groups["node"], "left").select("key", "th", F.coalesce("root", "sig").alias("root"))

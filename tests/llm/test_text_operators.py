@@ -260,11 +260,38 @@ def test_keep_one_drops_texts_of_similarity_and_no_others(spark):
     assert 40 < len(want) < 80
     frame = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id for r in simhash.keep_one(frame).collect()} == want
-    rows = [(1, 6, i, 10 + i % 3, i % 4) for i in range(6)]
-    pairs = {(i, j) for i in range(6) for j in range(6) if i < j and i % 4 != j % 4}
-    for block in (2048, 2):
-        crossed = simhash.cross_pairs(spark.createDataFrame(rows, "band long, n long, sig long, size int, root long"), block)
-        assert {tuple(r) for r in crossed.collect()} == pairs
+
+
+def test_links_across_a_common_band_equal_all_pairs(spark):
+    rnd = random.Random(5)
+    base = rnd.sample(range(1 << 40), 60)
+    sets = [set(base)]
+    for i in range(70):  # most are like the base, few like each other; some are like nothing
+        sets.append({*rnd.sample(base, rnd.choice((50, 55, 57, 30))), *rnd.sample(range(1 << 40), rnd.choice((1, 4, 7)))})
+    sigs = [10 * i for i in range(len(sets))]
+    root = {x: x for x in sigs}
+
+    def groups(edges, known):
+        of = dict(known)
+
+        def find(x):
+            while of[x] != x:
+                x = of[x]
+            return x
+
+        for x, y in edges:
+            p, q = sorted((find(x), find(y)))
+            of[q] = p
+        return {x: find(x) for x in of}
+
+    like = [(sigs[i], sigs[j]) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    some = groups(like[::9], root)
+    held = spark.createDataFrame([(x, np.sort(np.array(list(own), np.uint64)).tobytes()) for x, own in zip(sigs, sets)], "sig long, own binary")
+    for known in (root, some):
+        rows = spark.createDataFrame([(1, x, len(own), known[x]) for x, own in zip(sigs, sets)], "band long, sig long, size int, root long")
+        for block, room in ((2048, 1 << 20), (9, 1 << 20), (2048, 700)):
+            edges = [tuple(r) for r in simhash.cross_links(rows, held, block, room).collect()]
+            assert groups(edges, known) == groups(like, root) and (block < 2048 or room < 1000 or len(edges) < len(sets))
 
 
 def test_stages_keep_columns_of_any_name(spark):
