@@ -21,7 +21,8 @@ import functools
 import html as html_lib
 import random
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Container, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -40,40 +41,49 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^<>]*\Z""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
+UNFINISHED = re.compile(r"<[!?]|</?[A-Za-z][^<>]*\Z")
 STATES = 2
 
 
 class Block:
-    __slots__ = ("linked", "path", "text")
+    __slots__ = ("linked", "names", "tag", "text")
 
-    def __init__(self, text: str, path: tuple, linked: int):
-        self.text, self.path, self.linked = text, path, linked
+    def __init__(self, text: str, tag: str, names: frozenset[str], linked: int):
+        self.text, self.tag, self.names, self.linked = text, tag, names, linked
 
 
-def blocks(html: str | None) -> list[Block]:
-    """The leaf blocks of a page, in page order. path: (tag, class and id words) of the open elements."""
+def blocks(html: str | None, known: Container[str] | None = None) -> list[Block]:
+    """The leaf blocks of a page, in page order. tag: of the innermost open element that is not inline; names: the features of
+    the open elements' tags, classes and ids, only those that are ``known`` if given. Elements share their names with
+    those inside that add none, so that depth costs nothing."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, str, frozenset[str]]] = []
+    opened: Counter[str] = Counter()
     run: list[tuple[str, bool]] = []
     hidden = links = 0
     html = html or ""
+    stop = html.rfind(">") + 1  # nothing behind it is a finished tag
+    if lost := UNFINISHED.search(html, stop):
+        html = html[: lost.start()]
 
     def flush() -> None:
         text = " ".join("".join(x for x, _ in run).split())
         if text:
-            out.append(Block(text, tuple(x for x in stack if x[0] not in INLINE), sum(len(x.strip()) for x, a in run if a)))
+            _, tag, names = stack[-1] if stack else ("", "-", frozenset())
+            out.append(Block(text, tag, names, sum(len(x.strip()) for x, a in run if a)))
         run.clear()
 
     def close(at: int) -> None:
         nonlocal hidden, links
-        for tag, _ in stack[at:]:
+        for tag, *_ in stack[at:]:
             hidden -= tag in HIDDEN
             links -= tag == "a"
+            opened[tag] -= 1
         del stack[at:]
 
     at, n = 0, len(html)
     while at < n:
-        found = TAG.search(html, at)
+        found = TAG.search(html, at) if at < stop else None
         data = html[at : found.start() if found else n]
         if data and not hidden:
             run.append((html_lib.unescape(data), links > 0))
@@ -107,14 +117,20 @@ def blocks(html: str | None) -> list[Block]:
                         break
             if tag in VOID or found[3].endswith("/") and tag not in ENDS_P:
                 continue
-            words = tuple(dict.fromkeys(w for m in NAMED.finditer(found[3]) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower())))
-            stack.append((tag, words))
+            _, last, names = stack[-1] if stack else ("", "-", frozenset())
+            if tag not in INLINE:
+                last = tag
+                new = {f"in:{tag}", *(f"named:{w}" for m in NAMED.finditer(found[3]) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower()))}
+                new = new if known is None else {x for x in new if x in known}
+                names = names if new <= names else names | new
+            stack.append((tag, last, names))
+            opened[tag] += 1
             hidden += tag in HIDDEN
             links += tag == "a"
         else:
             if tag not in INLINE:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
                     close(i)
                     break
@@ -129,11 +145,8 @@ def features(page: Sequence[Block]) -> list[list[str]]:
     out = []
     for i, b in enumerate(page):
         n, words = len(b.text), b.text.count(" ") + 1
-        tags = [t for t, _ in b.path]
-        f = {"bias", f"tag:{tags[-1] if tags else '-'}", f"chars:{min(n.bit_length(), 11)}", f"words:{min(words.bit_length(), 8)}", f"links:{round(4 * min(1.0, b.linked / n))}"}
-        f.update(f"in:{t}" for t in tags)
-        f.update(f"named:{w}" for _, ws in b.path for w in ws)
-        if not any(t in ("article", "main") for t in tags):
+        f = {"bias", *b.names, f"tag:{b.tag}", f"chars:{min(n.bit_length(), 11)}", f"words:{min(words.bit_length(), 8)}", f"links:{round(4 * min(1.0, b.linked / n))}"}
+        if not b.names & {"in:article", "in:main"}:
             f.add("outside")
         ends = b.text[-1] in ".!?…\"'"
         f.add(f"ends:{ends}")
@@ -261,6 +274,8 @@ class Crf:
 
     def __init__(self, names: list[str], weights: np.ndarray, steps: np.ndarray):
         self.weights = dict(zip(names, weights.tolist(), strict=True))
+        self.known = self.weights.keys() | {"in:article", "in:main"}
+        self.known = self.weights.keys() | {"in:article", "in:main"}
         self.steps = steps
 
     def scores(self, page: Sequence[Block]) -> np.ndarray:
@@ -342,7 +357,7 @@ def default_model() -> Crf:
 
 
 def main_text(html: str | None, model: Crf) -> str:
-    page = blocks(html)
+    page = blocks(html, model.known)
     return "\n".join(b.text for b, s in zip(page, model.decode(page), strict=True) if s) if page else ""
 
 
