@@ -6,11 +6,10 @@
    the same seed make a span: the bytes that these windows cover.
 2. Spans equal as a whole collapse to one with a count (by 128-bit hashes); from two on all their windows repeat.
    Only different spans that share a seed remain open.
-3. The open spans are dealt out by seed and indexed in blocks: a Burrows-Wheeler transform
-   compressed to runs, with the text positions at both ends of each run as samples. The
-   longest match of a position with its neighbours in suffix order is taken at the
-   samples alone; from there it is streamed along the text, since it falls by one with each step inside
-   a run. Windows whose match reaches 400 bytes are marked.
+3. The open spans are dealt out by seed and indexed in blocks (``RunIndex``): a Burrows-Wheeler transform
+   compressed to runs, with the text positions at both ends of each run as samples. Common
+   prefixes are taken at the samples alone; the matching statistics of the block's strings are streamed from there along
+   the text, since they fall by one with each step inside a run. Windows whose match reaches 400 bytes are marked.
 4. A seed with more than ``HOT`` open spans is split by halving the range of its windows: a half
    shares a longer core, equal half spans collapse again, lone ones end, and what is left
    is small or is halved again, at most nine times. Nothing is capped and no group meets in one task.
@@ -24,6 +23,7 @@ matches never cross documents; an empty table gives no rows; other columns are c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -96,36 +96,76 @@ def suffix_order(data: np.ndarray, left: np.ndarray) -> np.ndarray:
         done *= 2
 
 
-def longest_elsewhere(strings: list[bytes]) -> list[np.ndarray]:
-    """For each position of each string the longest match that starts at any other position, ending with either string."""
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    sizes = np.array([len(s) for s in strings])
-    n = len(data)
-    starts = np.cumsum(sizes) - sizes
-    left = np.repeat(starts + sizes, sizes) - np.arange(n)
-    order = suffix_order(data, left)
-    before = data[order - 1].astype(np.int32)
-    edge = np.isin(order, starts)
-    before[edge] = 256 + np.arange(int(edge.sum()))  # what stands before a string is like nothing else
-    cut = before[1:] != before[:-1]  # where a run of the transform ends and the next begins
-    wide = np.r_[data, np.zeros(8, np.uint8)].astype(np.uint64)
-    word = np.zeros(n, np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | wide[i : n + i]
-    best = np.zeros(n, np.int64)
-    for heads in (True, False):  # the neighbour above is sampled at the heads of runs, the one below at their ends
-        i = np.flatnonzero(np.r_[True, cut] if heads else np.r_[cut, True])
-        i = i[i > 0] if heads else i[i < n - 1]
-        at, other = order[i], order[i - 1 if heads else i + 1]
-        value = np.zeros(n, np.int64)
-        sampled = np.zeros(n, bool)
-        value[at] = _common(word, left, at, other)
-        sampled[at] = True
-        sampled[starts] = True
-        sampled[order[0 if heads else -1]] = True
-        last = np.maximum.accumulate(np.where(sampled, np.arange(n), 0))
-        np.maximum(best, value[last] - (np.arange(n) - last), out=best)
-    return np.split(best, starts[1:])
+@dataclass
+class RunIndex:
+    """A Burrows-Wheeler transform of some strings, compressed to runs, with samples at the ends of the runs. The suffix order
+    itself is not kept.
+
+    Each string ends with a character of its own, less than all bytes; 256 + i stands for what comes before string i.
+    heads and tails: text positions of the suffixes at each run's first and last row, in text order, and how long a prefix
+    each has in common with the suffix one row further out, which is where the longest match elsewhere of a whole run begins."""
+
+    chars: np.ndarray
+    lengths: np.ndarray
+    sizes: np.ndarray
+    heads: tuple[np.ndarray, np.ndarray]
+    tails: tuple[np.ndarray, np.ndarray]
+
+    @classmethod
+    def of(cls, strings: list[bytes]) -> RunIndex:
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        sizes = np.array([len(s) for s in strings], np.int64)
+        n = len(data)
+        starts = np.cumsum(sizes) - sizes
+        left = np.repeat(starts + sizes, sizes) - np.arange(n)
+        order = suffix_order(data, left)
+        first = np.full(n, -1, np.int32)
+        first[starts[sizes > 0]] = 256 + np.flatnonzero(sizes > 0)
+        before = np.where(first[order] >= 0, first[order], data[order - 1])
+        wide = np.r_[data, np.zeros(8, np.uint8)].astype(np.uint64)
+        word = np.zeros(n, np.uint64)
+        for i in range(8):
+            word = (word << np.uint64(8)) | wide[i : n + i]
+        cut = before[1:] != before[:-1]
+        samples = []
+        for ends, out in ((np.r_[True, cut], -1), (np.r_[cut, True], 1)):
+            rows = np.flatnonzero(ends[:n])
+            inner = rows[(rows + out >= 0) & (rows + out < n)]
+            at, value = order[rows], np.zeros(len(rows), np.int64)
+            value[(rows + out >= 0) & (rows + out < n)] = _common(word, left, order[inner], order[inner + out])
+            by = np.argsort(at)
+            samples.append((at[by], value[by]))
+        # The rows of the ends of the strings come before all others.
+        last = [data[b - 1] if k else 256 + i for i, (b, k) in enumerate(zip(starts + sizes, sizes, strict=True))]
+        whole = np.r_[np.array(last, np.int32), before]
+        edges = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]])
+        return cls(whole[edges], np.diff(np.r_[edges, len(whole)]), sizes, *samples)
+
+    def matching_statistics(self) -> list[np.ndarray]:
+        """For each position of each string the longest match that starts at any other position, ending with either string. From a
+        sample it is streamed along the text: inside a run it falls by one with each step."""
+        n = int(self.sizes.sum())
+        best = np.zeros(n, np.int64)
+        for at, value in (self.heads, self.tails):
+            steps = np.diff(np.r_[at, n])
+            np.maximum(best, np.repeat(value + at, steps) - np.arange(n), out=best)
+        return np.split(best, np.cumsum(self.sizes)[:-1])
+
+    def occurrences(self, pattern: bytes) -> int:
+        """How often a byte string occurs, by backward search over the runs."""
+        begins = np.cumsum(self.lengths) - self.lengths
+        low, high = 0, int(self.lengths.sum())
+        for c in reversed(pattern):
+            of = np.flatnonzero(self.chars == c)
+            total = np.r_[0, np.cumsum(self.lengths[of])]
+            smaller = len(self.sizes) + int(self.lengths[self.chars < c].sum())
+            ranks = []
+            for row in (low, high):
+                k = int(np.searchsorted(begins[of], row, "left"))
+                over = max(0, int(begins[of][k - 1] + self.lengths[of][k - 1]) - row) if k else 0
+                ranks.append(smaller + int(total[k]) - over)
+            low, high = ranks
+        return high - low
 
 
 def _common(word: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -170,7 +210,7 @@ def _marks(opened: DataFrame, length: int) -> DataFrame:
     """(c1, c2, a, b): windows a..b of an open span that also start elsewhere. opened: (core, c1, c2, base,
     lone, span): the windows of ``span`` are numbered from ``base``; lone: the marks are wanted."""
     def index(rows: list[tuple]) -> Iterator[tuple]:
-        for (c1, c2, base, lone, span), match in zip(rows, longest_elsewhere([r[-1] for r in rows]), strict=True):
+        for (c1, c2, base, lone, span), match in zip(rows, RunIndex.of([r[-1] for r in rows]).matching_statistics(), strict=True):
             if lone:
                 hit = np.flatnonzero(np.diff(np.r_[False, match[: len(span) - length + 1] >= length, False]))
                 yield from ((c1, c2, base + int(x), base + int(y) - 1) for x, y in zip(hit[::2], hit[1::2], strict=True))

@@ -105,7 +105,11 @@ def test_index_finds_the_longest_match_elsewhere():
     for trial in range(60):
         strings = [bytes(rnd.choice(b"ab\0c"[: 2 + trial % 3]) for _ in range(rnd.randint(1, 25))) for _ in range(rnd.randint(1, 5))]
         at = [(i, j) for i, x in enumerate(strings) for j in range(len(x))]
-        got = suffix_dedup.longest_elsewhere(strings)
+        index = suffix_dedup.RunIndex.of(strings)
+        got = index.matching_statistics()
+        for _ in range(10):
+            pattern = bytes(rnd.choice(b"ab\0c") for _ in range(rnd.randint(1, 4)))
+            assert index.occurrences(pattern) == sum(s.startswith(pattern, k) for s in strings for k in range(len(s)))
         for i, j in at:
             assert got[i][j] == max((common(strings[i][j:], strings[p][q:]) for p, q in at if (p, q) != (i, j)), default=0)
 
@@ -118,6 +122,15 @@ def test_repeats_equal_brute_force(docs, hot):
     assert rows == repeats(corpus(), suffix_dedup.LENGTH)
 
 
+def test_repetitive_strings_have_few_runs():
+    rnd = random.Random(6)
+    base = words(rnd, 300).encode()
+    copies = [base[: 50 * k] + b"x%d" % k + base[50 * k :] for k in range(30)]
+    index = suffix_dedup.RunIndex.of(copies)
+    assert len(index.lengths) < 0.1 * sum(map(len, copies)) and int(index.lengths.sum()) == sum(map(len, copies)) + 30
+    assert suffix_dedup.RunIndex.of([b"", b"a", b""]).matching_statistics()[1].tolist() == [0]
+
+
 def test_repeats_with_short_strings(docs):
     rows = sorted((str(r.doc_id), r._n_bytes, r._n_removed, r._n_spans, bytes(r._kept)) for r in suffix_dedup.remove_repeats(docs, length=50, gram=16, hot=3).collect())
     assert rows == repeats(corpus(), 50)
