@@ -20,10 +20,14 @@ PASSAGE = {"length": 224, "gram": 32, "over_words": 50}
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be toxic go. Null and empty texts have all features zero and are judged like any other; rows of one
+    key and text share a verdict; without labels of both classes the share of toxic labels decides for all; an empty table stays empty."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by a similarity of 0.8 or more of their five-word shingles that of the smallest key stays, null keys last; so of
+    repeated rows one stays. Texts without a word, null ones among them, are copies of each other; an empty table stays empty."""
     return keep_one(docs)
 
 
@@ -34,6 +38,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences of 1024 ids, one row a piece. A null or empty text is the end
+    id alone; repeated rows are packed each on its own; an empty table gives no rows."""
     return pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -3,8 +3,10 @@
 import itertools
 import random
 import time
+import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -399,5 +401,98 @@ def test_pipeline(spark, sf_dir):
     assert {r.doc_id for r in rows} == {r.doc_id for r in one.collect()}
 
 
+def planted_corpus():
+    """Documents with toxic texts, near copies and repeated passages among them, and their labels."""
+    rnd = random.Random(21)
+    vocabulary = ["".join(rnd.choice("abdeimnorst") for _ in range(rnd.randint(3, 8))) for _ in range(900)]
+    text = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    passages = [text(60), text(75)]
+    docs, toxic = [], set()
+    for i in range(420):
+        body = text(rnd.randint(20, 120))
+        if i % 6 == 0:
+            toxic.add(i)
+            for _ in range(4):
+                body.insert(rnd.randrange(len(body)), rnd.choice(("zgrumpf", "zwackel", "zolker")))
+        if i % 10 == 1:
+            at = rnd.randrange(len(body))
+            body[at:at] = passages[i % 20 == 1]
+        docs.append(body)
+    for i in range(420, 460):  # copies, near copies and texts that are not near enough
+        body = list(docs[i - 420 + 2 - (i % 6 == 4)])
+        if i % 4:
+            for _ in range(i % 4 * 2 - 1):
+                body[rnd.randrange(len(body))] = "changed"
+        docs.append(body)
+        toxic |= {i} if {"zgrumpf", "zwackel", "zolker"} & set(body) else set()
+    rows = [(i, " ".join(x), "en", "s", 0) for i, x in enumerate(docs)] + [(900, "", "en", "s", 0), (901, None, "en", "s", 0), (None, "a short text of no key", None, None, None)]
+    return rows, toxic
+
+
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rows, toxic = planted_corpus()
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(420)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    # 1: the toxic ones go. 2: of linked texts the smallest id stays.
+    left = {i: t for i, t, *_ in rows if i not in toxic and i is not None}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for i, t in left.items()}
+    root = {i: i for i in left}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(left), 2):
+        if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            p, q = sorted((find(i), find(j)))
+            root[q] = p
+    stay = {i: left[i] for i in left if find(i) == i and (sets[i] or i == 900)} | {None: rows[-1][1]}
+    assert 10 < len(left) + 1 - len(stay) < 40
+    # 3: of strings of 224 bytes that stand twice, runs of over 50 words are cut.
+    n, seen = 224, {}
+    for t in stay.values():
+        for k in range(len(t) - n + 1):
+            seen[t[k : k + n]] = seen.get(t[k : k + n], 0) + 1
+    cut = {}
+    for i, t in stay.items():
+        gone = np.zeros(len(t) + 1, np.int8)
+        for k in range(len(t) - n + 1):
+            if seen[t[k : k + n]] > 1:
+                gone[k : k + n] = 1
+        ends = np.flatnonzero(np.diff(np.r_[0, gone]))
+        cut[i] = t
+        for a, b in list(zip(ends[::2], ends[1::2]))[::-1]:
+            if len(t[a:b].split()) > 50:
+                cut[i] = cut[i][:a] + cut[i][b:]
+    assert sum(cut[i] != stay[i] for i in stay) > 25
+    # 4: pieces of at most 1024 ids, gapless in their sequences.
+    tokens, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), []
+    for i, t in cut.items():
+        ids = [*tokens.encode(t, add_special_tokens=False).ids, 2]
+        assert len(ids) <= 1024
+        want.append((i, 0, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(map(str, ((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got))) == sorted(map(str, want))
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for x in places.values():
+        x.sort()
+        assert all(a == sum(n for _, n in x[:k]) for k, (a, _) in enumerate(x)) and sum(n for _, n in x) <= 1024
+    assert len(places) <= -(-sum(w[3] for w in want) // 1024) + 1
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_names():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
