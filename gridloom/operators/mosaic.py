@@ -26,12 +26,12 @@ def stack_bands(rows: DataFrame, keys: list[str], band: str, value: str, bands:
     return rows.groupBy(*keys).agg(*(F.max(F.when(F.col(band) == b, F.col(value))).alias(b) for b in bands))
 
 
-def apply_mask(mosaic: DataFrame, keys: list[str], row: str = "row", col: str = "col") -> DataFrame:
+def apply_mask(mosaic: DataFrame, keys: list[str]) -> DataFrame:
     """Null outside of ``allowed``; covered cells beside valid ones become seams; what is further than a cell from valid ones ends.
 
     mosaic: keys, row, col, r, g, b, valid, covered, allowed. Adds seam and keep."""
     own = mosaic.withColumns({b: F.when(F.col("allowed"), F.col(b)) for b in RGB} | {"valid": F.col("valid") & F.col("allowed")})
-    near = dilate(own, keys, "valid", row, col).withColumnRenamed("dilated", "near")
+    near = dilate(own, keys, "valid").withColumnRenamed("dilated", "near")
     seam = F.col("covered") & ~F.col("allowed") & F.col("near")
     return near.withColumn("seam", seam).withColumn("keep", (F.col("allowed") | F.col("seam")) & F.col("near")).drop("near")
 

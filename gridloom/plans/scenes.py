@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import places
+
 MAX_ROWS, MAX_DEPTH, CELL_DEGREES, TTL_DAYS = 3980, 12, 8.0, 90
 
 
@@ -25,7 +27,8 @@ def recent(scenes: DataFrame, cell: str, start: str, since: str) -> DataFrame:
 
 
 def newest_first(scenes: DataFrame, start: str = "start", seq: str = "seq") -> DataFrame:
-    return scenes.orderBy(F.coalesce(start, F.lit("")).desc(), seq)
+    """Scenes with their places, from 1: by start, newest first, those without one last; then by ``seq``."""
+    return places(scenes, [F.coalesce(start, F.lit("")).desc(), F.col(seq)])
 
 
 def preferred_option(options: DataFrame, entity: str, name: str, seq: str, available: str = "available") -> DataFrame:

@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, mgrs
 from ..operators import resample, tiles
+from ..operators.staging import staged
 from ..sources import files, sinks
 from ..sources.tables import grids, points, table
 from ..streaming import tiles as streams
 from .registry import GRIDS, POINTS, query
-from .tiling import _base
+from .tiling import BASE, ZOOM, _base, _over_sql
 
 
 @query("q_mgrs_code")
@@ -19,7 +20,7 @@ def q_mgrs_code(spark, sf_dir):
 
 @query("q_mgrs_bbox")
 def q_mgrs_bbox(spark, sf_dir):
-    b = points(spark, sf_dir).where("id % 50 = 0").select("id", F.col("lon").alias("minx"), F.col("lat").alias("miny"), (F.col("lon") + 0.8).alias("maxx"), (F.col("lat") + 0.6).alias("maxy"))
+    b = points(spark, sf_dir).select("id", F.col("lon").alias("minx"), F.col("lat").alias("miny"), (F.col("lon") + 0.8).alias("maxx"), (F.col("lat") + 0.6).alias("maxy"))
     return mgrs.codes_in(b)
 
 
@@ -81,24 +82,27 @@ def q_pan_view(spark, sf_dir):
 
 
 def _png(spark, sf_dir):
-    return sinks.png_tiles(_base(spark, sf_dir).where("tx < 4"), 8)
+    return sinks.png_tiles(_base(spark, sf_dir), 8)
 
 
-@query("q_png_tiles")
+@query("q_png_tiles", f"WITH {BASE} SELECT * FROM l0")
 def q_png_tiles(spark, sf_dir):
-    return _png(spark, sf_dir).select("z", "tx", "ty", F.octet_length("content").alias("bytes"), F.hex(F.substring("content", 1, 8)).alias("magic"))
+    """Tiles as PNG and back."""
+    return files.png_pixels(_png(spark, sf_dir))
 
 
-@query("q_mbtiles_roundtrip", f"""WITH {GRIDS} SELECT DISTINCT 4 AS zoom_level, CAST(raster_id % 16 AS INTEGER) AS tile_column, CAST(15 - raster_id // 16 % 16 AS INTEGER) AS tile_row FROM grids WHERE raster_id < 200 AND raster_id % 16 < 4""")
+@query("q_mbtiles_roundtrip", f"""WITH {GRIDS} SELECT DISTINCT {ZOOM} AS zoom_level, CAST(raster_id % 64 AS INTEGER) AS tile_column, CAST({2**ZOOM - 1} - raster_id // 64 AS INTEGER) AS tile_row FROM grids""")
 def q_mbtiles_roundtrip(spark, sf_dir):
     chunks = sinks.mbtiles_chunks(_png(spark, sf_dir), {"name": "tiles", "format": "png", "type": "baselayer", "version": "1"}, side=2)
     return files.mbtiles(chunks.select(F.col("chunk").alias("path"), "content")).select("zoom_level", "tile_column", "tile_row")
 
 
-@query("q_pmtiles_header")
-def q_pmtiles_header(spark, sf_dir):
-    parts = sinks.pmtiles_parts(_png(spark, sf_dir), {"name": "tiles"})
-    return parts.where("kind = -3 and sub = 0").select(F.substring(F.hex("content"), 1, 16).alias("magic"), F.octet_length("content").alias("bytes"))
+@query("q_pmtiles_tiles", f"WITH {BASE} SELECT DISTINCT z, tx, ty, true AS whole FROM l0")
+def q_pmtiles_tiles(spark, sf_dir):
+    """An archive's directories read back: which tiles they name, and whether each names bytes of the tile's length right behind the tile before."""
+    parts = staged(sinks.pmtiles_parts(_png(spark, sf_dir), {"name": "tiles"}), "parts")
+    named = files.directory_entries(parts.where("kind = -2").select("content"))
+    return named.join(parts.where("kind = -1").select(F.col("sub").alias("id"), "content"), "id").select("z", "tx", "ty", ((F.octet_length("content") == F.col("length")) & F.col("follows")).alias("whole"))
 
 
 @query("q_stream_counts", "SELECT CAST(time_bucket(INTERVAL 1 DAY, ts) AS VARCHAR) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -106,13 +110,12 @@ def q_stream_counts(spark, sf_dir):
     """The events as a stream, in one go."""
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    name = f"stream_counts_{abs(hash(sf_dir))}"
-    q = streams.scene_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
+    counts = streams.scene_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    return streams.settled(counts).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
 
 
-@query("q_over_tiles", None)
+@query("q_over_tiles", f"""WITH {BASE}, l AS (SELECT * FROM l0 WHERE tx % 2 = 0), t AS (SELECT z, tx, ty, "row", col, 255 AS r, g, b, 128 AS a FROM l)
+  SELECT l.z, l.tx, l.ty, l."row", l.col, {_over_sql('l', 't')} FROM l JOIN t USING (z, tx, ty, "row", col) UNION ALL SELECT * FROM l0 WHERE tx % 2 <> 0""")
 def q_over_tiles(spark, sf_dir):
     """A tile tree committed into another: new tiles over those that are there."""
     base = _base(spark, sf_dir)

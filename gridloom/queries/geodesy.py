@@ -128,11 +128,11 @@ def q_point_in_bbox(spark, sf_dir):
     return points(spark, sf_dir).join(F.broadcast(_registry(spark, sf_dir)), at).groupBy("dataset").agg(F.count("*").alias("n"))
 
 
-@query("q_bbox_overlap", f"WITH {POINTS}, {REGISTRY} SELECT id, dataset FROM points JOIN registry ON lon - 1 < x1 AND lon + 1 > x0 AND lat - 1 < y1 AND lat + 1 > y0 WHERE id % 3 = 0")
+@query("q_bbox_overlap", f"WITH {POINTS}, {REGISTRY} SELECT id, dataset FROM points JOIN registry ON lon - 1 < x1 AND lon + 1 > x0 AND lat - 1 < y1 AND lat + 1 > y0")
 def q_bbox_overlap(spark, sf_dir):
     lon, lat = F.col("lon"), F.col("lat")
     on = geo.overlaps((lon - 1, lat - 1, lon + 1, lat + 1), tuple(F.col(c) for c in ("x0", "y0", "x1", "y1")))
-    return points(spark, sf_dir).where(F.col("id") % 3 == 0).join(F.broadcast(_registry(spark, sf_dir)), on).select("id", "dataset")
+    return points(spark, sf_dir).join(F.broadcast(_registry(spark, sf_dir)), on).select("id", "dataset")
 
 
 @query("q_env_overlap", f"WITH {REGISTRY} SELECT a.dataset AS a, b.dataset AS b FROM registry a JOIN registry b ON a.dataset < b.dataset AND a.x0 < b.x1 AND a.x1 > b.x0 AND a.y0 < b.y1 AND a.y1 > b.y0")

@@ -86,11 +86,11 @@ def q_slab_clip(spark, sf_dir):
     return units.clip_slabs(slabs(spark, sf_dir), (10, 30), (5, 40))
 
 
-TILES = f"{SLABS}, cells AS (SELECT DISTINCT unit, ty, unnest(range(tx_min, tx_max + 1)) AS tx FROM slabs WHERE seq % 40 = 0), tiles AS (SELECT ty, CAST(tx AS INTEGER) AS tx, list(unit ORDER BY unit) AS ids FROM cells GROUP BY ty, tx)"
+TILES = f"{SLABS}, cells AS (SELECT DISTINCT unit, ty, unnest(range(tx_min, tx_max + 1)) AS tx FROM slabs), tiles AS (SELECT ty, CAST(tx AS INTEGER) AS tx, list(unit ORDER BY unit) AS ids FROM cells GROUP BY ty, tx)"
 
 
 def _tiles(spark, sf_dir):
-    return units.contributors(slabs(spark, sf_dir).where(F.col("seq") % 40 == 0), "unit")
+    return units.contributors(slabs(spark, sf_dir), "unit")
 
 
 @query("q_contributors", f"WITH {SLABS}, cells AS (SELECT DISTINCT unit, ty, unnest(range(tx_min, tx_max + 1)) AS tx FROM slabs) SELECT ty, CAST(tx AS INTEGER) AS tx, string_agg(CAST(unit AS VARCHAR), ',' ORDER BY unit) AS ids FROM cells GROUP BY ty, tx")

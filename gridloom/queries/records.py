@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.focal import cut
+from ..operators.staging import staged
 from ..plans import scenes as plan
 from ..plans import settings
 from ..sources.tables import points, scenes, slabs, table
@@ -25,12 +25,9 @@ def q_scene_recency(spark, sf_dir):
     return plan.recent(rows, "cell", "when", "2024-01-20").select("seq", "cell", "start")
 
 
-@query("q_scene_order", f"WITH {SCENES} SELECT seq, CAST(row_number() OVER (ORDER BY coalesce(start, '') DESC, seq) AS INTEGER) AS place FROM scenes ORDER BY place LIMIT 100")
+@query("q_scene_order", f"WITH {SCENES} SELECT seq, CAST(row_number() OVER (ORDER BY coalesce(start, '') DESC, seq) AS INTEGER) AS place FROM scenes")
 def q_scene_order(spark, sf_dir):
-    top = plan.newest_first(scenes(spark, sf_dir)).limit(100)
-    from pyspark.sql import Window
-
-    return top.select("seq", F.row_number().over(Window.orderBy(F.coalesce("start", F.lit("")).desc(), "seq")).alias("place"))
+    return plan.newest_first(scenes(spark, sf_dir)).select("seq", F.col("place").cast("int").alias("place"))
 
 
 @query("q_option_pref", f"""WITH {SCENES}, o AS (SELECT seq, entity, CASE WHEN CAST(k AS INTEGER) % 7 = 0 THEN 'Full JP2 file' WHEN CAST(k AS INTEGER) % 3 = 0 THEN 'JPEG2000 tile' ELSE 'GeoTIFF' END AS name, seq % 4 <> 0 AS available FROM scenes WHERE entity IS NOT NULL),
@@ -63,7 +60,7 @@ STEPS, PARTS = _levels(5)
 
 @query("q_quadtree", f"WITH {POINTS}, {STEPS} SELECT depth, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, n FROM ({PARTS})")
 def q_quadtree(spark, sf_dir):
-    return plan.quadtree(points(spark, sf_dir), "lon", "lat", (-180.0, -90.0, 180.0, 90.0), most=40, depth=5, keep=cut)
+    return plan.quadtree(points(spark, sf_dir), "lon", "lat", (-180.0, -90.0, 180.0, 90.0), most=40, depth=5, keep=staged)
 
 
 COVER = """cover AS (SELECT seq, start, seq % 20 AS cell, (seq * 7 % 10) / 20.0 AS minx, (seq * 3 % 10) / 20.0 AS miny, (seq * 7 % 10) / 20.0 + 0.3 AS maxx, (seq * 3 % 10) / 20.0 + 0.4 AS maxy FROM scenes)"""
@@ -84,7 +81,7 @@ def q_json_fields(spark, sf_dir):
     return parsed.select("event_id", "p.k", F.to_json("p").alias("compact"))
 
 
-RUN = "'run' || CAST(o_orderkey % 2 AS VARCHAR)"
+RUN = "'run' || CAST(o_custkey AS VARCHAR)"
 
 
 @query("q_settings_diff", """WITH s AS (SELECT 'k' || CAST(o_custkey AS VARCHAR) AS key, o_orderkey % 2 AS run, CAST(max(CAST(floor(o_totalprice / 100000) AS BIGINT)) AS VARCHAR) AS value FROM orders GROUP BY ALL)
@@ -94,10 +91,11 @@ def q_settings_diff(spark, sf_dir):
     return settings.differences(s.where("run = 0"), s.where("run = 1"))
 
 
-@query("q_signature", f"SELECT {RUN} AS run, sha256(string_agg('o' || CAST(o_orderkey AS VARCHAR) || '=' || o_orderstatus, chr(10) ORDER BY 'o' || CAST(o_orderkey AS VARCHAR) || '=' || o_orderstatus)) AS digest FROM orders WHERE o_orderkey % 100 < 2 GROUP BY 1")
+@query("q_signature", f"SELECT {RUN} AS run, sha256(string_agg('o' || CAST(o_orderkey AS VARCHAR) || '=' || o_orderstatus, chr(10) ORDER BY 'o' || CAST(o_orderkey AS VARCHAR) || '=' || o_orderstatus)) AS digest FROM orders GROUP BY 1")
 def q_signature(spark, sf_dir):
+    """A customer's orders as a run's settings: a run is a bounded group."""
     k = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").where(k % 100 < 2).select(F.concat(F.lit("run"), (k % 2).cast("string")).alias("run"), F.concat(F.lit("o"), k.cast("string")).alias("key"), F.col("o_orderstatus").alias("value"))
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("run"), F.col("o_custkey").cast("string")).alias("run"), F.concat(F.lit("o"), k.cast("string")).alias("key"), F.col("o_orderstatus").alias("value"))
     return settings.signature(rows)
 
 

@@ -27,17 +27,20 @@ def _over_sql(low, top):
 EMPTY = "(SELECT 0 AS r, 0 AS g, 0 AS b, 0 AS a)"
 
 
-@query("q_over", f"""WITH {LAYERS}, l AS (SELECT * FROM layers WHERE seq = 0), u AS (SELECT * FROM layers WHERE seq = 1),
+FOLDED = f"""{LAYERS}, l AS (SELECT * FROM layers WHERE seq = 0), u AS (SELECT * FROM layers WHERE seq = 1),
 l0 AS (SELECT l.unit, l."row", l.col, {_over_sql('e', 'l')} FROM l, {EMPTY} e), k AS (SELECT DISTINCT unit, "row", col FROM layers),
 low AS (SELECT k.unit, k."row", k.col, coalesce(l0.r, 0) AS r, coalesce(l0.g, 0) AS g, coalesce(l0.b, 0) AS b, coalesce(l0.a, 0) AS a, u.unit IS NOT NULL AS two, u.r AS ur, u.g AS ug, u.b AS ub, u.a AS ua
   FROM k LEFT JOIN l0 USING (unit, "row", col) LEFT JOIN u USING (unit, "row", col)),
-top AS (SELECT unit, "row", col, ur AS r, ug AS g, ub AS b, ua AS a FROM low WHERE two)
-SELECT low.unit, low."row", low.col, {_over_sql('low', 'top')} FROM low JOIN top USING (unit, "row", col) UNION ALL SELECT unit, "row", col, r, g, b, a FROM low WHERE NOT two""")
+top AS (SELECT unit, "row", col, ur AS r, ug AS g, ub AS b, ua AS a FROM low WHERE two),
+folded AS (SELECT low.unit, low."row", low.col, {_over_sql('low', 'top')} FROM low JOIN top USING (unit, "row", col) UNION ALL SELECT unit, "row", col, r, g, b, a FROM low WHERE NOT two)"""
+
+
+@query("q_over", f"WITH {FOLDED} SELECT * FROM folded")
 def q_over(spark, sf_dir):
     return tiles.fold_layers(_layers(spark, sf_dir), ["unit", "row", "col"], "seq")
 
 
-@query("q_underlay")
+@query("q_underlay", f"""WITH {FOLDED} SELECT f.unit, f."row", f.col, {_over_sql('u', 'f')} FROM folded f, (SELECT 10 AS r, 30 AS g, 90 AS b, 255 AS a) u""")
 def q_underlay(spark, sf_dir):
     layers = _layers(spark, sf_dir)
     base = layers.select("unit", "row", "col").distinct().select("*", F.lit(10).alias("r"), F.lit(30).alias("g"), F.lit(90).alias("b"), F.lit(255).alias("a"))
@@ -89,18 +92,21 @@ def q_parents_missing(spark, sf_dir):
     return tiles.missing_parents(t, tiles.parents(t.where("src = 1")).select(*KEY).distinct())
 
 
+ZOOM = 20  # every raster is a tile of its own: 64 to a row, up to 67 million of them
+
+
 def _level(n):
     return f"""l{n} AS (SELECT z - 1 AS z, CAST(tx // 2 AS INTEGER) AS tx, CAST(ty // 2 AS INTEGER) AS ty, CAST((ty % 2 * 8 + "row") // 2 AS INTEGER) AS "row", CAST((tx % 2 * 8 + col) // 2 AS INTEGER) AS col,
   {', '.join(f'CAST(floor(sum({c}) / 4.0 + 0.5) AS INTEGER) AS {c}' for c in 'rgba')} FROM l{n - 1} GROUP BY ALL)"""
 
 
-BASE = f"""{GRIDS}, l0 AS (SELECT 4 AS z, CAST(raster_id % 16 AS INTEGER) AS tx, CAST(raster_id // 16 % 16 AS INTEGER) AS ty, "row", col, CAST(CAST(floor(abs(depth)) AS BIGINT) % 256 AS INTEGER) AS r, CAST("row" * 30 AS INTEGER) AS g, CAST(col * 30 AS INTEGER) AS b, 255 AS a FROM grids WHERE raster_id < 200)"""
+BASE = f"""{GRIDS}, l0 AS (SELECT {ZOOM} AS z, CAST(raster_id % 64 AS INTEGER) AS tx, CAST(raster_id // 64 AS INTEGER) AS ty, "row", col, CAST(CAST(floor(abs(depth)) AS BIGINT) % 256 AS INTEGER) AS r, CAST("row" * 30 AS INTEGER) AS g, CAST(col * 30 AS INTEGER) AS b, 255 AS a FROM grids)"""
 
 
 def _base(spark, sf_dir):
     i = F.col("raster_id")
-    return grids(spark, sf_dir).where("raster_id < 200").select(
-        F.lit(4).alias("z"), (i % 16).cast("int").alias("tx"), (F.floor(i / 16) % 16).cast("int").alias("ty"), "row", "col",
+    return grids(spark, sf_dir).select(
+        F.lit(ZOOM).alias("z"), (i % 64).cast("int").alias("tx"), F.floor(i / 64).cast("int").alias("ty"), "row", "col",
         (F.floor(F.abs("depth")) % 256).cast("int").alias("r"), (F.col("row") * 30).alias("g"), (F.col("col") * 30).alias("b"), F.lit(255).alias("a"),
     )
 
@@ -112,7 +118,7 @@ def q_downsample(spark, sf_dir):
 
 @query("q_pyramid", f"WITH {BASE}, {_level(1)}, {_level(2)}, {_level(3)}, {_level(4)} SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3 UNION ALL SELECT * FROM l4")
 def q_pyramid(spark, sf_dir):
-    return tiles.pyramid(_base(spark, sf_dir), 8, 0, 4)
+    return tiles.pyramid(_base(spark, sf_dir), 8, ZOOM - 4, ZOOM)
 
 
 LAT = "degrees(atan(sinh(pi() * (1 - 2 * ({}) / 1024.0))))"

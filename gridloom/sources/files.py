@@ -4,6 +4,7 @@ All are read through Spark's binary and text readers, so any file system that Sp
 
 from __future__ import annotations
 
+import gzip
 import io
 import sqlite3
 import struct
@@ -69,6 +70,110 @@ def mbtiles(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, zoom_level int, tile_column int, tile_row int, tile_data binary")
 
 
+def png_rows(content: bytes) -> np.ndarray:
+    """Rows x columns x 3 or 4 of a PNG of 8-bit colours that is not interlaced."""
+    if content[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    at, body = 8, b""
+    while at < len(content):
+        (n,) = struct.unpack_from(">I", content, at)
+        kind, data = content[at + 4 : at + 8], content[at + 8 : at + 8 + n]
+        if kind == b"IHDR":
+            w, h, depth, colours, _, _, interlaced = struct.unpack(">IIBBBBB", data)
+        elif kind == b"IDAT":
+            body += data
+        at += 12 + n
+    if depth != 8 or interlaced or colours not in (2, 6):
+        raise ValueError("this kind of PNG is not supported")
+    n = {2: 3, 6: 4}[colours]
+    raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * n)
+    out, above = np.zeros((h, w * n), np.uint8), np.zeros(w * n, np.uint8)
+    for i in range(h):
+        how, line = raw[i, 0], raw[i, 1:]
+        if how == 0:
+            above = line
+        elif how == 2:
+            above = line + above
+        elif how == 1:
+            above = np.add.accumulate(line.reshape(w, n), 0, dtype=np.uint8).reshape(-1)
+        else:
+            now, up = line.astype(int), above.astype(int)
+            for k in range(w * n):
+                a, b, c = (now[k - n] if k >= n else 0), up[k], (up[k - n] if k >= n else 0)
+                p = (a + b) // 2 if how == 3 else min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+                now[k] = (now[k] + p) % 256
+            above = now.astype(np.uint8)
+        out[i] = above
+    return out.reshape(h, w, n)
+
+
+def png_pixels(tiles: DataFrame) -> DataFrame:
+    """(z, tx, ty, row, col, r, g, b, a) of tiles (z, tx, ty, content) in PNG; without an alpha all are opaque."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for z, x, y, content in zip(b["z"], b["tx"], b["ty"], b["content"], strict=True):
+                image = png_rows(content).astype(np.int32)
+                h, w, n = image.shape
+                row, col = np.divmod(np.arange(h * w), w)
+                bands = dict(zip("rgba", image.reshape(-1, n).T, strict=False))
+                yield pd.DataFrame({"z": z, "tx": x, "ty": y, "row": row, "col": col, **bands, **({} if n == 4 else {"a": 255})})
+
+    return tiles.select("z", "tx", "ty", "content").mapInPandas(run, "z int, tx int, ty int, row int, col int, r int, g int, b int, a int")
+
+
+def hilbert_tile(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(z, x, y) of places along the Hilbert curves of all levels."""
+    levels = (4 ** np.arange(32, dtype=object) - 1) // 3
+    z = np.searchsorted(np.array([int(v) for v in levels if v < 1 << 62], np.int64), ids, "right") - 1
+    rest = ids - np.array([int(levels[k]) for k in z], np.int64)
+    x, y = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    for k in range(int(z.max(initial=0))):
+        side, live = np.int64(1 << k), k < z
+        rx, ry = rest // 2 & 1, (rest ^ (rest // 2)) & 1
+        turn = live & (ry == 0) & (rx == 1)
+        x, y = np.where(turn, side - 1 - x, x), np.where(turn, side - 1 - y, y)
+        x, y = np.where(live & (ry == 0), y, x), np.where(live & (ry == 0), x, y)
+        x, y = np.where(live, x + side * rx, x), np.where(live, y + side * ry, y)
+        rest = np.where(live, rest // 4, rest)
+    return z, x, y
+
+
+def read_directory(content: bytes) -> list[tuple[int, int, int, int]]:
+    """Entries (tile id, offset, length, run) of a compressed PMTiles directory."""
+    data, at = gzip.decompress(content), 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    n, last = number(), 0
+    ids = [last := last + number() for _ in range(n)]
+    runs, lengths, offsets = [number() for _ in range(n)], [number() for _ in range(n)], []
+    for i in range(n):
+        v = number()
+        offsets.append(v - 1 if v else offsets[-1] + lengths[i - 1])
+    return list(zip(ids, offsets, lengths, runs, strict=True))
+
+
+def directory_entries(leaves: DataFrame) -> DataFrame:
+    """(id, z, tx, ty, offset, length, follows) of leaf directories (content); follows: whether an entry begins where the one before ends, or is the first."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                ids, offsets, lengths, _ = (np.array(x, np.int64) for x in zip(*read_directory(content), strict=True))
+                z, x, y = hilbert_tile(ids)
+                yield pd.DataFrame({"id": ids, "z": z, "tx": x, "ty": y, "offset": offsets, "length": lengths, "follows": np.r_[True, offsets[1:] == offsets[:-1] + lengths[:-1]]})
+
+    return leaves.mapInPandas(run, "id long, z int, tx int, ty int, offset long, length long, follows boolean")
+
+
 def code_list(spark: SparkSession, path: str) -> DataFrame:
     """(code) of a text of one code a line; lines that begin with # are not codes."""
     return spark.read.text(path).select(F.trim("value").alias("code")).where("code != '' and not startswith(code, '#')").distinct()

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.staging import staged
+from ..operators.tiles import extent
+
 
 def png_bytes(pixels: np.ndarray) -> bytes:
     """A PNG of rows x columns x 3 or 4 bytes."""
@@ -129,33 +132,45 @@ def directory(entries: Sequence[tuple[int, int, int, int]]) -> bytes:
     return gzip.compress(b"".join(out), mtime=0)
 
 
+#: The header and the root directory of a PMTiles archive lie within its first 16,384 bytes.
+ROOT_BYTES, LEAVES = 16_384 - 127, 2000
+
+
 def pmtiles_parts(tiles: DataFrame, metadata: Mapping[str, object], tile_type: int = 2, leaf: int = 4096) -> DataFrame:
-    """(seq, content): the bytes of a PMTiles archive, version 3, in order of seq: header, directories, metadata, then tiles by Hilbert id.
+    """(kind, sub, content): the bytes of a PMTiles archive, version 3, in order of kind and sub: header, directories, metadata, then tiles by Hilbert id.
 
-    tiles: (z, tx, ty, content). Directories of ``leaf`` entries are made in tasks; only their sizes meet on the driver."""
+    tiles: (z, tx, ty, content). A leaf directory holds a range of ``leaf`` ids; the range is doubled until at most ``LEAVES`` are left and the
+    root fits its place. Leaves are made in tasks; the driver sees a size for each, so a bounded number."""
     spark = tiles.sparkSession
-    known = tiles.select(hilbert_id("z", "tx", "ty").alias("id"), "z", "content").withColumn("length", F.octet_length("content"))
-    known = known.withColumn("leaf", F.col("id") - F.col("id") % leaf)  # a range of ids: at most ``leaf`` tiles
-    sums = known.groupBy("leaf").agg(F.sum("length").alias("bytes"))
-    before = Window.orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("start", F.coalesce(F.sum("bytes").over(before), F.lit(0))).select("leaf", "start")
-    within = Window.partitionBy("leaf").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = known.join(starts, "leaf").withColumn("offset", F.col("start") + F.coalesce(F.sum("length").over(within), F.lit(0)))
+    known = staged(tiles.select(hilbert_id("z", "tx", "ty").alias("id"), "z", "tx", "ty", "content").withColumn("length", F.octet_length("content")), "tiles")
+    total = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.min("z").alias("low"), F.max("z").alias("high"), F.min("id").alias("first"), F.max("id").alias("last")).first()
+    while total.n and total.last // leaf - total.first // leaf >= LEAVES and known.select(F.floor(F.col("id") / leaf)).distinct().limit(LEAVES + 1).count() > LEAVES:
+        leaf *= 2
 
     def leaves(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = sorted(zip(pdf["id"].tolist(), pdf["offset"].tolist(), pdf["length"].tolist(), strict=True))
         return pd.DataFrame({"leaf": [pdf["leaf"].iloc[0]], "content": [directory([(*r, 1) for r in rows])]})
 
-    dirs = placed.select("leaf", "id", "offset", "length").groupBy("leaf").applyInPandas(leaves, "leaf long, content binary").cache()
-    sizes = [(r.leaf, r.n) for r in dirs.select("leaf", F.octet_length("content").alias("n")).orderBy("leaf").collect()]
-    ends = np.cumsum([0, *(n for _, n in sizes)]).tolist()
-    root = directory([(leaf_id, at, n, 0) for (leaf_id, n), at in zip(sizes, ends, strict=False)])
-    total = tiles.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("content")), F.lit(0)), F.min("z"), F.max("z")).first()
+    while True:
+        cut = known.withColumn("leaf", F.col("id") - F.col("id") % leaf)
+        sums = sorted((r.leaf, r.bytes) for r in cut.groupBy("leaf").agg(F.sum("length").alias("bytes")).collect())
+        starts = spark.createDataFrame([(i, at) for (i, _), at in zip(sums, np.cumsum([0, *(n for _, n in sums)]).tolist(), strict=False)], "leaf long, start long")
+        within = Window.partitionBy("leaf").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+        placed = cut.join(F.broadcast(starts), "leaf").withColumn("offset", F.col("start") + F.coalesce(F.sum("length").over(within), F.lit(0)))
+        dirs = staged(placed.select("leaf", "id", "offset", "length").groupBy("leaf").applyInPandas(leaves, "leaf long, content binary"), "leaves")
+        sizes = sorted((r.leaf, r.n) for r in dirs.select("leaf", F.octet_length("content").alias("n")).collect())
+        ends = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+        root = directory([(leaf_id, at, n, 0) for (leaf_id, n), at in zip(sizes, ends, strict=False)])
+        if len(root) <= ROOT_BYTES:
+            break
+        leaf *= 2
     meta = gzip.compress(json.dumps(dict(metadata), sort_keys=True).encode(), mtime=0)
     spots = np.cumsum([127, len(root), len(meta), ends[-1]]).tolist()
-    world = struct.pack("<iiii", -1800000000, -850511287, 1800000000, 850511287)
-    head = b"PMTiles\x03" + struct.pack("<11Q", 127, len(root), spots[1], len(meta), spots[2], ends[-1], spots[3], total[1], total[0], total[0], total[0])
-    head += struct.pack("<6B", 1, 2, 1, tile_type, total[2] or 0, total[3] or 0) + world + struct.pack("<Bii", total[2] or 0, 0, 0)
+    e = extent(known).first() if total.n else None
+    whole = lambda *degrees: struct.pack(f"<{len(degrees)}i", *(round(d * 1e7) for d in degrees))
+    head = b"PMTiles\x03" + struct.pack("<11Q", 127, len(root), spots[1], len(meta), spots[2], ends[-1], spots[3], total.bytes, total.n, total.n, total.n)
+    head += struct.pack("<6B", 1, 2, 1, tile_type, total.low or 0, total.high or 0)
+    head += (whole(e.west, e.south, e.east, e.north) + struct.pack("<B", total.high) + whole(e.center_lon, e.center_lat)) if e else bytes(25)
     first = spark.createDataFrame([(-3, 0, head), (-3, 1, root), (-3, 2, meta)], "kind long, sub long, content binary")
     parts = first.unionByName(dirs.select(F.lit(-2).cast("long").alias("kind"), F.col("leaf").alias("sub"), "content")).unionByName(placed.select(F.lit(-1).cast("long").alias("kind"), F.col("id").alias("sub"), "content"))
     return parts.orderBy("kind", "sub")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import color, geo, masks, mgrs, text
-from gridloom.operators import focal, mosaic, resample, tiles
+from gridloom.operators import focal, graph, mosaic, resample, tiles
 from gridloom.plans import scenes, settings, units
 
 
@@ -152,7 +152,9 @@ def test_blur_keeps_constants_and_no_data(spark):
     assert got[2, 3] == -1 and got[2, 2] < 3
 
 
-def test_nearest_fill(spark):
+@pytest.mark.parametrize("farthest", [1024, 8])
+def test_nearest_fill(spark, monkeypatch, farthest):
+    monkeypatch.setattr(focal, "FARTHEST", farthest)
     rnd = np.random.default_rng(1)
     a = rnd.random((12, 12))
     ok = rnd.random((12, 12)) < 0.1
@@ -163,10 +165,32 @@ def test_nearest_fill(spark):
         for j in range(12):
             if not ok[i, j] and j != 5:
                 want[i, j] = a[tuple(min(map(tuple, good), key=lambda p: ((p[0] - i) ** 2 + (p[1] - j) ** 2, *p)))]
-    for block in (3, 64):
+    for block in (4, 64):
         assert np.allclose(back(focal.fill_nearest(df, ["k"], ["v"], "valid", "fill", block=block), "v", a.shape), want)
 
 
+def test_blocks_do_not_show(spark):
+    rnd = np.random.default_rng(2)
+    a = rnd.random((21, 17)) * 9
+    df = grid(spark, a).withColumn("tag", F.concat(F.lit("x"), F.col("row").cast("string")))
+    for name, f in (("blurred", lambda b: focal.blur(df, ["k"], "v", 1.0, block=b)), ("shade", lambda b: focal.hillshade(df, ["k"], "v", block=b)), ("eroded", lambda b: focal.erode(df.withColumn("on", F.col("v") > 1), ["k"], "on", 2, block=b))):
+        one, many = back(f(256), name, a.shape), back(f(5), name, a.shape)
+        assert np.array_equal(np.isnan(one), np.isnan(many)) and np.allclose(one, many, equal_nan=True)
+    assert {r.tag for r in focal.dilate(df.withColumn("on", F.col("v") > 8), ["k"], "on", block=4).collect()} == {f"x{i}" for i in range(21)}
+    t = spark.createDataFrame([(1, f"t{i}", float(x), float(y)) for i, (x, y) in enumerate(rnd.random((40, 2)) * (19, 23) - 1)], "k int, name string, sx double, sy double")
+    for method in resample.RADIUS:
+        one, many = ({r.name: r.v for r in resample.gather(t, df, ["k", "name"], ["k"], ["v"], method, block=b).collect()} for b in (256, 4))
+        assert len(one) == 40 and all(one[n] == pytest.approx(many[n]) for n in one) and any(v is None for v in one.values())
+
+
+def test_places_in_a_global_order(spark):
+    rnd = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, int(x)) for i, x in enumerate(rnd.integers(0, 50, 400))], "i int, x int").repartition(7)
+    got = {r.i: r.place for r in graph.places(df, [F.col("x").desc(), F.col("i")]).collect()}
+    want = sorted(df.collect(), key=lambda r: (-r.x, r.i))
+    assert [got[r.i] for r in want] == list(range(1, 401))
+
+
 def test_flat_ground_is_lit_evenly(spark):
     got = [r.shade for r in focal.hillshade(grid(spark, np.zeros((4, 4))), ["k"], "v").collect()]
     assert got == pytest.approx([1 + 254 * math.sin(math.radians(45))] * 4)

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators.tiles import extent
 from gridloom.sources import files, sinks
 from gridloom.streaming import tiles as streams
 
@@ -128,6 +129,11 @@ def test_pmtiles_parts(spark, tmp_path):
             spots.append(o - 1 if o else spots[-1] + sizes[i - 1])
         return list(zip(ids, runs, sizes, spots))
 
+    assert 127 + root_n <= 16_384
+    west, south, east, north, _, lon, lat = struct.unpack_from("<iiiiBii", raw, 102)
+    e = extent(tiles(spark)).first()
+    assert (west, south, east, north, lon, lat) == tuple(round(x * 1e7) for x in (e.west, e.south, e.east, e.north, e.center_lon, e.center_lat))
+    assert [x[:1] + x[3:] for x in entries(raw[root_at : root_at + root_n])] == [(i, o) for i, o, _, _ in files.read_directory(raw[root_at : root_at + root_n])]
     found = []
     for _, run, size, at in entries(raw[root_at : root_at + root_n]):
         assert run == 0
@@ -136,6 +142,36 @@ def test_pmtiles_parts(spark, tmp_path):
     assert sorted(found) == sorted(bytes(r.content) for r in tiles(spark).collect())
 
 
+def test_root_directory_keeps_its_place(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "LEAVES", 3)
+    parts = sinks.pmtiles_parts(tiles(spark, 200), {}, leaf=4).collect()
+    assert sum(r.kind == -2 for r in parts) <= 3 and sum(r.kind == -1 for r in parts) == 200
+    monkeypatch.setattr(sinks, "LEAVES", 2000)
+    monkeypatch.setattr(sinks, "ROOT_BYTES", 45)
+    assert sum(r.kind == -2 for r in sinks.pmtiles_parts(tiles(spark, 200), {}, leaf=1).collect()) < 100
+    empty = sinks.pmtiles_parts(tiles(spark, 0), {}).collect()
+    assert [len(r.content) for r in empty if (r.kind, r["sub"]) == (-3, 0)] == [127]
+
+
+def test_png_of_all_filters_and_hilbert_back(spark):
+    rnd = np.random.default_rng(0)
+    image = rnd.integers(0, 256, (7, 5, 4), np.uint8)
+    lines, above = b"", np.zeros(20, int)
+    for i, line in enumerate(image.reshape(7, 20).astype(int)):
+        left, corner = np.r_[np.zeros(4, int), line[:-4]], np.r_[np.zeros(4, int), above[:-4]]
+        paeth = [min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2] for a, b, c in zip(left, above, corner)]
+        guess = (0, left, above, (left + above) // 2, np.array(paeth))[i % 5]
+        lines += bytes([i % 5]) + ((line - guess) % 256).astype(np.uint8).tobytes()
+        above = line
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 5, 7, 8, 6, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+    assert (files.png_rows(png) == image).all() and (files.png_rows(sinks.png_bytes(image)) == image).all()
+    df = spark.range(3000).select((F.col("id") % 12).alias("z"), F.col("id").alias("k")).select("z", F.expr("k * 7919 % shiftleft(1L, cast(z as int))").alias("x"), F.expr("k * 104729 % shiftleft(1L, cast(z as int))").alias("y"))
+    rows = df.select("*", sinks.hilbert_id("z", "x", "y").alias("h")).collect()
+    z, x, y = files.hilbert_tile(np.array([r.h for r in rows]))
+    assert [(r.z, r.x, r.y) for r in rows] == list(zip(z.tolist(), x.tolist(), y.tolist()))
+
+
 def test_stream_upserts(spark, tmp_path):
     land, target = str(tmp_path / "land"), str(tmp_path / "target")
     schema = "z int, tx int, ty int, seq int, v string"
