@@ -2,95 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..operators.graph import components
+from ..operators.staging import few, shared_dir, staged, unstaged
+
+__all__ = ["components", "few", "shared_dir", "staged", "table", "unstaged"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data folder, by Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset.
-
-    Only a session on one machine may leave it unset; on a cluster each executor would write to a disk of its own."""
-    if named := spark.conf.get("spark.checkpoint.dir", None):
-        return named
-    sc = spark.sparkContext
-    if (own := sc._jsc.sc().getCheckpointDir()).isEmpty():
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
-        own = sc._jsc.sc().getCheckpointDir()
-    return own.get()
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back.
-
-    Cuts the lineage in a form that survives lost executors and is smaller than
-    a checkpoint of rows. The folder goes when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def unstaged(df: DataFrame) -> None:
-    """Delete the folder of a ``staged`` table that nothing reads any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-        jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
-
-
-def few(df: DataFrame, rows: int = 20_000) -> bool:
-    """Whether a table is small enough to broadcast."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected ``edges`` (a long, b long): rows (node, root), where
-    root is the smallest node that can be reached. Nodes without an edge have no row.
-
-    Alternates large-star and small-star contraction: each round is one grouped minimum and one
-    join, a node's neighbours are never collected into a list, and the number of rounds grows
-    with the logarithm of the longest path. Edges of null ends and loops are ignored; no edges,
-    no rows."""
-    now = edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
-    ).distinct()
-    now = staged(now, "edges")
-    while not _is_star(now):
-        last, now = now, staged(_small_star(_large_star(now)), "edges")
-        unstaged(last)
-    nodes = now.groupBy("hi").agg(F.min("lo").alias("root")).select(F.col("hi").alias("node"), "root")
-    return nodes.unionByName(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
-
-
-def _is_star(e: DataFrame) -> bool:
-    """Every hi has one lo, and no lo is a hi."""
-    twice = e.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1").select("hi")
-    chained = e.select(F.col("lo").alias("hi")).join(e.select("hi"), "hi", "left_semi")
-    return twice.unionByName(chained).isEmpty()
-
-
-def _large_star(e: DataFrame) -> DataFrame:
-    """Link each node's larger neighbours to its smallest neighbour (or itself)."""
-    both = e.select(F.col("hi").alias("v"), F.col("lo").alias("u")).unionByName(
-        e.select(F.col("lo").alias("v"), F.col("hi").alias("u"))
-    )
-    least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-    return both.where("u > v").join(least, "v").where("u != m").select(F.col("u").alias("hi"), F.col("m").alias("lo")).distinct()
-
-
-def _small_star(e: DataFrame) -> DataFrame:
-    """Link each node's smaller neighbours, and itself, to the smallest of them."""
-    least = e.groupBy("hi").agg(F.min("lo").alias("m"))
-    down = e.join(least, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return down.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
