@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import places
+from ..operators.tiles import in_ring
 
 MAX_ROWS, MAX_DEPTH, CELL_DEGREES, TTL_DAYS = 3980, 12, 8.0, 90
 
@@ -92,26 +92,20 @@ def stac_assets(collections: DataFrame, query: tuple[float, float, float, float]
     return found.select("dataset", F.get(tif, F.lit(0))["href"].alias("href")).where("href is not null")
 
 
-def polygons_touch(boxes: pd.Series, ring: Sequence[tuple[float, float]]) -> pd.Series:
-    """Whether boxes (minx, miny, maxx, maxy) meet a polygon: a corner of one in the other, or crossing edges."""
-    def inside(x: float, y: float) -> bool:
-        hit = False
-        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
-            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
-                hit = not hit
-        return hit
-
-    def side(a, b, c) -> float:
-        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
-
-    def meets(b) -> bool:
-        corners = [(b[0], b[1]), (b[2], b[1]), (b[2], b[3]), (b[0], b[3])]
-        if any(inside(*c) for c in corners) or any(b[0] < x < b[2] and b[1] < y < b[3] for x, y in ring):
-            return True
-        for p, q in zip(ring, [*ring[1:], ring[0]], strict=True):
-            for r, s in zip(corners, [*corners[1:], corners[0]], strict=True):
-                if side(p, q, r) * side(p, q, s) < 0 and side(r, s, p) * side(r, s, q) < 0:
-                    return True
-        return False
-
-    return boxes.map(meets)
+def touches_ring(box: Sequence[Column], ring: Sequence[tuple[float, float]]) -> Column:
+    """Whether a box (minx, miny, maxx, maxy) meets a polygon: envelopes first, then a corner of one in the other, or crossing edges."""
+    x0, y0, x1, y1 = box
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    xs, ys = [x for x, _ in ring], [y for _, y in ring]
+    near = (x0 <= max(xs)) & (x1 >= min(xs)) & (y0 <= max(ys)) & (y1 >= min(ys))
+    side = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+    meets = F.lit(False)
+    for x, y in corners:
+        meets = meets | in_ring(x, y, ring)
+    for x, y in ring:
+        meets = meets | ((x0 < x) & (x1 > x) & (y0 < y) & (y1 > y))
+    for p, q in zip(ring, [*ring[1:], ring[0]], strict=True):
+        p, q = (tuple(map(F.lit, map(float, e))) for e in (p, q))
+        for r, s in zip(corners, [*corners[1:], corners[0]], strict=True):
+            meets = meets | ((side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0))
+    return near & meets

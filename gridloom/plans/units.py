@@ -35,6 +35,18 @@ def available_units(codes: DataFrame, catalogue: DataFrame) -> DataFrame:
     return codes.select(F.explode(geo.subtiles(F.col("code"))).alias("unit")).join(listed, "unit", "left_semi")
 
 
+def prune_blocks(blocks: DataFrame, candidates: DataFrame, side: float) -> DataFrame:
+    """Blocks (minx, miny, maxx, maxy and others) whose envelopes overlap a candidate's; touching edges do not. Both meet by equal cells of a grid
+    of squares of ``side``, so no block is compared with all candidates."""
+    span = lambda a, b: F.sequence(F.floor(F.col(a) / side), F.floor(F.col(b) / side))
+    spread = lambda df: df.withColumn("_gx", F.explode(span("minx", "maxx"))).withColumn("_gy", F.explode(span("miny", "maxy")))
+    box = ("minx", "miny", "maxx", "maxy")
+    dealt = spread(candidates.select(*box).distinct()).select("_gx", "_gy", *(F.col(c).alias(f"_{c}") for c in box))
+    on = geo.overlaps(tuple(F.col(c) for c in box), tuple(F.col(f"_{c}") for c in box))
+    kept = spread(blocks).alias("b").join(dealt.alias("c"), on & (F.col("b._gx") == F.col("c._gx")) & (F.col("b._gy") == F.col("c._gy")), "left_semi")
+    return kept.select(*blocks.columns).distinct()
+
+
 def merge_slabs(slabs: DataFrame, *keys: str) -> DataFrame:
     """The hull of each row's slabs; it may bridge gaps."""
     return slabs.groupBy(*keys, "ty").agg(F.min("tx_min").alias("tx_min"), F.max("tx_max").alias("tx_max"))

@@ -9,16 +9,20 @@ from ..sources import files, sinks
 from ..sources.tables import grids, points, table
 from ..streaming import tiles as streams
 from .registry import GRIDS, POINTS, query
+from .renders import mgrs_sql
 from .tiling import BASE, ZOOM, _base, _over_sql
 
 
-@query("q_mgrs_code")
+@query("q_mgrs_code", f"WITH {POINTS}, {mgrs_sql('points', 'id')} SELECT id, code, CASE WHEN length(code) = 5 THEN 5 END AS corners FROM coded")
 def q_mgrs_code(spark, sf_dir):
     p = points(spark, sf_dir).withColumn("code", mgrs.code_of("lon", "lat"))
-    return p.select("id", "code", F.size(mgrs.outline_of("code")).alias("corners"))
+    ring = mgrs.outline_of("code")
+    return p.select("id", "code", F.when(ring.isNotNull(), F.size(ring)).alias("corners"))
 
 
-@query("q_mgrs_bbox")
+@query("q_mgrs_bbox", f"""WITH {POINTS}, x AS (SELECT id, lat, lon + 0.8 AS maxx, lat + 0.6 AS maxy, lon, CAST(floor(((lon + 0.8) - lon) / 0.1) AS INTEGER) + 1 AS nx, CAST(floor(((lat + 0.6) - lat) / 0.1) AS INTEGER) + 1 AS ny FROM points),
+g AS (SELECT id, least(lon + i * 0.1, maxx) AS lon, least(lat + j * 0.1, maxy) AS lat FROM (SELECT *, unnest(range(0, nx + 1)) AS i FROM x) a, LATERAL (SELECT unnest(range(0, a.ny + 1)) AS j) b),
+{mgrs_sql('g', 'id')} SELECT DISTINCT id, code FROM coded WHERE code IS NOT NULL""")
 def q_mgrs_bbox(spark, sf_dir):
     b = points(spark, sf_dir).select("id", F.col("lon").alias("minx"), F.col("lat").alias("miny"), (F.col("lon") + 0.8).alias("maxx"), (F.col("lat") + 0.6).alias("maxy"))
     return mgrs.codes_in(b)

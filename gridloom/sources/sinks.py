@@ -7,15 +7,17 @@ made in Spark, and ``save_parts`` streams them in order, one at a time."""
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import sqlite3
 import struct
+import zipfile
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +71,51 @@ def geotiff_bytes(data: np.ndarray, x0: float, y0: float, pixel: float, epsg: in
     return b"II*\0" + struct.pack("<I", at) + body + b"\0" * (len(body) % 2) + struct.pack("<H", len(tags)) + entries + struct.pack("<I", 0) + extra
 
 
+def geotiffs(cells: DataFrame, key: str, value: str, x0: str, y0: float, pixel: float, epsg: int = 3857) -> DataFrame:
+    """(key, content): each raster's cells (key, row, col, value, and x0, its western edge) as a GeoTIFF in single precision; missing cells are NaN."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        data = np.full((int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1), np.nan, "f4")
+        data[pdf["row"], pdf["col"]] = pdf["value"]
+        return pd.DataFrame({key: [pdf["key"].iloc[0]], "content": [geotiff_bytes(data, float(pdf["x0"].iloc[0]), y0, pixel, epsg)]})
+
+    rows = cells.select(F.col(key).alias("key"), "row", "col", F.col(value).cast("double").alias("value"), F.col(x0).alias("x0"))
+    return rows.groupBy("key").applyInPandas(run, f"`{key}` {dict(cells.dtypes)[key]}, content binary")
+
+
+def zips(members: DataFrame, archive: str, name: str, content: str = "content") -> DataFrame:
+    """(archive, content): members (archive, name, content) packed into zip archives, each a bounded group."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+            for n, data in sorted(zip(pdf["name"], pdf["content"], strict=True)):
+                z.writestr(n, data)
+        return pd.DataFrame({archive: [pdf["archive"].iloc[0]], "content": [buffer.getvalue()]})
+
+    rows = members.select(F.col(archive).alias("archive"), F.col(name).alias("name"), F.col(content).alias("content"))
+    return rows.groupBy("archive").applyInPandas(run, f"`{archive}` {dict(members.dtypes)[archive]}, content binary")
+
+
+def code_list(codes: DataFrame, path: str, header: Mapping[str, object]) -> None:
+    """Distinct codes in order, one a line, below a comment line with the header as JSON: one small text file."""
+    spark = codes.sparkSession
+    head = spark.createDataFrame([(0, "# " + json.dumps(dict(header), sort_keys=True))], "part int, value string")
+    rows = codes.select("code").where("code is not null").distinct().select(F.lit(1).alias("part"), F.col("code").alias("value"))
+    head.unionByName(rows).orderBy("part", "value").select("value").coalesce(1).write.text(path)
+
+
+def sidecar(spark: SparkSession, path: str, payload: Mapping[str, object]) -> None:
+    """A mapping as a JSON file with sorted keys, by any file system that Spark knows: written beside its place and renamed when whole."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".temp_{where.getName()}")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(beside, True)
+    out.write(bytearray(json.dumps(dict(payload), indent=2, sort_keys=True).encode()))
+    out.close()
+    fs.delete(where, False)
+    if not fs.rename(beside, where):
+        raise OSError(f"cannot move {beside} to {where}")
+
+
 def mbtiles_bytes(rows: Sequence[tuple[int, int, int, bytes]], metadata: Mapping[str, str]) -> bytes:
     db = sqlite3.connect(":memory:")
     db.executescript("CREATE TABLE metadata (name TEXT, value TEXT); CREATE TABLE tiles (zoom_level INTEGER, tile_column INTEGER, tile_row INTEGER, tile_data BLOB); CREATE UNIQUE INDEX tile_index ON tiles (zoom_level, tile_column, tile_row);")

@@ -4,7 +4,6 @@ import json
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,10 +234,11 @@ def test_quadtree_splits_only_full_cells(spark):
     assert [tuple(r) for r in scenes.quadtree(pts, "x", "y", (0, 0, 1, 1), most=9, depth=3).collect()] == [(0, 0, 0, 6)]
 
 
-def test_exact_outline_decides_not_its_envelope():
+def test_exact_outline_decides_not_its_envelope(spark):
     ring = [(0, 0), (4, 0), (4, 1), (1, 1), (1, 4), (0, 4)]
-    got = scenes.polygons_touch(pd.Series([(2, 2, 3, 3), (0.5, 2, 3, 3), (-1, -1, 5, 5), (5, 5, 6, 6)]), ring)
-    assert got.tolist() == [False, True, True, False]
+    df = spark.createDataFrame([(0, 2.0, 2.0, 3.0, 3.0), (1, 0.5, 2.0, 3.0, 3.0), (2, -1.0, -1.0, 5.0, 5.0), (3, 5.0, 5.0, 6.0, 6.0)], "i int, a double, b double, c double, d double")
+    got = df.select("i", scenes.touches_ring(tuple(F.col(c) for c in "abcd"), ring).alias("t")).collect()
+    assert [r.t for r in sorted(got)] == [False, True, True, False]
 
 
 def test_settings(spark):
