@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import places
-from ..operators.tiles import in_ring
 
 MAX_ROWS, MAX_DEPTH, CELL_DEGREES, TTL_DAYS = 3980, 12, 8.0, 90
 
@@ -95,17 +94,24 @@ def stac_assets(collections: DataFrame, query: tuple[float, float, float, float]
 def touches_ring(box: Sequence[Column], ring: Sequence[tuple[float, float]]) -> Column:
     """Whether a box (minx, miny, maxx, maxy) meets a polygon: envelopes first, then a corner of one in the other, or crossing edges."""
     x0, y0, x1, y1 = box
-    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
     xs, ys = [x for x, _ in ring], [y for _, y in ring]
     near = (x0 <= max(xs)) & (x1 >= min(xs)) & (y0 <= max(ys)) & (y1 >= min(ys))
+    names = ("ax", "ay", "bx", "by")
+    edges = F.array(*(F.struct(*(F.lit(float(v)).alias(n) for n, v in zip(names, (*p, *q), strict=True))) for p, q in zip(ring, [*ring[1:], ring[0]], strict=True)))
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
     side = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
-    meets = F.lit(False)
-    for x, y in corners:
-        meets = meets | in_ring(x, y, ring)
-    for x, y in ring:
-        meets = meets | ((x0 < x) & (x1 > x) & (y0 < y) & (y1 > y))
-    for p, q in zip(ring, [*ring[1:], ring[0]], strict=True):
-        p, q = (tuple(map(F.lit, map(float, e))) for e in (p, q))
+    # A level edge is crossed by no level ray.
+    passes = lambda e, x, y: F.when((e["ay"] > y) != (e["by"] > y), x < (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"]).otherwise(F.lit(False))
+    inside = lambda x, y: F.size(F.filter(edges, lambda e: passes(e, x, y))) % 2 == 1
+
+    def crosses(e: Column) -> Column:
+        p, q = (e["ax"], e["ay"]), (e["bx"], e["by"])
+        found = (x0 < p[0]) & (x1 > p[0]) & (y0 < p[1]) & (y1 > p[1])  # a vertex in the box
         for r, s in zip(corners, [*corners[1:], corners[0]], strict=True):
-            meets = meets | ((side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0))
-    return near & meets
+            found = found | ((side(p, q, r) * side(p, q, s) < 0) & (side(r, s, p) * side(r, s, q) < 0))
+        return found
+
+    meets = F.exists(edges, crosses)
+    for x, y in corners:
+        meets = meets | inside(x, y)
+    return F.when(near, meets).otherwise(F.lit(False))
