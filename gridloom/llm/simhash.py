@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, staged, table
@@ -105,9 +105,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     ))
     tag = lambda s, i, v: (F.lit(s).cast("long") * 32 + i) * F.lit(1 << 32) + v
     keys = F.flatten(F.transform(bits, lambda x: F.array(tag(0, x["i"], x["h"]), tag(1, x["i"], x["l"]))))
-    filed = fps.select("fp", F.explode(keys).alias("variant"))
-    met = filed.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1")
-    rows = staged(filed.join(met, "variant"), "variants")
+    # Few bytes become many rows here: they are dealt out before, and meet in one shuffle.
+    tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), fps.count() // 50_000)
+    filed = fps.repartition(tasks, "fp").select("fp", F.explode(keys).alias("variant"))
+    rows = staged(filed.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1"), "variants")
     small = rows.where(F.col("n") <= block).groupBy("variant").agg(F.collect_list("fp").alias("a")).select("a", F.lit(None).cast("array<long>").alias("b"))
     # A common variant: its fingerprints in blocks, each pair of blocks a row of its own.
     size = F.ceil(F.col("n") / F.lit(block)).cast("long")
