@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RGB = tuple[Column, Column, Column]
-# Rec. 709 luma, the depth ramp's stops at even steps, and the grades.
+# Rec. 709 luma, the depth ramp's stops at even steps, the soft knee, no-data values, the grades and presets.
 LUMA = (0.2126, 0.7152, 0.0722)
 RAMP = (
     (0, 8, 37), (5, 16, 46), (10, 24, 55), (25, 39, 76), (31, 49, 88), (37, 60, 101), (42, 71, 114), (46, 82, 127), (49, 93, 136), (53, 105, 145), (58, 116, 154),
@@ -57,6 +57,20 @@ PRESETS = {
 }
 
 
+def curve_end(g: Grade) -> float:
+    """The slope of a grade's last part, its own or the one that ends the curve at (1, 1); 1 where no such slope is."""
+    if g.high_slope is not None:
+        return g.high_slope
+    high_break = g.low_break if g.high_break is None else g.high_break
+    return high_slope(g.low_break, high_break, g.low_slope, g.mid_slope)
+
+
+def preset_frame(spark: SparkSession) -> DataFrame:
+    """(mode, name, exposure, gamma, high_slope) of the presets: a fixed, small table."""
+    rows = [(mode, name, float(g.exposure), float(g.gamma), float(curve_end(g))) for mode, named in PRESETS.items() for name, g in named.items()]
+    return spark.createDataFrame(rows, "mode string, name string, exposure double, gamma double, high_slope double")
+
+
 def near(a: float, b: float) -> bool:
     return abs(a - b) <= 1e-9
 

@@ -45,6 +45,21 @@ def latest(manifest: DataFrame, key: Sequence[str], at: str, now: Column, days:
     return kept.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
 
 
+def from_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """Records of JSON lines (value); lines that do not parse, and lines without a record's first two fields, are left out."""
+    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    rows = lines.select(F.from_json("value", schema).alias("r")).select("r.*")
+    return rows.where(F.col(names[0]).isNotNull() & F.col(names[1]).isNotNull())
+
+
+def upsert(manifest: DataFrame, fresh: DataFrame, key: Sequence[str], at: str) -> DataFrame:
+    """One record a key: of ``fresh`` where it is as new, else of ``manifest``; by a full outer join on the key."""
+    rest = [c for c in manifest.columns if c not in key]
+    old, new = (df.select(*key, F.struct(*rest).alias(n)) for df, n in ((manifest, "_old"), (fresh, "_new")))
+    best = F.when(F.col("_old").isNull() | (F.col(f"_new.{at}") >= F.col(f"_old.{at}")), F.col("_new"))
+    return old.join(new, list(key), "full_outer").select(*key, F.coalesce(best, F.col("_old")).alias("_r")).select(*key, "_r.*")
+
+
 def quadtree(rows: DataFrame, x: str, y: str, bounds: tuple[float, float, float, float], most: int = MAX_ROWS, depth: int = MAX_DEPTH, keep=lambda df: df) -> DataFrame:
     """Cells (depth, i, j, n) that hold at most ``most`` rows, or are at the full depth: a cell with more is split into four.
 

@@ -8,8 +8,9 @@ from ..operators.staging import staged
 from ..sources import files, sinks
 from ..sources.tables import grids, points, table
 from ..streaming import tiles as streams
+from .geodesy import EPS9, SIZE9, R
 from .registry import GRIDS, POINTS, query
-from .renders import mgrs_sql
+from .renders import MERC_Y, footprint_sql, mgrs_sql
 from .tiling import BASE, ZOOM, _base, _over_sql
 
 
@@ -28,7 +29,12 @@ def q_mgrs_bbox(spark, sf_dir):
     return mgrs.codes_in(b)
 
 
-@query("q_footprint")
+CLAMPED = f"least(greatest(lat, {-geo.MAX_LATITUDE!r}), {geo.MAX_LATITUDE!r})"
+
+
+@query("q_footprint", f"""WITH {POINTS}, {mgrs_sql('points', 'id')}, {footprint_sql()}, b AS (SELECT unit, min(lon * {R} / 180.0) AS minx, max(lon * {R} / 180.0) AS maxx, min({MERC_Y.format(CLAMPED)}) AS miny, max({MERC_Y.format(CLAMPED)}) AS maxy FROM corners GROUP BY unit),
+r AS (SELECT unit, {', '.join(f'CAST(least(greatest(floor(({v}) / {SIZE9!r}), 0), 511) AS INTEGER) AS {n}' for n, v in (('x0', f'minx + {EPS9!r} + {R}'), ('x1', f'maxx - {EPS9!r} + {R}'), ('y0', f'{R} - maxy + {EPS9!r}'), ('y1', f'{R} - miny - {EPS9!r}')))} FROM b)
+  SELECT unit, CAST(unnest(range(y0, y1 + 1)) AS INTEGER) AS ty, x0 AS tx_min, x1 AS tx_max FROM r""")
 def q_footprint(spark, sf_dir):
     """Outlines of codes as row slabs of tiles."""
     ring = points(spark, sf_dir).select(mgrs.code_of("lon", "lat").alias("unit")).distinct().select("unit", F.explode(mgrs.outline_of("unit")).alias("p"))

@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import color, text
 from ..operators.staging import staged
+from ..plans import cover, settings
 from ..plans import scenes as plan
-from ..plans import settings
 from ..sources.tables import points, scenes, slabs, table
 from .registry import POINTS, SCENES, SLABS, query
 
@@ -75,6 +75,52 @@ def q_greedy_cover(spark, sf_dir):
     return plan.greedy_cover(rows, "cell", "start", ("minx", "miny", "maxx", "maxy")).select("cell", "seq")
 
 
+UNIT_SQUARE = ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))
+
+
+def _rings(spark, sf_dir):
+    s = F.col("seq")
+    x, y = s * 7 % 10 / 20.0, s * 3 % 10 / 20.0
+    ring = F.array(*(F.array(a, b) for a, b in ((x, y), (x + 0.3, y), (x + 0.3, y + 0.4), (x, y + 0.4))))
+    # A bounded number of scenes a cell; every ninth has no outline.
+    return scenes(spark, sf_dir).select("seq", "start", F.floor(s / 100).alias("cell"), F.when(s % 9 != 0, ring).alias("ring"))
+
+
+EXACT = COVER.replace("seq % 20 AS cell", "seq // 100 AS cell") + """, p AS (SELECT cell, i, j, seq, row_number() OVER (PARTITION BY cell, i, j ORDER BY coalesce(start, '') DESC, seq) AS n
+  FROM cover, range(20) a(i), range(20) b(j) WHERE seq % 9 <> 0 AND (i + 0.5) / 20 BETWEEN minx AND maxx AND (j + 0.5) / 20 BETWEEN miny AND maxy)"""
+
+
+# The outlines' corners lie on a grid of twentieths, so that areas are counts of squares.
+@query("q_exact_cover", f"WITH {SCENES}, {EXACT} SELECT DISTINCT cell, seq FROM p WHERE n = 1")
+def q_exact_cover(spark, sf_dir):
+    return cover.greedy_cover(_rings(spark, sf_dir), "cell", "start", "ring", UNIT_SQUARE)
+
+
+@query("q_union_area", f"WITH {SCENES}, {EXACT} SELECT cell, round(count(*) / 400.0, 9) AS area FROM p WHERE n = 1 GROUP BY cell")
+def q_union_area(spark, sf_dir):
+    rows = _rings(spark, sf_dir).where("ring is not null")
+    return cover.union_area(rows, "cell", "ring", UNIT_SQUARE).withColumn("area", F.round("area", 9))
+
+
+@query("q_manifest_merge", """WITH l AS (SELECT user_id, event_id, ts FROM events WHERE event_id % 17 <> 0 AND ts >= TIMESTAMP '2024-04-14 00:00:00' - INTERVAL 90 DAY),
+old AS (SELECT user_id AS bbox_key, arg_max(event_id, ts) AS event_id, max(ts) AS queried_at FROM l WHERE user_id % 2 = 0 GROUP BY 1), new AS (SELECT user_id AS bbox_key, arg_max(event_id, ts) AS event_id, max(ts) AS queried_at FROM l WHERE user_id % 3 = 0 AND event_id % 2 = 0 GROUP BY 1)
+  SELECT bbox_key, coalesce(CASE WHEN new.queried_at >= old.queried_at OR old.queried_at IS NULL THEN new.event_id END, old.event_id) AS event_id FROM old FULL OUTER JOIN new USING (bbox_key)""")
+def q_manifest_merge(spark, sf_dir):
+    """An old list of JSON lines, some broken or expired, taken into a manifest, and newer answers over it."""
+    e, i = table(spark, sf_dir, "events"), F.col("event_id")
+    line = F.to_json(F.struct(F.col("user_id").alias("bbox_key"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("queried_at"), "event_id"))
+    lines = e.select("user_id", i, F.when(i % 17 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    now = F.lit("2024-04-14 00:00:00").cast("timestamp_ntz")
+    known = lambda part: plan.latest(plan.from_lines(part.select("value"), "bbox_key long, queried_at timestamp_ntz, event_id long"), ["bbox_key"], "queried_at", now, 90)
+    old, new = known(lines.where("user_id % 2 = 0")), known(lines.where("user_id % 3 = 0 and event_id % 2 = 0"))
+    return plan.upsert(old, new, ["bbox_key"], "queried_at").select("bbox_key", "event_id")
+
+
+@query("q_presets", "SELECT * FROM (VALUES " + ", ".join(f"('{mode}', '{name}', {float(g.exposure)!r}::DOUBLE, {float(g.gamma)!r}::DOUBLE, {float(color.curve_end(g))!r}::DOUBLE)" for mode, named in color.PRESETS.items() for name, g in named.items()) + ") t(mode, name, exposure, gamma, high_slope)")
+def q_presets(spark, sf_dir):
+    return color.preset_frame(spark)
+
+
 @query("q_json_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS compact FROM events")
 def q_json_fields(spark, sf_dir):
     parsed = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int").alias("p"))

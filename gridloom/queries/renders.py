@@ -235,6 +235,27 @@ z5 AS (SELECT *, CASE f_ {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in polar_co
 coded AS (SELECT {carried}, CASE WHEN mid THEN lpad(CAST(z AS VARCHAR), 2, '0') || {letters(f"'{mgrs.BANDS}'", 'band')} || {letters(f'({cols})', 'ci')} || {letters(f"'{mgrs.ROWS}'", 'ri')} ELSE f_ || {letters('pl', 'pc')} || {letters('pr', 'pq')} END AS code FROM z5)"""
 
 
+def footprint_sql():
+    """SQL from ``coded`` to the corners (unit, lon, lat) of its squares: steps to ``corners``."""
+    e, k = float(mgrs.E), f"({_number(mgrs.SCALE)} * {_number(mgrs.RADIUS)})"
+    sums = lambda table, a, b, x, y: " + ".join(f"{_number(c)} * {a}(2 * {j} * {x}) * {b}(2 * {j} * {y})" for j, c in enumerate(table, 1))
+    cols = "CASE z % 3 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(mgrs.COLUMNS)) + " END"
+    south = "CASE WHEN band < 10 THEN 1e7 ELSE 0e0 END"
+    lat0 = "radians(band * 8 - 80e0 + 1e-9)"
+    flat = f"atan(sinh(atanh(sin({lat0})) - {_number(e)} * atanh({_number(e)} * sin({lat0}))))"
+    steps = []
+    for n in range(5):
+        own = f"(t * sqrt(1 + s * s) - s * sqrt(1 + t * t))"
+        steps.append(f"n{n} AS (SELECT * EXCLUDE (t), t + (want - {own}) / sqrt(1 + {own} * {own}) * (1 + {_number(1 - e**2)} * t * t) / ({_number(1 - e**2)} * sqrt(1 + t * t)) AS t FROM (SELECT *, sinh({_number(e)} * atanh({_number(e)} * t / sqrt(1 + t * t))) AS s FROM {'i3' if n == 0 else f'(SELECT * EXCLUDE (s) FROM n{n - 1})'}))")
+    return f"""i0 AS (SELECT unit, CAST(substr(unit, 1, 2) AS INTEGER) AS z, strpos('{mgrs.BANDS}', substr(unit, 3, 1)) - 1 AS band FROM (SELECT DISTINCT code AS unit FROM coded WHERE length(code) = 5)),
+i1 AS (SELECT *, strpos({cols}, substr(unit, 4, 1)) * 1e5 AS x0, (strpos('{mgrs.ROWS}', substr(unit, 5, 1)) - 1 - CASE WHEN z % 2 = 0 THEN 5 ELSE 0 END + 20) % 20 * 1e5 AS r0, {flat} AS f, {south} AS fn FROM i0),
+i2 AS (SELECT *, r0 + 2e6 * greatest(0, floor(({k} * (f + {" + ".join(f"{_number(c)} * sin(2 * {j} * f)" for j, c in enumerate(mgrs.ALPHA, 1))}) + fn - 2e5 - r0) / 2e6) + 1) AS y0 FROM i1),
+p_ AS (SELECT unit, z, fn, (y0 + dy - fn) / {k} AS a, (x0 + dx - 5e5) / {k} AS b FROM i2, (VALUES (0, 0), (99999, 0), (99999, 99999), (0, 99999)) c(dx, dy)),
+q_ AS (SELECT unit, z, a - ({sums(mgrs.BETA, 'sin', 'cosh', 'a', 'b')}) AS xi, b - ({sums(mgrs.BETA, 'cos', 'sinh', 'a', 'b')}) AS eta FROM p_),
+i3 AS (SELECT *, sin(xi) / sqrt(sinh(eta) * sinh(eta) + cos(xi) * cos(xi)) AS want, sin(xi) / sqrt(sinh(eta) * sinh(eta) + cos(xi) * cos(xi)) AS t FROM q_), {", ".join(steps)},
+corners AS (SELECT unit, degrees(atan2(sinh(eta), cos(xi))) + z * 6 - 183 AS lon, degrees(atan(t)) AS lat FROM n4)"""
+
+
 @query("q_mask_codes", f"""WITH {GRIDS}, c AS (SELECT raster_id % 36 * 10.0 - 180.0 + (col + 0.5) * 1.25 AS lon, 80.0 - raster_id // 36 % 16 * 10.0 - ("row" + 0.5) * 1.25 AS lat FROM grids WHERE depth > -32766.9 AND depth >= -50),
 {mgrs_sql('c', '1 AS one')} SELECT DISTINCT code FROM coded WHERE code IS NOT NULL""")
 def q_mask_codes(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import color, geo, masks, mgrs, text
 from gridloom.operators import focal, graph, mosaic, resample, tiles
-from gridloom.plans import scenes, settings, units
+from gridloom.plans import cover, scenes, settings, units
 
 
 def values(spark, numbers, f):
@@ -241,6 +241,33 @@ def test_exact_outline_decides_not_its_envelope(spark):
     assert [r.t for r in sorted(got)] == [False, True, True, False]
 
 
+def test_cover_of_polygons_is_exact(spark):
+    square = ((0, 0), (1, 0), (1, 1), (0, 1))
+    ell = [(0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1)]
+    assert sum(map(cover.area, cover.triangles(ell))) == pytest.approx(0.75) and sum(map(cover.area, cover.triangles(ell[::-1]))) == pytest.approx(0.75)
+    corner = [(0.4, 0.4), (1, 0.4), (1, 1), (0.4, 1)]
+    assert cover.chosen(square, [ell, [(0, 0), (0.4, 0), (0.4, 0.4), (0, 0.4)], None, [(5, 5), (6, 5), (6, 6)], corner, [(0.6, 0.6), (0.7, 0.6), (0.7, 0.7)], square]) == [0, 4]
+    rnd = np.random.default_rng(5)
+    for _ in range(10):
+        at = rnd.random((7, 2))
+        turn = rnd.random(7) * 6
+        rings = [[(x + 0.3 * math.cos(t + k * math.pi / 2), y + 0.3 * math.sin(t + k * math.pi / 2)) for k in range(4)] for (x, y), t in zip(at, turn)]
+        left, gone = cover.triangles(square), 0.0
+        for r in rings:
+            for t in cover.triangles(r):
+                left, part = cover.without(left, t)
+                gone += part
+        assert gone + sum(map(cover.area, left)) == pytest.approx(1)
+        p = rnd.random((40000, 2))
+        inside = np.zeros(len(p), bool)
+        for r in rings:
+            inside |= np.all([(b[0] - a[0]) * (p[:, 1] - a[1]) - (b[1] - a[1]) * (p[:, 0] - a[0]) >= 0 for a, b in zip(r, [*r[1:], r[0]])], axis=0)
+        assert gone == pytest.approx(inside.mean(), abs=0.02)
+    rows = [(1, 1, "2020", [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]), (1, 2, "2021", [[0.0, 0.0], [0.6, 0.0], [0.6, 1.0], [0.0, 1.0]]), (1, 3, None, [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0]]), (2, 4, "2020", None)]
+    df = spark.createDataFrame(rows, "cell int, seq int, start string, ring array<array<double>>")
+    assert sorted(tuple(r) for r in cover.greedy_cover(df, "cell", "start", "ring", square).collect()) == [(1, 1), (1, 2)]
+
+
 def test_settings(spark):
     a = settings.to_frame(spark, "a", {"x": {"y": (1, 2), "z": 1}, "gone": True})
     b = settings.to_frame(spark, "b", {"x": {"y": [1, 2], "z": 2}, "new": "v"})

@@ -142,6 +142,14 @@ def test_pmtiles_parts(spark, tmp_path):
     assert sorted(found) == sorted(bytes(r.content) for r in tiles(spark).collect())
 
 
+def test_sidecars_and_code_lists_are_written_whole(spark, tmp_path):
+    path = str(tmp_path / "s.json")
+    for payload in ({"b": 1, "a": [1, 2]}, {"a": None}):
+        sinks.sidecar(spark, path, payload)
+        assert json.load(open(path)) == payload
+    assert sorted(p.name for p in tmp_path.iterdir() if "temp" in p.name and not p.name.endswith(".crc")) == []
+
+
 def test_root_directory_keeps_its_place(spark, monkeypatch):
     monkeypatch.setattr(sinks, "LEAVES", 3)
     parts = sinks.pmtiles_parts(tiles(spark, 200), {}, leaf=4).collect()
