@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +14,7 @@ LEAST = 1e-8  # square degrees that count
 
 def area(ring: Ring) -> float:
     """Signed: positive if it runs counterclockwise."""
-    if len(ring) < 3:
-        return 0.0
-    x, y = np.asarray(ring, float).T
-    return float((x * np.roll(y, -1) - y * np.roll(x, -1)).sum() / 2)
+    return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True)) / 2
 
 
 def _side(a, b, p) -> float:
@@ -64,10 +60,32 @@ def _cut(piece: Ring, a, b) -> tuple[list, list]:
     return left, right
 
 
+def parts(ring: Ring) -> list[list[tuple[float, float]]]:
+    """A simple polygon as convex pieces: itself, or its triangles."""
+    points = [tuple(map(float, p)) for p in ring]
+    points = points[::-1] if area(points) < 0 else points
+    if len(points) > 2 and area(points) > 0 and all(_side(points[i - 2], points[i - 1], points[i]) > 0 for i in range(len(points))):
+        return [points]
+    return triangles(ring)
+
+
+def apart(a: Ring, b: Ring) -> bool:
+    """Whether a side of one of two convex polygons has all of the other beyond it."""
+    for one, other in ((a, b), (b, a)):
+        for p, q in zip(one, [*one[1:], one[0]], strict=True):
+            dx, dy = q[0] - p[0], q[1] - p[1]
+            if abs(dx) + abs(dy) > 1e-12 and all(dx * (y - p[1]) - dy * (x - p[0]) <= 0 for x, y in other):
+                return True
+    return False
+
+
 def without(pieces: list, convex: Ring) -> tuple[list, float]:
     """What is left of convex pieces without a convex polygon, and the area that went."""
     out, gone = [], 0.0
     for piece in pieces:
+        if apart(piece, convex):
+            out.append(piece)
+            continue
         inside = piece
         for a, b in zip(convex, [*convex[1:], convex[0]], strict=True):
             inside, beyond = _cut(inside, a, b)
@@ -81,12 +99,12 @@ def without(pieces: list, convex: Ring) -> tuple[list, float]:
 
 def chosen(target: Ring, rings: Sequence[Ring | None], least: float = LEAST) -> list[int]:
     """The places of the rings, taken in order, that cover more than ``least`` of what of the target none before did; until less is left."""
-    left, out = triangles(target), []
+    left, out = parts(target), []
     for i, ring in enumerate(rings):
         if ring is None or len(ring) < 3:
             continue
         rest, gone = left, 0.0
-        for t in triangles(ring):
+        for t in parts(ring):
             rest, part = without(rest, t)
             gone += part
         if gone > least:
@@ -118,9 +136,9 @@ def union_area(shapes: DataFrame, key: str, ring: str, target: Ring) -> DataFram
     target = [tuple(p) for p in target]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = triangles(target)
+        left = parts(target)
         for r in pdf["ring"]:
-            for t in triangles([tuple(p) for p in r]) if r is not None and len(r) > 2 else ():
+            for t in parts(r) if r is not None and len(r) > 2 else ():
                 left, _ = without(left, t)
         return pd.DataFrame({key: [pdf["key"].iloc[0]], "area": [abs(area(target)) - sum(map(area, left))]})
 
