@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,6 +97,20 @@ def pixel_window(low: Column, high: Column, origin: float, size: float, count: i
     return first.cast("int"), F.greatest(last - first, F.lit(0)).cast("int")
 
 
+def affine(transform: Sequence[float], col: Column, row: Column) -> tuple[Column, Column]:
+    """The place of a pixel coordinate by a six-term transform (x origin, x per column, x per row, y origin, y per column, y per row); a cell's centre is at a half."""
+    a, b, c, d, e, f = transform
+    return a + col * b + row * c, d + col * e + row * f
+
+
+def raster_bounds(transform: Sequence[float], width: Column, height: Column) -> tuple[Column, Column, Column, Column]:
+    """(minx, miny, maxx, maxy) of a raster by its four corners."""
+    zero = F.lit(0)
+    corners = [affine(transform, c, r) for c, r in ((zero, zero), (width, zero), (width, height), (zero, height))]
+    xs, ys = zip(*corners, strict=True)
+    return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
+
+
 def season_weight(lat: Column, winter: bool = False) -> Column:
     """The weight of the first of two dates: a smooth step over 150 km each side of the equator."""
     half = SEASON_METRES / METRES_PER_DEGREE

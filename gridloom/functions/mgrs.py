@@ -121,6 +121,15 @@ def outline(code: str | None) -> list[dict[str, float]] | None:
     return [{"lon": float(a), "lat": float(b)} for a, b in zip(lon, lat, strict=True)]
 
 
+@F.pandas_udf(T.StructType([T.StructField("zone", T.IntegerType()), T.StructField("easting", T.DoubleType()), T.StructField("northing", T.DoubleType())]))
+def utm_of(lon: pd.Series, lat: pd.Series) -> pd.DataFrame:
+    """Zone, easting and northing of places between 80 degrees south and 84 north."""
+    lon, lat = lon.to_numpy(float), lat.to_numpy(float)
+    z = zone(lon, lat)
+    x, y = utm(lon, lat, z)
+    return pd.DataFrame({"zone": z.astype(np.int32), "easting": x, "northing": y})
+
+
 @F.pandas_udf(T.StringType())
 def code_of(lon: pd.Series, lat: pd.Series) -> pd.Series:
     return pd.Series(codes(lon.to_numpy(), lat.to_numpy()), dtype="object")

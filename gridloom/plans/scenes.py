@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,10 +61,11 @@ def upsert(manifest: DataFrame, fresh: DataFrame, key: Sequence[str], at: str) -
     return old.join(new, list(key), "full_outer").select(*key, F.coalesce(best, F.col("_old")).alias("_r")).select(*key, "_r.*")
 
 
-def quadtree(rows: DataFrame, x: str, y: str, bounds: tuple[float, float, float, float], most: int = MAX_ROWS, depth: int = MAX_DEPTH, keep=lambda df: df) -> DataFrame:
+def quadtree(rows: DataFrame, x: str, y: str, bounds: tuple[float, float, float, float], most: int = MAX_ROWS, depth: int = MAX_DEPTH, keep=lambda df: df, within: Sequence[tuple[float, float]] | None = None) -> DataFrame:
     """Cells (depth, i, j, n) that hold at most ``most`` rows, or are at the full depth: a cell with more is split into four.
 
-    The cells of the deepest level are counted once; the levels above are sums of four. keep: how the counts are stored."""
+    The cells of the deepest level are counted once; the levels above are sums of four. keep: how the counts are stored.
+    within: an outline; cells that do not meet it are left out, as they would not be asked for."""
     x0, y0, x1, y1 = bounds
     n = 2**depth
     at = lambda c, a, b: F.least(F.greatest(F.floor((F.col(c) - a) / (b - a) * n), F.lit(0)), F.lit(n - 1)).cast("int")
@@ -80,7 +82,21 @@ def quadtree(rows: DataFrame, x: str, y: str, bounds: tuple[float, float, float,
     split = cells.where(F.col("n") > most).select(F.col("depth").alias("pd"), F.col("i").alias("pi"), F.col("j").alias("pj"))
     leaf = (F.col("n") <= most) | (F.col("depth") == depth)
     # A cell is reached if it is the root or its parent was split; a parent with too many rows has such parents itself.
-    return up.where(leaf).join(split, ["pd", "pi", "pj"], "left_semi").unionByName(up.where(leaf & (F.col("depth") == 0))).select("depth", "i", "j", "n")
+    out = up.where(leaf).join(split, ["pd", "pi", "pj"], "left_semi").unionByName(up.where(leaf & (F.col("depth") == 0))).select("depth", "i", "j", "n")
+    if within is None:
+        return out
+    side = F.pow(F.lit(0.5), F.col("depth"))
+    box = (x0 + F.col("i") * side * (x1 - x0), y0 + F.col("j") * side * (y1 - y0), x0 + (F.col("i") + 1) * side * (x1 - x0), y0 + (F.col("j") + 1) * side * (y1 - y0))
+    return out.where(touches_ring(box, within))
+
+
+def start_cells(bounds: tuple[float, float, float, float], side: float = CELL_DEGREES) -> list[tuple[float, float, float, float]]:
+    """Where a search begins: the bounds themselves, or if they span more than ``side`` degrees the cells of a grid aligned to it, cut to the bounds."""
+    x0, y0, x1, y1 = bounds
+    if x1 - x0 <= side and y1 - y0 <= side:
+        return [bounds]
+    steps = lambda a, b: range(math.floor(a / side), math.ceil(b / side))
+    return [(max(x0, i * side), max(y0, j * side), min(x1, (i + 1) * side), min(y1, (j + 1) * side)) for j in steps(y0, y1) for i in steps(x0, x1)]
 
 
 def greedy_cover(scenes: DataFrame, cell: str, start: str, area: Sequence[str], seq: str = "seq", grid: int = 16) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geo, text
+from ..functions import geo, masks, text
 
 
 def resolve_folders(units: DataFrame, date_paths: Sequence[str], catalogue: DataFrame, prefix: str, first_only: bool = False) -> DataFrame:
@@ -35,6 +36,39 @@ def available_units(codes: DataFrame, catalogue: DataFrame) -> DataFrame:
     return codes.select(F.explode(geo.subtiles(F.col("code"))).alias("unit")).join(listed, "unit", "left_semi")
 
 
+# The pixels a kernel reaches beyond a tile, and the area of water that a chunk must be able to see whole, in square metres.
+HALO = {"average": 1, "bilinear": 1, "gauss": 2, "lanczos": 3}
+WATER = 1_500_000.0
+
+
+def ocean_halo(pixel: Column) -> Column:
+    """How many pixels a chunk of ocean needs around it."""
+    return F.least(F.greatest(F.ceil(F.lit(math.sqrt(WATER)) / pixel) + 2, F.lit(1)), F.lit(512)).cast("int")
+
+
+def tile_plan(tiles: DataFrame, size: int, method: str) -> DataFrame:
+    """``tiles`` (z, tx, ty) with the window of pixels to render (xoff, yoff, width, height), a halo wider than the tile but within the world; where in it
+    the tile lies (core_x, core_y); and the window's bounds (minx, miny, maxx, maxy) in Web Mercator."""
+    if method not in HALO:
+        raise ValueError(f"no halo is known for {method}")
+    world = (F.pow(F.lit(2.0), F.col("z")) * size).cast("long")
+    low = lambda t: F.greatest(F.col(t).cast("long") * size - HALO[method], F.lit(0))
+    high = lambda t: F.least((F.col(t).cast("long") + 1) * size + HALO[method], world)
+    at = lambda c: F.col(c) * geo.pixel_size("z", size)
+    out = tiles.withColumns({"xoff": low("tx"), "yoff": low("ty"), "width": high("tx") - low("tx"), "height": high("ty") - low("ty")})
+    out = out.withColumns({"core_x": F.col("tx") * size - F.col("xoff"), "core_y": F.col("ty") * size - F.col("yoff"), "_x1": F.col("xoff") + F.col("width"), "_y1": F.col("yoff") + F.col("height")})
+    bounds = {"minx": at("xoff") - geo.HALF_WORLD, "miny": geo.HALF_WORLD - at("_y1"), "maxx": at("_x1") - geo.HALF_WORLD, "maxy": geo.HALF_WORLD - at("yoff")}
+    return out.withColumns(bounds).drop("_x1", "_y1")
+
+
+def prefetch(wanted: DataFrame, land: DataFrame, cached: DataFrame, threshold: float) -> DataFrame:
+    """(folder, date_path) to fetch ahead, each once however many units want it: of units with enough land (or an unknown share), not cached yet.
+
+    wanted: (unit, folder, date_path); land: (unit, land percent); cached: (folder)."""
+    rows = wanted.join(land, "unit", "left").where(masks.has_enough_land(F.col("land"), threshold))
+    return rows.select("folder", "date_path").distinct().join(cached.select("folder").distinct(), "folder", "left_anti")
+
+
 def prune_blocks(blocks: DataFrame, candidates: DataFrame, side: float) -> DataFrame:
     """Blocks (minx, miny, maxx, maxy and others) whose envelopes overlap a candidate's; touching edges do not. Both meet by equal cells of a grid
     of squares of ``side``, so no block is compared with all candidates."""

@@ -106,6 +106,29 @@ def q_batches(spark, sf_dir):
     return units.batches(_tiles(spark, sf_dir), 2).select("ty", "island", "batch", "tx_min", "tx_max", F.size("ids").alias("n_ids"))
 
 
+PIXEL = f"({2 * geo.HALF_WORLD!r} / (256.0 * 64))"
+
+
+@query("q_tile_plan", f"""WITH {SLABS}, t AS (SELECT DISTINCT 6 AS z, tx_min AS tx, ty FROM slabs), w AS (SELECT *, greatest(tx * 256 - 3, 0) AS xoff, greatest(ty * 256 - 3, 0) AS yoff, least((tx + 1) * 256 + 3, 16384) AS x1, least((ty + 1) * 256 + 3, 16384) AS y1 FROM t)
+  SELECT z, tx, ty, CAST(xoff AS BIGINT) AS xoff, CAST(yoff AS BIGINT) AS yoff, CAST(x1 - xoff AS BIGINT) AS width, CAST(y1 - yoff AS BIGINT) AS height, CAST(tx * 256 - xoff AS BIGINT) AS core_x, CAST(ty * 256 - yoff AS BIGINT) AS core_y,
+  round(xoff * {PIXEL} - {geo.HALF_WORLD!r}, 4) AS minx, round({geo.HALF_WORLD!r} - y1 * {PIXEL}, 4) AS miny, round(x1 * {PIXEL} - {geo.HALF_WORLD!r}, 4) AS maxx, round({geo.HALF_WORLD!r} - yoff * {PIXEL}, 4) AS maxy FROM w""")
+def q_tile_plan(spark, sf_dir):
+    """Windows to render for final tiles, with the halo that a Lanczos kernel needs."""
+    t = slabs(spark, sf_dir).select(F.lit(6).alias("z"), F.col("tx_min").alias("tx"), "ty").distinct()
+    out = units.tile_plan(t, 256, "lanczos")
+    return out.withColumns({c: F.round(c, 4) for c in ("minx", "miny", "maxx", "maxy")})
+
+
+@query("q_prefetch", f"""WITH {FOLDERS}, f AS (SELECT unit, folder, date_path FROM wanted w WHERE EXISTS (SELECT 1 FROM catalogue c WHERE c.date_path = w.date_path AND c.folder = w.folder)), l AS (SELECT unit, CAST(ascii(substr(unit, 4, 1)) * 10 % 101 AS DOUBLE) AS land FROM (SELECT DISTINCT unit FROM catalogue) WHERE unit NOT LIKE '%_1_1')
+  SELECT DISTINCT folder, date_path FROM f LEFT JOIN l USING (unit) WHERE (land IS NULL OR land >= 50) AND folder NOT IN (SELECT folder FROM catalogue WHERE unit LIKE '%_0_0')""")
+def q_prefetch(spark, sf_dir):
+    """What to fetch ahead: listed folders of units with enough land, or an unknown share, that no cache holds."""
+    c = catalogue(spark, sf_dir)
+    wanted = units.resolve_folders(_units(spark, sf_dir), DATES, c, PREFIX)
+    land = _units(spark, sf_dir).where("unit not like '%_1_1'").select("unit", (F.ascii(F.substring("unit", 4, 1)) * 10 % 101).cast("double").alias("land"))
+    return units.prefetch(wanted, land, c.where("unit like '%_0_0'").select("folder"), 50.0)
+
+
 @query("q_refcount", f"WITH {SLABS} SELECT unit, CAST(sum(tx_max - tx_min + 1) AS BIGINT) AS tiles FROM slabs GROUP BY unit")
 def q_refcount(spark, sf_dir):
     return units.reference_counts(slabs(spark, sf_dir))

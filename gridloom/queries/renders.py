@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions import color, geo, masks, mgrs
-from ..operators.staging import folder
+from ..operators.staging import folder, staged
 from ..plans import render, scenes, units
 from ..sources import files, sinks
 from ..sources.tables import grids, pixels, points
@@ -13,6 +13,7 @@ from .colour import RAMPED, _clip, _grade_sql, _ramp_sql
 from .focal import COLS, REACHED, ROWS, SQUARE, _shade_sql
 from .geodesy import REGISTRY, _registry
 from .mosaics import CELL, WEIGHTED, season
+from .records import PARTS, STEPS
 from .registry import GRIDS, PIXELS, POINTS, query
 from .tiling import BASE, RING, ZOOM, _base, _ring_sql
 
@@ -212,6 +213,22 @@ def q_polygon_touch(spark, sf_dir):
     return boxes.where(scenes.touches_ring(tuple(F.col(c) for c in ("x0", "y0", "x1", "y1")), RING)).select("id")
 
 
+@query("q_quadtree_within", f"""WITH {POINTS}, {STEPS}, c AS ({PARTS}), b AS (SELECT *, -180.0 + i * pow(0.5, depth) * 360.0 AS x0, -90.0 + j * pow(0.5, depth) * 180.0 AS y0, -180.0 + (i + 1) * pow(0.5, depth) * 360.0 AS x1, -90.0 + (j + 1) * pow(0.5, depth) * 180.0 AS y1 FROM c)
+  SELECT depth, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, n FROM b WHERE {_touch_sql()}""")
+def q_quadtree_within(spark, sf_dir):
+    """The quadtree's cells that meet an outline."""
+    return scenes.quadtree(points(spark, sf_dir), "lon", "lat", (-180.0, -90.0, 180.0, 90.0), most=40, depth=5, keep=staged, within=RING)
+
+
+AFFINE = (500000.0, 9.5, 1.25, 4000000.0, 0.75, -10.5)
+
+
+@query("q_affine", f"""WITH {GRIDS} SELECT raster_id, "row", col, {AFFINE[0]} + (col + 0.5) * {AFFINE[1]} + ("row" + 0.5) * {AFFINE[2]} AS x, {AFFINE[3]} + (col + 0.5) * {AFFINE[4]} + ("row" + 0.5) * {AFFINE[5]} AS y FROM grids""")
+def q_affine(spark, sf_dir):
+    x, y = geo.affine(AFFINE, F.col("col") + 0.5, F.col("row") + 0.5)
+    return grids(spark, sf_dir).select("raster_id", "row", "col", x.alias("x"), y.alias("y"))
+
+
 def mgrs_sql(source, carried):
     """SQL for the 100 km square of places (lon, lat): steps from ``source`` to ``coded`` (carried columns and code)."""
     e, scale = float(mgrs.E), f"{_number(mgrs.SCALE)} * {_number(mgrs.RADIUS)}"
@@ -256,6 +273,12 @@ i3 AS (SELECT *, sin(xi) / sqrt(sinh(eta) * sinh(eta) + cos(xi) * cos(xi)) AS wa
 corners AS (SELECT unit, degrees(atan2(sinh(eta), cos(xi))) + z * 6 - 183 AS lon, degrees(atan(t)) AS lat FROM n4)"""
 
 
+@query("q_utm", f"WITH {POINTS}, {mgrs_sql('points', 'id')} SELECT id, z AS zone, round(e_, 4) AS easting, round(n_, 4) AS northing FROM z3 WHERE mid")
+def q_utm(spark, sf_dir):
+    p = points(spark, sf_dir).where("lat >= -80 and lat < 84").select("id", mgrs.utm_of("lon", "lat").alias("u"))
+    return p.select("id", "u.zone", F.round("u.easting", 4).alias("easting"), F.round("u.northing", 4).alias("northing"))
+
+
 @query("q_mask_codes", f"""WITH {GRIDS}, c AS (SELECT raster_id % 36 * 10.0 - 180.0 + (col + 0.5) * 1.25 AS lon, 80.0 - raster_id // 36 % 16 * 10.0 - ("row" + 0.5) * 1.25 AS lat FROM grids WHERE depth > -32766.9 AND depth >= -50),
 {mgrs_sql('c', '1 AS one')} SELECT DISTINCT code FROM coded WHERE code IS NOT NULL""")
 def q_mask_codes(spark, sf_dir):

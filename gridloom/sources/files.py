@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 BLOCK = "path string, bx int, by int, x0 double, y0 double, px double, width int, height int, data array<float>"
 
 
@@ -25,6 +27,13 @@ def binary(spark: SparkSession, path: str, pattern: str | None = None, recursive
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
+def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(date_path, folder) of a store with files at year/month/day/folder/file: one listing, and no file is opened."""
+    name = r"/(\d{4}/\d{2}/\d{2})/([^/]+)/[^/]+$"
+    found = binary(spark, path, pattern, recursive=True).select(F.regexp_extract("path", name, 1).alias("date_path"), F.regexp_extract("path", name, 2).alias("folder"))
+    return found.where("date_path != ''").distinct()
+
+
 def fresh(files: DataFrame, now: Column, days: int = 90) -> DataFrame:
     """Cached files that are younger than so many days."""
     return files.where(F.col("modificationTime") >= now - F.make_dt_interval(F.lit(days)))
@@ -191,13 +200,16 @@ def sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def outlines(spark: SparkSession, path: str) -> DataFrame:
-    """(feature, ring) of a GeoJSON's polygons: the outer rings as arrays of (lon, lat)."""
-    shape = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
-    f = spark.read.schema(shape).json(path, multiLine=True).select(F.posexplode("features").alias("feature", "f"))
+    """(feature, ring) of a GeoJSON's polygons: the outer rings as arrays of (lon, lat); Web Mercator, where the file names it, becomes degrees.
+    ``plans.cover.union_area`` and ``envelope`` bring them together."""
+    shape = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:string>>>"
+    f = spark.read.schema(shape).json(path, multiLine=True).select(F.col("crs.properties.name").alias("crs"), F.posexplode("features").alias("feature", "f"))
     one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
     many = F.transform(F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>"), lambda p: p[0])
     rings = F.when(F.col("f.geometry.type") == "Polygon", F.array(one[0])).when(F.col("f.geometry.type") == "MultiPolygon", many)
-    return f.select("feature", F.explode(rings).alias("ring"))
+    degrees = lambda p: F.array(geo.longitude(p[0]), geo.latitude(p[1]))
+    ring = F.when(F.col("crs").contains("3857"), F.transform("ring", degrees)).otherwise(F.col("ring"))
+    return f.select("feature", "crs", F.explode(rings).alias("ring")).select("feature", ring.alias("ring"))
 
 
 def envelope(rings: DataFrame) -> DataFrame:

@@ -227,6 +227,20 @@ def test_batches_break_at_gaps_and_width(spark):
     assert out == [(1, 1, 2, (0,)), (1, 3, 3, (0,)), (1, 4, 5, (0, 1)), (2, 0, 0, (0,)), (2, 2, 2, (0,))]
 
 
+def test_halos_and_start_cells(spark):
+    df = spark.createDataFrame([(x,) for x in (1.0, 10.0, 1000.0, 1e6)], "p double")
+    assert [r[0] for r in df.select(units.ocean_halo(F.col("p"))).collect()] == [512, 125, 4, 3]
+    t = spark.createDataFrame([(1, 0, 1)], "z int, tx int, ty int")
+    r = units.tile_plan(t, 256, "gauss").first()
+    assert (r.xoff, r.yoff, r.width, r.height, r.core_x, r.core_y) == (0, 254, 258, 258, 0, 2) and r.minx == -geo.HALF_WORLD and r.miny == pytest.approx(-geo.HALF_WORLD)
+    with pytest.raises(ValueError):
+        units.tile_plan(t, 256, "cubic")
+    assert scenes.start_cells((1, 1, 9, 5)) == [(1, 1, 9, 5)] and scenes.start_cells((1, 1, 10, 5)) == [(1, 1, 8, 5), (8, 1, 10, 5)]
+    w, h = F.lit(4), F.lit(2)
+    assert list(spark.range(1).select(*geo.raster_bounds((10, 1, 0, 20, 0, -1), w, h)).first()) == [10, 18, 14, 20]
+    assert list(spark.range(1).select(*geo.raster_bounds((0, 0, 1, 0, 1, 0), w, h)).first()) == [0, 0, 2, 4]
+
+
 def test_quadtree_splits_only_full_cells(spark):
     pts = spark.createDataFrame([(0.1, 0.1)] * 5 + [(0.9, 0.9)], "x double, y double")
     out = sorted(tuple(r) for r in scenes.quadtree(pts, "x", "y", (0, 0, 1, 1), most=4, depth=3).collect())

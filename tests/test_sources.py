@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.functions import geo
 from gridloom.operators.tiles import extent
 from gridloom.sources import files, sinks
 from gridloom.streaming import tiles as streams
@@ -63,6 +64,18 @@ def test_lists_and_sidecars(spark, tmp_path):
     assert rings.count() == 3 and list(files.envelope(rings).first()) == [0, 0, 10, 9]
 
 
+def test_listings_and_outlines_in_metres(spark, tmp_path):
+    for d, f in (("2024/07/01", "a"), ("2024/07/01", "b"), ("2024/01/01", "a")):
+        (tmp_path / "store" / d / f).mkdir(parents=True)
+        (tmp_path / "store" / d / f / "x.tif").write_bytes(b"1")
+    (tmp_path / "store" / "notes.tif").write_bytes(b"1")
+    assert sorted(tuple(r) for r in files.listing(spark, str(tmp_path / "store"), "*.tif").collect()) == [("2024/01/01", "a"), ("2024/07/01", "a"), ("2024/07/01", "b")]
+    ring = [[0, 0], [geo.HALF_WORLD / 2, 0], [geo.HALF_WORLD / 2, geo.HALF_WORLD], [0, 0]]
+    shapes = {"crs": {"properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [{"geometry": {"type": "Polygon", "coordinates": [ring]}}]}
+    (tmp_path / "m.json").write_text(json.dumps(shapes))
+    assert list(files.envelope(files.outlines(spark, str(tmp_path / "m.json"))).first()) == pytest.approx([0, 0, 90, 85.0511287798066])
+
+
 def tiles(spark, n=40):
     return spark.range(n).select(F.lit(4).alias("z"), (F.col("id") % 16).cast("int").alias("tx"), F.floor(F.col("id") / 16).cast("int").alias("ty"), F.encode(F.concat(F.lit("tile"), F.col("id").cast("string")), "UTF-8").alias("content"))
 
