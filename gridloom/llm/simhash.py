@@ -17,11 +17,13 @@ other columns are ignored.
 
 The filtering stage, ``keep_one``, goes by similarity and not by fingerprint: texts link at a Jaccard similarity of
 ``SIMILAR`` = 0.8 or more of their sets of five-word shingles. Such texts differ in some ten of 64 fingerprint bits, a
-radius at which one-wildcard segments are eight bits or shorter and every two texts meet. Its candidates
-therefore share one of ``BANDS`` = 20 keys of ``ROWS`` = 4 least hashes each (a pair at 0.8 is missed with a chance of
-3 in 100,000, a closer one more rarely), and every link is verified on the shingles themselves. Equal sets collapse
-first. The members of a key are first compared with one of them, then only those of different components, in blocks, by
-lists of what each shingle stands in; a task emits a spanning forest.
+radius at which one-wildcard segments are eight bits or shorter and every two texts meet. Its signatures are therefore of
+least hashes, of which a share equal to the similarity agrees, and not of bits; they are cut, varied and joined in the same way: ``SEGMENTS`` =
+8 segments of ``SYMBOLS`` = 5 least hashes, each filed without each one of its symbols in turn, so that two segments
+that differ in at most one symbol share a variant. A pair at 0.8 has no such segment with a chance of 2 in 100,000, a closer one more
+rarely. Every link is verified on the shingles themselves. Equal sets collapse first, and variants with the same members are one. The
+members of a variant are first compared with one of them, then only those of different components, in blocks, by lists of what each shingle
+stands in; a task emits a spanning forest.
 """
 
 from __future__ import annotations
@@ -37,9 +39,9 @@ from pyspark.sql import functions as F
 from .common import components, staged, table
 
 WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
-STAGE_WORDS, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
+STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
 # Fixed odd factors and masks: each pair makes another order of the hashes.
-FACTORS, MASKS = (np.random.default_rng(SEED).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1))
+FACTORS, MASKS = (np.random.default_rng(SEED).integers(1, 1 << 63, (2, SEGMENTS * SYMBOLS), np.uint64) * np.uint64(2) + np.uint64(1))
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -150,25 +152,26 @@ def shingles(text: str | None, words: int = STAGE_WORDS) -> np.ndarray:
     return np.unique(np.array([of(b" ".join(parts[i : i + words]), SEED) for i in range(max(1, len(parts) - words + 1))], np.uint64))
 
 
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys of a set of shingles, each of the least of its hashes in ``ROWS`` orders."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def variant_keys(own: np.ndarray) -> np.ndarray:
+    """The keys of a set of shingles: of each segment of its least hashes, in an order for each, those without one of them."""
+    least = np.full(SEGMENTS * SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for a in range(0, len(own), 4096):  # bounded memory for long texts
         least = np.minimum(least, ((own[a : a + 4096, None] ^ MASKS) * FACTORS).min(0))
-    return np.array([xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+    keys = [xxhash.xxh64_intdigest(np.delete(x, i).tobytes(), s * SYMBOLS + i) for s, x in enumerate(least.reshape(SEGMENTS, SYMBOLS)) for i in range(SYMBOLS)]
+    return np.array(keys, np.uint64).view(np.int64)
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, th, sig long: a hash of the set of shingles, size int of the set, bands array<long>)."""
+    """Rows (key, th, sig long: a hash of the set of shingles, size int of the set, variants array<long>)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingles(x) for x in b["text"]]
             sig = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": b["key"], "th": b["th"], "sig": sig, "size": [len(x) for x in sets], "bands": [band_keys(x) for x in sets]})
+            yield pd.DataFrame({"key": b["key"], "th": b["th"], "sig": sig, "size": [len(x) for x in sets], "variants": [variant_keys(x) for x in sets]})
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, bands array<long>")
+    return rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, variants array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,13 +229,13 @@ def similar_forest(root: list[int], sets: list[np.ndarray], side: list[int]) ->
 
 
 def cross_links(rows: DataFrame, sets: DataFrame, block: int = BLOCK, room: int = ROOM) -> DataFrame:
-    """Edges (a, b) that, with the roots, connect what all links within the bands do. rows: (band, sig, size, root). Only bands
+    """Edges (a, b) that, with the roots, connect what all links within the variants do. rows: (variant, sig, size, root). Only variants
     of several roots are looked at, each in one task; those of over ``block`` sets or ``room`` shingles as pairs of blocks. A task
     emits a spanning forest, never the pairs."""
-    split = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.greatest(F.count("*") / block, F.sum("size") / room)).cast("long").alias("parts"))
-    dealt = rows.join(split.where("low < high").select("band", "parts"), "band").join(sets, "sig").withColumn("c", F.pmod(F.xxhash64("sig"), "parts"))
+    split = rows.groupBy("variant").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.greatest(F.count("*") / block, F.sum("size") / room)).cast("long").alias("parts"))
+    dealt = rows.join(split.where("low < high").select("variant", "parts"), "variant").join(sets, "sig").withColumn("c", F.pmod(F.xxhash64("sig"), "parts"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("d"))
-    dealt = dealt.select("band", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q"), "c", "sig", "root", "own")
+    dealt = dealt.select("variant", F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q"), "c", "sig", "root", "own")
 
     def forest_of(group: list[tuple]) -> list[tuple[int, int]]:
         side, sig, root, own = zip(*group, strict=True)
@@ -244,29 +247,32 @@ def cross_links(rows: DataFrame, sets: DataFrame, block: int = BLOCK, room: int
         group, now = [], None
         for batch in batches:
             out = []
-            for band, p, q, *rest in batch.itertuples(index=False, name=None):
-                if (band, p, q) != now and group:
+            for variant, p, q, *rest in batch.itertuples(index=False, name=None):
+                if (variant, p, q) != now and group:
                     out += forest_of(group)
                     group = []
-                now = band, p, q
+                now = variant, p, q
                 group.append(rest)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
         if group:
             yield pd.DataFrame(forest_of(group), columns=["a", "b"], dtype="int64")
 
-    return dealt.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q").mapInPandas(run, "a long, b long").distinct()
+    return dealt.repartition("variant", "p", "q").sortWithinPartitions("variant", "p", "q").mapInPandas(run, "a long, b long").distinct()
 
 
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, th, root), one for each document: root is one for the texts that links of similarity connect."""
     marked = staged(sketches(docs, key, text), "sketches")
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
-    nodes = marked.groupBy("sig").agg(first, F.first("size").alias("size"), F.first("bands").alias("bands")).where("size > 0")
-    nodes = staged(nodes.select("sig", "s.key", "s.th", "size", "bands"), "distinct")
-    filed = nodes.select("sig", "size", F.explode("bands").alias("band"))
-    hub = F.min(F.struct(F.xxhash64("sig", "band").alias("order"), "sig"))["sig"].alias("hub")
-    met = filed.groupBy("band").agg(F.count("*").alias("n"), hub).where("n > 1")
-    rows = staged(filed.join(met, "band"), "bands")
+    nodes = marked.groupBy("sig").agg(first, F.first("size").alias("size"), F.first("variants").alias("variants")).where("size > 0")
+    nodes = staged(nodes.select("sig", "s.key", "s.th", "size", "variants"), "distinct")
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.count() // 50_000)
+    filed = nodes.select("sig", "size", "variants").repartition(tasks, "sig").select("sig", "size", F.explode("variants").alias("variant"))
+    # Of variants with the same members one will do: by count and two hashes of the members.
+    hub = F.min(F.struct(F.xxhash64("sig").alias("order"), "sig"))["sig"].alias("hub")
+    met = filed.groupBy("variant").agg(F.count("*").alias("n"), hub, F.bit_xor(F.xxhash64("sig")).alias("m1"), F.bit_xor(F.xxhash64(F.lit("again"), "sig")).alias("m2")).where("n > 1")
+    met = met.groupBy("n", "m1", "m2").agg(F.min("variant").alias("variant"), F.first("hub").alias("hub")).select("variant", "hub")
+    rows = staged(filed.join(staged(met, "met"), "variant"), "variants")
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -276,10 +282,10 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     texts = texts.join(need, texts["key"].eqNullSafe(need["_key"]) & (texts["th"] == need["_th"])).select("sig", "text").dropDuplicates(["sig"])
     sets = staged(texts.mapInPandas(own, "sig long, own binary"), "shingles")
-    pairs = rows.where("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
+    pairs = staged(rows.where("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct(), "pairs")
     links = staged(verified(pairs, sets), "links")
     groups = components(links)
-    open_ = rows.join(groups, rows["sig"] == groups["node"], "left").select("band", "sig", "size", F.coalesce("root", "sig").alias("root"))
+    open_ = rows.join(groups, rows["sig"] == groups["node"], "left").select("variant", "sig", "size", F.coalesce("root", "sig").alias("root"))
     more = staged(cross_links(staged(open_, "open"), sets), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))

@@ -276,7 +276,22 @@ def test_keep_one_drops_texts_of_similarity_and_no_others(spark):
     assert {r.doc_id for r in simhash.keep_one(frame).collect()} == want
 
 
-def test_links_across_a_common_band_equal_all_pairs(spark):
+def test_segments_that_differ_in_one_symbol_share_a_variant():
+    rnd = np.random.default_rng(0)
+    missed = met = 0
+    for _ in range(400):
+        words_ = rnd.integers(0, 1 << 63, 220, np.uint64)
+        a, b = np.unique(words_[:190]), np.unique(words_[20:210])  # 170 of 210 in common: 0.81
+        x, y = simhash.variant_keys(a), simhash.variant_keys(b)
+        least = lambda s: ((s[:, None] ^ simhash.MASKS) * simhash.FACTORS).min(0).reshape(simhash.SEGMENTS, simhash.SYMBOLS)
+        near = ((least(a) != least(b)).sum(1) <= 1).any()
+        assert near == bool((x == y).any())
+        missed += not near
+        met += bool((simhash.variant_keys(np.unique(words_[:100])) == simhash.variant_keys(np.unique(words_[100:200]))).any())
+    assert missed <= 1 and met == 0
+
+
+def test_links_across_a_common_variant_equal_all_pairs(spark):
     rnd = random.Random(5)
     base = rnd.sample(range(1 << 40), 60)
     sets = [set(base)]
@@ -302,7 +317,7 @@ def test_links_across_a_common_band_equal_all_pairs(spark):
     some = groups(like[::9], root)
     held = spark.createDataFrame([(x, np.sort(np.array(list(own), np.uint64)).tobytes()) for x, own in zip(sigs, sets)], "sig long, own binary")
     for known in (root, some):
-        rows = spark.createDataFrame([(1, x, len(own), known[x]) for x, own in zip(sigs, sets)], "band long, sig long, size int, root long")
+        rows = spark.createDataFrame([(1, x, len(own), known[x]) for x, own in zip(sigs, sets)], "variant long, sig long, size int, root long")
         for block, room in ((2048, 1 << 20), (9, 1 << 20), (2048, 700)):
             edges = [tuple(r) for r in simhash.cross_links(rows, held, block, room).collect()]
             assert groups(edges, known) == groups(like, root) and (block < 2048 or room < 1000 or len(edges) < len(sets))
