@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import carried, kind_of, restored, table
 
 MAX_STATES, MAX_WORDS, LONG_WORD, FLUSH = 250_000, 200_000, 16, 1 << 12
 
@@ -271,8 +271,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
         for b in batches:
             yield pd.DataFrame({"key": b["key"], "ids": [own.encode(x or "") for x in b["text"]]})
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    own, kind = carried(docs, key)
+    return restored(docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, ids array<int>"), "key", kind_of(docs, key), key)
 
 
 def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -284,8 +284,8 @@ def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", path: str |
         for b in batches:
             yield pd.DataFrame({"key": b["key"], "text": [own.decode(() if x is None else x) for x in b["ids"]]})
 
-    kind = tokens.schema[key].dataType.simpleString()
-    return tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInPandas(run, f"key {kind}, text string").withColumnRenamed("key", key)
+    own, kind = carried(tokens, key)
+    return restored(tokens.select(own.alias("key"), F.col(ids).alias("ids")).mapInPandas(run, f"key {kind}, text string"), "key", kind_of(tokens, key), key)
 
 
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -302,9 +302,9 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
                 rows.append((k, len(ids), sha(" ".join(map(str, ids)).encode()), sha(own.decode(ids).encode("utf-8"))))
             yield pd.DataFrame(rows, columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    own, kind = carried(docs, key)
+    rows = docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return restored(rows, "key", kind_of(docs, key), key)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..operators.staging import few, shared_dir, staged, unstaged
 
-__all__ = ["components", "few", "shared_dir", "staged", "table", "unstaged"]
+__all__ = ["carried", "components", "few", "kind_of", "restored", "shared_dir", "staged", "table", "unstaged"]
+
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data folder, by Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def kind_of(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
+
+
+def carried(df: DataFrame, name: str) -> tuple[Column, str]:
+    """A key as it goes through pandas, and its type there: whole numbers go as text, as pandas turns them into floats, exact only
+    below 2^53, where a null stands beside them. ``restored`` turns them back."""
+    kind = kind_of(df, name)
+    return (F.col(name).cast("string"), "string") if kind in WHOLE else (F.col(name), kind)
+
+
+def restored(df: DataFrame, name: str, kind: str, to: str | None = None) -> DataFrame:
+    return df.withColumns({name: F.col(name).cast(kind)}).withColumnRenamed(name, to or name)

@@ -95,7 +95,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
             yield b.assign(dim=b["v"].map(len), p=values)
 
     kinds = dict(rows.dtypes)
-    filed = own.select("label", "node", "n", "least", "v").mapInPandas(project, f"label {kinds['label']}, node long, n long, least {kinds['key']}, v array<double>, dim int, p array<float>")
+    filed = own.select("label", "node", "n", "v").mapInPandas(project, f"label {kinds['label']}, node long, n long, v array<double>, dim int, p array<float>")
     filed = staged(filed, "projected")
     spread = filed.groupBy("label", "dim").agg(*(F.var_pop(F.get("p", F.lit(i))).alias(f"s{i}") for i in range(counted)))
     widths = F.array(*(F.coalesce(F.col(f"s{i}"), F.lit(-1.0)) for i in range(counted)))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import carried, kind_of, table
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -370,9 +370,10 @@ def extract(pages: DataFrame, model: Crf | None = None, key: str = "page_id", ur
             text = [main_text(x, model) for x in b["html"]]
             yield pd.DataFrame({"key": b["key"], "url": b["url"], "text": text, "n_chars": [len(x) for x in text]})
 
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    shape = f"key {rows.schema['key'].dataType.simpleString()}, url string, text string, n_chars long"
-    return rows.mapInPandas(run, shape).withColumnsRenamed({"key": key, "url": url})
+    own, kind = carried(pages, key)
+    rows = pages.select(own.alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
+    found = rows.mapInPandas(run, f"key {kind}, url string, text string, n_chars long")
+    return found.select(F.col("key").cast(kind_of(pages, key)).alias(key), F.col("url").alias(url), "text", "n_chars")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

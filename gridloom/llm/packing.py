@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import staged, table
+from .common import carried, kind_of, restored, staged, table
 
 CAPACITY, END, GROUPS, SMALL = 1024, 2, 128, 4
 # Fixed value: what the pattern's \s stands for (Unicode's White_Space), in long runs.
@@ -104,9 +104,9 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
                     rows.append((k, i, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
             yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, piece int, start long, length long, ids_crc32 long").withColumnRenamed("key", key)
+    own, kind = carried(docs, key)
+    rows = docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, piece int, start long, length long, ids_crc32 long")
+    return restored(rows, "key", kind_of(docs, key), key)
 
 
 def configuration(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
@@ -240,9 +240,10 @@ def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, groups
                 seq[at] = base[i] + (rank[at] - first[i]) // each[i]
             yield b.assign(sequence_id=seq)
 
-    kept = ranked.select(*parts.columns, "_rank")
+    own, _ = carried(parts, key)
+    kept = ranked.select(*(own.alias(c) if c == key else c for c in parts.columns), "_rank")
     shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "sequence_id long"])
-    placed = kept.mapInPandas(place, shape)
+    placed = restored(kept.mapInPandas(place, shape), key, kind_of(parts, key))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "_rank").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0))).drop("_rank")
 

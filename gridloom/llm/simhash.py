@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, staged, table
+from .common import carried, components, kind_of, restored, staged, table
 
 WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
 STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
@@ -65,9 +65,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             fp = np.array([fingerprint(x, words) for x in b["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"key": b["key"], "th": b["th"], "fp": fp})
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, th long, fp long")
+    own, kind = carried(docs, key)
+    rows = docs.select(own.alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return restored(rows.mapInPandas(run, f"key {kind}, th long, fp long"), "key", kind_of(docs, key))
 
 
 def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
@@ -169,9 +169,9 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             sig = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
             yield pd.DataFrame({"key": b["key"], "th": b["th"], "sig": sig, "size": [len(x) for x in sets], "variants": [variant_keys(x) for x in sets]})
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, variants array<long>")
+    own, kind = carried(docs, key)
+    rows = docs.select(own.alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return restored(rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, variants array<long>"), "key", kind_of(docs, key))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged, table
@@ -255,10 +255,17 @@ def _halved(hot: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _identity(docs: DataFrame, key: str, text: str) -> tuple[Column, Column]:
+    """What a row is known by: its key, and a hash of its text and of whether the key is null. The key is made not null, as
+    pandas would turn whole numbers beside nulls into floats."""
+    kind = docs.schema[key].dataType
+    some = F.coalesce(F.col(key), F.lit("0").cast(kind))
+    return some.alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(key).isNull()).alias("th")
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """Rows (key, th: xxhash64 of the text, cuts: array of struct(a, b)), for texts that lose bytes: a..b, without b."""
-    docs = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text")).where(F.octet_length("text") >= length)
-    docs = docs.withColumn("th", F.xxhash64("text"))
+    """Rows (key, th, cuts: array of struct(a, b)), for texts that lose bytes: a..b, without b. key and th: of ``_identity``."""
+    docs = docs.select(*_identity(docs, key, text), F.coalesce(text, F.lit("")).alias("text")).where(F.octet_length("text") >= length)
     spans = staged(_spans_of(docs, length, gram), "spans")
     # Most seeds stand once; only the spans of the others go on.
     twice = staged(spans.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "seeds")
@@ -268,7 +275,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     need = kinds.join(several, "seed").select("seed", "m", "c1", "c2", (F.col("n") == 1).alias("lone"), "at.*")
     # One text for each open span, fetched once.
     lists = need.groupBy("key", "th").agg(F.collect_list(F.struct("seed", "m", "c1", "c2", "lone", "a", "b", "o")).alias("want"))
-    texts = docs.join(lists.select(F.col("key").alias("k"), F.col("th").alias("t"), "want"), docs["key"].eqNullSafe(F.col("k")) & (F.col("th") == F.col("t")))
+    texts = docs.join(lists.select(F.col("key").alias("k"), F.col("th").alias("t"), "want"), (docs["key"] == F.col("k")) & (F.col("th") == F.col("t")))
     texts = texts.select("th", "key", F.col("text").cast("binary").alias("data"), F.explode("want").alias("w")).select(
         "w.*", F.expr(f"substring(data, w.a + 1, w.b - w.a + {length})").alias("span")
     )
@@ -317,8 +324,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     found = repeated_spans(docs, key, text, length, gram, hot)
     found = found.mapInPandas(merge, found.schema).withColumnsRenamed({"key": "k", "th": "t"})
     # The input's row is kept as one value, so that its names meet none of those used here.
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.struct("*").alias("row"))
-    rows = rows.join(found, rows["key"].eqNullSafe(found["k"]) & (rows["th"] == found["t"]), "left")
+    rows = docs.select(*_identity(docs, key, text), F.struct("*").alias("row"))
+    rows = rows.join(found, (rows["key"] == found["k"]) & (rows["th"] == found["t"]), "left")
     rows = rows.select("row", "cuts", F.coalesce(F.col("row").getField(text), F.lit("")).cast("binary").alias("data"))
     part = lambda a, n: F.call_function("substring", F.col("data"), a + 1, n)
     runs = F.coalesce("cuts", F.array().cast("array<struct<a:int,b:int>>"))

@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import carried, kind_of, restored, staged, table
 
 SAMPLE, FOLDS, STEM = 20_000, 5, 5
 # Second-person words of the four languages.
@@ -112,10 +112,11 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     taught = staged(taught.withColumn("fold", F.pmod(F.col("kin"), F.lit(5))).drop("kin"), "taught")
     counts = {(r.toxic, r.spare): r.n for r in taught.groupBy("toxic", (F.col("fold") == 0).alias("spare")).agg(F.count("*").alias("n")).collect()}
     clean, toxic = (sum(n for (t, _), n in counts.items() if t == kind) for kind in (0, 1))
-    base = docs.select(F.col(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
+    own, _ = carried(docs, key)
+    base = docs.select(own.alias(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
     if not clean or not toxic:
         flat = float(toxic > 0)
-        return base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat)).alias("_predicted"))
+        return restored(base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat)).alias("_predicted")), key, kind_of(docs, key))
     words, stems = lexicon(taught, clean, toxic)
     rows = staged(with_features(taught, "text", words, stems).select("toxic", "fold", array_to_vector("_features").alias("features")).coalesce(6), "features")
     both = lambda spare: (0, spare) in counts and (1, spare) in counts
@@ -127,7 +128,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # A thousandth of the trees' own probability keeps the order within the calibration's steps.
     level = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.999 * F.col("level") + 0.001 * F.col("raw")))
     done = curve.transform(raw(seen)).select(key, "_th", "_held_out", level.alias("_score"))
-    return done.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int"))
+    return restored(done.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int")), key, kind_of(docs, key))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -446,6 +446,33 @@ def test_licences(spark):
     assert plain_scan(header)[1:] == (("Apache-2.0",), 0)
 
 
+def test_large_ids_beside_nulls_stay_whole(spark):
+    big = (1 << 62) + 1
+    text = words(random.Random(1), 90)
+    rows = [(big, text), (None, text), (big + 2, "some other text of no interest"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keys = sorted((str(r[0]) for r in rows))
+    ids = lambda df: sorted(str(r.doc_id) for r in df.select("doc_id").collect())
+    tokens = bpe.encode(docs)
+    assert ids(tokens) == ids(bpe.decode(tokens)) == ids(bpe.round_trip(docs)) == keys
+    assert ids(packing.pack_documents(docs)) == ids(simhash.near_duplicates(docs)) == keys
+    got = {str(r.doc_id): r._n_removed for r in suffix_dedup.remove_repeats(docs).where("text is not null").collect()}
+    assert got == {str(big): len(text), "None": len(text), str(big + 2): 0}
+    assert {r.component_id for r in simhash.near_duplicates(docs).where(F.col("fingerprint") != "0" * 16).collect()} == {big, big + 2}
+    assert ids(simhash.keep_one(docs.where("text is not null"))) == [str(big), str(big + 2)]
+    labels = spark.createDataFrame([(big, 0, 0), (big + 2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert ids(toxicity.score(docs, labels)) == ids(toxicity.drop_toxic(docs, labels)) == keys
+
+
+def test_very_long_texts():
+    rnd = random.Random(3)
+    long_ = " ".join(rnd.choice(("bad", "you", "so", "Ü!", "B4d", "x" * 50)) for _ in range(400_000))
+    found = toxicity.features(long_, frozenset({"bad"}), frozenset({"xxxxx"}))
+    plain = long_.lower().split()
+    assert found[0] == sum(w == "bad" for w in plain) and len(found) == toxicity.WIDTH
+    assert simhash.fingerprint(long_) == simhash.fingerprint(long_ + " ") and len(simhash.variant_keys(simhash.shingles(long_))) == 40
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert bpe.round_trip(none).count() == 0
