@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm.common import staged, table
+from gridloom.llm.common import staged, table, unstaged
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.simhash import keep_one
 from gridloom.llm.suffix_dedup import without_repeats
@@ -49,8 +49,8 @@ ORACLE_SQL = None  # SQL can express none of the stages; tests hold them against
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = staged(docs, f"stage{i}")
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"stage{i}")
+        if i:
+            unstaged(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
