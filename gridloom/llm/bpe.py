@@ -22,7 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import public_tokenizers
@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, kind_of, restored, table
+from .common import carried, kind_of, map_texts, restored, table
 
 MAX_STATES, MAX_WORDS, LONG_WORD, FLUSH = 250_000, 200_000, 16, 1 << 12
 
@@ -266,13 +266,11 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     """Rows (key, ids array<int>)."""
     path = path or vocabulary()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[str | None], list[tuple]]:
         own = codec(path)
-        for b in batches:
-            yield pd.DataFrame({"key": b["key"], "ids": [own.encode(x or "") for x in b["text"]]})
+        return lambda x: [(own.encode(x or ""),)]
 
-    own, kind = carried(docs, key)
-    return restored(docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, ids array<int>"), "key", kind_of(docs, key), key)
+    return map_texts(docs.select(F.col(key).alias(key), F.col(text).alias("_text")), "_text", made, "ids array<int>", 1000)
 
 
 def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -291,20 +289,18 @@ def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", path: str |
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Rows (key, n_tokens, ids_sha256, decoded_sha256): encoded, and decoded from the ids, in one pass."""
     path = path or vocabulary()
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[str | None], list[tuple]]:
         own = codec(path)
-        sha = lambda x: hashlib.sha256(x).hexdigest()
-        for b in batches:
-            rows = []
-            for k, x in zip(b["key"], b["text"], strict=True):
-                ids = own.encode(x or "")
-                rows.append((k, len(ids), sha(" ".join(map(str, ids)).encode()), sha(own.decode(ids).encode("utf-8"))))
-            yield pd.DataFrame(rows, columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    own, kind = carried(docs, key)
-    rows = docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return restored(rows, "key", kind_of(docs, key), key)
+
+        def trip(text: str | None) -> list[tuple]:
+            ids = own.encode(text or "")
+            return [(len(ids), sha(" ".join(map(str, ids)).encode()), sha(own.decode(ids).encode("utf-8")))]
+
+        return trip
+
+    return map_texts(docs.select(F.col(key).alias(key), F.col(text).alias("_text")), "_text", made, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..operators.staging import few, shared_dir, staged, unstaged
 
-__all__ = ["carried", "components", "few", "kind_of", "restored", "shared_dir", "staged", "table", "unstaged"]
+__all__ = ["carried", "components", "few", "kind_of", "map_texts", "restored", "shared_dir", "staged", "table", "unstaged"]
 
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 
@@ -18,6 +21,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_texts(rows: DataFrame, text: str, made: Callable[[], Callable[[str | None], Iterable[tuple]]], out: str, limit: int = 20_000) -> DataFrame:
+    """The other columns of ``rows`` and the columns ``out`` (a schema), a row for each tuple that ``made()``, called once a task,
+    gives for a text. Texts are decoded one at a time and what is made leaves in parts of about ``limit`` rows, so that a
+    task holds no more than Spark's own batch; the other columns pass through Arrow unchanged, nulls and large numbers too."""
+    kept = [c for c in rows.columns if c != text]
+    schema = ", ".join([*(f"`{c}` {kind_of(rows, c)}" for c in kept), out])
+    made_schema = _arrow_schema(rows.sparkSession, out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = made()
+
+        def part(batch: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.RecordBatch:
+            own = [batch.column(c).take(pa.array(at, pa.int32())) for c in kept]
+            new = [pa.array(v, f.type) for v, f in zip(zip(*found, strict=True) if found else [[]] * len(made_schema), made_schema, strict=True)]
+            return pa.RecordBatch.from_arrays([*own, *new], names=[*kept, *made_schema.names])
+
+        for batch in batches:
+            at, found = [], []
+            for i, x in enumerate(batch.column(text)):
+                for values in of(x.as_py()):
+                    at.append(i)
+                    found.append(values)
+                if len(at) >= limit:
+                    yield part(batch, at, found)
+                    at, found = [], []
+            yield part(batch, at, found)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def kind_of(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

@@ -22,14 +22,13 @@ import html as html_lib
 import random
 import re
 from collections import Counter
-from collections.abc import Container, Iterator, Sequence
+from collections.abc import Callable, Container, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, kind_of, table
+from .common import map_texts, table
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -365,15 +364,12 @@ def extract(pages: DataFrame, model: Crf | None = None, key: str = "page_id", ur
     """Rows (key, url, text string, n_chars long: its code points)."""
     model = model or default_model()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            text = [main_text(x, model) for x in b["html"]]
-            yield pd.DataFrame({"key": b["key"], "url": b["url"], "text": text, "n_chars": [len(x) for x in text]})
+    def made() -> Callable[[str | None], list[tuple]]:
+        return lambda x: [(found := main_text(x, model), len(found))]
 
-    own, kind = carried(pages, key)
-    rows = pages.select(own.alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    found = rows.mapInPandas(run, f"key {kind}, url string, text string, n_chars long")
-    return found.select(F.col("key").cast(kind_of(pages, key)).alias(key), F.col("url").alias(url), "text", "n_chars")
+    rows = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(html).alias("_html"))
+    found = map_texts(rows, "_html", made, "text string, n_chars long", 1000)
+    return found.select(F.col("_key").alias(key), F.col("_url").alias(url), "text", "n_chars")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

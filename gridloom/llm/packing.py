@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import carried, kind_of, restored, staged, table
+from .common import carried, kind_of, map_texts, restored, staged, table
 
 CAPACITY, END, GROUPS, SMALL = 1024, 2, 128, 4
 # Fixed value: what the pattern's \s stands for (Unicode's White_Space), in long runs.
@@ -92,21 +92,20 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     if key in RESULTS:
         raise ValueError(f"the key is named like a result: {key}")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made() -> Callable[[str | None], Iterator[tuple]]:
         encode = tokenizer(path)
-        for b in batches:
-            rows = []
-            for k, text in zip(b["key"], b["text"], strict=True):
-                ids = np.array(array("I", [*encode(text or ""), end]), "<u4")
-                first = (len(ids) - 1) % capacity + 1
-                for i, stop in enumerate(range(first, len(ids) + 1, capacity)):
-                    start = stop - capacity if i else 0
-                    rows.append((k, i, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
-            yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32"])
-
-    own, kind = carried(docs, key)
-    rows = docs.select(own.alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, piece int, start long, length long, ids_crc32 long")
-    return restored(rows, "key", kind_of(docs, key), key)
+
+        def cut(text: str | None) -> Iterator[tuple]:
+            ids = np.array(array("I", [*encode(text or ""), end]), "<u4")
+            first = (len(ids) - 1) % capacity + 1
+            for i, stop in enumerate(range(first, len(ids) + 1, capacity)):
+                start = stop - capacity if i else 0
+                yield i, start, stop - start, zlib.crc32(ids[start:stop].tobytes())
+
+        return cut
+
+    rows = docs.select(F.col(key).alias(key), F.col(text).alias("_text"))
+    return map_texts(rows, "_text", made, "piece int, start long, length long, ids_crc32 long")
 
 
 def configuration(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import carried, components, kind_of, restored, staged, table
+from .common import components, map_texts, staged, table
 
 WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
 STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
@@ -60,14 +60,9 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """Rows (key, th long: xxhash64 of the text, fp long: the fingerprint's 64 bits as a signed number)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([fingerprint(x, words) for x in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": b["key"], "th": b["th"], "fp": fp})
-
-    own, kind = carried(docs, key)
-    rows = docs.select(own.alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return restored(rows.mapInPandas(run, f"key {kind}, th long, fp long"), "key", kind_of(docs, key))
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    signed = lambda x: ((fingerprint(x, words) + (1 << 63)) % (1 << 64) - (1 << 63),)
+    return map_texts(rows, "text", lambda: lambda x: [signed(x)], "fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
@@ -163,15 +158,12 @@ def variant_keys(own: np.ndarray) -> np.ndarray:
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, th, sig long: a hash of the set of shingles, size int of the set, variants array<long>)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [shingles(x) for x in b["text"]]
-            sig = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": b["key"], "th": b["th"], "sig": sig, "size": [len(x) for x in sets], "variants": [variant_keys(x) for x in sets]})
+    def sketch(text: str | None) -> list[tuple]:
+        own = shingles(text)
+        return [(int(np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).view(np.int64)), len(own), variant_keys(own))]
 
-    own, kind = carried(docs, key)
-    rows = docs.select(own.alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return restored(rows.mapInPandas(run, f"key {kind}, th long, sig long, size int, variants array<long>"), "key", kind_of(docs, key))
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    return map_texts(rows, "text", lambda: sketch, "sig long, size int, variants array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -274,14 +266,10 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     met = met.groupBy("n", "m1", "m2").agg(F.min("variant").alias("variant"), F.first("hub").alias("hub")).select("variant", "hub")
     rows = staged(filed.join(staged(met, "met"), "variant"), "variants")
 
-    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"sig": b["sig"], "own": [shingles(x).tobytes() for x in b["text"]]})
-
     need = nodes.join(rows.select("sig").distinct(), "sig", "left_semi").select("sig", F.col("key").alias("_key"), F.col("th").alias("_th"))
     texts = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     texts = texts.join(need, texts["key"].eqNullSafe(need["_key"]) & (texts["th"] == need["_th"])).select("sig", "text").dropDuplicates(["sig"])
-    sets = staged(texts.mapInPandas(own, "sig long, own binary"), "shingles")
+    sets = staged(map_texts(texts, "text", lambda: lambda x: [(shingles(x).tobytes(),)], "own binary"), "shingles")
     pairs = staged(rows.where("sig != hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct(), "pairs")
     links = staged(verified(pairs, sets), "links")
     groups = components(links)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import map_texts, staged, table
 
 LENGTH, GRAM, HOT = 400, 64, 2048
 PIECE, BLOCK = 1 << 20, 1 << 19  # bytes hashed at once; bytes indexed at once
@@ -189,21 +189,12 @@ def _common(word: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) ->
 
 
 def _spans_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows, size = [], 0
-            for key, th, text in zip(batch["key"], batch["th"], batch["text"], strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                for a, b, place, seed in seeds(data, length, gram):
-                    rows.append((key, th, a, b, a - place, seed, *_halves(data[a : b + length])))
-                    if len(rows) >= 50_000:
-                        yield pd.DataFrame(rows, columns=cols)
-                        rows = []
-            yield pd.DataFrame(rows, columns=cols)
-
-    cols = ["key", "th", "a", "b", "o", "seed", "c1", "c2"]
-    kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInPandas(run, f"key {kind}, th long, a int, b int, o int, seed long, c1 long, c2 long")
+    def spans(text: str) -> Iterator[tuple]:
+        data = text.encode("utf-8", "surrogatepass")
+        for a, b, place, seed in seeds(data, length, gram):
+            yield a, b, a - place, seed, *_halves(data[a : b + length])
+
+    return map_texts(docs.select("key", "th", "text"), "text", lambda: spans, "a int, b int, o int, seed long, c1 long, c2 long")
 
 
 def _marks(opened: DataFrame, length: int) -> DataFrame:

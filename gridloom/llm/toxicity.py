@@ -16,17 +16,15 @@ scored each on its own; an empty table gives no rows; other columns of ``docs``
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, kind_of, restored, staged, table
+from .common import map_texts, staged, table
 
 SAMPLE, FOLDS, STEM = 20_000, 5, 5
 # Second-person words of the four languages.
@@ -92,13 +90,8 @@ def lexicon(sample: DataFrame, clean: int, toxic: int) -> tuple[frozenset[str],
 
 
 def with_features(docs: DataFrame, text: str, words: frozenset[str], stems: frozenset[str]) -> DataFrame:
-    """The columns of ``docs`` and _features array<double>."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.drop(columns=text).assign(_features=[features(x, words, stems) for x in b[text]])
-
-    rest = docs.drop(text)
-    return docs.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "_features array<double>"]))
+    """The columns of ``docs`` but the text, and _features array<double>."""
+    return map_texts(docs, text, lambda: lambda x: [(features(x, words, stems),)], "_features array<double>")
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", target: str = "toxic", sample: int = SAMPLE) -> DataFrame:
@@ -112,11 +105,10 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     taught = staged(taught.withColumn("fold", F.pmod(F.col("kin"), F.lit(5))).drop("kin"), "taught")
     counts = {(r.toxic, r.spare): r.n for r in taught.groupBy("toxic", (F.col("fold") == 0).alias("spare")).agg(F.count("*").alias("n")).collect()}
     clean, toxic = (sum(n for (t, _), n in counts.items() if t == kind) for kind in (0, 1))
-    own, _ = carried(docs, key)
-    base = docs.select(own.alias(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
+    base = docs.select(F.col(key), F.xxhash64(text).alias("_th"), held_out(key).alias("_held_out"), F.col(text).alias("text"))
     if not clean or not toxic:
         flat = float(toxic > 0)
-        return restored(base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat)).alias("_predicted")), key, kind_of(docs, key))
+        return base.select(key, "_th", "_held_out", F.lit(flat).alias("_score"), F.lit(int(flat)).alias("_predicted"))
     words, stems = lexicon(taught, clean, toxic)
     rows = staged(with_features(taught, "text", words, stems).select("toxic", "fold", array_to_vector("_features").alias("features")).coalesce(6), "features")
     both = lambda spare: (0, spare) in counts and (1, spare) in counts
@@ -128,7 +120,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # A thousandth of the trees' own probability keeps the order within the calibration's steps.
     level = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.999 * F.col("level") + 0.001 * F.col("raw")))
     done = curve.transform(raw(seen)).select(key, "_th", "_held_out", level.alias("_score"))
-    return restored(done.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int")), key, kind_of(docs, key))
+    return done.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
