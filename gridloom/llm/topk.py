@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import few, staged, table
 
 TOP, SCALE, EVERY, PIVOTS, SAMPLE, CANDIDATES, QUERIES = 20, 64, 20, 24, 2048, 16_384, 8192
-CHUNK, STEP, EARLY, RINGS = 128, 2048, 6, 64
+CHUNK, STEP, EARLY, RINGS, LENGTHS = 128, 2048, 6, 64, 10
 EXACT = 1 << 53  # doubles hold whole numbers below this
 
 
@@ -133,23 +133,32 @@ def _nearest(blocks: Column) -> Column:
     return F.coalesce(F.array_position(near, F.array_min(near)), F.lit(0)).cast("int")
 
 
-def _with_few(rows: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
-    """``rows`` joined with a table that is broadcast if it is checked to be small."""
-    return rows.join(F.broadcast(small) if few(small) else small, by)
+def _joined(rows: DataFrame, small: DataFrame, by: list[str], light: bool) -> DataFrame:
+    """``rows`` joined with a table of their groups, which is broadcast if it is known to be small."""
+    return rows.join(F.broadcast(small) if light else small, by)
 
 
-def _filed(rows: DataFrame, size: int, into: str) -> DataFrame:
-    """``rows`` and the name ``into`` of a block of about ``size`` rows: by nearest pivot, ring, and hash."""
-    count = staged(rows.groupBy("dim").agg(F.ceil(F.count("*") / size).alias("b")), "sizes")
-    rows = _with_few(rows, count, ["dim"]).withColumn("cell", _nearest(F.col("b"))).withColumn("near", F.coalesce(F.try_element_at("far", F.col("cell") + 1), F.lit(0.0)))
+def _filed(rows: DataFrame, sizes: DataFrame, size: int, light: bool) -> DataFrame:
+    """``rows`` and the name ``block`` of a block of about ``size`` rows: by nearest pivot, ring, and hash. A length of
+    vectors has at most PIVOTS cells of RINGS rings each, so the tables of these are small if that of the lengths is."""
+    rows = _joined(rows, sizes.select("dim", F.ceil(F.col("n") / size).alias("b")), ["dim"], light).withColumn("cell", _nearest(F.col("b")))
+    rows = rows.withColumn("near", F.coalesce(F.try_element_at("far", F.col("cell") + 1), F.lit(0.0)))
     cells = rows.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("c"), F.percentile_approx("near", [i / RINGS for i in range(1, RINGS)], 1000).alias("cuts"))
-    rows = _with_few(rows, staged(cells, "cells"), ["dim", "cell"])
+    rows = _joined(rows, staged(cells, "cells"), ["dim", "cell"], light)
     ring = F.when(F.col("c") > 1, F.floor(F.size(F.filter("cuts", lambda x: x < F.col("near"))) * F.least(F.col("c"), F.lit(RINGS)) / RINGS)).otherwise(0)
     rows = rows.withColumn("ring", ring.cast("int"))
     rings = staged(rows.groupBy("dim", "cell", "ring").agg(F.ceil(F.count("*") / size).alias("r")), "rings")
-    rows = _with_few(rows, rings, ["dim", "cell", "ring"])
+    rows = _joined(rows, rings, ["dim", "cell", "ring"], light)
     name = F.concat_ws("/", "dim", "cell", "ring", F.pmod(F.xxhash64("row"), "r"))
-    return rows.withColumn(into, name).drop("b", "c", "r", "cell", "near", "cuts", "ring")
+    return rows.withColumn("block", name).drop("b", "c", "r", "cell", "near", "cuts", "ring")
+
+
+def _asking(rows: DataFrame, sizes: DataFrame, size: int, light: bool) -> DataFrame:
+    """Queries and the name ``asking`` of a block of about ``size`` of them: by nearest pivot and hash."""
+    rows = _joined(rows, sizes.select("dim", F.ceil(F.col("m") / size).alias("b")), ["dim"], light).withColumn("cell", _nearest(F.col("b")))
+    cells = staged(rows.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("c")), "asking")
+    name = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("row"), "c"))
+    return _joined(rows, cells, ["dim", "cell"], light).withColumn("asking", name).drop("b", "c", "cell")
 
 
 def _ranges(rows: DataFrame, by: str, *more: Column) -> DataFrame:
@@ -166,7 +175,9 @@ def top_k(vectors: DataFrame, query: Column, k: int = TOP, key: str = "vec_id",
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(~odd).select(F.col(key).cast("long").alias("id"), v.alias("v"), F.coalesce(query, F.lit(False)).alias("asks"))
     rows = staged(rows.withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "rows")
-    filed = staged(_filed(staged(pivot_table(rows), "pivots"), candidates, "block"), "filed")
+    sizes = staged(rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asks").alias("m")), "sizes")
+    light = few(sizes, LENGTHS)
+    filed = staged(_filed(staged(pivot_table(rows), "pivots"), sizes, candidates, light), "filed")
     shape = "row long, query_id long, id long, score long, least long"
 
     def answers(q: pd.DataFrame, x: pd.DataFrame, least: np.ndarray, own: np.ndarray) -> pd.DataFrame:
@@ -186,18 +197,19 @@ def top_k(vectors: DataFrame, query: Column, k: int = TOP, key: str = "vec_id",
     near = staged(filed.groupBy("block").applyInPandas(home, shape), "near")
     floor = near.groupBy("row").agg(F.max("least").alias("least"))
     asked = filed.where("asks").select("row", "id", "v", "dim", "far", F.col("block").alias("home"))
-    asked = staged(_filed(asked, queries, "asking").join(floor, "row", "left").withColumn("least", F.coalesce("least", F.lit(-(1 << 63)))), "asked")
+    asked = staged(_asking(asked, sizes, queries, light).join(floor, "row", "left").withColumn("least", F.coalesce("least", F.lit(-(1 << 63)))), "asked")
     # What the ranges of two blocks allow at most.
     offer = staged(_ranges(filed, "block", F.count("*").alias("n")).select("dim", "block", F.col("low").alias("c_low"), F.col("high").alias("c_high")), "ranges")
     asks = _ranges(asked, "asking", F.min("least").alias("least"))
     gap = F.zip_with(F.zip_with("low", "c_high", lambda x, y: x - y), F.zip_with("c_low", "high", lambda x, y: x - y), lambda x, y: F.greatest(x, y))
     slack = lambda x: F.greatest(x - 1e-6 * (1 + F.get("high", F.lit(0)) + F.get("c_high", F.lit(0))), F.lit(0.0))
     best = (F.pow(F.get("high", F.lit(0)), 2) + F.pow(F.get("c_high", F.lit(0)), 2)) * (1 + 1e-9) / 2 - F.pow(slack(F.coalesce(F.array_max(gap), F.lit(0.0))), 2) / 2 + 1e-6
-    pairs = _with_few(asks, offer, ["dim"]).where(best >= F.col("least")).select("asking", "block")
+    pairs = _joined(asks, offer, ["dim"], few(offer)).where(best >= F.col("least")).select("asking", "block")
     pairs = staged(pairs, "pairs")
+    meet = few(pairs)
     sides = [
-        _with_few(asked, pairs, ["asking"]).select("asking", "block", F.lit(True).alias("asks"), "row", "id", "v", "far", "home", "least"),
-        _with_few(filed, pairs, ["block"]).select("asking", "block", F.lit(False).alias("asks"), "row", "id", "v", "far", F.lit("").alias("home"), F.lit(0).cast("long").alias("least")),
+        _joined(asked, pairs, ["asking"], meet).select("asking", "block", F.lit(True).alias("asks"), "row", "id", "v", "far", "home", "least"),
+        _joined(filed, pairs, ["block"], meet).select("asking", "block", F.lit(False).alias("asks"), "row", "id", "v", "far", F.lit("").alias("home"), F.lit(0).cast("long").alias("least")),
     ]
 
     def away(pdf: pd.DataFrame) -> pd.DataFrame:
