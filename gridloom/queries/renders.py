@@ -223,7 +223,7 @@ def q_quadtree_within(spark, sf_dir):
 AFFINE = (500000.0, 9.5, 1.25, 4000000.0, 0.75, -10.5)
 
 
-@query("q_affine", f"""WITH {GRIDS} SELECT raster_id, "row", col, {AFFINE[0]} + (col + 0.5) * {AFFINE[1]} + ("row" + 0.5) * {AFFINE[2]} AS x, {AFFINE[3]} + (col + 0.5) * {AFFINE[4]} + ("row" + 0.5) * {AFFINE[5]} AS y FROM grids""")
+@query("q_affine", f"""WITH {GRIDS} SELECT raster_id, "row", col, {_number(AFFINE[0])} + (col + 0.5e0) * {_number(AFFINE[1])} + ("row" + 0.5e0) * {_number(AFFINE[2])} AS x, {_number(AFFINE[3])} + (col + 0.5e0) * {_number(AFFINE[4])} + ("row" + 0.5e0) * {_number(AFFINE[5])} AS y FROM grids""")
 def q_affine(spark, sf_dir):
     x, y = geo.affine(AFFINE, F.col("col") + 0.5, F.col("row") + 0.5)
     return grids(spark, sf_dir).select("raster_id", "row", "col", x.alias("x"), y.alias("y"))
@@ -289,7 +289,7 @@ def q_mask_codes(spark, sf_dir):
     return render.masked_codes(grids(spark, sf_dir), lon, lat, masks.discovery(F.col("depth"), False, -32767.0))
 
 
-GEO = f'WITH {GRIDS} SELECT raster_id, raster_id * 100 + (col + 0.5) * 10 AS x, 5000 - ("row" + 0.5) * 10 AS y, round(CAST(CAST(depth AS FLOAT) AS DOUBLE), 3) AS depth FROM grids'
+GEO = f'WITH {GRIDS} SELECT raster_id, raster_id * 100 + (col + 0.5e0) * 10 AS x, 5000 - ("row" + 0.5e0) * 10 AS y, round(CAST(CAST(depth AS FLOAT) AS DOUBLE), 3) AS depth FROM grids'
 
 
 def _geotiffs(spark, sf_dir):
