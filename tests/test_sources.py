@@ -31,6 +31,56 @@ def test_geotiff_round_trip(spark, tmp_path):
         list(files.read_geotiff(b"nothing at all"))
 
 
+def lzw(data):
+    table, width, out, bits = {bytes([i]): i for i in range(256)}, 9, [], lambda code, w: f"{code:0{w}b}"
+    free, word = 258, b""
+    out.append(bits(256, 9))
+    for i in data:
+        if word + bytes([i]) in table:
+            word += bytes([i])
+            continue
+        out.append(bits(table[word], width))
+        table[word + bytes([i])] = free
+        free, word = free + 1, bytes([i])
+        if free > (1 << width) - 1:
+            width += 1
+        if free == 4094:
+            out.append(bits(256, 12))
+            table, width, free = {bytes([k]): k for k in range(256)}, 9, 258
+    out += [bits(table[word], width), bits(257, width + (free + 1 > (1 << width) - 1 and width < 12))]
+    text = "".join(out)
+    return int(text.ljust(-(-len(text) // 8) * 8, "0"), 2).to_bytes(-(-len(text) // 8), "big")
+
+
+def test_tiff_of_lzw_and_differences(spark, tmp_path):
+    rnd = np.random.default_rng(1)
+    data = np.cumsum(rnd.integers(-3, 4, (60, 80)), 1).astype("i2") + 500
+    for raw in (bytes(rnd.integers(0, 4, 30000, np.uint8)), b"a" * 5000, bytes(rnd.integers(0, 256, 9000, np.uint8))):
+        assert files.unlzw(lzw(raw)) == raw
+    steps = np.diff(data, axis=1, prepend=0).astype("<i2").tobytes()
+    plain = sinks.geotiff_bytes(data, 0.0, 0.0, 1.0)
+    packed = zlib.compress(data.astype("<i2").tobytes(), 6)
+    at = plain.index(packed)
+    body = lzw(steps)
+    moved = bytearray(plain + body)
+    head = struct.unpack_from("<I", plain, 4)[0]
+    (n,) = struct.unpack_from("<H", plain, head)
+    for i in range(n):
+        tag, kind, count = struct.unpack_from("<HHI", plain, head + 2 + 12 * i)
+        where = head + 10 + 12 * i
+        if tag == 259:
+            struct.pack_into("<HH", moved, where, 5, 0)
+        elif tag == 273:
+            struct.pack_into("<I", moved, where, len(plain))
+        elif tag == 279:
+            struct.pack_into("<I", moved, where, len(body))
+        elif tag == 284:  # planar configuration gives its place to the predictor
+            struct.pack_into("<HHIHH", moved, head + 2 + 12 * i, 317, 3, 1, 2, 0)
+    assert at > 0
+    blocks = list(files.read_geotiff(bytes(moved)))
+    assert len(blocks) == 1 and (blocks[0][-1] == data).all()
+
+
 def test_zip_and_tree(spark, tmp_path):
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
