@@ -40,6 +40,7 @@ from .common import components, map_texts, staged, table
 
 WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
 STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
+OTHERS = np.array([[j for j in range(SYMBOLS) if j != i] for i in range(SYMBOLS)])
 # Fixed odd factors and masks: each pair makes another order of the hashes.
 FACTORS, MASKS = (np.random.default_rng(SEED).integers(1, 1 << 63, (2, SEGMENTS * SYMBOLS), np.uint64) * np.uint64(2) + np.uint64(1))
 
@@ -152,7 +153,9 @@ def variant_keys(own: np.ndarray) -> np.ndarray:
     least = np.full(SEGMENTS * SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for a in range(0, len(own), 4096):  # bounded memory for long texts
         least = np.minimum(least, ((own[a : a + 4096, None] ^ MASKS) * FACTORS).min(0))
-    keys = [xxhash.xxh64_intdigest(np.delete(x, i).tobytes(), s * SYMBOLS + i) for s, x in enumerate(least.reshape(SEGMENTS, SYMBOLS)) for i in range(SYMBOLS)]
+    left = least.reshape(SEGMENTS, SYMBOLS)[:, OTHERS].tobytes()
+    n = 8 * (SYMBOLS - 1)
+    keys = [xxhash.xxh64_intdigest(left[i * n : (i + 1) * n], i) for i in range(SEGMENTS * SYMBOLS)]
     return np.array(keys, np.uint64).view(np.int64)
 
 
