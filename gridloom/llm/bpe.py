@@ -23,6 +23,7 @@ import base64
 import functools
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 import public_tokenizers
@@ -233,23 +234,36 @@ class Codec:
         self.known: dict[str, list[int]] = {}  # words met lately, and those met before them
         self.older: dict[str, list[int]] = {}
         self.utf8 = Utf8(self.fst.bytes_of)
+        self.numbers = {i: str(i) for i in self.fst.ranks.values()}
 
     def encode(self, text: str) -> list[int]:
-        out, known = [], self.known
-        for word in self.split(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.older.get(word) or self.fst.encode(word.encode("utf-8", "surrogatepass"))
-                if len(word) <= LONG_WORD:
-                    if len(known) >= MAX_WORDS:
-                        self.older, self.known = known, {}
-                        known = self.known
-                    known[word] = ids
-            out += ids
-        return out
+        words = self.split(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._met(words[i])
+        return list(chain.from_iterable(found))
+
+    def _met(self, word: str) -> list[int]:
+        """The ids of a word that was not among those met lately when its text began."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.older.get(word) or self.fst.encode(word.encode("utf-8", "surrogatepass"))
+            if len(word) <= LONG_WORD:
+                if len(self.known) >= MAX_WORDS:
+                    self.older, self.known = self.known, {}
+                self.known[word] = ids
+        return ids
+
+    def digits(self, ids: Iterable[int]) -> str:
+        """Decimal ids, parted by spaces."""
+        return " ".join(map(self.numbers.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
-        return "".join(self.utf8.decode(ids))
+        ids = list(ids)
+        pieces = list(map(self.utf8.plain.get, ids))
+        return "".join(self.utf8.decode(ids) if None in pieces else pieces)
 
 
 @functools.lru_cache(2)
@@ -296,7 +310,7 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
         def trip(text: str | None) -> list[tuple]:
             ids = own.encode(text or "")
-            return [(len(ids), sha(" ".join(map(str, ids)).encode()), sha(own.decode(ids).encode("utf-8")))]
+            return [(len(ids), sha(own.digits(ids).encode()), sha(own.decode(ids).encode("utf-8")))]
 
         return trip
 
