@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embed_dedup, html_crf, license_rules, packing, simhash, suffix_dedup, topk, toxicity, url_rules
+from . import bpe, collocations, divergence, embed_dedup, html_crf, license_rules, packing, simhash, suffix_dedup, topk, toxicity, url_rules
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scans": license_rules.op9_license_scans,
     "op10_topk": topk.op10_topk,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
     "op9_license_scans": license_rules.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_collocations": collocations.ORACLE,
     "op10_topk": """WITH v AS (SELECT row_number() OVER () AS pos, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
 s AS (SELECT q.pos, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
