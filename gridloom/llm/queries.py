@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, collocations, divergence, embed_dedup, html_crf, license_rules, packing, simhash, suffix_dedup, topk, toxicity, url_rules
+from . import bpe, collocations, divergence, embed_dedup, html_crf, license_rules, packing, quality_cnn, simhash, suffix_dedup, topk, toxicity, url_rules
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scans": license_rules.op9_license_scans,
     "op10_topk": topk.op10_topk,
+    "op11_quality": quality_cnn.op11_quality,
     "op12_divergence": divergence.op12_divergence,
     "op13_collocations": collocations.op13_collocations,
 }
