@@ -23,8 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import few, staged, table
@@ -37,68 +38,72 @@ BREAK = b"\xff"
 FOLD = bytes(255 if chr(b) in ".,;:!?\n\v\f\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def bitmap(phrases: DataFrame, bits: int = BITS) -> np.ndarray:
-    """Bit xxhash64(phrase) mod 2^bits is set for each phrase; at most 2^bits / 64 longs reach the driver, at any size."""
-    at = F.xxhash64("phrase").bitwiseAND((1 << bits) - 1)
+def pair_hash(first: Column, second: Column) -> Column:
+    """Of two words' hashes, as ``_pair_hash`` makes it."""
+    return first.bitwiseXOR(F.shiftleft(second, 21).bitwiseOR(F.shiftrightunsigned(second, 43)))
+
+
+def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first ^ (second << np.uint64(21) | second >> np.uint64(43))
+
+
+def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """Bit ``h`` mod 2^bits is set for each row's hash h; at most 2^bits / 64 longs reach the driver, at any size."""
+    at = F.col("h").bitwiseAND((1 << bits) - 1)
     one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
-    found = phrases.select(F.shiftright(at, 6).alias("i"), one.alias("bit")).groupBy("i").agg(F.bit_or("bit").alias("bits")).toPandas()
+    found = hashes.select(F.shiftright(at, 6).alias("i"), one.alias("bit")).groupBy("i").agg(F.bit_or("bit").alias("bits")).toPandas()
     words = np.zeros(1 << (bits - 6), np.int64)
     words[found["i"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return words
-
-
-def passes(words: np.ndarray, phrases: list[bytes]) -> np.ndarray:
-    """Which of the phrases have their bit set."""
-    h = np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in phrases), np.uint64, len(phrases))
-    return (words.view(np.uint64)[(h & np.uint64(64 * len(words) - 1)) >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) > 0
+    return words.view(np.uint64)
 
 
-def numbered(left: np.ndarray, right: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of pairs of numbers, -1 where either is; where each first stands; how many of the first ``own`` places have it."""
-    ok = np.flatnonzero((left >= 0) & (right >= 0))
-    _, first, number = np.unique((left[ok] << 32) | right[ok], return_index=True, return_inverse=True)
-    out = np.full(len(left), -1, np.int64)
-    out[ok] = number
-    return out, ok[first], np.bincount(number[: np.searchsorted(ok, own)], minlength=len(first))
+def passes(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes have their bit set."""
+    return (words[(h & np.uint64(64 * len(words) - 1)) >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) > 0
 
 
-def parts(text: bytes, overlap: int, at_once: int = SLICE) -> Iterator[tuple[list[bytes], int]]:
-    """The words of a text and its breaks in slices, each with up to ``overlap`` that follow it, and how many are its own."""
+def slices(text: bytes, overlap: int, at_once: int = SLICE) -> Iterator[tuple[pa.Array, np.ndarray, int]]:
+    """A text's words and breaks in slices: the different ones; their numbers in order, with up to ``overlap`` that follow; how many are the slice's own."""
     folded, start = text.translate(FOLD).replace(BREAK, b" \xff "), 0
     while start < len(folded):
         stop = folded.find(b" ", start + at_once)
-        if stop < 0:
-            stop = len(folded)
-        own = folded[start:stop].split()  # bytes: ASCII white space only
-        yield own + (folded[stop:].split(None, overlap)[:overlap] if overlap else []), len(own)
+        stop = len(folded) if stop < 0 else stop
+        tail = folded[stop:].split(None, overlap)[:overlap] if overlap else []
+        found = pc.split_pattern(pa.array([b" ".join([folded[start:stop], *tail])], pa.binary()), b" ").flatten().dictionary_encode()
+        ids, empty = found.indices.to_numpy().astype(np.int64), pc.index(found.dictionary, pa.scalar(b"", pa.binary())).as_py()
+        ids = ids[ids != empty]
+        yield found.dictionary, ids, len(ids) - len(tail)
         start = stop
 
 
-def phrases(found: list[bytes], own: int, sizes: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None) -> Iterator[tuple[list[bytes], list[int]]]:
-    """The phrases of ``sizes`` words that start at the first ``own`` of words and breaks, and how often. words, pairs: bitmaps of what may occur often enough."""
-    names = list(dict.fromkeys(found))
-    index = {w: i for i, w in enumerate(names)}
-    ids = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
-    word = np.array([w != BREAK for w in names], bool)
+def phrases(names: pa.Array, ids: np.ndarray, own: int, sizes: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The phrases of ``sizes`` words that start at the first ``own`` of a slice's words, and how often. words, pairs: bitmaps of what may occur often enough."""
+    word = pc.not_equal(names, pa.scalar(BREAK, pa.binary())).to_numpy(zero_copy_only=False)
     if 1 in sizes:
         n = np.bincount(ids[:own], minlength=len(names))
         n[~word] = 0
         at = np.flatnonzero(n)
-        yield [names[i] for i in at.tolist()], n[at].tolist()
-        yield [b""], [int(n.sum())]
-    if max(sizes) == 1 or not names:
+        yield names.take(pa.array(at)), n[at]
+        yield pa.array([b""], pa.binary()), np.array([n.sum()])
+    if max(sizes) == 1:
         return
+    if words is not None or pairs is not None:
+        h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in names.to_pylist()), np.uint64, len(names))
     if words is not None:
-        word &= passes(words, names)
+        word &= passes(words, h)
     now = np.where(word[ids], ids, -1)
     for k in range(2, max(sizes) + 1):
         # A phrase is two of one word less that overlap; for pairs these are the words.
-        now, first, n = numbered(now[:-1], now[1:], own)
-        joined = lambda at: [b" ".join(found[i : i + k]) for i in at.tolist()]  # noqa: B023, E731
+        ok = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
+        if k == 2 and pairs is not None:
+            ok = ok[passes(pairs, _pair_hash(h[ids[ok]], h[ids[ok + 1]]))]
+        _, first, number = np.unique((now[ok] << 32) | now[ok + 1], return_index=True, return_inverse=True)
+        now = np.full(max(0, len(now) - 1), -1, np.int64)
+        now[ok] = number
         if k in sizes:
-            yield joined(first[n > 0]), n[n > 0].tolist()
-        if k == 2 and pairs is not None and len(first):
-            now = np.where((now >= 0) & passes(pairs, joined(first))[now], now, -1)
+            n = np.bincount(number[: np.searchsorted(ok, own)], minlength=len(first))
+            at = ok[first[n > 0]]
+            yield pc.binary_join_element_wise(*(names.take(pa.array(ids[at + i])) for i in range(k)), b" "), n[n > 0]
 
 
 def exploded(docs: DataFrame, sizes: tuple[int, ...], words: np.ndarray | None = None, pairs: np.ndarray | None = None, at_once: int = SLICE) -> DataFrame:
@@ -112,11 +117,11 @@ def exploded(docs: DataFrame, sizes: tuple[int, ...], words: np.ndarray | None =
 
         def emptied() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
-                for found, own in parts(BREAK.join(texts), max(sizes) - 1, at_once):
-                    for names, n in phrases(found, own, sizes, *bitmaps.value):
-                        for i in range(0, len(names), 100_000):
-                            some = names[i : i + 100_000]
-                            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()), pa.array(n[i : i + 100_000], pa.int64())], schema=shape)
+                for names, ids, own in slices(BREAK.join(texts), max(sizes) - 1, at_once):
+                    for found, n in phrases(names, ids, own, sizes, *bitmaps.value):
+                        for i in range(0, len(found), 100_000):
+                            some = found.slice(i, 100_000)
+                            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(n[i : i + 100_000], pa.int64())], schema=shape)
             held.clear()
 
         for batch in batches:
@@ -137,11 +142,12 @@ def frequent(docs: DataFrame, max_words: int = MAX_WORDS, least: int = MIN_COUNT
     first also holds the empty phrase with the number of all words of the language."""
     counts = lambda rows: rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
     one = staged(counts(exploded(docs, (1,))), "words")
-    words = bitmap(one.where("phrase <> ''"), bits)
+    words = bitmap(one.where("phrase <> ''").select(F.xxhash64("phrase").alias("h")), bits)
     two = staged(counts(exploded(docs, (2,), words)), "pairs")
     if max_words == 2:
         return one, two
-    return one, two, staged(counts(exploded(docs, tuple(range(3, max_words + 1)), words, bitmap(two, bits))), "phrases")
+    pairs = bitmap(two.select(pair_hash(*(F.xxhash64(F.split_part("phrase", F.lit(" "), F.lit(i))) for i in (1, 2))).alias("h")), bits)
+    return one, two, staged(counts(exploded(docs, tuple(range(3, max_words + 1)), words, pairs)), "phrases")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", max_words: int = MAX_WORDS, least: int = MIN_COUNT, share: int = SHARE, top: int = TOP, bits: int = BITS) -> DataFrame:
