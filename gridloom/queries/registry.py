@@ -19,6 +19,7 @@ PIXELS = """pixels AS (SELECT CAST(l_orderkey % 64 AS INTEGER) AS unit, CAST(l_s
   FROM lineitem GROUP BY ALL)"""
 GRIDS = """grids AS (SELECT vec_id AS raster_id, CAST(floor((pos - 1) / 8) AS INTEGER) AS "row", CAST((pos - 1) % 8 AS INTEGER) AS col, CAST(v AS DOUBLE) * 400 - 20 AS depth
   FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings))"""
+MOSAIC = f"""{GRIDS}, mosaic AS (SELECT raster_id, CAST(raster_id // 64 * 8 + "row" AS INTEGER) AS "row", CAST(raster_id % 64 * 8 + col AS INTEGER) AS col, depth FROM grids)"""
 SLABS = """slabs AS (SELECT o_orderkey AS seq, CAST(o_orderkey % 97 AS INTEGER) AS unit, CAST(o_custkey % 64 AS INTEGER) AS ty, CAST(o_orderkey % 50 AS INTEGER) AS tx_min,
   CAST(o_orderkey % 50 + o_orderkey % 7 AS INTEGER) AS tx_max FROM orders)"""
 CATALOGUE = """listed AS (SELECT CAST(year(o_orderdate) AS VARCHAR) || '/' || lpad(CAST(quarter(o_orderdate) * 3 - 2 AS VARCHAR), 2, '0') || '/01' AS date_path, quarter(o_orderdate) AS q,

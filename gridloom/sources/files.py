@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from . import tiff
+from .tiff import unlzw  # noqa: F401  callers know it by this module
 
 BLOCK = "path string, bx int, by int, x0 double, y0 double, px double, width int, height int, data array<float>"
 
@@ -218,69 +220,12 @@ def envelope(rings: DataFrame) -> DataFrame:
     return p.agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
 
 
-def unlzw(data: bytes) -> bytes:
-    """TIFF's variant of Lempel, Ziv and Welch: codes of 9 to 12 bits, the highest bit first, widened one code early; 256 clears, 257 ends."""
-    out, table, prev = bytearray(), [], None
-    width, held, n = 9, 0, 0
-    for byte in data:
-        held, n = held << 8 | byte, n + 8
-        if n < width:
-            continue
-        n -= width
-        code, held = held >> n, held & (1 << n) - 1
-        if code == 257:
-            break
-        if code == 256:
-            table, prev, width = [bytes((i,)) for i in range(256)] + [b"", b""], None, 9
-            continue
-        entry = table[code] if code < len(table) else prev + prev[:1]
-        if prev is not None:
-            table.append(prev + entry[:1])
-        out += entry
-        prev = entry
-        if len(table) >= (1 << width) - 1 and width < 12:
-            width += 1
-    return bytes(out)
-
-
 def read_geotiff(content: bytes) -> Iterator[tuple[int, int, float, float, float, int, int, np.ndarray]]:
-    """Blocks (bx, by, x0, y0, pixel, width, height, values of the first band) of a GeoTIFF: strips or tiles, plain, deflated or by LZW,
-    whole numbers also as differences along the rows."""
-    order = "<" if content[:2] == b"II" else ">"
-    magic, at = struct.unpack_from(f"{order}HI", content, 2)
-    if content[:2] not in (b"II", b"MM") or magic != 42:
-        raise ValueError("not a TIFF")
-    sizes = {1: ("B", 1), 2: ("c", 1), 3: ("H", 2), 4: ("I", 4), 12: ("d", 8)}
-    tags: dict[int, tuple] = {}
-    (count,) = struct.unpack_from(f"{order}H", content, at)
-    for i in range(count):
-        tag, kind, n = struct.unpack_from(f"{order}HHI", content, at + 2 + 12 * i)
-        if kind not in sizes:
-            continue
-        code, size = sizes[kind]
-        where = at + 10 + 12 * i
-        if size * n > 4:
-            (where,) = struct.unpack_from(f"{order}I", content, where)
-        tags[tag] = struct.unpack_from(f"{order}{n}{code}", content, where)
-    width, height = tags[256][0], tags[257][0]
-    bands, packing = tags.get(277, (1,))[0], tags.get(259, (1,))[0]
-    kind = {(8, 1): "u1", (16, 1): "u2", (16, 2): "i2", (32, 3): "f4", (64, 3): "f8", (32, 1): "u4", (32, 2): "i4"}[tags[258][0], tags.get(339, (1,))[0]]
-    differs = tags.get(317, (1,))[0]
-    if packing not in (1, 5, 8, 32946) or differs not in (1, 2) or differs == 2 and kind[0] == "f":
-        raise ValueError("this compression is not supported")
-    tiled = 322 in tags
-    bw, bh = (tags[322][0], tags[323][0]) if tiled else (width, tags.get(278, (height,))[0])
-    scale, tie = tags.get(33550, (1.0, 1.0, 0.0)), tags.get(33922, (0.0,) * 6)
-    across = -(-width // bw)
-    for i, (start, size) in enumerate(zip(tags[324 if tiled else 273], tags[325 if tiled else 279], strict=True)):
-        bx, by = i % across, i // across
-        raw = content[start : start + size]
-        raw = raw if packing == 1 else unlzw(raw) if packing == 5 else zlib.decompress(raw)
-        rows = bh if tiled else min(bh, height - by * bh)
-        data = np.frombuffer(raw, order + kind, rows * bw * bands).reshape(rows, bw, bands)[:, :, 0]
-        data = np.add.accumulate(data.astype(kind), 1, dtype=kind) if differs == 2 else data
-        data = data[: height - by * bh, : width - bx * bw]
-        yield bx, by, tie[3] + bx * bw * scale[0], tie[4] - by * bh * scale[1], scale[0], data.shape[1], data.shape[0], data.astype("f4")
+    """Blocks (bx, by, x0, y0, pixel, width, height, values of the first band) of a file that is held whole; ``rasters`` reads parts of files."""
+    read = lambda at, n: content[at : at + n]
+    image = tiff.images(read)[0]
+    for by, bx, data in tiff.blocks(read, image, range(image.down)):
+        yield bx, by, *tiff.corner(image, by, bx), image.scale[0], data.shape[1], data.shape[0], data[:, :, 0].astype("f4")
 
 
 def geotiff(files: DataFrame) -> DataFrame:

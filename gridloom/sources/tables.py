@@ -36,6 +36,13 @@ def grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("raster_id", F.floor(F.col("pos") / 8).cast("int").alias("row"), (F.col("pos") % 8).alias("col"), (F.col("v").cast("double") * 400 - 20).alias("depth"))
 
 
+def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rasters of ``grids`` side by side, 64 to a row, as one raster: (raster_id, row, col, depth)."""
+    i = F.col("raster_id")
+    row, col = F.floor(i / 64) * 8 + F.col("row"), i % 64 * 8 + F.col("col")
+    return grids(spark, sf_dir).select("raster_id", row.cast("int").alias("row"), col.cast("int").alias("col"), "depth")
+
+
 def slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as row slabs of work units: (seq, unit, ty, tx_min, tx_max)."""
     o = F.col("o_orderkey")
