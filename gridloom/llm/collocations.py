@@ -5,9 +5,10 @@ counts are joined with those of the two parts of each cut, scored in Decimal, ca
 go by an anti-join, and the rest are ranked by a window.
 
 Phrases under ``MIN_COUNT`` occurrences are neither candidates nor parts of one, as each part stands wherever its phrase does.
-So a phrase is exploded only if its words, and then its pairs of words, may occur that often: a bitmap of
-2^``BITS`` bits, of the same size whatever the input, tells for sure which do not. It lets a few others pass, more of
-them as the corpus grows; their exact counts settle it. Words are numbered inside the tasks, slice by slice, phrases by pairs of such numbers.
+So a phrase is exploded only if its words, pairs and triples of words may occur that often. Bitmaps of 2^``BITS`` bits, of the same size whatever the
+input, tell for sure which do not: of words by their counts, of pairs and triples by the counts of ``HASH`` bits of their hashes. They let a
+few others pass, more of them as the corpus grows; the exact counts of what passes settle it. Words are numbered inside the tasks,
+slice by slice, phrases by pairs of such numbers.
 
 Of longer phrases only one-word extensions need be asked: if a longer one holds ``share`` hundredths of a phrase's
 occurrences, so does each phrase between the two.
@@ -19,34 +20,25 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import few, staged, table
 
 MAX_WORDS, MIN_COUNT, SHARE, TOP, SEED = 5, 100, 100, 2000, 42
-#: log2 of a bitmap's bits; bytes of text that are counted at once.
-BITS, SLICE = 27, 4 << 20
+#: log2 of a bitmap's bits; bits of a hash that are counted; words of the phrases that are sifted so; bytes of text that are counted at once.
+BITS, HASH, SIFTED, SLICE = 27, 40, 3, 4 << 20
 # Punctuation and line ends part pieces; they become a byte that UTF-8 has not. Tabs are spaces.
 BREAK = b"\xff"
 FOLD = bytes(255 if chr(b) in ".,;:!?\n\v\f\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def pair_hash(first: Column, second: Column) -> Column:
-    """Of two words' hashes, as ``_pair_hash`` makes it."""
-    return first.bitwiseXOR(F.shiftleft(second, 21).bitwiseOR(F.shiftrightunsigned(second, 43)))
-
-
-def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return first ^ (second << np.uint64(21) | second >> np.uint64(43))
-
-
 def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
     """Bit ``h`` mod 2^bits is set for each row's hash h; at most 2^bits / 64 longs reach the driver, at any size."""
     at = F.col("h").bitwiseAND((1 << bits) - 1)
@@ -76,8 +68,18 @@ def slices(text: bytes, overlap: int, at_once: int = SLICE) -> Iterator[tuple[pa
         start = stop
 
 
-def phrases(names: pa.Array, ids: np.ndarray, own: int, sizes: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """The phrases of ``sizes`` words that start at the first ``own`` of a slice's words, and how often. words, pairs: bitmaps of what may occur often enough."""
+def rolled(h: np.ndarray, ids: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the phrases of k words that start at ``at``, from their words' hashes h."""
+    out = h[ids[at]].copy()
+    for i in range(1, k):
+        turn, x = np.uint64(21 * i % 64), h[ids[at + i]]
+        out ^= x << turn | x >> (np.uint64(64) - turn)
+    return out
+
+
+def phrases(names: pa.Array, ids: np.ndarray, own: int, sizes: tuple[int, ...], maps: Mapping[int, np.ndarray], hashed: bool = False) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The phrases of ``sizes`` words that start at the first ``own`` of a slice's words (``hashed``: ``HASH`` bits of their hashes), and how often. maps: for
+    phrases of 1, 2, ... words the bitmap of what may occur often enough."""
     word = pc.not_equal(names, pa.scalar(BREAK, pa.binary())).to_numpy(zero_copy_only=False)
     if 1 in sizes:
         n = np.bincount(ids[:own], minlength=len(names))
@@ -87,29 +89,31 @@ def phrases(names: pa.Array, ids: np.ndarray, own: int, sizes: tuple[int, ...],
         yield pa.array([b""], pa.binary()), np.array([n.sum()])
     if max(sizes) == 1:
         return
-    if words is not None or pairs is not None:
-        h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in names.to_pylist()), np.uint64, len(names))
-    if words is not None:
-        word &= passes(words, h)
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in names.to_pylist()), np.uint64, len(names)) if maps or hashed else None
+    if 1 in maps:
+        word &= passes(maps[1], h)
     now = np.where(word[ids], ids, -1)
     for k in range(2, max(sizes) + 1):
         # A phrase is two of one word less that overlap; for pairs these are the words.
         ok = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
-        if k == 2 and pairs is not None:
-            ok = ok[passes(pairs, _pair_hash(h[ids[ok]], h[ids[ok + 1]]))]
+        if k in maps:
+            ok = ok[passes(maps[k], rolled(h, ids, ok, k))]
         _, first, number = np.unique((now[ok] << 32) | now[ok + 1], return_index=True, return_inverse=True)
         now = np.full(max(0, len(now) - 1), -1, np.int64)
         now[ok] = number
         if k in sizes:
             n = np.bincount(number[: np.searchsorted(ok, own)], minlength=len(first))
-            at = ok[first[n > 0]]
-            yield pc.binary_join_element_wise(*(names.take(pa.array(ids[at + i])) for i in range(k)), b" "), n[n > 0]
+            at, n = ok[first[n > 0]], n[n > 0]
+            if hashed:
+                yield pa.array((rolled(h, ids, at, k) & np.uint64((1 << HASH) - 1)).astype(np.int64)), n
+            else:
+                yield pc.binary_join_element_wise(*(names.take(pa.array(ids[at + i])) for i in range(k)), b" "), n
 
 
-def exploded(docs: DataFrame, sizes: tuple[int, ...], words: np.ndarray | None = None, pairs: np.ndarray | None = None, at_once: int = SLICE) -> DataFrame:
-    """Rows (lang, phrase, n), several a phrase as slices give them. docs: (lang, text). The empty phrase counts all words."""
-    bitmaps = docs.sparkSession.sparkContext.broadcast((words, pairs))  # of fixed size, whatever the input
-    shape = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
+def exploded(docs: DataFrame, sizes: tuple[int, ...], maps: Mapping[int, np.ndarray], hashed: bool = False, at_once: int = SLICE) -> DataFrame:
+    """Rows (lang, phrase, n), or (lang, h, n) if ``hashed``, several a phrase as slices give them. docs: (lang, text). The empty phrase counts all words."""
+    bitmaps = docs.sparkSession.sparkContext.broadcast(dict(maps))  # of fixed size, whatever the input
+    shape = pa.schema([("lang", pa.string()), ("h", pa.int64()) if hashed else ("phrase", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -118,7 +122,7 @@ def exploded(docs: DataFrame, sizes: tuple[int, ...], words: np.ndarray | None =
         def emptied() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
                 for names, ids, own in slices(BREAK.join(texts), max(sizes) - 1, at_once):
-                    for found, n in phrases(names, ids, own, sizes, *bitmaps.value):
+                    for found, n in phrases(names, ids, own, sizes, bitmaps.value, hashed):
                         for i in range(0, len(found), 100_000):
                             some = found.slice(i, 100_000)
                             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(n[i : i + 100_000], pa.int64())], schema=shape)
@@ -134,20 +138,21 @@ def exploded(docs: DataFrame, sizes: tuple[int, ...], words: np.ndarray | None =
                     size = 0
         yield from emptied()
 
+    if hashed:
+        return docs.mapInArrow(run, "lang string, h long, n long")
     return docs.mapInArrow(run, "lang string, phrase binary, n long").withColumn("phrase", F.col("phrase").cast("string"))
 
 
-def frequent(docs: DataFrame, max_words: int = MAX_WORDS, least: int = MIN_COUNT, bits: int = BITS) -> tuple[DataFrame, ...]:
-    """Rows (lang, phrase, f) of the phrases of 1 to ``max_words`` words with f >= least, as tables by number of words: one, two, more. The
+def frequent(docs: DataFrame, max_words: int = MAX_WORDS, least: int = MIN_COUNT, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows (lang, phrase, f) of the words with f >= least, and of the phrases of 2 to ``max_words`` words with it. The
     first also holds the empty phrase with the number of all words of the language."""
     counts = lambda rows: rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
-    one = staged(counts(exploded(docs, (1,))), "words")
-    words = bitmap(one.where("phrase <> ''").select(F.xxhash64("phrase").alias("h")), bits)
-    two = staged(counts(exploded(docs, (2,), words)), "pairs")
-    if max_words == 2:
-        return one, two
-    pairs = bitmap(two.select(pair_hash(*(F.xxhash64(F.split_part("phrase", F.lit(" "), F.lit(i))) for i in (1, 2))).alias("h")), bits)
-    return one, two, staged(counts(exploded(docs, tuple(range(3, max_words + 1)), words, pairs)), "phrases")
+    one = staged(counts(exploded(docs, (1,), {})), "words")
+    maps = {1: bitmap(one.where("phrase <> ''").select(F.xxhash64("phrase").alias("h")), bits)}
+    for k in range(2, min(SIFTED, max_words) + 1):
+        sums = exploded(docs, (k,), maps, hashed=True).groupBy("h").agg(F.sum("n").alias("n"))  # languages that share a hash only let more pass
+        maps[k] = bitmap(sums.where(F.col("n") >= least), bits)
+    return one, staged(counts(exploded(docs, tuple(range(2, max_words + 1)), maps)), "phrases")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", max_words: int = MAX_WORDS, least: int = MIN_COUNT, share: int = SHARE, top: int = TOP, bits: int = BITS) -> DataFrame:
@@ -155,16 +160,11 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", max_wo
     if not 2 <= max_words:
         raise ValueError("a collocation has two words at least")
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    one, *longer = frequent(rows, max_words, least, bits)
-    counts = one.where("phrase <> ''")
-    for x in longer:
-        counts = counts.unionByName(x)
+    one, longer = frequent(rows, max_words, least, bits)
+    counts = one.where("phrase <> ''").unionByName(longer)
     totals = one.where("phrase = ''").select("lang", F.col("f").alias("n"))
     totals = F.broadcast(totals) if few(totals) else totals
-    found = longer[0]
-    for x in longer[1:]:
-        found = found.unionByName(x)
-    found = found.withColumnRenamed("f", "a")
+    found = longer.withColumnRenamed("f", "a")
     # Each cut's two parts, and their counts.
     apart = F.split("phrase", " ")
     size = F.size(apart)

@@ -102,7 +102,7 @@ def plain_collocations(rows, most, least, share, top):
 
 @pytest.mark.parametrize("bits,at_once", [(27, 4 << 20), (6, 50)])
 def test_collocations_equal_plain_counting(docs, monkeypatch, bits, at_once):
-    monkeypatch.setattr(collocations.exploded, "__defaults__", (None, None, at_once))
+    monkeypatch.setattr(collocations.exploded, "__defaults__", (False, at_once))
     for most, least, share, top in ((5, 20, 100, 2000), (5, 2, 60, 7), (2, 5, 100, 2000), (3, 1, 100, 50)):
         got = sorted(map(tuple, collocations.collocations(docs, max_words=most, least=least, share=share, top=top, bits=bits).collect()))
         assert got == plain_collocations(corpus(), most, least, share, top) and got
@@ -113,20 +113,26 @@ def test_phrases_of_slices_meet():
     whole, cut = Counter(), Counter()
     for counts, at_once in ((whole, 4 << 20), (cut, 5)):
         for names, ids, own in collocations.slices(text, 4, at_once):
-            for found, n in collocations.phrases(names, ids, own, (1, 2, 3, 4, 5), None, None):
+            for found, n in collocations.phrases(names, ids, own, (1, 2, 3, 4, 5), {}):
                 counts.update(dict(zip(found.to_pylist(), n.tolist(), strict=True)))
     assert whole == cut and whole[b"h"] == 40 and whole[b"d e f g h"] == 40 and b"h i" not in whole and whole[b"i j a b c"] == 39 and whole[b""] == 400
 
 
 def test_bitmap_lets_all_frequent_pass(spark):
-    pairs = [(f"w{i}", f"x{i % 7}") for i in range(3000)]
-    df = spark.createDataFrame(pairs, "a string, b string")
+    words = [f"w{i}" for i in range(3000)]
     h = lambda found: np.array([xxhash.xxh64_intdigest(w, 42) for w in found], np.uint64)
-    bits = collocations.bitmap(df.select(F.xxhash64("a").alias("h")), 16)
-    assert collocations.passes(bits, h(a for a, _ in pairs)).all() and collocations.passes(bits, h(f"o{i}" for i in range(3000))).mean() < 0.1
-    bits = collocations.bitmap(df.select(collocations.pair_hash(F.xxhash64("a"), F.xxhash64("b")).alias("h")), 16)
-    assert collocations.passes(bits, collocations._pair_hash(h(a for a, _ in pairs), h(b for _, b in pairs))).all()
-    assert collocations.passes(bits, collocations._pair_hash(h(b for _, b in pairs), h(a for a, _ in pairs))).mean() < 0.1
+    bits = collocations.bitmap(spark.createDataFrame([(w,) for w in words], "a string").select(F.xxhash64("a").alias("h")), 16)
+    assert collocations.passes(bits, h(words)).all() and collocations.passes(bits, h(f"o{i}" for i in range(3000))).mean() < 0.1
+
+
+def test_phrases_have_hashes_of_their_own():
+    rnd = random.Random(1)
+    text = " ".join(rnd.choice("abcdefgh") for _ in range(5000)).encode()
+    ((names, ids, own),) = collocations.slices(text, 4)
+    for k in (2, 3):
+        ((found, n),) = collocations.phrases(names, ids, own, (k,), {})
+        ((hashes, m),) = collocations.phrases(names, ids, own, (k,), {}, hashed=True)
+        assert n.tolist() == m.tolist() and len(set(hashes.to_pylist())) == len(found) == 8**k and max(hashes.to_pylist()) < 1 << collocations.HASH
 
 
 def test_statistics_of_an_empty_table(spark):
