@@ -284,7 +284,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
         own = codec(path)
         return lambda x: [(own.encode(x or ""),)]
 
-    return map_texts(docs.select(F.col(key).alias(key), F.col(text).alias("_text")), "_text", made, "ids array<int>", 1000)
+    return map_texts(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", made, "ids array<int>", 1000).withColumnRenamed("key", key)
 
 
 def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -314,7 +314,7 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
         return trip
 
-    return map_texts(docs.select(F.col(key).alias(key), F.col(text).alias("_text")), "_text", made, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", made, "n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,7 +274,6 @@ class Crf:
     def __init__(self, names: list[str], weights: np.ndarray, steps: np.ndarray):
         self.weights = dict(zip(names, weights.tolist(), strict=True))
         self.known = self.weights.keys() | {"in:article", "in:main"}
-        self.known = self.weights.keys() | {"in:article", "in:main"}
         self.steps = steps
 
     def scores(self, page: Sequence[Block]) -> np.ndarray:

@@ -6,6 +6,8 @@ comment marks. A line break alone is white space, and comment marks at the start
 punctuation, so that wrapped and commented notices read like plain ones. A sentence is normalised by lower-casing A-Z and
 turning every run of other characters than a-z and 0-9 into one space. It gets the identifiers of the known sentences that
 it consists of or holds whole, but for those that stand in a longer one found; other sentences are left out of the sequence.
+Names of holders in their places count as the ones the text is known by; a notice with a version may go on with "or later" in any of its forms, and one
+that is denied names no licence. A sentence that two licences share means neither by itself.
 Rules are tried longest first; a rule fits where its identifiers stand next to each other in what the earlier rules have
 left, and takes all such places.
 
@@ -16,7 +18,9 @@ than the key and the text are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,14 @@ from .common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 END = r"""[.!?]+["')\]]*[ \t\r\n]|:[ \t\r]*\n|\n[ \t\r#*/;>%|!-]*\n"""
+# What a sentence is turned into before it is looked up, in this order: a plus behind a version of the GPL, names of holders in their places, and denials.
+PLUS = (r"(gpl[v -]*(?:version )?[0-9][0-9.]*)\+", "or later")
+SLOTS = (
+    (r"\bneither the names? [a-z0-9 \x01]{1,150}?[ \x01]nor the names of (?:its|their|other) contributors\b", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"\bthis software is provided by [a-z0-9 \x01]{1,150}?[ \x01]as is and any express\b", "this software is provided by the copyright holders and contributors as is and any express"),
+    (r"\bin no event shall [a-z0-9 \x01]{1,150}?[ \x01]be liable for any direct\b", "in no event shall the copyright holder or contributors be liable for any direct"),
+    (r"\b(?:not|never) (?:licensed|released|distributed|available|dedicated) (?:to the public domain )?under (?:the terms of )?", "not "),
+)
 # A text without any of these words holds no known sentence.
 HINTS = ("licen", "copyright", "permission", "warrant", "distribut", "software", "reserved", "released", "available", "dedicated", "terms", "gpl", "mpl")
 
@@ -117,15 +129,20 @@ NAMES = {
 }
 # What stands before a name in a notice.
 LEADS = ("licensed under", "released under", "distributed under", "available under", "dedicated to the public domain under", "under the terms of")
+# What turns a version into that version and those after it.
+LATER = (" or later", " or newer", " or any later version", ", or (at your option) any later version", " or (at your option) any later version", " or later version", " or later versions", " or above")
 # Sentences that mean a licence by themselves, as (licence, sentence of its text), and other known sentences.
-KEYS = {"MIT": (0,), "BSD-3-Clause": (3,), "BSD-2-Clause": (0,), "ISC": (0,), "Zlib": (2,), "BSL-1.0": (0,), "Unlicense": (0,), "PostgreSQL": (0,), "GPL-2.0-or-later": (0,), "GPL-3.0-or-later": (0,), "LGPL-2.1-or-later": (0,), "LGPL-3.0-or-later": (0,), "AGPL-3.0-or-later": (0,), "MPL-2.0": (0,), "EPL-2.0": (0,), "CC0-1.0": (0,)}
+KEYS = {"MIT": (0,), "BSD-3-Clause": (3,), "ISC": (0,), "Zlib": (2,), "BSL-1.0": (0,), "Unlicense": (0,), "PostgreSQL": (0,), "GPL-2.0-or-later": (0,), "GPL-3.0-or-later": (0,), "LGPL-2.1-or-later": (0,), "LGPL-3.0-or-later": (0,), "AGPL-3.0-or-later": (0,), "MPL-2.0": (0,), "EPL-2.0": (0,), "CC0-1.0": (0,)}
 OTHERS = ("All rights reserved.",)
 
 
 def normalised(text: str) -> list[str]:
     """A text's normalised sentences, as the columns make them."""
-    lower = re.sub(END, "\x01", text.translate(str.maketrans(UPPER, LOWER)))
-    return [x for x in (x.strip(" ") for x in re.sub("[^a-z0-9\x01]+", " ", lower).split("\x01")) if len(x) > 5]
+    lower = re.sub(PLUS[0], rf"\1 {PLUS[1]} ", text.translate(str.maketrans(UPPER, LOWER)))
+    plain = re.sub("[^a-z0-9\x01]+", " ", re.sub(END, "\x01", lower))
+    for slot, words in SLOTS:
+        plain = re.sub(slot, words, plain)
+    return [x for x in (x.strip(" ") for x in plain.split("\x01")) if len(x) > 5]
 
 
 def known_sentences() -> tuple[dict[str, str], list[tuple[str, tuple[str, ...]]]]:
@@ -135,9 +152,16 @@ def known_sentences() -> tuple[dict[str, str], list[tuple[str, tuple[str, ...]]]
     for name, text in TEXTS.items():
         seq = tuple(ids.setdefault(x, f"{name.lower()}/{i}") for i, x in enumerate(normalised(text)))
         rules.append((name, seq))
-        rules += [(name, (seq[i],)) for i in KEYS.get(name, ()) if len(seq) > 1]
-    spdx = sorted({*TEXTS, *NAMES})
-    notices = [(name, f"{lead}{the}{x}") for name in NAMES for x in NAMES[name] for lead in LEADS for the in (" ", " the ", " a ")]
+    shared = Counter(x for _, seq in rules for x in set(seq))
+    # A sentence that other licences have too means none of them by itself.
+    rules += [(name, (seq[i],)) for name, seq in rules for i in KEYS.get(name, ()) if len(seq) > 1 and shared[seq[i]] == 1]
+    spdx = sorted({*TEXTS, *NAMES, *(x.replace("-only", "-or-later") for x in NAMES)})
+    called = {name: list(found) for name, found in NAMES.items()}
+    for name in NAMES:
+        if name.endswith("-only"):
+            called.setdefault(later := name.replace("-only", "-or-later"), [])
+            called[later] += [f"{x}{more}" for x in NAMES[name] for more in LATER]
+    notices = [(name, f"{lead}{the}{x}") for name in called for x in called[name] for lead in LEADS for the in (" ", " the ", " a ")]
     notices += [(name, f"SPDX-License-Identifier: {name}") for name in spdx]
     for name, phrase in notices:
         ids.setdefault(" ".join(normalised(phrase)), f"{name.lower()}/notice")
@@ -158,16 +182,25 @@ def scan_licenses(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rul
     some = F.lit(False)
     for h in hints:  # a quick look first: most texts hold none
         some = some | F.contains(low, F.lit(h))
-    plain = F.regexp_replace(F.translate(body, UPPER, LOWER), END, "\x01")
+    plain = F.regexp_replace(F.regexp_replace(F.translate(body, UPPER, LOWER), PLUS[0], f"$1 {PLUS[1]} "), END, "\x01")
     plain = F.regexp_replace(plain, "[^a-z0-9\x01]+", " ")
+    for slot, words in SLOTS:
+        plain = F.regexp_replace(plain, slot, words)
     parts = F.transform(F.split(plain, "\x01"), lambda x: F.concat(F.lit(" "), F.trim(x), F.lit(" ")))
     likely = F.filter(parts, lambda x: F.greatest(*(F.contains(x, F.lit(h)) for h in hints)))
-    known = F.array(*(F.struct(F.lit(f" {words} ").alias("words"), F.lit(name).alias("name")) for words, name in sentences.items()))
-    held = F.transform(likely, lambda s: F.filter(known, lambda k: F.contains(s, k["words"])))
+    # Known sentences are tried only where the two words they begin with stand.
+    begins: dict[str, list[tuple[str, str]]] = {}
+    for words, name in sentences.items():
+        begins.setdefault(" ".join(words.split(" ")[:2]), []).append((words, name))
+    constant = lambda rows, kind: F.from_json(F.lit(json.dumps(rows)), kind)  # noqa: E731  one literal, folded once
+    known = {two: constant([{"words": f" {words} ", "name": name} for words, name in found], "array<struct<words:string,name:string>>") for two, found in begins.items()}
+    none = F.array().cast("array<struct<words:string,name:string>>")
+    seen = lambda s, two: F.when(F.contains(s, F.lit(f" {two} ")), F.filter(known[two], lambda k: F.contains(s, k["words"]))).otherwise(none)
+    held = F.transform(likely, lambda s: F.concat(*(seen(s, two) for two in known)))
     outer = F.transform(held, lambda ks: F.filter(ks, lambda k: ~F.exists(ks, lambda o: (o["words"] != k["words"]) & F.contains(o["words"], k["words"]))))
     ids = F.flatten(F.transform(outer, lambda ks: F.array_sort(F.transform(ks, lambda k: k["name"]))))
     out = docs.select(F.col(key), F.when(some, ids).otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
-    steps = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(" " + "  ".join(seq) + " ").alias("seq")) for name, seq in rules))
+    steps = constant([{"name": name, "seq": " " + "  ".join(seq) + " "} for name, seq in rules], "array<struct<name:string,seq:string>>")
     start = F.struct(F.concat(F.lit(" "), F.array_join("sentence_ids", "  "), F.lit(" ")).alias("rest"), F.array().cast("array<string>").alias("found"))
     fold = F.aggregate(
         steps,
@@ -204,10 +237,11 @@ def _oracle() -> str:
             f"CASE WHEN contains(rest, '{pat}') THEN list_append(found, '{name}') ELSE found END AS found FROM s{i})"
         )
     end = END.replace("'", "''")
+    slots = "".join(f", '{slot}', '{words}', 'g')" for slot, words in SLOTS)
     likely = " OR ".join(f"contains(s, '{h}')" for h in HINTS)
     return f"""WITH known(words, name) AS (VALUES {known}),
-docs AS (SELECT row_number() OVER () AS pos, doc_id, string_split(regexp_replace(
-  regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{end}', chr(1), 'g'), '[^a-z0-9\\x01]+', ' ', 'g'), chr(1)) AS parts FROM documents),
+docs AS (SELECT row_number() OVER () AS pos, doc_id, string_split({'regexp_replace(' * len(SLOTS)}regexp_replace(
+  regexp_replace(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PLUS[0]}', '\\1 {PLUS[1]} ', 'g'), '{end}', chr(1), 'g'), '[^a-z0-9\\x01]+', ' ', 'g'){slots}, chr(1)) AS parts FROM documents),
 lines AS (SELECT pos, u.i, ' ' || trim(parts[u.i], ' ') || ' ' AS s FROM docs, unnest(range(1, len(parts) + 1)) AS u(i)),
 held AS MATERIALIZED (SELECT pos, i, words, name FROM (SELECT * FROM lines WHERE {likely}) l JOIN known ON contains(l.s, known.words)),
 hits AS (SELECT pos, i, name FROM held h WHERE NOT EXISTS (SELECT 1 FROM held o WHERE o.pos = h.pos AND o.i = h.i AND o.words <> h.words AND contains(o.words, h.words))),

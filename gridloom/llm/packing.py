@@ -9,6 +9,7 @@ places them by the plan and adds up offsets.
    fill a sequence best (a subset-sum table), as often as the counts allow.
 3. Each slot gets actual pieces of its group, in order of length, which frees what rounding took.
 4. Small pieces, longest first, go where they fit best; what fits nowhere opens new sequences.
+5. Of the plans of several numbers of groups and bounds of small lengths the one of fewest sequences is taken.
 
 A document is its ids and the end id; only longer ones are cut, the first piece taking what
 is over whole sequences.
@@ -25,7 +26,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,9 @@ from tokenizers import Tokenizer
 
 from .common import carried, kind_of, map_texts, restored, staged, table
 
-CAPACITY, END, GROUPS, SMALL = 1024, 2, 128, 4
+CAPACITY, END = 1024, 2
+#: Numbers of groups, and shares of a sequence up to which a length is small, that are tried.
+GROUPS, SMALL = (32, 64, 128, 256, 512, 1024), (2, 4, 8)
 # Fixed value: what the pattern's \s stands for (Unicode's White_Space), in long runs.
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 RESULTS = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -104,8 +107,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
         return cut
 
-    rows = docs.select(F.col(key).alias(key), F.col(text).alias("_text"))
-    return map_texts(rows, "_text", made, "piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return map_texts(rows, "text", made, "piece int, start long, length long, ids_crc32 long").withColumnRenamed("key", key)
 
 
 def configuration(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
@@ -131,7 +134,7 @@ def configuration(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> dict[
     return taken
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 128, small: int = 4) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, count, so many in a sequence, first sequence): ranks count from 0 within a length.
 
     Lengths over capacity / ``small`` are large."""
@@ -212,17 +215,28 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return out
 
 
-def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> DataFrame:
-    """``parts`` (of ``pieces``) with sequence_id long and offset long."""
+def sequences(layout: list[tuple[int, int, int, int, int]]) -> int:
+    """How many sequences a plan takes."""
+    return max((first + -(-n // each) for _, _, n, each, first in layout), default=0)
+
+
+def fewest(histogram: dict[int, int], capacity: int = CAPACITY, groups: Sequence[int] = GROUPS, small: Sequence[int] = SMALL) -> list[tuple[int, int, int, int, int]]:
+    """Of the plans of several numbers of groups and bounds of small lengths that with the fewest sequences, ties to the first: each sees counts only."""
+    return min((plan(histogram, capacity, g, s) for g in groups for s in small), key=sequences)
+
+
+def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, groups: Sequence[int] = GROUPS, small: Sequence[int] = SMALL) -> DataFrame:
+    """``parts`` (of ``pieces``) with sequence_id long and offset long, by the plan of the ``fewest`` sequences."""
+    parts = parts.select(F.col(key).alias("key"), "piece", "start", "length", "ids_crc32")
     counted = parts.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
     n = sum(r.n for r in counted)
-    layout = plan({r.length: r.n for r in counted}, capacity, groups, small)
+    layout = fewest({r.length: r.n for r in counted}, capacity, groups, small)
     # Ranks within a length: by salt, then within the salt, so that a common length is no one task's.
     salts = 8 + n // 100_000
-    salted = parts.withColumn("_salt", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(salts)))
+    salted = parts.withColumn("_salt", F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("length", "_salt").orderBy(F.col(key), "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_salt").orderBy("key", "piece", "ids_crc32")
     ranked = salted.withColumn("_rank", F.row_number().over(within) - 1).join(sizes, ["length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     by_length: dict[int, np.ndarray] = {}
     for x in {r[0] for r in layout}:
@@ -239,12 +253,12 @@ def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, groups
                 seq[at] = base[i] + (rank[at] - first[i]) // each[i]
             yield b.assign(sequence_id=seq)
 
-    own, _ = carried(parts, key)
-    kept = ranked.select(*(own.alias(c) if c == key else c for c in parts.columns), "_rank")
+    own, _ = carried(parts, "key")
+    kept = ranked.select(*(own.alias(c) if c == "key" else c for c in parts.columns), "_rank")
     shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "sequence_id long"])
-    placed = restored(kept.mapInPandas(place, shape), key, kind_of(parts, key))
+    placed = restored(kept.mapInPandas(place, shape), "key", kind_of(parts, "key"))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "_rank").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0))).drop("_rank")
+    return placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0))).drop("_rank").withColumnRenamed("key", key)
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

@@ -273,56 +273,6 @@ def test_extract_of_an_empty_table(spark):
     assert html_crf.extract(none).count() == 0
 
 
-def test_likelihood_and_viterbi_equal_enumeration():
-    labelled = html_crf.labelled_pages(6, seed=3)
-    labelled = [(page[:7], labels[:7]) for page, labels in labelled]
-    model = html_crf.fit(labelled, rounds=4000, penalty=0.5, rate=0.1, at_least=1)
-    names = list(model.weights)
-    value = lambda weights, steps, page, path: sum(weights[f][s] for fs, s in zip(page, path) for f in fs) + sum(steps[a][b] for a, b in zip(path, path[1:]))
-
-    def objective(weights, steps):
-        total = -0.25 * (sum(x**2 for w in weights.values() for x in w) + (np.asarray(steps) ** 2).sum())
-        for blocks, labels in labelled:
-            page = html_crf.features(blocks)
-            every = [value(weights, steps, page, path) for path in itertools.product((0, 1), repeat=len(page))]
-            total += value(weights, steps, page, list(map(int, labels))) - np.logaddexp.reduce(every)
-        return total
-
-    # At the maximum of the regularised likelihood no small change of a weight raises it.
-    at = objective(model.weights, model.steps)
-    for name in random.Random(0).sample(names, 12):
-        for s, change in ((0, 0.05), (1, -0.05)):
-            moved = {**model.weights, name: [x + change * (i == s) for i, x in enumerate(model.weights[name])]}
-            assert objective(moved, model.steps) < at
-    for i, j in itertools.product((0, 1), repeat=2):
-        moved = model.steps.copy()
-        moved[i, j] += 0.05
-        assert objective(model.weights, moved) < at
-    for blocks, _ in html_crf.labelled_pages(40, seed=5):
-        page = html_crf.features(blocks[:9])
-        weights = {f: model.weights.get(f, [0.0, 0.0]) for fs in page for f in fs}
-        best = max(itertools.product((0, 1), repeat=len(page)), key=lambda path: value(weights, model.steps, page, path))
-        assert value(weights, model.steps, page, model.decode(blocks[:9])) == pytest.approx(value(weights, model.steps, page, best))
-
-
-def test_long_and_deep_pages():
-    model, began = html_crf.default_model(), time.time()
-    deep = "".join(f'<div class="c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}">x' for i in range(60_000)) + "</span>" * 60_000
-    assert len(html_crf.blocks(deep, model.known)) == 60_000
-    assert html_crf.main_text(deep, model).count("\n") < 60_000
-    long_ = "<article>" + "<p>A sentence of the long story, as it goes.</p>" * 60_000 + "</article>"
-    assert html_crf.main_text(long_, model).count("\n") == 59_999
-    for odd in ("<a " * 300_000, "<" * 1_000_000, '<a title="' * 100_000, "<!--" * 100_000, "<p>x" + "<b>" * 50_000 + "</i>" * 2000, "x" * 3_000_000):
-        html_crf.main_text(odd, model)
-    assert html_crf.main_text("<article><p>A story of many words, told here.</p><p>And more of it.</p></article> 1 < 2 <a href", model).startswith("A story")
-    assert time.time() - began < 60
-
-
-def test_extract_of_an_empty_table(spark):
-    none = spark.createDataFrame([], "page_id long, url string, html string, key string, text string")
-    assert html_crf.extract(none).count() == 0
-
-
 def test_held_out_layouts():
     model = html_crf.default_model()
     wrong = total = 0

@@ -6,6 +6,7 @@ import random
 import re
 import textwrap
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -432,6 +433,13 @@ def test_licences(spark):
         ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only"), ("Licensed under the GNU General Public License, version 3 or later", "GPL-3.0-or-later"), ("# SPDX-License-Identifier: GPL-2.0-or-later\n", "GPL-2.0-or-later"),
         ("Dual licensed under the MIT License or distributed under the Apache License, Version 2.0 at your option.", "Apache-2.0 MIT"), ("no end\nreleased under the MIT License\nand on", "MIT"), ("x" * 300_000 + " licensed under the ISC License " + "y. " * 50_000, "ISC"),
     ]
+    bsd = license_rules.TEXTS["BSD-3-Clause"].replace("the copyright holder nor", "Google Inc. nor").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE REGENTS AND CONTRIBUTORS").replace("THE COPYRIGHT HOLDER OR", "THE REGENTS OR")
+    assert bsd != license_rules.TEXTS["BSD-3-Clause"]
+    texts += [
+        (bsd, "BSD-3-Clause"), (bsd.split("\n\n")[0], ""), ("This is released under the GPLv2 or later.", "GPL-2.0-or-later"), ("Released under the GPLv2+.", "GPL-2.0-or-later"), ("Released under GPLv2.", "GPL-2.0-only"),
+        ("licensed under the LGPLv2.1+ by us", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: GPL-3.0+", "GPL-3.0-or-later"), ("This is not licensed under the MIT License.", ""), ("It was never released under the terms of the MIT License!", ""),
+        ("Licensed under the GNU General Public License, version 2, or (at your option) any later version.", "GPL-2.0-or-later"), ("one licensed " * 40_000 + "under the MIT License", "MIT"),
+    ]
     for name, text in license_rules.TEXTS.items():
         texts.append((text, name))
         for leader in ("#", " *", "//", ";;", ""):
@@ -441,7 +449,7 @@ def test_licences(spark):
     assert sorted(str((r.doc_id, tuple(r.sentence_ids), tuple(r.licenses), r.unmatched)) for r in got) == sorted(str((k, *plain_scan(t))) for k, t, *_ in rows)
     for text, want in texts:
         found = plain_scan(text)[1]
-        assert " ".join(found) == want or want in found and want.split("-")[0] in ("GPL", "BSD", "LGPL", "AGPL", "MIT", "0BSD"), (text, found)
+        assert " ".join(found) == want, (text, found)
     header = wrapped(license_rules.TEXTS["Apache-2.0"].replace("License at\n\n", "License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"), " *")
     assert plain_scan(header)[1:] == (("Apache-2.0",), 0)
 
@@ -464,6 +472,25 @@ def test_large_ids_beside_nulls_stay_whole(spark):
     assert ids(toxicity.score(docs, labels)) == ids(toxicity.drop_toxic(docs, labels)) == keys
 
 
+def test_the_plan_of_fewest_sequences_is_taken(spark):
+    rnd = random.Random(9)
+    histogram = Counter(rnd.choice((rnd.randint(1, 300), rnd.randint(200, 700), rnd.randint(600, 1024))) for _ in range(20_000))
+    best = packing.sequences(packing.fewest(histogram))
+    every = [packing.sequences(packing.plan(histogram, groups=g, small=s)) for g in packing.GROUPS for s in packing.SMALL]
+    assert best == min(every) < max(every) and best >= -(-sum(x * n for x, n in histogram.items()) // 1024)
+    parts = spark.createDataFrame([(i, 0, 0, x, 0) for i, (x, n) in enumerate(histogram.items()) for _ in range(min(n, 3))], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    few = Counter({x: min(n, 3) for x, n in histogram.items()})
+    assert packing.pack(parts).select("sequence_id").distinct().count() == packing.sequences(packing.fewest(few))
+
+
+@pytest.mark.parametrize("key", ["_text", "_salt", "_rank", "_before", "text", "key", "salts"])
+def test_keys_of_any_name(spark, key):
+    docs = spark.createDataFrame([(i, "some words here " * i) for i in range(1, 4)], f"`{key}` long, body string")
+    assert sorted(r[key] for r in packing.pack_documents(docs, key, "body").collect()) == [1, 2, 3]
+    assert sorted(r[key] for r in bpe.round_trip(docs, key, "body").collect()) == [1, 2, 3]
+    assert sorted(r[key] for r in bpe.encode(docs, key, "body").collect()) == [1, 2, 3]
+
+
 def test_very_long_texts():
     rnd = random.Random(3)
     long_ = " ".join(rnd.choice(("bad", "you", "so", "Ü!", "B4d", "x" * 50)) for _ in range(400_000))
