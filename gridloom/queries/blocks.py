@@ -9,14 +9,13 @@ from ..sources.tables import mosaic, table
 from .focal import SQUARE, TAPS, _shade_sql
 from .registry import MOSAIC, query
 
-ONE = F.lit(0).alias("raster")
 
 
 def _whole(spark, sf_dir, side, flag=None):
     """The mosaic as one raster in blocks, kept by key."""
     m = mosaic(spark, sf_dir)
     m = m.withColumn("depth", F.when(F.col("depth") >= -100, F.col("depth")) if flag is None else flag.cast("int"))
-    return arrays.stored(arrays.from_cells(m.select(ONE, "row", "col", "depth"), ["raster"], ["depth"], side, "depth"), ["raster"])
+    return arrays.stored(arrays.from_cells(m.select(F.lit(0).alias("raster"), "row", "col", "depth"), ["raster"], ["depth"], side, "depth"), ["raster"])
 
 
 def _cells(blocks, side, *names):
@@ -64,7 +63,7 @@ p AS (SELECT a."row", a.col, min({{'d': i * i + j * j, 'r': b."row", 'c': b.col,
 SELECT c."row", c.col, round(coalesce(p.n.v, c.depth), 6) AS depth FROM c LEFT JOIN p USING ("row", col)""")
 def q_mosaic_nearest(spark, sf_dir):
     """Nearest fill across blocks of 16."""
-    c = mosaic(spark, sf_dir).select(ONE, "row", "col", "depth", (F.col("depth") > -5).alias("valid"), F.lit(True).alias("fillable"))
+    c = mosaic(spark, sf_dir).select(F.lit(0).alias("raster"), "row", "col", "depth", (F.col("depth") > -5).alias("valid"), F.lit(True).alias("fillable"))
     return focal.fill_nearest(c, ["raster"], ["depth"], "valid", "fillable", block=16).select("row", "col", F.round("depth", 6).alias("depth"))
 
 
