@@ -75,6 +75,29 @@ def pyramid(pixels: DataFrame, size: int, top: int, bottom: int, keep=lambda lev
     return out
 
 
+def update_pyramid(levels: DataFrame, changed: DataFrame, gone: DataFrame, size: int, top: int, bottom: int, keep=lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """A pyramid after some of its deepest tiles have changed: (pixels of all levels, keys (z, tx, ty) of the tiles made anew).
+
+    levels: pixels (z, tx, ty, row, col, r, g, b, a) of the levels ``bottom`` to ``top``. changed: all pixels of deepest tiles that are new or other; gone: keys of
+    those that are no more. A tile is made anew if one below it is, from its children as they are now; a level's other tiles are neither read for
+    that nor written. Work goes with the changed tiles, not with the pyramid. keep: how an intermediate table is stored."""
+    key = ["z", "tx", "ty"]
+    dirty = keep(changed.select(*key).unionByName(gone.select(*key)).distinct())
+    fresh, touched = changed.select(*levels.columns), dirty
+    out, made = fresh, changed.select(*key).distinct()
+    for z in range(bottom - 1, top - 1, -1):
+        dirty_up = keep(parents(dirty).select(*key).distinct())
+        # Children of the tiles to be made: those that were not touched, as they stand, and those made anew.
+        above = {"z": F.col("z") - 1, "tx": F.floor(F.col("tx") / 2).cast("int"), "ty": F.floor(F.col("ty") / 2).cast("int")}
+        kids = levels.where(F.col("z") == z + 1).join(dirty, key, "left_anti").select("*", *(c.alias(f"_{n}") for n, c in above.items()))
+        wanted = dirty_up.select(*(F.col(c).alias(f"_{c}") for c in key))
+        old = kids.join(wanted, [f"_{c}" for c in key], "left_semi").select(*levels.columns)
+        fresh = keep(downsample(old.unionByName(fresh), size).select(*levels.columns))
+        out, made = out.unionByName(fresh), made.unionByName(fresh.select(*key).distinct())
+        dirty, touched = dirty_up, touched.unionByName(dirty_up)
+    return levels.join(touched, key, "left_anti").unionByName(out), made
+
+
 def extent(tiles: DataFrame) -> DataFrame:
     """(min_zoom, max_zoom, west, south, east, north, center_lon, center_lat) of XYZ tiles (z, tx, ty), by the tiles of the deepest level."""
     by_zoom = tiles.groupBy("z").agg(*(f(c).alias(f"{n}_{c}") for c in ("tx", "ty") for n, f in (("lo", F.min), ("hi", F.max))))
