@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..operators.staging import few, shared_dir, staged, unstaged
 
-__all__ = ["carried", "components", "few", "kind_of", "map_texts", "restored", "shared_dir", "staged", "table", "unstaged"]
+__all__ = ["carried", "components", "few", "kind_of", "map_texts", "restored", "shared_dir", "staged", "table", "unstaged", "with_hot"]
+
+HOT = 20_000
 
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 
@@ -21,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_hot(rows: DataFrame, small: DataFrame, by: list[str], n: str, how: str = "inner", bound: int = HOT) -> DataFrame:
+    """``rows`` joined (inner or left) with ``small``, one row a key, of which ``n`` says how many rows it meets. Keys with over ``bound`` rows are broadcast, so that
+    their rows stay where they are; there are few of them, which is checked, and the other keys are dealt out as in any join. No key is null."""
+    hot = small.where(F.col(n) > bound)
+    if hot.isEmpty() or not few(hot):
+        return rows.join(small, by, how)
+    rest = rows.join(F.broadcast(hot.select(*by)), by, "left_anti").join(small.where(F.col(n) <= bound), by, how)
+    return rows.join(F.broadcast(hot), by).unionByName(rest)
+
+
 def map_texts(rows: DataFrame, text: str, made: Callable[[], Callable[[str | None], Iterable[tuple]]], out: str, limit: int = 20_000) -> DataFrame:
     """The other columns of ``rows`` and the columns ``out`` (a schema), a row for each tuple that ``made()``, called once a task,
     gives for a text. Texts are decoded one at a time and what is made leaves in parts of about ``limit`` rows, so that a

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, few, staged, table
+from .common import components, few, staged, table, with_hot
 
 COSINE, WINDOW, COUNTED, BLOCK, SALTS = 0.98, 0.05, 32, 2048, 16
 
@@ -148,10 +148,14 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
     groups = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
     total = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = own.select("h1", "h2", "node", "n", "least").join(total, "node", "left").join(groups, "node", "left")
-    named = staged(named.select("h1", "h2", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "named")
+    named = named.select("h1", "h2", "n", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"))
+    named = staged(named, "named")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("h1", "h2", "n_links", "component_id")
-    out = rows.select("key", "h1", "h2").join(named, ["h1", "h2"], "left")
+    named = staged(named.join(ids, "root").select("h1", "h2", "n", "n_links", "component_id"), "ids")
+    # Vectors that take no part have no hash and meet nothing; those of many copies stay where they are.
+    out = with_hot(rows.where("h1 is not null").select("key", "h1", "h2"), named, ["h1", "h2"], "n").select("key", "n_links", "component_id")
+    none = rows.where("h1 is null").select("key", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast(kinds["key"]).alias("component_id"))
+    out = out.unionByName(none)
     # A vector that takes no part is its own component, and so is one whose component has no id.
     return out.select(
         F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "key").alias("component_id"),

@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, map_texts, staged, table
+from .common import components, map_texts, staged, table, with_hot
 
 WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
 STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
@@ -106,7 +106,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     # Few bytes become many rows here: they are dealt out before, and meet in one shuffle.
     tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), fps.count() // 50_000)
     filed = fps.repartition(tasks, "fp").select("fp", F.explode(keys).alias("variant"))
-    rows = staged(filed.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1"), "variants")
+    # Counts are summed before they meet; the fingerprints of a common variant stay where they are.
+    counts = staged(filed.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    rows = staged(with_hot(filed, counts, ["variant"], "n", bound=block), "variants")
     small = rows.where(F.col("n") <= block).groupBy("variant").agg(F.collect_list("fp").alias("a")).select("a", F.lit(None).cast("array<long>").alias("b"))
     # A common variant: its fingerprints in blocks, each pair of blocks a row of its own.
     size = F.ceil(F.col("n") / F.lit(block)).cast("long")
@@ -127,11 +129,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """Rows (key, th, fp, root: the class's smallest fingerprint, component_id: its smallest key), one for each document."""
     marked = staged(fingerprints(docs, key, text, words), "fingerprints")
-    least = staged(marked.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
+    least = staged(marked.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n")), "distinct")
     groups = components(links(least.select("fp")))
-    roots = least.join(groups, least["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    roots = least.join(groups, least["fp"] == groups["node"], "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root"))
     ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(roots.join(ids, "root").select("fp", "root", "component_id"), "fp")
+    named = staged(roots.join(ids, "root").select("fp", "n", "root", "component_id"), "named")
+    return with_hot(marked, named, ["fp"], "n").drop("n")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -259,8 +262,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Rows (key, th, root), one for each document: root is one for the texts that links of similarity connect."""
     marked = staged(sketches(docs, key, text), "sketches")
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "th")).alias("s")
-    nodes = marked.groupBy("sig").agg(first, F.first("size").alias("size"), F.first("variants").alias("variants")).where("size > 0")
-    nodes = staged(nodes.select("sig", "s.key", "s.th", "size", "variants"), "distinct")
+    nodes = marked.groupBy("sig").agg(first, F.first("size").alias("size"), F.first("variants").alias("variants"), F.count("*").alias("n"))
+    nodes = staged(nodes.select("sig", "s.key", "s.th", "size", "variants", "n"), "distinct")
+    copies, nodes = nodes.select("sig", "n"), nodes.where("size > 0").drop("n")
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.count() // 50_000)
     filed = nodes.select("sig", "size", "variants").repartition(tasks, "sig").select("sig", "size", F.explode("variants").alias("variant"))
     # Of variants with the same members one will do: by count and two hashes of the members.
@@ -280,7 +284,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     more = staged(cross_links(staged(open_, "open"), sets), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
-    return marked.join(groups, marked["sig"] == groups["node"], "left").select("key", "th", F.coalesce("root", "sig").alias("root"))
+    roots = staged(copies.join(groups, copies["sig"] == groups["node"], "left").select("sig", "n", F.coalesce("root", "sig").alias("root")), "roots")
+    return with_hot(marked, roots, ["sig"], "n").select("key", "th", "root")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

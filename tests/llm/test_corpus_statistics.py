@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gridloom.llm import collocations, divergence, quality_cnn
+from gridloom.llm.common import staged, with_hot
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, n long, phrase string, s int"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -220,3 +221,21 @@ def test_network_is_trained_by_shards(spark):
     w = quality_cnn.fit(spark.createDataFrame(rows, "good int, text string, shard int"), rounds=2, epochs=3)
     p = quality_cnn.probability([t.encode() for _, t, _ in rows], w)
     assert ((p >= 0.5) == np.array([g for g, *_ in rows])).all()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("bound", [5, 1000])
+def test_hot_keys_join_like_any_other(spark, how, bound):
+    rows = spark.createDataFrame([(i % 7 if i % 2 else 0, i) for i in range(200)], "k long, v long")
+    small = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("w")).where("k <> 3")
+    got = with_hot(rows, small, ["k"], "n", how, bound)
+    assert sorted(map(str, got.select("k", "v", "n", "w").collect())) == sorted(map(str, rows.join(small, "k", how).select("k", "v", "n", "w").collect()))
+
+
+def test_half_of_all_rows_on_one_key_stay_spread(spark):
+    """With one key that half of the rows have, no task of the join's result holds more than a few parts of it."""
+    rows = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    small = staged(rows.groupBy("k").agg(F.count("*").alias("n")), "small")
+    sizes = [r[0] for r in with_hot(rows, small, ["k"], "n", bound=1000).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 16_000
+    assert max(r[0] for r in rows.hint("shuffle_hash").join(small.hint("merge"), "k").groupBy(F.spark_partition_id()).count().select("count").collect()) >= 20_000
