@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,45 @@ def fold_layers(layers: DataFrame, keys: list[str], seq: str, under: DataFrame |
     return both.select(*keys, *(F.when(zero["a"] == 255, zero[c]).otherwise(m).alias(c) for c, m in zip(RGBA, mixed, strict=True)))
 
 
+def over_bytes(bottom: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """``color.over`` on arrays (rows, columns, 4) of bytes."""
+    t, u = top.astype(np.int64), bottom.astype(np.int64)
+    a, rest = t[..., 3:], u[..., 3:] * (255 - t[..., 3:])
+    total = a * 255 + rest
+    colour = np.where(total == 0, 0, (2 * (t[..., :3] * a * 255 + u[..., :3] * rest) + total) // np.maximum(2 * total, 1))
+    return np.concatenate([colour, (total + 127) // 255], -1).astype(np.uint8)
+
+
+def merge_trees(trees: DataFrame, layer: str = "layer") -> DataFrame:
+    """(z, tx, ty, content, decoded): trees of PNG tiles (layer, z, tx, ty, content) merged, greater layers on top.
+
+    Settled by kind before any image is opened: a PNG without alpha hides what lies below it, which is dropped; where one tile is left its bytes go on as they are. Only
+    tiles with something to mix are decoded, folded from below and encoded again; a tile that then shows nothing is left out. A group is one tile's layers."""
+    key = ["z", "tx", "ty"]
+    opaque = F.substring("content", 26, 1) == F.lit(b"\x02")  # a PNG's kind of colours: no alpha
+    kinds = trees.select(*key, F.col(layer).alias("layer"), opaque.alias("opaque"))
+    floor = kinds.groupBy(*key).agg(F.max(F.when(F.col("opaque"), F.col("layer"))).alias("floor"), F.sort_array(F.collect_list("layer")).alias("layers"))
+    floor = floor.select(*key, "floor", F.size(F.filter("layers", lambda x: F.col("floor").isNull() | (x >= F.col("floor")))).alias("left"))
+    seen = trees.withColumnRenamed(layer, "layer").join(floor, key).where(F.col("floor").isNull() | (F.col("layer") >= F.col("floor")))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        from ..sources import files, sinks
+
+        now = None
+        for content in pdf.sort_values("layer")["content"]:
+            image = files.png_rows(content)
+            if image.shape[2] == 3:
+                image = np.concatenate([image, np.full((*image.shape[:2], 1), 255, np.uint8)], 2)
+            now = over_bytes(np.zeros_like(image) if now is None else now, image)
+        alpha = now[:, :, 3]
+        found = [sinks.png_bytes(now[:, :, :3] if (alpha == 255).all() else now)] if alpha.any() else []
+        return pdf[key].head(len(found)).assign(content=found)
+
+    shape = "z int, tx int, ty int, content binary"
+    mixed = seen.where("left > 1").select(*key, "layer", "content").groupBy(*key).applyInPandas(fold, shape)
+    return seen.where("left = 1").select(*key, "content", F.lit(False).alias("decoded")).unionByName(mixed.withColumn("decoded", F.lit(True)))
+
+
 def tile_kind(pixels: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, kind): empty where no pixel shows, rgb where all are opaque, else rgba."""
     kind = F.when(F.max("a") == 0, "empty").when(F.min("a") == 255, "rgb").otherwise("rgba")

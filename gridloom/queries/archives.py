@@ -1,11 +1,13 @@
 """Grid codes, resampling, archives and streams: what SQL has no words for, and nearest neighbours, which it has."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import geo, mgrs
 from ..operators import resample, tiles
-from ..operators.staging import staged
-from ..sources import files, sinks
+from ..operators.staging import folder, staged
+from ..sources import files, parts, sinks
 from ..sources.tables import grids, points, table
 from ..streaming import tiles as streams
 from .geodesy import EPS9, SIZE9, R
@@ -132,3 +134,44 @@ def q_over_tiles(spark, sf_dir):
     key = ["z", "tx", "ty", "row", "col"]
     layers = base.withColumn("seq", F.lit(0)).unionByName(base.where("tx % 2 = 0").withColumns({"seq": F.lit(1), "a": F.lit(128), "r": F.lit(255)}))
     return tiles.fold_layers(layers, key, "seq")
+
+
+FLAT = f"{BASE}, flat AS (SELECT DISTINCT z, tx, ty, CAST(tx // 4 % 3 * 80 AS INTEGER) AS r, CAST(ty % 2 * 90 AS INTEGER) AS g FROM l0)"
+
+
+def _flat(spark, sf_dir):
+    """An archive of tiles of one colour each, six colours in all, as a file in the shared folder."""
+    colour = {"r": (F.floor(F.col("tx") / 4) % 3 * 80).cast("int"), "g": (F.col("ty") % 2 * 90).cast("int"), "b": F.lit(7), "a": F.lit(255)}
+    made = staged(sinks.shared_pmtiles(sinks.png_tiles(_base(spark, sf_dir).withColumns(colour), 8), {"name": "flat"}, leaf=64), "parts")
+    where = folder(spark, "archive")
+    parts.write_files(made.select(F.lit("flat.pmtiles").alias("path"), "kind", F.col("sub").alias("level"), "content"), where).collect()
+    return made, f"{where}/flat.pmtiles"
+
+
+@query("q_pmtiles_runs", f"WITH {FLAT} SELECT z, tx, ty, r, g, (SELECT count(DISTINCT r * 1000 + g) FROM flat) AS contents FROM flat")
+def q_pmtiles_runs(spark, sf_dir):
+    """Equal tiles stored once, neighbours as runs: all tiles read back, and how many contents there are."""
+    made, path = _flat(spark, sf_dir)
+    contents = made.where("kind = -1").count()
+    tiles_ = files.pmtiles(_base(spark, sf_dir).select("z", "tx", "ty").distinct(), path)
+    return files.png_pixels(tiles_).where("row = 3 and col = 5").select("z", "tx", "ty", "r", "g", F.lit(contents).cast("long").alias("contents"))
+
+
+@query("q_pmtiles_bbox", f"WITH {FLAT} SELECT z, tx, ty, r, g FROM flat WHERE tx BETWEEN 5 AND 41 AND ty BETWEEN 1 AND 9")
+def q_pmtiles_bbox(spark, sf_dir):
+    """The tiles of a box, by header, root and the leaves that are needed."""
+    _, path = _flat(spark, sf_dir)
+    box = spark.range(5, 42).select(F.lit(ZOOM).alias("z"), F.col("id").cast("int").alias("tx"), F.explode(F.sequence(F.lit(1), F.lit(9))).alias("ty"))
+    return files.png_pixels(files.pmtiles(box, path)).where("row = 0 and col = 0").select("z", "tx", "ty", "r", "g")
+
+
+@query("q_tree_merge", f"""WITH {BASE}, low AS (SELECT * FROM l0 WHERE tx % 2 = 1), mid AS (SELECT z, tx, ty, "row", col, 200 AS r, g, b, CAST("row" * 30 AS INTEGER) AS a FROM l0 WHERE ty % 2 = 0), top AS (SELECT z, tx, ty, "row", col, r, 10 AS g, b, 255 AS a FROM l0 WHERE tx % 3 = 0),
+both_ AS (SELECT l.z, l.tx, l.ty, l."row", l.col, {_over_sql('l', 't')} FROM low l JOIN mid t USING (z, tx, ty, "row", col))
+SELECT *, false AS decoded FROM top UNION ALL SELECT *, true FROM both_ WHERE tx % 3 <> 0 UNION ALL SELECT *, false FROM low WHERE tx % 3 <> 0 AND ty % 2 <> 0 UNION ALL SELECT *, false FROM mid WHERE tx % 3 <> 0 AND tx % 2 <> 1""")
+def q_tree_merge(spark, sf_dir):
+    """Three trees of tiles merged; only tiles with something to mix are decoded."""
+    base = _base(spark, sf_dir)
+    trees = [base.where("tx % 2 = 1"), base.where("ty % 2 = 0").withColumns({"r": F.lit(200), "a": (F.col("row") * 30).cast("int")}), base.where("tx % 3 = 0").withColumn("g", F.lit(10))]
+    encoded = functools.reduce(lambda a, b: a.unionByName(b), (sinks.png_tiles(t, 8).withColumn("layer", F.lit(i)) for i, t in enumerate(trees)))
+    merged = tiles.merge_trees(staged(encoded, "trees"))
+    return files.png_pixels(merged).join(merged.select("z", "tx", "ty", "decoded"), ["z", "tx", "ty"])

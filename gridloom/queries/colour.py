@@ -1,8 +1,11 @@
 """Colour arithmetic on pixels and grids."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import color, masks
+from ..operators.staging import staged
 from ..sources.tables import grids, pixels
 from .registry import GRIDS, PIXELS, query
 
@@ -94,6 +97,20 @@ def q_preview(spark, sf_dir):
     return _unit(spark, sf_dir).select(*KEYS, *(F.round(c, 11).alias(n) for c, n in zip(rgb, RGB, strict=True)))
 
 
+PRESETS = [(mode, name, g) for mode, named in color.PRESETS.items() for name, g in named.items()]
+STYLED = ", ".join(f"p{k} AS (SELECT * FROM p WHERE unit % {len(PRESETS)} = {k}), {_grade_sql(f'p{k}', g, f'd{k}_')}" for k, (_, _, g) in enumerate(PRESETS))
+
+
+@query("q_presets", f"WITH {UNIT}, {STYLED} " + " UNION ALL ".join(f"SELECT '{mode}' AS mode, '{name}' AS preset, {SQL_KEYS}, {', '.join(f'round({c}, 4) AS {c}' for c in RGB)} FROM d{k}_" for k, (mode, name, _) in enumerate(PRESETS)))
+def q_presets(spark, sf_dir):
+    """Each unit's pixels in the style of one of the presets."""
+    known, found = staged(_unit(spark, sf_dir), "pixels"), []
+    for k, (mode, name, g) in enumerate(PRESETS):
+        rgb = color.grade(_rgb(), g)
+        found.append(known.where(F.col("unit") % len(PRESETS) == k).select(F.lit(mode).alias("mode"), F.lit(name).alias("preset"), *KEYS, *(F.round(c, 4).alias(n) for c, n in zip(rgb, RGB, strict=True))))
+    return functools.reduce(lambda a, b: a.unionByName(b), found)
+
+
 def _smooth(x, a, b):
     t = _clip(f"({x} - {a}) / ({b} - {a})")
     return f"({t} * {t} * (3 - 2 * {t}))"

@@ -37,8 +37,13 @@ def _land_mask(spark, sf_dir):
 LAND = f"""{WEIGHTED}, k AS (SELECT *, {MASKS} FROM mosaic), al AS (SELECT *, alpha < 254.5 AND covered AS allowed FROM k),
 nb AS (SELECT DISTINCT unit, "row" + i.i AS "row", col + j.j AS col FROM al, {SQUARE} WHERE allowed),
 kept AS (SELECT al.* FROM al JOIN nb USING (unit, "row", col) WHERE covered),
-near_ AS (SELECT o.unit, o."row", o.col, min({{'d2': (o."row" - v."row") * (o."row" - v."row") + (o.col - v.col) * (o.col - v.col), 'vr': v."row", 'vc': v.col, 'r': v.r, 'g': v.g, 'b': v.b}}) AS n
-  FROM kept o JOIN kept v ON v.unit = o.unit AND v.valid WHERE NOT o.valid AND o.allowed GROUP BY o.unit, o."row", o.col),
+every AS (SELECT u.unit, CAST(i AS INTEGER) AS "row", CAST(j AS INTEGER) AS col FROM (SELECT DISTINCT unit FROM kept) u CROSS JOIN range(32) a(i) CROSS JOIN range(32) b(j)),
+held AS (SELECT e.*, CASE WHEN k.valid THEN e."row" END AS v FROM every e LEFT JOIN kept k USING (unit, "row", col)),
+sides AS (SELECT *, max(v) OVER (PARTITION BY unit, col ORDER BY "row") AS up, min(v) OVER (PARTITION BY unit, col ORDER BY "row" DESC) AS down FROM held),
+column_ AS (SELECT unit, "row", col AS vc, CASE WHEN down IS NULL OR "row" - up <= down - "row" THEN up ELSE down END AS vr FROM sides WHERE up IS NOT NULL OR down IS NOT NULL),
+found AS (SELECT o.unit, o."row", o.col, min({{'d2': (o."row" - c.vr) * (o."row" - c.vr) + (o.col - c.vc) * (o.col - c.vc), 'vr': c.vr, 'vc': c.vc}}) AS n
+  FROM kept o JOIN column_ c ON c.unit = o.unit AND c."row" = o."row" WHERE NOT o.valid AND o.allowed GROUP BY o.unit, o."row", o.col),
+near_ AS (SELECT f.unit, f."row", f.col, {{'r': v.r, 'g': v.g, 'b': v.b}} AS n FROM found f JOIN kept v ON v.unit = f.unit AND v."row" = f.n.vr AND v.col = f.n.vc),
 filled AS (SELECT k.unit, k."row", k.col, 0 AS date_idx, k.allowed, k.covered, k.valid, {', '.join(f'coalesce(n.n.{c}, k.{c}) AS {c}' for c in RGB)} FROM kept k LEFT JOIN near_ n ON n.unit = k.unit AND n."row" = k."row" AND n.col = k.col),
 t AS (SELECT unit, "row", col, date_idx, {', '.join(f'{_clip(f"coalesce({_clip(f"{c} / 9000.0")}, 0.0) * 2.5")} AS {c}' for c in RGB)} FROM filled), {_grade_sql('t', color.LAND, 'd')}"""
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from . import tiff
+from . import rasters, tiff
 from .tiff import unlzw  # noqa: F401  callers know it by this module
 
 BLOCK = "path string, bx int, by int, x0 double, y0 double, px double, width int, height int, data array<float>"
@@ -185,6 +185,46 @@ def directory_entries(leaves: DataFrame) -> DataFrame:
     return leaves.mapInPandas(run, "id long, z int, tx int, ty int, offset long, length long, follows boolean")
 
 
+def pmtiles(wanted: DataFrame, path: str) -> DataFrame:
+    """(z, tx, ty, content) of the tiles ``wanted`` (z, tx, ty) that an archive has, by byte ranges: the header and the root once, then for each leaf that is needed its
+    directory and the contents. The root, of at most 16 KB by the format, goes to the tasks; tiles meet in tasks by their leaf."""
+    read, file = rasters.opened(path)
+    with file:
+        head = read(0, 127)
+        if head[:8] != b"PMTiles\x03":
+            raise ValueError("not a PMTiles archive")
+        root_at, root_size, _, _, leaves_at, _, data_at, _ = struct.unpack_from("<8Q", head, 8)
+        root = read_directory(read(root_at, root_size))
+    starts = np.array([e[0] for e in root], np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read, file = rasters.opened(path)
+        last, entries, ids = -1, [], np.zeros(0, np.int64)
+        with file:
+            for b in batches:
+                out = []
+                for z, x, y, tile, leaf in zip(*(b[c].tolist() for c in ("z", "tx", "ty", "id", "leaf")), strict=True):
+                    if leaf < 0:
+                        continue
+                    if leaf != last:
+                        _, at, size, run_ = root[leaf]
+                        entries = [root[leaf]] if run_ else read_directory(read(leaves_at + at, size))
+                        ids, last = np.array([e[0] for e in entries], np.int64), leaf
+                    i = int(np.searchsorted(ids, tile, "right")) - 1
+                    if i >= 0 and tile < entries[i][0] + entries[i][3]:
+                        out.append((z, x, y, read(data_at + entries[i][1], entries[i][2])))
+                yield pd.DataFrame(out, columns=["z", "tx", "ty", "content"])
+
+    @F.pandas_udf("int")
+    def leaf_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, ids.to_numpy(np.int64), "right") - 1, dtype="int32")
+
+    from .sinks import hilbert_id
+
+    found = wanted.select("z", "tx", "ty", hilbert_id("z", "tx", "ty").alias("id")).withColumn("leaf", leaf_of("id"))
+    return found.repartition("leaf").sortWithinPartitions("leaf", "id").mapInPandas(run, "z int, tx int, ty int, content binary")
+
+
 def code_list(spark: SparkSession, path: str) -> DataFrame:
     """(code) of a text of one code a line; lines that begin with # are not codes."""
     return spark.read.text(path).select(F.trim("value").alias("code")).where("code != '' and not startswith(code, '#')").distinct()

@@ -212,17 +212,65 @@ def pmtiles_parts(tiles: DataFrame, metadata: Mapping[str, object], tile_type: i
             break
         leaf *= 2
     meta = gzip.compress(json.dumps(dict(metadata), sort_keys=True).encode(), mtime=0)
-    spots = np.cumsum([127, len(root), len(meta), ends[-1]]).tolist()
     e = extent(known).first() if total.n else None
-    whole = lambda *degrees: struct.pack(f"<{len(degrees)}i", *(round(d * 1e7) for d in degrees))
-    head = b"PMTiles\x03" + struct.pack("<11Q", 127, len(root), spots[1], len(meta), spots[2], ends[-1], spots[3], total.bytes, total.n, total.n, total.n)
-    head += struct.pack("<6B", 1, 2, 1, tile_type, total.low or 0, total.high or 0)
-    head += (whole(e.west, e.south, e.east, e.north) + struct.pack("<B", total.high) + whole(e.center_lon, e.center_lat)) if e else bytes(25)
+    head = _header(len(root), len(meta), ends[-1], total.bytes, (total.n, total.n, total.n), tile_type, (total.low or 0, total.high or 0), e)
     first = spark.createDataFrame([(-3, 0, head), (-3, 1, root), (-3, 2, meta)], "kind long, sub long, content binary")
     parts = first.unionByName(dirs.select(F.lit(-2).cast("long").alias("kind"), F.col("leaf").alias("sub"), "content")).unionByName(placed.select(F.lit(-1).cast("long").alias("kind"), F.col("id").alias("sub"), "content"))
     return parts.orderBy("kind", "sub")
 
 
+def shared_pmtiles(tiles: DataFrame, metadata: Mapping[str, object], tile_type: int = 2, leaf: int = 4096) -> DataFrame:
+    """(kind, sub, content) as ``pmtiles_parts`` gives, but equal contents are stored once, and neighbours of equal content are one entry with a run length.
+
+    Tiles become runs within each leaf's range of ids before anything is joined, so a content that most tiles have is a few rows by then, and no
+    window sees more than a leaf. Contents lie in the order of the first tile that has them."""
+    spark = tiles.sparkSession
+    known = tiles.select(hilbert_id("z", "tx", "ty").alias("id"), "z", "tx", "ty", "content", F.sha2("content", 256).alias("hash"))
+    light = staged(known.select("id", "z", "tx", "ty", "hash"), "ids")
+    contents = known.groupBy("hash").agg(F.min("id").alias("first"), F.first("content").alias("content")).withColumn("length", F.octet_length("content").cast("long"))
+    contents = staged(contents, "contents")
+    total = light.agg(F.count("*").alias("n"), F.min("z").alias("low"), F.max("z").alias("high"), F.min("id").alias("first"), F.max("id").alias("last")).first()
+    while total.n and total.last // leaf - total.first // leaf >= LEAVES and light.select(F.floor(F.col("id") / leaf)).distinct().limit(LEAVES + 1).count() > LEAVES:
+        leaf *= 2
+
+    def leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(zip(*(pdf[c].tolist() for c in ("id", "offset", "length", "run")), strict=True))
+        return pd.DataFrame({"leaf": [pdf["leaf"].iloc[0]], "content": [directory(rows)]})
+
+    while True:
+        at = contents.select("hash", "first", "length", (F.col("first") - F.col("first") % leaf).alias("leaf"))
+        sums = sorted((r.leaf, r.bytes) for r in at.groupBy("leaf").agg(F.sum("length").alias("bytes")).collect())
+        starts = spark.createDataFrame([(i, x) for (i, _), x in zip(sums, np.cumsum([0, *(n for _, n in sums)]).tolist(), strict=False)], "leaf long, start long")
+        before = Window.partitionBy("leaf").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+        placed = at.join(F.broadcast(starts), "leaf").select("hash", "length", (F.col("start") + F.coalesce(F.sum("length").over(before), F.lit(0))).alias("offset"))
+        own = Window.partitionBy("leaf").orderBy("id")
+        fresh = F.coalesce(((F.lag("id").over(own) != F.col("id") - 1) | (F.lag("hash").over(own) != F.col("hash"))).cast("int"), F.lit(1))
+        cut = light.withColumn("leaf", F.col("id") - F.col("id") % leaf).withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(own))
+        runs = staged(cut.groupBy("leaf", "island").agg(F.min("id").alias("id"), F.count("*").alias("run"), F.first("hash").alias("hash")), "runs")
+        dirs = staged(runs.join(placed, "hash").select("leaf", "id", "offset", "length", "run").groupBy("leaf").applyInPandas(leaves, "leaf long, content binary"), "leaves")
+        sizes = sorted((r.leaf, r.n) for r in dirs.select("leaf", F.octet_length("content").alias("n")).collect())
+        ends = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+        root = directory([(leaf_id, x, n, 0) for (leaf_id, n), x in zip(sizes, ends, strict=False)])
+        if len(root) <= ROOT_BYTES:
+            break
+        leaf *= 2
+    sums = contents.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    e = extent(light).first() if total.n else None
+    meta = gzip.compress(json.dumps(dict(metadata), sort_keys=True).encode(), mtime=0)
+    head = _header(len(root), len(meta), ends[-1], sums.bytes, (total.n, runs.count(), sums.n), tile_type, (total.low or 0, total.high or 0), e)
+    first = spark.createDataFrame([(-3, 0, head), (-3, 1, root), (-3, 2, meta)], "kind long, sub long, content binary")
+    return first.unionByName(dirs.select(F.lit(-2).cast("long").alias("kind"), F.col("leaf").alias("sub"), "content")).unionByName(contents.select(F.lit(-1).cast("long").alias("kind"), F.col("first").alias("sub"), "content"))
+
+
+def _header(root: int, meta: int, leaves: int, data: int, counts: tuple[int, int, int], tile_type: int, zooms: tuple[int, int], e) -> bytes:
+    """The header of an archive: root, metadata, leaves and data follow it in this order. counts: tiles, entries, contents."""
+    spots = np.cumsum([127, root, meta, leaves]).tolist()
+    whole = lambda *degrees: struct.pack(f"<{len(degrees)}i", *(round(d * 1e7) for d in degrees))
+    head = b"PMTiles\x03" + struct.pack("<11Q", 127, root, spots[1], meta, spots[2], leaves, spots[3], data, *counts)
+    head += struct.pack("<6B", 1, 2, 1, tile_type, *zooms)
+    return head + ((whole(e.west, e.south, e.east, e.north) + struct.pack("<B", zooms[1]) + whole(e.center_lon, e.center_lat)) if e else bytes(25))
+
+
 def save_parts(parts: DataFrame, path: str) -> int:
     """Streams ordered bytes to one file, a part at a time, and puts it in its place when whole; an empty file is an error."""
     import os
