@@ -22,6 +22,8 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -224,6 +226,18 @@ class Utf8:
             yield "�"
 
 
+#: Up to this character a text is split by Python's own matcher, which takes half the time; others by the pattern as it is.
+NEAR = 0x24F
+
+
+def near_pattern() -> re.Pattern:
+    """``public_tokenizers.PATTERN`` for texts of characters up to ``NEAR``: its classes written out by their categories."""
+    kept = lambda test: "".join(re.escape(chr(c)) for c in range(NEAR + 1) if test(chr(c)))
+    letter, number = (kept(lambda c, k=k: unicodedata.category(c)[0] == k) for k in "LN")
+    space = kept(lambda c: regex.fullmatch(r"\s", c))
+    return re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
 class Codec:
     """Text to ids and back: the pattern's matches are encoded each on its own."""
 
@@ -231,13 +245,15 @@ class Codec:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fst, self.split = Transducer(ranks), regex.compile(pattern).findall
+        self.near = near_pattern() if pattern == public_tokenizers.PATTERN else None
+        self.far = re.compile(f"[^\0-{chr(NEAR)}]").search
         self.known: dict[str, list[int]] = {}  # words met lately, and those met before them
         self.older: dict[str, list[int]] = {}
         self.utf8 = Utf8(self.fst.bytes_of)
         self.numbers = {i: str(i) for i in self.fst.ranks.values()}
 
     def encode(self, text: str) -> list[int]:
-        words = self.split(text)
+        words = self.near.findall(text) if self.near and not self.far(text) else self.split(text)
         found = list(map(self.known.get, words))
         if None in found:
             for i, ids in enumerate(found):

@@ -57,6 +57,16 @@ def test_transducer_equals_the_library():
         assert own.fst.encode(word) == enc._encode_single_piece(word)
 
 
+def test_texts_are_split_alike_by_both_matchers():
+    own, rnd = bpe.codec(bpe.vocabulary()), random.Random(4)
+    near = [chr(c) for c in range(bpe.NEAR + 1)]
+    for kinds in (near, [*" '\t\n\r\x0b\x0c\x1c\x1f\x85\xa0", *"stmdrevl'abÉß²½ªº1!"], list(" 's't're")):
+        for _ in range(3000):
+            text = "".join(rnd.choice(kinds) for _ in range(rnd.randint(0, 30)))
+            assert own.near.findall(text) == own.split(text)
+    assert own.far("a\u0250") and not own.far("\u024f")
+
+
 def test_decoder_holds_split_characters_and_replaces_bad_ones():
     own = bpe.codec(bpe.vocabulary())
     ids = [own.fst.ranks[bytes([b])] for b in "😀".encode()]
