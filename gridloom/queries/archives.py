@@ -175,3 +175,12 @@ def q_tree_merge(spark, sf_dir):
     encoded = functools.reduce(lambda a, b: a.unionByName(b), (sinks.png_tiles(t, 8).withColumn("layer", F.lit(i)) for i, t in enumerate(trees)))
     merged = tiles.merge_trees(staged(encoded, "trees"))
     return files.png_pixels(merged).join(merged.select("z", "tx", "ty", "decoded"), ["z", "tx", "ty"])
+
+
+@query("q_tile_tree", f"WITH {BASE} SELECT * FROM l0")
+def q_tile_tree(spark, sf_dir):
+    """A tree of z/x/y files, written by many tasks and read back."""
+    where = folder(spark, "tree")
+    name = F.concat(F.concat_ws("/", *(F.col(c).cast("string") for c in ("z", "tx", "ty"))), F.lit(".png"))
+    parts.write_files(_png(spark, sf_dir).select(name.alias("path"), "content"), where).collect()
+    return files.png_pixels(files.tile_tree(spark, where, "png").withColumnsRenamed({"x": "tx", "y": "ty"}))

@@ -25,7 +25,7 @@ ORDER = ["kind", "level", "by", "bx"]
 
 
 def write_files(parts: DataFrame, folder: str) -> DataFrame:
-    """Writes each path's parts to one file of ``folder`` and gives (path, bytes). A task streams a file's parts, one held at a time, to a place beside
+    """Writes each path's parts to one file of ``folder``, or of folders in it, and gives (path, bytes). A task streams a file's parts, one held at a time, to a place beside
     the file's and moves it when whole, so a task that runs again or twice leaves the same file. A file is a sequence of
     bytes and so one task's; files are written side by side."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,7 +35,7 @@ def write_files(parts: DataFrame, folder: str) -> DataFrame:
 
         def closed() -> pa.RecordBatch:
             out.close()
-            fs.move(f"{base}/.{path}.{mark}", f"{base}/{path}")
+            fs.move(beside, f"{base}/{path}")
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64())], names=["path", "bytes"])
 
         for batch in batches:
@@ -43,8 +43,12 @@ def write_files(parts: DataFrame, folder: str) -> DataFrame:
                 if at != path:
                     if out:
                         yield closed()
-                    path, mark, size = at, uuid.uuid4().hex, 0
-                    out = fs.open_output_stream(f"{base}/.{path}.{mark}")
+                    path, size = at, 0
+                    inside, _, name = at.rpartition("/")
+                    if inside:
+                        fs.create_dir(f"{base}/{inside}", recursive=True)
+                    beside = "/".join(x for x in (base, inside, f".{name}.{uuid.uuid4().hex}") if x)
+                    out = fs.open_output_stream(beside)
                 size += out.write(content.as_buffer())
         if out:
             yield closed()

@@ -79,6 +79,9 @@ def test_trees_are_merged_by_kind(spark, monkeypatch):
 
 
 def test_files_are_whole_or_not_there(spark, tmp_path):
+    inside = spark.createDataFrame([("3/1/2.png", b"x"), ("3/1/1.png", b"yy")], "path string, content binary")
+    assert sorted(map(tuple, parts.write_files(inside, f"file://{tmp_path}/tree").collect())) == [("3/1/1.png", 2), ("3/1/2.png", 1)]
+    assert sorted(str(x.relative_to(tmp_path / "tree")) for x in (tmp_path / "tree").rglob("*") if x.is_file()) == ["3/1/1.png", "3/1/2.png"]
     rows = [(f"f{i % 3}", i // 3, 0, 0, 0, bytes([i]) * 1000) for i in range(30)]
     df = spark.createDataFrame(rows, parts.PART).repartition(7)
     done = {r.path: r.bytes for r in parts.write_files(df, str(tmp_path / "out")).collect()}
