@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import masks
 from .focal import dilate
+from .staging import few
 
 RGB = ("r", "g", "b")
 
@@ -48,6 +52,51 @@ def latest_source(sources: DataFrame, keys: list[str], priority: str, alpha: str
     return sources.where(F.col(alpha) > 0).groupBy(*keys).agg(top).select(*keys, "top.*")
 
 
+@F.pandas_udf(T.BooleanType())
+def is_whole(data: pd.Series, height: pd.Series, width: pd.Series, side: pd.Series) -> pd.Series:
+    """Whether a block has all ``side`` x ``side`` cells and a value in each."""
+    return pd.Series([h == w == n and not np.isnan(np.frombuffer(x, "<f8")).any() for x, h, w, n in zip(data, height, width, side, strict=True)])
+
+
+def by_footprints(blocks: DataFrame, footprints: DataFrame, window: tuple[int, int, int, int] | None = None, pixel: float | None = None, side: int = 256) -> DataFrame:
+    """A virtual mosaic in blocks, greater ``seq`` on top: (br, bc, height, width, data, top, mixed); top: for each cell the source's seq, NaN where none has a value.
+
+    blocks: (source, br, bc, height, width, data, whole) on one grid. footprints: (source, seq, r0, r1, c0, c1: its cells, the last left out, px). What is read is
+    settled before any value is: sources whose footprint misses the window (r0, r1, c0, c1) or whose pixels are coarser than ``pixel`` are out, and so are
+    blocks outside of it. Where a whole block lies on others it hides them, and where one block is left it goes on as it is; only
+    contested blocks are folded cell by cell, a group being the sources that overlap there."""
+    used = footprints if pixel is None else footprints.where(F.col("px") <= pixel * (1 + 1e-9))
+    kept = blocks
+    if window:
+        r0, r1, c0, c1 = window
+        used = used.where((F.col("r0") < r1) & (F.col("r1") > r0) & (F.col("c0") < c1) & (F.col("c1") > c0))
+        kept = kept.where((F.col("br") * side < r1) & ((F.col("br") + 1) * side > r0) & (F.col("bc") * side < c1) & ((F.col("bc") + 1) * side > c0))
+    used = used.select("source", "seq", *(F.col(c).alias(f"_{c}") for c in ("r0", "r1", "c0", "c1")))
+    meets = (F.col("br") * side < F.col("_r1")) & ((F.col("br") + 1) * side > F.col("_r0")) & (F.col("bc") * side < F.col("_c1")) & ((F.col("bc") + 1) * side > F.col("_c0"))
+    kept = kept.join(F.broadcast(used) if few(used) else used, "source").where(meets).select("seq", "br", "bc", "height", "width", "whole", "data")
+    at = ["br", "bc"]
+    floor = kept.groupBy(*at).agg(F.max(F.when(F.col("whole"), F.col("seq"))).alias("floor"), F.collect_list("seq").alias("all"))
+    floor = floor.select(*at, "floor", F.size(F.filter("all", lambda x: F.col("floor").isNull() | (x >= F.col("floor")))).alias("left"))
+    seen = kept.join(floor, at).where(F.col("floor").isNull() | (F.col("seq") >= F.col("floor")))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        h, w = int(pdf["height"].max()), int(pdf["width"].max())
+        data, top = np.full((h, w), np.nan), np.full((h, w), np.nan)
+        for seq, a, b, raw in sorted(zip(*(pdf[c] for c in ("seq", "height", "width", "data")), strict=True)):
+            own = np.frombuffer(raw, "<f8").reshape(a, b)
+            there = ~np.isnan(own)
+            data[:a, :b][there], top[:a, :b][there] = own[there], seq
+        return pd.DataFrame({"br": pdf["br"].iloc[:1], "bc": pdf["bc"].iloc[:1], "height": [h], "width": [w], "data": [data.astype("<f8").tobytes()], "top": [top.astype("<f8").tobytes()]})
+
+    @F.pandas_udf("binary")
+    def alone(seq: pd.Series, data: pd.Series) -> pd.Series:
+        return pd.Series([np.where(np.isnan(v := np.frombuffer(x, "<f8")), np.nan, float(s)).tobytes() for s, x in zip(seq, data, strict=True)])
+
+    shape = "br int, bc int, height int, width int, data binary, top binary"
+    one = seen.where("left = 1").select(*at, "height", "width", "data", alone("seq", "data").alias("top"), F.lit(False).alias("mixed"))
+    return one.unionByName(seen.where("left > 1").select("seq", *at, "height", "width", "data").groupBy(*at).applyInPandas(fold, shape).withColumn("mixed", F.lit(True)))
+
+
 def histogram(values: DataFrame, value: Column, bins: int = 128) -> DataFrame:
     """(bin, count, share of the largest bin) of values within 0..1, the last bin closed on both sides; empty bins too."""
     spark = values.sparkSession

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import arrays, focal
-from ..operators.staging import folder
+from ..operators import mosaic as mosaics
+from ..operators.staging import folder, staged
 from ..sources import parts, rasters
 from ..sources.tables import mosaic, table
 from .focal import SQUARE, TAPS, _shade_sql
@@ -111,3 +112,19 @@ def q_geotiff_tiled(spark, sf_dir):
     blocks = rasters.scan(spark, where, part=1 << 14).withColumnsRenamed({"by": "br", "bx": "bc"})
     cells = arrays.to_cells(blocks, ["path"], {"data": ["r", "g", "b", "a", "there"]}, 16).where("there = 1")
     return cells.select(F.substring_index("path", "/", -1).alias("file"), "row", "col", *(F.col(c).cast("long").alias(c) for c in "rgb"), F.col("a").cast("int").alias("a"))
+
+
+SOURCES = f"""{MOSAIC}, k AS (SELECT CAST(k AS INTEGER) AS k FROM range(5) a(k)), s AS (SELECT k, "row", col, depth + 1000 * k AS depth FROM mosaic CROSS JOIN k WHERE ("row" // 16 + k) % 3 <> 0 AND NOT (k % 2 = 1 AND ("row" * 7 + col * 3 + k) % 11 = 0))"""
+
+
+@query("q_mosaic_footprints", f"""WITH {SOURCES} SELECT "row", col, round(arg_max(depth, k), 6) AS depth, max(k) AS source FROM s WHERE k < 4 AND "row" BETWEEN 8 AND 39 AND col BETWEEN 100 AND 299 GROUP BY "row", col""")
+def q_mosaic_footprints(spark, sf_dir):
+    """Five overlapping sources, one of them too coarse: a window of their mosaic."""
+    row, col, k = F.col("row"), F.col("col"), F.col("source")
+    cells = staged(mosaic(spark, sf_dir).select(F.explode(F.sequence(F.lit(0), F.lit(4))).alias("source"), "row", "col", (F.col("depth") + 1000 * k).alias("depth")).where(((F.floor(row / 16) + k) % 3 != 0) & ~((k % 2 == 1) & ((row * 7 + col * 3 + k) % 11 == 0))), "sources")
+    blocks = arrays.stored(arrays.from_cells(cells, ["source"], ["depth"], 16).withColumn("whole", mosaics.is_whole("data", "height", "width", F.lit(16))), ["source"])
+    spans = cells.groupBy("source").agg(F.min("row").alias("r0"), (F.max("row") + 1).alias("r1"), F.min("col").alias("c0"), (F.max("col") + 1).alias("c1"))
+    prints = spans.select("source", k.alias("seq"), "r0", "r1", "c0", "c1", F.when(k < 4, 10.0).otherwise(40.0).alias("px"))
+    made = mosaics.by_footprints(blocks, prints, (8, 40, 100, 300), 20.0, 16).withColumn("raster", F.lit(0))
+    shown = _cells(made, 16, "data", "top").where("top is not null and row between 8 and 39 and col between 100 and 299")
+    return shown.select("row", "col", F.round("data", 6).alias("depth"), F.col("top").cast("int").alias("source"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import arrays, focal
+from gridloom.operators import arrays, focal, mosaic
 from gridloom.sources import parts, rasters, sinks, tiff
 
 
@@ -215,3 +215,30 @@ def test_blocks_of_a_ragged_raster_and_of_none(spark):
     assert {(r.key, r.row, r.col): r.v for r in arrays.to_cells(blocks, ["key"], {"data": ["v"]}, 4).collect() if r.v is not None} == {(1, 0, 0): 1.0, (1, 9, 2): 5.0, (2, 0, 0): 3.0}
     none = arrays.from_cells(cells.limit(0), ["key"], ["v"], 4)
     assert none.count() == 0 and arrays.blur(none, ["key"], "data", 1.0).count() == 0
+
+
+def test_mosaics_by_footprints(spark):
+    rnd = np.random.default_rng(8)
+    side, sources, rows = 4, {}, []
+    for seq, (r0, r1, c0, c1, gaps, px) in enumerate([(0, 12, 0, 12, 0.0, 1.0), (0, 8, 0, 8, 0.0, 1.0), (4, 12, 4, 10, 0.3, 1.0), (0, 3, 9, 12, 0.0, 1.0), (0, 12, 0, 12, 0.0, 9.0)]):
+        a = np.full((12, 12), np.nan)
+        a[r0:r1, c0:c1] = np.where(rnd.random((r1 - r0, c1 - c0)) < gaps, np.nan, rnd.standard_normal((r1 - r0, c1 - c0)))
+        sources[seq] = a
+        rows += [(f"s{seq}", i, j, float(a[i, j])) for i in range(12) for j in range(12) if not np.isnan(a[i, j])]
+        sources[f"s{seq}"] = (f"s{seq}", seq, r0, r1, c0, c1, px)
+    cells = spark.createDataFrame(rows, "source string, row int, col int, v double")
+    blocks = arrays.from_cells(cells, ["source"], ["v"], side).withColumn("whole", mosaic.is_whole("data", "height", "width", F.lit(side)))
+    prints = spark.createDataFrame([sources[f"s{k}"] for k in range(5)], "source string, seq int, r0 int, r1 int, c0 int, c1 int, px double")
+    for window, pixel, used in ((None, None, range(5)), (None, 1.0, range(4)), ((0, 3, 9, 12), 1.0, (0, 3)), ((20, 30, 0, 5), None, ())):
+        made = mosaic.by_footprints(blocks, prints, window, pixel, side).collect()
+        want, top = np.full((12, 12), np.nan), np.full((12, 12), np.nan)
+        for k in used:
+            there = ~np.isnan(sources[k])
+            want[there], top[there] = sources[k][there], k
+        assert bool(made) == bool(used)
+        for r in made:
+            at = slice(r.br * side, r.br * side + r.height), slice(r.bc * side, r.bc * side + r.width)
+            assert np.array_equal(np.frombuffer(r.data, "<f8").reshape(r.height, r.width), want[at], equal_nan=True)
+            assert np.array_equal(np.frombuffer(r.top, "<f8").reshape(r.height, r.width), top[at], equal_nan=True)
+        if pixel and not window:  # the second source hides the first; the third has gaps; a corner is contested
+            assert {(r.br, r.bc) for r in made if r.mixed} == {(0, 2), (1, 1), (1, 2), (2, 1), (2, 2)} and len(made) == 9
