@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..plans import units
-from ..sources.tables import catalogue, slabs, table
-from .registry import CATALOGUE, SLABS, query
+from ..plans import overlay, units
+from ..sources.tables import catalogue, points, slabs, table
+from .registry import CATALOGUE, POINTS, SLABS, query
 
 DATES = ("1998/01/01", "1998/07/01", "1997/10/01")
 PREFIX = "Scene_mosaic"
@@ -160,3 +160,33 @@ def q_preferred_dates(spark, sf_dir):
 def q_estimates(spark, sf_dir):
     n = catalogue(spark, sf_dir).agg(F.count_distinct("unit").alias("u"), F.count("*").alias("t")).first()
     return spark.createDataFrame([{k: round(v, 3) for k, v in units.estimates(n.u, n.t, 12).items()}], "seconds double, memory_gb double, network_gb double, peak_gb double, final_mb double")
+
+
+LATTICE = f"""{POINTS}, r AS (SELECT id, id % 4 AS owner, CAST(floor(lon) AS BIGINT) AS x, CAST(floor(lat) AS BIGINT) AS y, 2 + id % 3 AS w, 1 + id % 5 AS h FROM points),
+squares AS (SELECT id, owner, x + i AS x, y + j AS y FROM r CROSS JOIN range(4) a(i) CROSS JOIN range(5) b(j) WHERE i < w AND j < h AND NOT (w > 2 AND h > 2 AND i = 1 AND j = 1))"""
+
+
+def _lattice(spark, sf_dir):
+    """Rectangles on whole degrees, those of three by three and more with a hole."""
+    i = F.col("id")
+    r = points(spark, sf_dir).select("id", (i % 4).alias("owner"), F.floor("lon").cast("double").alias("x"), F.floor("lat").cast("double").alias("y"), (2 + i % 3).alias("w"), (1 + i % 5).alias("h"))
+    ring = lambda x, y, w, h: F.array(F.array(x, y), F.array(x + w, y), F.array(x + w, y + h), F.array(x, y + h))
+    x, y = F.col("x"), F.col("y")
+    outer = ring(x, y, F.col("w"), F.col("h"))
+    return r.select("id", "owner", F.when((F.col("w") > 2) & (F.col("h") > 2), F.array(outer, ring(x + 1, y + 1, F.lit(1.0), F.lit(1.0)))).otherwise(F.array(outer)).alias("rings"))
+
+
+@query("q_union_outline", f"""WITH {LATTICE}, u AS (SELECT DISTINCT owner, x, y FROM squares)
+SELECT owner, CAST(count(*) AS DOUBLE) AS area, CAST((SELECT count(*) FROM u a CROSS JOIN (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) d(i, j) LEFT JOIN u b ON b.owner = a.owner AND b.x = a.x + i AND b.y = a.y + j WHERE a.owner = u.owner AND b.x IS NULL) AS DOUBLE) AS perimeter FROM u GROUP BY owner""")
+def q_union_outline(spark, sf_dir):
+    """Areas and outlines of unions with holes, by cells."""
+    cells = overlay.union(_lattice(spark, sf_dir), ["owner"], 12.5)
+    length = F.aggregate("outline", F.lit(0.0), lambda s, e: s + F.sqrt((e["x2"] - e["x1"]) ** 2 + (e["y2"] - e["y1"]) ** 2))
+    return cells.groupBy("owner").agg(F.round(F.sum("area"), 6).alias("area"), F.round(F.sum(length), 6).alias("perimeter"))
+
+
+@query("q_overlaps", f"""WITH {LATTICE} SELECT a.id AS "left", b.id AS "right", CAST(count(*) AS DOUBLE) AS area FROM squares a JOIN squares b ON a.x = b.x AND a.y = b.y WHERE a.owner = 0 AND b.owner <> 0 GROUP BY a.id, b.id""")
+def q_overlaps(spark, sf_dir):
+    """Polygons of one owner against all others', by the area that they share."""
+    p = _lattice(spark, sf_dir)
+    return overlay.overlaps(p.where("owner = 0"), p.where("owner <> 0"), 12.5).select("left", "right", F.round("area", 6).alias("area"))

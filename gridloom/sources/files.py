@@ -254,6 +254,15 @@ def outlines(spark: SparkSession, path: str) -> DataFrame:
     return f.select("feature", "crs", F.explode(rings).alias("ring")).select("feature", ring.alias("ring"))
 
 
+def polygons(spark: SparkSession, path: str) -> DataFrame:
+    """(feature, part, rings) of a GeoJSON's polygons, the outer ring first and holes after it, in the file's own coordinates. ``plans.overlay`` unites them by cells."""
+    f = spark.read.schema("features array<struct<geometry:struct<type:string,coordinates:string>>>").json(path, multiLine=True).select(F.posexplode("features").alias("feature", "f"))
+    one = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
+    many = F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")
+    found = F.when(F.col("f.geometry.type") == "Polygon", F.array(one)).when(F.col("f.geometry.type") == "MultiPolygon", many)
+    return f.select("feature", F.posexplode(found).alias("part", "rings"))
+
+
 def envelope(rings: DataFrame) -> DataFrame:
     """(minx, miny, maxx, maxy) of all rings together."""
     p = rings.select(F.explode("ring").alias("p")).select(F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
