@@ -15,13 +15,14 @@ def q_scene_dedupe(spark, sf_dir):
     return plan.deduplicate(scenes(spark, sf_dir), F.coalesce(F.col("entity").cast("string"), F.concat(F.lit("k"), "k")))
 
 
-@query("q_scene_recency", f"""WITH {SCENES}, c AS (SELECT *, seq % 50 AS cell, start IS NULL OR (start >= '2024-01-20' AND seq % 50 > 3) AS ok FROM scenes WHERE start IS NOT NULL OR seq % 50 > 5), s AS (SELECT cell, bool_or(ok) AS any_ok FROM c GROUP BY cell)
+@query("q_scene_recency", f"""WITH {SCENES}, c AS (SELECT *, seq % 50 AS cell, CASE WHEN start IS NULL THEN seq % 50 > 5 ELSE start >= '2024-01-20' AND seq % 50 > 3 END AS ok FROM scenes), s AS (SELECT cell, bool_or(ok) AS any_ok FROM c GROUP BY cell)
   SELECT seq, cell, start FROM c JOIN s USING (cell) WHERE ok OR NOT any_ok""")
 def q_scene_recency(spark, sf_dir):
     cell = F.col("seq") % 50
-    rows = scenes(spark, sf_dir).withColumn("cell", cell).where(F.col("start").isNotNull() | (cell > 5))
-    # The first cells hold old scenes only.
-    rows = rows.withColumn("when", F.when(cell <= 3, F.concat(F.lit("1999"), F.substring("start", 5, 6))).otherwise(F.col("start")))
+    rows = scenes(spark, sf_dir).withColumn("cell", cell)
+    # The first cells hold old scenes only; in the next two those without a start are old.
+    old = F.when(F.col("start").isNull() & (cell <= 5), "1999-01-01").when(cell <= 3, F.concat(F.lit("1999"), F.substring("start", 5, 6)))
+    rows = rows.withColumn("when", F.coalesce(old, F.col("start")))
     return plan.recent(rows, "cell", "when", "2024-01-20").select("seq", "cell", "start")
 
 
