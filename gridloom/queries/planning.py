@@ -162,14 +162,14 @@ def q_estimates(spark, sf_dir):
     return spark.createDataFrame([{k: round(v, 3) for k, v in units.estimates(n.u, n.t, 12).items()}], "seconds double, memory_gb double, network_gb double, peak_gb double, final_mb double")
 
 
-LATTICE = f"""{POINTS}, r AS (SELECT id, id % 4 AS owner, CAST(floor(lon) AS BIGINT) AS x, CAST(floor(lat) AS BIGINT) AS y, 2 + id % 3 AS w, 1 + id % 5 AS h FROM points),
-squares AS (SELECT id, owner, x + i AS x, y + j AS y FROM r CROSS JOIN range(4) a(i) CROSS JOIN range(5) b(j) WHERE i < w AND j < h AND NOT (w > 2 AND h > 2 AND i = 1 AND j = 1))"""
+LATTICE = f"""{POINTS}, r AS (SELECT id, id % 4 AS owner, CAST(floor(lon) AS BIGINT) AS x, CAST(floor(lat) AS BIGINT) AS y, 2 + id % 11 AS w, 1 + id % 13 AS h FROM points),
+squares AS (SELECT id, owner, x + i AS x, y + j AS y FROM r CROSS JOIN range(12) a(i) CROSS JOIN range(13) b(j) WHERE i < w AND j < h AND NOT (w > 2 AND h > 2 AND i = 1 AND j = 1))"""
 
 
 def _lattice(spark, sf_dir):
     """Rectangles on whole degrees, those of three by three and more with a hole."""
     i = F.col("id")
-    r = points(spark, sf_dir).select("id", (i % 4).alias("owner"), F.floor("lon").cast("double").alias("x"), F.floor("lat").cast("double").alias("y"), (2 + i % 3).alias("w"), (1 + i % 5).alias("h"))
+    r = points(spark, sf_dir).select("id", (i % 4).alias("owner"), F.floor("lon").cast("double").alias("x"), F.floor("lat").cast("double").alias("y"), (2 + i % 11).alias("w"), (1 + i % 13).alias("h"))
     ring = lambda x, y, w, h: F.array(F.array(x, y), F.array(x + w, y), F.array(x + w, y + h), F.array(x, y + h))
     x, y = F.col("x"), F.col("y")
     outer = ring(x, y, F.col("w"), F.col("h"))
