@@ -33,12 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, map_texts, staged, table, with_hot
+from .common import components, few, map_texts, staged, table, with_hot
 
-WORDS, MAX_BITS, SEED, BLOCK, ROOM = 3, 3, 42, 2048, 1 << 20
+WORDS, MAX_BITS, SEED, BLOCK, ROOM, SOME = 3, 3, 42, 2048, 1 << 20, 64
 STAGE_WORDS, SIMILAR, SEGMENTS, SYMBOLS = 5, 0.8, 8, 5
 OTHERS = np.array([[j for j in range(SYMBOLS) if j != i] for i in range(SYMBOLS)])
 # Fixed odd factors and masks: each pair makes another order of the hashes.
@@ -89,6 +89,21 @@ def forest(a: np.ndarray, b: np.ndarray | None, max_bits: int = MAX_BITS) -> lis
     return edges
 
 
+def _counted(filed: DataFrame, block: int) -> DataFrame:
+    """Rows (variant, fp) of variants that more than one fingerprint has, with their number n.
+
+    Counting by a window sends each row once, but all of a variant to one task. Variants that look common among one fingerprint in ``SOME`` are
+    therefore counted by sums, and their rows stay where they are; which way a variant goes does not change its rows or its number."""
+    some = filed.where(F.pmod(F.xxhash64("fp"), F.lit(SOME)) == 0)
+    common = staged(some.groupBy("variant").agg(F.count("*").alias("n")).where(F.col("n") > block / (2 * SOME)).select("variant"), "common")
+    alone = lambda df: df.select("variant", "fp", F.count("*").over(Window.partitionBy("variant")).alias("n")).where("n > 1")
+    if common.isEmpty() or not few(common):
+        return alone(filed)
+    hot = filed.join(F.broadcast(common), "variant")
+    sums = hot.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1")
+    return alone(filed.join(F.broadcast(common), "variant", "left_anti")).unionByName(hot.join(F.broadcast(sums), "variant").select("variant", "fp", "n"))
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect the same distinct fingerprints as all links do. fps: (fp long), distinct."""
     if max_bits != MAX_BITS:
@@ -106,9 +121,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     # Few bytes become many rows here: they are dealt out before, and meet in one shuffle.
     tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), fps.count() // 50_000)
     filed = fps.repartition(tasks, "fp").select("fp", F.explode(keys).alias("variant"))
-    # Counts are summed before they meet; the fingerprints of a common variant stay where they are.
-    counts = staged(filed.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-    rows = staged(with_hot(filed, counts, ["variant"], "n", bound=block), "variants")
+    rows = staged(_counted(filed, block), "variants")
     small = rows.where(F.col("n") <= block).groupBy("variant").agg(F.collect_list("fp").alias("a")).select("a", F.lit(None).cast("array<long>").alias("b"))
     # A common variant: its fingerprints in blocks, each pair of blocks a row of its own.
     size = F.ceil(F.col("n") / F.lit(block)).cast("long")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridloom.llm import collocations, divergence, quality_cnn
+from gridloom.llm import collocations, divergence, quality_cnn, simhash
 from gridloom.llm.common import staged, with_hot
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, n long, phrase string, s int"
@@ -239,3 +239,11 @@ def test_half_of_all_rows_on_one_key_stay_spread(spark):
     sizes = [r[0] for r in with_hot(rows, small, ["k"], "n", bound=1000).groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sum(sizes) == 40_000 and max(sizes) < 16_000
     assert max(r[0] for r in rows.hint("shuffle_hash").join(small.hint("merge"), "k").groupBy(F.spark_partition_id()).count().select("count").collect()) >= 20_000
+
+
+@pytest.mark.parametrize("block", [2, 64, 1_000_000])
+def test_variants_are_counted_alike_either_way(spark, block):
+    rows = [(v, f) for f in range(3000) for v in ({0, f % 5 + 1} if f % 2 else {f + 100, f // 3 + 10_000})]
+    got = simhash._counted(spark.createDataFrame(rows, "variant long, fp long").repartition(4), block)
+    n = Counter(v for v, _ in rows)
+    assert sorted((r.variant, r.fp, r.n) for r in got.select("variant", "fp", "n").collect()) == sorted((v, f, n[v]) for v, f in rows if n[v] > 1)
