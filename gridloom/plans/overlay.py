@@ -3,7 +3,8 @@
 A polygon goes to the cells that its box touches, cut to a little more than the cell; what a group holds is therefore one cell's. Inside a cell
 coverage is exact, so no piece has to be stitched: an edge belongs to the cell that its middle lies in (the west and south borders included), and
 it is part of the union's outline if exactly one of its sides is covered. Areas are sums over slabs between all corners and crossings, within
-which edges do not meet.
+which edges do not meet. A cell that many polygons share is quartered inside its task until few differ in a part; a part that one of them covers whole is done.
+
 
 Polygons are rings, the outer one first or not: a point is inside if it lies in an odd number of them. Rings of fewer than three corners are
 none; null rings are left out; a polygon without rings covers nothing; equal polygons count once."""
@@ -14,7 +15,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 Ring = np.ndarray  # (corners, 2)
@@ -146,6 +147,75 @@ def _common(one: list[tuple[float, float]], other: list[tuple[float, float]]) ->
     return [(max(a, c), min(b, d)) for a, b in one for c, d in other if max(a, c) < min(b, d)]
 
 
+FEW, DEEPEST = 4, 8
+
+
+def clamped(e: np.ndarray, own: np.ndarray, box: tuple[float, float, float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of closed polygons moved onto a box (edges, whose they are, whether they run along its border): cut at its four lines and clamped, so that
+    inside the box each polygon is what it was."""
+    low, high = np.array(box[:2]), np.array(box[2:])
+    p, d = e[:, :2], e[:, 2:] - e[:, :2]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.concatenate([(low - p) / d, (high - p) / d], 1)
+    t = np.sort(np.where((t > 0) & (t < 1), t, 0.0), 1)
+    t = np.concatenate([t, np.ones((len(e), 1))], 1)
+    at = p[:, None, :] + d[:, None, :] * t[:, :, None]
+    at[:, -1] = e[:, 2:]  # the end itself
+    at = np.clip(np.concatenate([np.clip(p, low, high)[:, None, :], at], 1), low, high)
+    out = np.concatenate([at[:, :-1], at[:, 1:]], 2).reshape(-1, 4)
+    kept = (out[:, :2] != out[:, 2:]).any(1)
+    out = out[kept]
+    along = ((out[:, :2] == out[:, 2:]) & ((out[:, :2] == low) | (out[:, :2] == high))).any(1)
+    return out, np.repeat(own, 5)[kept], along
+
+
+def parted(e: np.ndarray, own: np.ndarray, box: tuple[float, float, float, float], depth: int = 0) -> Iterator[tuple[tuple[float, float, float, float], list[np.ndarray] | None]]:
+    """A cell in parts (box, polygons): None where one polygon covers the part and a rim around it, nothing where none is. Polygons that are equal in a part count once there."""
+    minx, miny, maxx, maxy = box
+    rim = max(maxx - minx, maxy - miny) / 64
+    e, own, along = clamped(e, own, (minx - rim, miny - rim, maxx + rim, maxy + rim))
+    if not len(e):
+        return
+    names, own = np.unique(own, return_inverse=True)
+    inside = np.bincount(own, ~along, len(names)) > 0
+    # What has no edge inside covers all of it or nothing.
+    x1, y1, x2, y2 = e.T
+    x, y = (minx + maxx) / 2, (miny + maxy) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        right = ((y1 > y) != (y2 > y)) & (x < x1 + (y - y1) * (x2 - x1) / (y2 - y1))
+    if ((np.bincount(own, right, len(names)) % 2 == 1) & ~inside).any():
+        yield box, None
+        return
+    e, own = e[inside[own]], own[inside[own]]
+    if not len(e):
+        return
+    swap = (e[:, 0] > e[:, 2]) | (e[:, 0] == e[:, 2]) & (e[:, 1] > e[:, 3])
+    e[swap] = e[swap][:, [2, 3, 0, 1]]
+    order = np.lexsort((*e.T[::-1], own))
+    e, own = e[order], own[order]
+    differing = list({x.tobytes(): x for x in np.split(e, np.flatnonzero(np.diff(own)) + 1)}.values())
+    if len(differing) <= FEW or depth == DEEPEST:
+        yield box, differing
+        return
+    e, own = np.concatenate(differing), np.repeat(np.arange(len(differing)), [len(x) for x in differing])
+    for x0, x1 in ((minx, x), (x, maxx)):
+        for y0, y1 in ((miny, y), (y, maxy)):
+            yield from parted(e, own, (x0, y0, x1, y1), depth + 1)
+
+
+def cell_union(polygons: Sequence[np.ndarray], box: tuple[float, float, float, float]) -> tuple[float, np.ndarray]:
+    """The area and the outline's (segments, 4) of a cell's union, part by part."""
+    area, lines = 0.0, [np.zeros((0, 4))]
+    if polygons:
+        for part, found in parted(np.concatenate(polygons), np.repeat(np.arange(len(polygons)), [len(e) for e in polygons]), box):
+            if found is None:
+                area += (part[2] - part[0]) * (part[3] - part[1])
+            else:
+                area += cell_area([found], part)
+                lines.append(cell_outline(found, part))
+    return area, np.concatenate(lines)
+
+
 def in_cells(polygons: DataFrame, keys: Sequence[str], side: float, rings: str = "rings") -> DataFrame:
     """(keys, cx, cy, rings): each polygon (rings: array of rings of (x, y)) in the cells of a grid of ``side`` that its box touches."""
     corners = F.flatten(F.transform(F.filter(rings, lambda r: r.isNotNull()), lambda r: r))
@@ -154,12 +224,17 @@ def in_cells(polygons: DataFrame, keys: Sequence[str], side: float, rings: str =
     return p.where(F.size("_x") > 2).select(*keys, "rings", "_y", steps(F.col("_x")).alias("cx")).select(*keys, "rings", "cx", steps(F.col("_y")).alias("cy"))
 
 
+SHORT = 64
+
+
 def _read(rows: pd.Series, cx: int, cy: int, side: float) -> tuple[list[np.ndarray], tuple[float, float, float, float]]:
     box = cx * side, cy * side, (cx + 1) * side, (cy + 1) * side
     near = box[0] - side / 64, box[1] - side / 64, box[2] + side / 64, box[3] + side / 64
     out = []
     for rings in rows:
-        e = edges_of([cut_ring(np.array([list(p) for p in r], float), near) for r in rings if r is not None and len(r) > 2])
+        known = (np.array([list(p) for p in r], float) for r in rings if r is not None and len(r) > 2)
+        # Short rings stay as they are: what lies beyond the cell is cut from them later, for many at once.
+        e = edges_of([r if len(r) <= SHORT else cut_ring(r, near) for r in known])
         if len(e):
             out.append(e)
     return out, box
@@ -172,9 +247,9 @@ def union(polygons: DataFrame, keys: Sequence[str], side: float, rings: str = "r
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
         found, box = _read(pdf["rings"], int(first["cx"]), int(first["cy"]), side)
-        lines = cell_outline(found, box)
+        area, lines = cell_union(found, box)
         outline = [dict(zip(("x1", "y1", "x2", "y2"), map(float, s), strict=True)) for s in lines]
-        return pd.DataFrame({**{k: [first[k]] for k in keys}, "cx": [first["cx"]], "cy": [first["cy"]], "area": [cell_area([found], box)], "outline": [outline]})
+        return pd.DataFrame({**{k: [first[k]] for k in keys}, "cx": [first["cx"]], "cy": [first["cy"]], "area": [area], "outline": [outline]})
 
     cells = in_cells(polygons, keys, side, rings).distinct()
     return cells.groupBy(*keys, "cx", "cy").applyInPandas(one, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "cx long, cy long", SHAPE]))

@@ -90,3 +90,20 @@ def test_outlines_keep_their_holes(spark, tmp_path):
     (tmp_path / "a.geojson").write_text('{"features": [{"geometry": {"type": "Polygon", "coordinates": [[[0,0],[4,0],[4,4],[0,0]],[[2,1],[3,1],[3,2],[2,1]]]}}, {"geometry": {"type": "MultiPolygon", "coordinates": [[[[9,9],[10,9],[9,10],[9,9]]],[[[20,0],[21,0],[20,1],[20,0]],[[20.1,0.1],[20.2,0.1],[20.1,0.2],[20.1,0.1]]]]}}]}')
     got = sorted((r.feature, r.part, [len(x) for x in r.rings]) for r in files.polygons(spark, str(tmp_path / "a.geojson")).collect())
     assert got == [(0, 0, [4, 4]), (1, 0, [4]), (1, 1, [4, 4])]
+
+
+def test_shared_cells_are_quartered_until_few_polygons_meet():
+    rnd = random.Random(5)
+    squares = [(rnd.randrange(40), rnd.randrange(40), rnd.randint(2, 9), rnd.randint(2, 9)) for _ in range(1200)]
+    ring = lambda x, y, w, h: np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)], float)
+    polygons = [overlay.edges_of([ring(*s), ring(s[0] + 1, s[1] + 1, 0.5, 0.5)]) for s in squares]
+    box = (0.0, 0.0, 50.0, 50.0)
+    found = list(overlay.parted(np.concatenate(polygons), np.repeat(np.arange(len(polygons)), [len(e) for e in polygons]), box))
+    # What the pairwise steps see is few polygons, and most parts are settled without them.
+    assert max(len(p) for _, p in found if p is not None) < 40 and sum(p is None for _, p in found) > 10
+    half = lambda x, y, w, h: {(2 * x + i, 2 * y + j) for i in range(2 * w) for j in range(2 * h)} - {(2 * x + 2, 2 * y + 2)}
+    held = set().union(*(half(*s) for s in squares))
+    held = {c for c in held if c[0] < 100 and c[1] < 100}
+    area, lines = overlay.cell_union(polygons, box)
+    edge = sum((x + i, y + j) not in held for x, y in held for i, j in ((0, 1), (1, 0), (0, -1), (-1, 0))) / 2
+    assert area == pytest.approx(len(held) / 4, rel=1e-12) and np.hypot(lines[:, 2] - lines[:, 0], lines[:, 3] - lines[:, 1]).sum() == pytest.approx(edge, rel=1e-9)
