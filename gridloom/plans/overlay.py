@@ -5,6 +5,8 @@ coverage is exact, so no piece has to be stitched: an edge belongs to the cell t
 it is part of the union's outline if exactly one of its sides is covered. Areas are sums over slabs between all corners and crossings, within
 which edges do not meet. A cell that many polygons share is quartered inside its task until few differ in a part; a part that one of them covers whole is done.
 
+Overlaps of pairs: a polygon becomes signed sides once (``sides``), and the area that two share is a sum over pairs of sides, taken for many pairs at once.
+Polygons of a cell are filed in blocks of bounded size, and a pair is looked at in the one cell that holds the lower corner of what its boxes share.
 
 Polygons are rings, the outer one first or not: a point is inside if it lies in an odd number of them. Rings of fewer than three corners are
 none; null rings are left out; a polygon without rings covers nothing; equal polygons count once."""
@@ -255,18 +257,135 @@ def union(polygons: DataFrame, keys: Sequence[str], side: float, rings: str = "r
     return cells.groupBy(*keys, "cx", "cy").applyInPandas(one, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "cx long, cy long", SHAPE]))
 
 
+def sides(rings: Sequence[Ring]) -> np.ndarray:
+    """(sides, 5) of a polygon (x1, y1, x2, y2 with y1 < y2, sign): the signs of the sides to the left of a point add up to one inside and to nothing outside."""
+    e = edges_of(rings)
+    e = e[e[:, 1] != e[:, 3]]
+    if not len(e):
+        return np.zeros((0, 5))
+    e = np.where((e[:, 1] > e[:, 3])[:, None], e[:, [2, 3, 0, 1]], e)
+    met = [y1 + (y2 - y1) * t[(t > 0) & (t < 1)] for (_, y1, _, y2), t in zip(e, crossings(e), strict=True)]
+    ys = np.unique(np.concatenate([e[:, 1], e[:, 3], *met]))
+    found: list[list[float]] = []
+    last: dict[int, int] = {}
+    slope = (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
+    for low, high in zip(ys[:-1], ys[1:], strict=True):
+        y = (low + high) / 2
+        live = np.flatnonzero((e[:, 1] < y) & (e[:, 3] > y))
+        at = e[live, 0] + (y - e[live, 1]) * slope[live]
+        for n, k in enumerate(live[np.argsort(at, kind="stable")].tolist()):
+            sign = -1.0 if n % 2 else 1.0
+            if k in last and found[last[k]][2] == low and found[last[k]][3] == sign:
+                found[last[k]][2] = high
+            else:
+                last[k] = len(found)
+                found.append([k, low, high, sign])
+    k, low, high, sign = np.array(found).T
+    k = k.astype(int)
+    x1 = np.where(low == e[k, 1], e[k, 0], e[k, 0] + (low - e[k, 1]) * slope[k])
+    x2 = np.where(high == e[k, 3], e[k, 2], e[k, 0] + (high - e[k, 1]) * slope[k])
+    return np.stack([x1, low, x2, high, sign], 1)
+
+
+CALL = 1 << 19  # pairs of sides looked at together
+
+
+def shared_areas(a: np.ndarray, b: np.ndarray, x0: np.ndarray) -> np.ndarray:
+    """The area that the polygons of each pair share: (pairs, sides, 5) of both, padded by sides of sign 0, and a place of each pair that abscissas count from.
+
+    At each height the signs of a polygon's sides add up to nothing, so the area is minus the sum over pairs of sides of both signs times the integral of the larger abscissa."""
+    (ax1, ay1, ax2, ay2, sa), (bx1, by1, bx2, by2, sb) = (np.moveaxis(v, -1, 0) for v in (a[:, :, None, :], b[:, None, :, :]))
+    slope = lambda x1, y1, x2, y2: (x2 - x1) / np.where(y2 == y1, 1.0, y2 - y1)
+    ma, mb = slope(ax1, ay1, ax2, ay2), slope(bx1, by1, bx2, by2)
+    low, high = np.maximum(ay1, by1), np.minimum(ay2, by2)
+    h = np.maximum(high - low, 0.0)
+    base = x0[:, None, None]
+    b0, b1 = bx1 - base + (low - by1) * mb, bx1 - base + (high - by1) * mb
+    d0, d1 = ax1 - base + (low - ay1) * ma - b0, ax1 - base + (high - ay1) * ma - b1
+    up, all_ = np.maximum(d0, 0.0) + np.maximum(d1, 0.0), np.abs(d0) + np.abs(d1)
+    more = np.where(all_ > 0, up * up / np.where(all_ > 0, all_, 1.0), 0.0)
+    return -(sa * sb * (h / 2) * (b0 + b1 + more)).sum((1, 2))
+
+
+def block_areas(left: Sequence[np.ndarray], right: Sequence[np.ndarray], boxes: tuple[np.ndarray, np.ndarray], cell: tuple[int, int], side: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places left, places right, areas) of the pairs of two blocks that share an area and whose boxes' common part begins in the cell."""
+    one, other = boxes
+    padded = []
+    for part in (left, right):
+        out = np.zeros((len(part), max(map(len, part)), 5))
+        for k, s in enumerate(part):
+            out[k, : len(s)] = s
+        padded.append(out)
+    pl, pr = padded
+    size = pl.shape[1] * pr.shape[1]
+    step = max(1, CALL // len(other))
+    for first in range(0, len(one), step):
+        o = one[first : first + step, None, :]
+        x0, y0 = np.maximum(o[..., 0], other[:, 0]), np.maximum(o[..., 1], other[:, 1])
+        near = (x0 < np.minimum(o[..., 2], other[:, 2])) & (y0 < np.minimum(o[..., 3], other[:, 3]))
+        i, j = np.nonzero(near & (np.floor(x0 / side) == cell[0]) & (np.floor(y0 / side) == cell[1]))
+        at = x0[i, j]
+        i += first
+        many = max(1, CALL // size)
+        for k in range(0, len(i), many):
+            p, q, x = i[k : k + many], j[k : k + many], at[k : k + many]
+            if size <= CALL:
+                area = shared_areas(pl[p], pr[q], x)
+            else:  # polygons of many sides, some at a time
+                rows = max(1, CALL // pr.shape[1])
+                area = sum(shared_areas(pl[p][:, r : r + rows], pr[q], x) for r in range(0, pl.shape[1], rows))
+            # What is no more than rounding is settled by slabs.
+            extent = np.maximum(one[p, 2:], other[q, 2:]) - np.minimum(one[p, :2], other[q, :2])
+            for n in np.flatnonzero((area != 0) & (np.abs(area) < 1e-12 * extent.prod(1))):
+                u, v = one[p[n]], other[q[n]]
+                box = max(u[0], v[0]), max(u[1], v[1]), min(u[2], v[2]), min(u[3], v[3])
+                area[n] = cell_area([[left[p[n]][:, :4]], [right[q[n]][:, :4]]], box)
+            yield p[area > 0], q[area > 0], area[area > 0]
+
+
+BLOCK = 2048  # sides of a block
+
+
+def _blocks(polygons: DataFrame, name: str, side: float, rings: str) -> DataFrame:
+    """(cx, cy, box of the block, rows): polygons as signed sides, by the cells that their boxes touch, in blocks of bounded size; those of one id count as one."""
+    kind = dict(polygons.dtypes)["id"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for id_, many in zip(b["id"], b["many"], strict=True):
+                s = [sides([np.array([list(p) for p in r], float) for r in own if r is not None and len(r) > 2]) for own in many if own is not None]
+                s = np.concatenate([np.zeros((0, 5)), *s])
+                if len(s):
+                    x = s[:, [0, 2]]
+                    out.append((id_, x.min(), s[:, 1].min(), x.max(), s[:, 3].max(), len(s), s.tobytes()))
+            yield pd.DataFrame(out, columns=["id", "minx", "miny", "maxx", "maxy", "n", "sides"])
+
+    whole = polygons.select("id", F.col(rings).alias("rings")).groupBy("id").agg(F.collect_list("rings").alias("many"))
+    known = whole.mapInPandas(read, f"id {kind}, minx double, miny double, maxx double, maxy double, n int, sides binary")
+    steps = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / side).cast("long"), F.floor(F.col(b) / side).cast("long")))
+    filed = known.select("*", steps("minx", "maxx").alias("cx")).select("*", steps("miny", "maxy").alias("cy"))
+    # Of near numbers of sides, so that they are padded to about the same, then from west to east.
+    order = Window.partitionBy("cx", "cy").orderBy(F.ceil(F.log2("n")), "minx", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filed = filed.withColumn("block", F.floor(F.sum("n").over(order) / BLOCK))
+    box = [F.min(c).alias(f"{name}_{c}") for c in ("minx", "miny")] + [F.max(c).alias(f"{name}_{c}") for c in ("maxx", "maxy")]
+    return filed.groupBy("cx", "cy", "block").agg(*box, F.collect_list(F.struct("id", "sides")).alias(name)).drop("block")
+
+
 def overlaps(left: DataFrame, right: DataFrame, side: float, rings: str = "rings") -> DataFrame:
-    """(left, right, area) of the polygons (id, rings) of two tables whose insides meet: they meet by cells, and areas are summed over these."""
-    cells = [in_cells(df.select(F.col("id").alias(name), F.col(rings).alias("rings")), [name], side).withColumnRenamed("rings", f"{name}_rings") for df, name in ((left, "left"), (right, "right"))]
+    """(left, right, area) of the polygons (id, rings) of two tables whose insides meet. Blocks of polygons meet by cells; each pair is one row of one task."""
     kinds = {"left": dict(left.dtypes)["id"], "right": dict(right.dtypes)["id"]}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            areas = []
-            for cx, cy, one, other in zip(*(b[c] for c in ("cx", "cy", "left_rings", "right_rings")), strict=True):
-                (a, box), (c, _) = _read([one], cx, cy, side), _read([other], cx, cy, side)
-                areas.append(cell_area([a, c], box))
-            yield b[["left", "right"]].assign(area=areas)
-
-    met = cells[0].join(cells[1], ["cx", "cy"]).mapInPandas(run, f"left {kinds['left']}, right {kinds['right']}, area double")
-    return met.where("area > 0").groupBy("left", "right").agg(F.sum("area").alias("area"))
+            for cx, cy, one, other in zip(*(b[c] for c in ("cx", "cy", "left", "right")), strict=True):
+                polygons = [[np.frombuffer(x["sides"]).reshape(-1, 5) for x in part] for part in (one, other)]
+                boxes = tuple(np.array([[s[:, [0, 2]].min(), s[:, 1].min(), s[:, [0, 2]].max(), s[:, 3].max()] for s in part]) for part in polygons)
+                ids = [np.array([x["id"] for x in part]) for part in (one, other)]
+                for p, q, area in block_areas(*polygons, boxes, (cx, cy), side):
+                    yield pd.DataFrame({"left": ids[0][p], "right": ids[1][q], "area": area})
+
+    one, other = _blocks(left, "left", side, rings), _blocks(right, "right", side, rings)
+    near = (F.col("left_minx") < F.col("right_maxx")) & (F.col("right_minx") < F.col("left_maxx")) & (F.col("left_miny") < F.col("right_maxy")) & (F.col("right_miny") < F.col("left_maxy"))
+    met = one.join(other, ["cx", "cy"]).where(near).select("cx", "cy", "left", "right")
+    return met.mapInPandas(run, f"left {kinds['left']}, right {kinds['right']}, area double")

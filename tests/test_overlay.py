@@ -107,3 +107,20 @@ def test_shared_cells_are_quartered_until_few_polygons_meet():
     area, lines = overlay.cell_union(polygons, box)
     edge = sum((x + i, y + j) not in held for x, y in held for i, j in ((0, 1), (1, 0), (0, -1), (-1, 0))) / 2
     assert area == pytest.approx(len(held) / 4, rel=1e-12) and np.hypot(lines[:, 2] - lines[:, 0], lines[:, 3] - lines[:, 1]).sum() == pytest.approx(edge, rel=1e-9)
+
+
+def test_many_overlaps_are_taken_together(monkeypatch):
+    rnd = random.Random(6)
+    rows = [(rnd.randrange(8), rnd.randrange(8), rnd.randint(3, 9), rnd.randint(3, 9)) for _ in range(600)]
+    ring = lambda x, y, w, h: np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)], float)
+    polygons = [overlay.sides([ring(*s), ring(s[0] + 1, s[1] + 1, 1, 1)]) for s in rows]
+    assert all(len(s) == 4 for s in polygons)
+    held = [{(x + i, y + j) for i in range(w) for j in range(h)} - {(x + 1, y + 1)} for x, y, w, h in rows]
+    boxes = np.array([(x, y, x + w, y + h) for x, y, w, h in rows], float)
+    # None of these pairs needs slabs of its own.
+    monkeypatch.setattr(overlay, "cell_area", None)
+    got = {}
+    for p, q, area in overlay.block_areas(polygons[:300], polygons[300:], (boxes[:300], boxes[300:]), (0, 0), 50.0):
+        got |= dict(zip(zip(p.tolist(), q.tolist(), strict=True), area.tolist(), strict=True))
+    want = {(i, j): float(len(held[i] & held[300 + j])) for i in range(300) for j in range(300)}
+    assert got == {k: v for k, v in want.items() if v}
