@@ -98,9 +98,9 @@ def by_footprints(blocks: DataFrame, footprints: DataFrame, window: tuple[int, i
 
 
 def histogram(values: DataFrame, value: Column, bins: int = 128) -> DataFrame:
-    """(bin, count, share of the largest bin) of values within 0..1, the last bin closed on both sides; empty bins too."""
+    """(bin, count, share of the largest bin) of values within 0..1, the last bin closed on both sides; empty bins too. Without any value there is no largest bin, and shares are null."""
     spark = values.sparkSession
     counts = values.select(value.alias("v")).where("v >= 0 and v <= 1").groupBy(F.least(F.floor(F.col("v") * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("count"))
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin")).join(counts, "bin", "left").fillna(0, ["count"])
     top = counts.agg(F.max("count").alias("top"))
-    return all_bins.join(F.broadcast(top)).select("bin", "count", F.when(F.col("top") > 0, F.col("count") / F.col("top")).otherwise(F.lit(0.0)).alias("share"))
+    return all_bins.join(F.broadcast(top)).select("bin", "count", (F.col("count") / F.col("top")).alias("share"))
