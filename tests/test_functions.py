@@ -209,6 +209,19 @@ def test_kernels_reproduce_constants(spark):
         assert all(r.v == pytest.approx(5) for r in resample.gather(t, src, ["k", "i"], ["k"], ["v"], method).collect())
 
 
+def test_a_histogram_of_nothing_has_no_shares(spark):
+    none = mosaic.histogram(spark.createDataFrame([], "v double"), F.col("v"), 4).collect()
+    assert [(r.bin, r["count"], r.share) for r in sorted(none)] == [(i, 0, None) for i in range(4)]
+    some = mosaic.histogram(spark.createDataFrame([(0.1,), (1.0,), (0.9,)], "v double"), F.col("v"), 4).collect()
+    assert [(r["count"], r.share) for r in sorted(some)] == [(1, 0.5), (0, 0.0), (0, 0.0), (2, 1.0)]
+
+
+def test_samples_over_the_last_meridian_have_codes(spark):
+    assert mgrs.codes([180.5], [0.5]) == [None] and mgrs.codes([180.5], [0.5], 360.0) == mgrs.codes([180.5], [0.5], 181.0) != [None]
+    got = {r.code for r in mgrs.codes_in(spark.createDataFrame([(1, 179.7, 0.2, 180.5, 0.8)], "id int, minx double, miny double, maxx double, maxy double")).collect()}
+    assert {*mgrs.codes([179.7], [0.2]), *mgrs.codes([180.5], [0.8], 360.0)} <= got and len(got) > 1
+
+
 def test_grid_codes():
     assert mgrs.codes([2.35, -74.0, 151.2, 5.3, 15.6], [48.85, 40.7, -33.87, 60.39, 78.2]) == ["31UDQ", "18TWL", "56HLH", "32VKN", "33XWG"]
     assert mgrs.codes([0, float("nan"), 0], [89.9, 0, 91]) == ["ZAG", None, None]
