@@ -118,16 +118,30 @@ def png_rows(content: bytes) -> np.ndarray:
     return out.reshape(h, w, n)
 
 
+PIXELS = 1 << 16  # small images share a frame of so many
+
+
 def png_pixels(tiles: DataFrame) -> DataFrame:
     """(z, tx, ty, row, col, r, g, b, a) of tiles (z, tx, ty, content) in PNG; without an alpha all are opaque."""
+    names = ["z", "tx", "ty", "row", "col", *"rgba"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            parts, held = [], 0
             for z, x, y, content in zip(b["z"], b["tx"], b["ty"], b["content"], strict=True):
-                image = png_rows(content).astype(np.int32)
+                image = png_rows(content)
                 h, w, n = image.shape
-                row, col = np.divmod(np.arange(h * w), w)
-                bands = dict(zip("rgba", image.reshape(-1, n).T, strict=False))
-                yield pd.DataFrame({"z": z, "tx": x, "ty": y, "row": row, "col": col, **bands, **({} if n == 4 else {"a": 255})})
+                part = np.full((h * w, 9), 255, np.int32)
+                part[:, 0], part[:, 1], part[:, 2] = z, x, y
+                part[:, 3], part[:, 4] = np.divmod(np.arange(h * w), w)
+                part[:, 5 : 5 + n] = image.reshape(-1, n)
+                parts.append(part)
+                held += h * w
+                if held >= PIXELS:
+                    yield pd.DataFrame(np.concatenate(parts), columns=names)
+                    parts, held = [], 0
+            if parts:
+                yield pd.DataFrame(np.concatenate(parts), columns=names)
 
     return tiles.select("z", "tx", "ty", "content").mapInPandas(run, "z int, tx int, ty int, row int, col int, r int, g int, b int, a int")
 
@@ -279,11 +293,20 @@ def read_geotiff(content: bytes) -> Iterator[tuple[int, int, float, float, float
 
 def geotiff(files: DataFrame) -> DataFrame:
     """Rasters as rows of blocks."""
+    names = [x.split()[0] for x in BLOCK.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            parts, held = [], 0
             for path, content in zip(b["path"], b["content"], strict=True):
                 for *rest, data in read_geotiff(content):
-                    yield pd.DataFrame([(path, *rest, data.ravel())], columns=[x.split()[0] for x in BLOCK.split(", ")])
+                    parts.append((path, *rest, data.ravel()))
+                    held += data.size
+                    if held >= PIXELS:
+                        yield pd.DataFrame(parts, columns=names)
+                        parts, held = [], 0
+            if parts:
+                yield pd.DataFrame(parts, columns=names)
 
     return files.select("path", "content").mapInPandas(run, BLOCK)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.staging import staged
+from ..operators.staging import per_group, staged
 from ..operators.tiles import extent
 
 
@@ -35,15 +35,14 @@ def png_bytes(pixels: np.ndarray) -> bytes:
 
 def png_tiles(pixels: DataFrame, size: int) -> DataFrame:
     """(z, tx, ty, content) of pixels (z, tx, ty, row, col, r, g, b, a): no tile where none shows, no alpha where all are opaque."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(t: dict[str, np.ndarray]) -> tuple | None:
         image = np.zeros((size, size, 4), np.uint8)
-        image[pdf["row"], pdf["col"]] = pdf[["r", "g", "b", "a"]]
+        image[t["row"], t["col"]] = np.stack([t[c] for c in "rgba"], 1)
         shown = image[:, :, 3]
-        content = [] if not shown.any() else [png_bytes(image[:, :, :3] if (shown == 255).all() else image)]
-        return pdf[["z", "tx", "ty"]].head(len(content)).assign(content=content)
+        return (t["z"][0], t["tx"][0], t["ty"][0], png_bytes(image[:, :, :3] if (shown == 255).all() else image)) if shown.any() else None
 
     ints = [F.col(c).cast("int").alias(c) for c in ("z", "tx", "ty", "row", "col", "r", "g", "b", "a")]
-    return pixels.select(*ints).groupBy("z", "tx", "ty").applyInPandas(run, "z int, tx int, ty int, content binary")
+    return per_group(pixels.select(*ints), ["z", "tx", "ty"], run, "z int, tx int, ty int, content binary")
 
 
 def geotiff_bytes(data: np.ndarray, x0: float, y0: float, pixel: float, epsg: int = 3857) -> bytes:
@@ -73,13 +72,13 @@ def geotiff_bytes(data: np.ndarray, x0: float, y0: float, pixel: float, epsg: in
 
 def geotiffs(cells: DataFrame, key: str, value: str, x0: str, y0: float, pixel: float, epsg: int = 3857) -> DataFrame:
     """(key, content): each raster's cells (key, row, col, value, and x0, its western edge) as a GeoTIFF in single precision; missing cells are NaN."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        data = np.full((int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1), np.nan, "f4")
-        data[pdf["row"], pdf["col"]] = pdf["value"]
-        return pd.DataFrame({key: [pdf["key"].iloc[0]], "content": [geotiff_bytes(data, float(pdf["x0"].iloc[0]), y0, pixel, epsg)]})
+    def run(t: dict[str, np.ndarray]) -> tuple:
+        data = np.full((int(t["row"].max()) + 1, int(t["col"].max()) + 1), np.nan, "f4")
+        data[t["row"], t["col"]] = t["value"]
+        return t["key"][0], geotiff_bytes(data, float(t["x0"][0]), y0, pixel, epsg)
 
     rows = cells.select(F.col(key).alias("key"), "row", "col", F.col(value).cast("double").alias("value"), F.col(x0).alias("x0"))
-    return rows.groupBy("key").applyInPandas(run, f"`{key}` {dict(cells.dtypes)[key]}, content binary")
+    return per_group(rows, ["key"], run, f"`{key}` {dict(cells.dtypes)[key]}, content binary")
 
 
 def zips(members: DataFrame, archive: str, name: str, content: str = "content") -> DataFrame:
@@ -131,13 +130,13 @@ def mbtiles_chunks(tiles: DataFrame, metadata: Mapping[str, str], side: int = 64
     """(chunk, content): XYZ tiles (z, tx, ty, content) as MBTiles stores of at most ``side`` x ``side`` tiles, rows counted from the south."""
     known = dict(metadata)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(int(z), int(x), int(2**z - 1 - y), bytes(c)) for z, x, y, c in zip(pdf["z"], pdf["tx"], pdf["ty"], pdf["content"], strict=True)]
-        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "content": [mbtiles_bytes(sorted(rows), known)]})
+    def run(t: dict[str, np.ndarray]) -> tuple:
+        rows = [(z, x, 2**z - 1 - y, bytes(c)) for z, x, y, c in zip(*(t[c].tolist() for c in ("z", "tx", "ty", "content")), strict=True)]
+        return t["chunk"][0], mbtiles_bytes(sorted(rows), known)
 
     part = lambda c: F.floor(F.col(c) / side).cast("int").cast("string")
     name = F.concat_ws("-", F.col("z").cast("string"), part("tx"), part("ty"))
-    return tiles.select("z", "tx", "ty", "content", name.alias("chunk")).groupBy("chunk").applyInPandas(run, "chunk string, content binary")
+    return per_group(tiles.select("z", "tx", "ty", "content", name.alias("chunk")), ["chunk"], run, "chunk string, content binary")
 
 
 @F.pandas_udf(T.LongType())

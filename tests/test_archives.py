@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import color
 from gridloom.operators import tiles
+from gridloom.operators.staging import per_group
 from gridloom.sources import files, parts, sinks
 
 
@@ -88,3 +89,22 @@ def test_files_are_whole_or_not_there(spark, tmp_path):
     again = {r.path: r.bytes for r in parts.write_files(df, f"file://{tmp_path}/out").collect()}
     assert done == again == {f"f{k}": 10_000 for k in range(3)} and sorted(x.name for x in (tmp_path / "out").iterdir()) == ["f0", "f1", "f2"]
     assert (tmp_path / "out/f1").read_bytes() == b"".join(bytes([i]) * 1000 for i in range(1, 30, 3))
+
+
+def test_small_groups_share_calls(spark):
+    rows = [(k, i, float(k * 100 + i)) for k in range(40) for i in range(1 + k * 7 % 30)]
+    df = spark.createDataFrame(rows, "k int, i int, v double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        make = lambda t: (t["k"][0], len(t["i"]), t["v"].sum()) if t["k"][0] % 5 else None
+        got = sorted(tuple(r) for r in per_group(df, ["k"], make, "k int, n long, total double").collect())
+        assert per_group(df.where("k < 0"), ["k"], make, "k int, n long, total double").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    own = {k: [v for q, _, v in rows if q == k] for k in range(40) if k % 5}
+    assert got == [(k, len(v), sum(v)) for k, v in own.items()]
+    # No writer calls Python once a tile.
+    t = spark.createDataFrame([(1, x, 0, r, c, 1, 2, 3, 255) for x in range(2) for r in range(2) for c in range(2)], "z int, tx int, ty int, row int, col int, r int, g int, b int, a int")
+    for df in (sinks.png_tiles(t, 2), sinks.mbtiles_chunks(sinks.png_tiles(t, 2), {}), sinks.geotiffs(t, "tx", "r", "z", 0.0, 1.0)):
+        assert "FlatMapGroups" not in df._jdf.queryExecution().executedPlan().toString() and df.count() > 0
+    assert files.png_pixels(sinks.png_tiles(t, 2)).exceptAll(t).count() == 0
