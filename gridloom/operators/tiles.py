@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import color, geo
+from .staging import per_group
 
 RGBA = ("r", "g", "b", "a")
 
@@ -52,21 +52,20 @@ def merge_trees(trees: DataFrame, layer: str = "layer") -> DataFrame:
     floor = floor.select(*key, "floor", F.size(F.filter("layers", lambda x: F.col("floor").isNull() | (x >= F.col("floor")))).alias("left"))
     seen = trees.withColumnRenamed(layer, "layer").join(floor, key).where(F.col("floor").isNull() | (F.col("layer") >= F.col("floor")))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(t: dict[str, np.ndarray]) -> tuple | None:
         from ..sources import files, sinks
 
         now = None
-        for content in pdf.sort_values("layer")["content"]:
-            image = files.png_rows(content)
+        for i in np.argsort(t["layer"], kind="stable"):
+            image = files.png_rows(t["content"][i])
             if image.shape[2] == 3:
                 image = np.concatenate([image, np.full((*image.shape[:2], 1), 255, np.uint8)], 2)
             now = over_bytes(np.zeros_like(image) if now is None else now, image)
         alpha = now[:, :, 3]
-        found = [sinks.png_bytes(now[:, :, :3] if (alpha == 255).all() else now)] if alpha.any() else []
-        return pdf[key].head(len(found)).assign(content=found)
+        return (*(t[k][0] for k in key), sinks.png_bytes(now[:, :, :3] if (alpha == 255).all() else now)) if alpha.any() else None
 
     shape = "z int, tx int, ty int, content binary"
-    mixed = seen.where("left > 1").select(*key, "layer", "content").groupBy(*key).applyInPandas(fold, shape)
+    mixed = per_group(seen.where("left > 1").select(*key, "layer", "content"), key, fold, shape)
     return seen.where("left = 1").select(*key, "content", F.lit(False).alias("decoded")).unionByName(mixed.withColumn("decoded", F.lit(True)))
 
 
