@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.staging import per_group
+
 Ring = Sequence[tuple[float, float]]
 LEAST = 1e-8  # square degrees that count
 
@@ -82,8 +84,11 @@ def apart(a: Ring, b: Ring) -> bool:
 def without(pieces: list, convex: Ring) -> tuple[list, float]:
     """What is left of convex pieces without a convex polygon, and the area that went."""
     out, gone = [], 0.0
+    xs, ys = zip(*convex, strict=True)
+    west, east, south, north = min(xs), max(xs), min(ys), max(ys)
     for piece in pieces:
-        if apart(piece, convex):
+        px, py = zip(*piece, strict=True)
+        if max(px) <= west or min(px) >= east or max(py) <= south or min(py) >= north or apart(piece, convex):
             out.append(piece)
             continue
         inside = piece
@@ -99,10 +104,11 @@ def without(pieces: list, convex: Ring) -> tuple[list, float]:
 
 def chosen(target: Ring, rings: Sequence[Ring | None], least: float = LEAST) -> list[int]:
     """The places of the rings, taken in order, that cover more than ``least`` of what of the target none before did; until less is left."""
-    left, out = parts(target), []
+    left, out, known = parts(target), [], set()
     for i, ring in enumerate(rings):
-        if ring is None or len(ring) < 3:
+        if ring is None or len(ring) < 3 or (same := tuple(map(tuple, ring))) in known:
             continue
+        known.add(same)  # what was taken once, or was too little, is so again
         rest, gone = left, 0.0
         for t in parts(ring):
             rest, part = without(rest, t)
@@ -122,24 +128,26 @@ def greedy_cover(scenes: DataFrame, cell: str, start: str, ring: str, target: Ri
     kinds = dict(scenes.dtypes)
     target = [tuple(p) for p in target]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["start", "seq"], ascending=[False, True], kind="stable")
-        keep = chosen(target, [None if r is None else [tuple(p) for p in r] for r in rows["ring"]])
-        return rows.iloc[keep][["cell", "seq"]].rename(columns={"cell": cell, "seq": seq})
+    def run(t: dict[str, np.ndarray]) -> tuple:
+        order = sorted(range(len(t["seq"])), key=lambda i: t["seq"][i])
+        order.sort(key=lambda i: t["start"][i], reverse=True)
+        keep = chosen(target, [None if t["ring"][i] is None else [tuple(p) for p in t["ring"][i]] for i in order])
+        return t["cell"][0], [t["seq"][order[k]] for k in keep]
 
     rows = scenes.select(F.col(cell).alias("cell"), F.col(seq).alias("seq"), F.coalesce(start, F.lit("")).alias("start"), F.col(ring).alias("ring"))
-    return rows.groupBy("cell").applyInPandas(run, f"`{cell}` {kinds[cell]}, `{seq}` {kinds[seq]}")
+    found = per_group(rows, ["cell"], run, f"cell {kinds[cell]}, seqs array<{kinds[seq]}>")
+    return found.select(F.col("cell").alias(cell), F.explode("seqs").alias(seq))
 
 
 def union_area(shapes: DataFrame, key: str, ring: str, target: Ring) -> DataFrame:
     """(key, area): how much of the target a bounded group's polygons cover together."""
     target = [tuple(p) for p in target]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(group: dict[str, np.ndarray]) -> tuple:
         left = parts(target)
-        for r in pdf["ring"]:
-            for t in parts(r) if r is not None and len(r) > 2 else ():
+        for r in dict.fromkeys(tuple(map(tuple, r)) for r in group["ring"] if r is not None and len(r) > 2):
+            for t in parts(r):
                 left, _ = without(left, t)
-        return pd.DataFrame({key: [pdf["key"].iloc[0]], "area": [abs(area(target)) - sum(map(area, left))]})
+        return group["key"][0], abs(area(target)) - sum(map(area, left))
 
-    return shapes.select(F.col(key).alias("key"), F.col(ring).alias("ring")).groupBy("key").applyInPandas(run, f"`{key}` {dict(shapes.dtypes)[key]}, area double")
+    return per_group(shapes.select(F.col(key).alias("key"), F.col(ring).alias("ring")), ["key"], run, f"`{key}` {dict(shapes.dtypes)[key]}, area double")

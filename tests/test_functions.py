@@ -209,6 +209,28 @@ def test_kernels_reproduce_constants(spark):
         assert all(r.v == pytest.approx(5) for r in resample.gather(t, src, ["k", "i"], ["k"], ["v"], method).collect())
 
 
+def test_equal_outlines_are_taken_once(monkeypatch):
+    asked, own = [], cover.parts
+    monkeypatch.setattr(cover, "parts", lambda r: asked.append(1) or own(r))
+    one, two = [(0, 0), (0.5, 0), (0.5, 1), (0, 1)], [(0.25, 0), (0.75, 0), (0.75, 1), (0.25, 1)]
+    assert cover.chosen([(0, 0), (1, 0), (1, 1), (0, 1)], [one, None, *[one] * 50, two, *[two, one] * 50]) == [0, 52] and len(asked) == 3
+
+
+def test_equal_boxes_go_to_the_points_once(spark):
+    rows = [(i, f"2020-01-{1 + i % 7:02d}" if i % 3 else None, i % 2, 0.0, 0.0, 0.5, 0.5 + i % 4 / 8) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, start string, cell int, a double, b double, c double, d double")
+    plan_ = scenes.greedy_cover(df, "cell", "start", ("a", "b", "c", "d"))
+    text_ = plan_._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in text_[text_.rindex("Generate") :]
+    best = {}
+    for seq, start, cell, *box in rows:
+        for i in range(16):
+            for j in range(16):
+                if box[0] <= (i + 0.5) / 16 <= box[2] and box[1] <= (j + 0.5) / 16 <= box[3]:
+                    best[cell, i, j] = max(best.get((cell, i, j), ("", -99)), (start or "", -seq))
+    assert {r.seq for r in plan_.collect()} == {-s for _, s in best.values()}
+
+
 def test_a_histogram_of_nothing_has_no_shares(spark):
     none = mosaic.histogram(spark.createDataFrame([], "v double"), F.col("v"), 4).collect()
     assert [(r.bin, r["count"], r.share) for r in sorted(none)] == [(i, 0, None) for i in range(4)]
