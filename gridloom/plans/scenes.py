@@ -103,12 +103,14 @@ def greedy_cover(scenes: DataFrame, cell: str, start: str, area: Sequence[str],
     """Scenes of each cell, newest first, that cover something of it that none before did.
 
     Areas are boxes (minx, miny, maxx, maxy) within 0..1 of the cell, taken on a grid of points: an approximation of exact polygons.
-    The first scene to cover a point is the newest that does, so no fold over scenes is needed and no cell meets in one task."""
+    The first scene to cover a point is the newest that does, so no fold over scenes is needed and no cell meets in one task; of equal boxes only the newest
+    goes to the points."""
     x0, y0, x1, y1 = (F.col(c) for c in area)
-    rows = scenes.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_i")).where(((F.col("_i") + 0.5) / grid).between(x0, x1))
+    newest = F.max(F.struct(F.coalesce(F.col(start), F.lit("")).alias("start"), (-F.col(seq)).alias("seq"))).alias("_s")
+    rows = scenes.groupBy(cell, *area).agg(newest)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_i")).where(((F.col("_i") + 0.5) / grid).between(x0, x1))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_j")).where(((F.col("_j") + 0.5) / grid).between(y0, y1))
-    first = F.max_by(F.col(seq), F.struct(F.coalesce(F.col(start), F.lit("")), -F.col(seq)))
-    taken = rows.groupBy(cell, "_i", "_j").agg(first.alias(seq)).select(cell, seq).distinct()
+    taken = rows.groupBy(cell, "_i", "_j").agg(F.max("_s").alias("_s")).select(cell, (-F.col("_s.seq")).alias(seq)).distinct()
     return scenes.join(taken, [cell, seq], "left_semi")
 
 
