@@ -231,6 +231,18 @@ def test_equal_boxes_go_to_the_points_once(spark):
     assert {r.seq for r in plan_.collect()} == {-s for _, s in best.values()}
 
 
+def test_outlines_are_projected_together(monkeypatch):
+    calls, own = [], mgrs.utm_inverse
+    monkeypatch.setattr(mgrs, "utm_inverse", lambda *a: calls.append(1) or own(*a))
+    some = ["31UDQ", None, "18TWL", "ZAG", "56HLH", "61UDQ", "32VKN"]
+    got = mgrs.outlines(some)
+    assert len(calls) == 1 and [r is None for r in got] == [False, True, False, True, False, True, False]
+    assert got == [mgrs.outline(c) for c in some] and mgrs.outlines([]) == []
+    for code, ring in zip(some, got, strict=True):
+        if ring and code != "32VKN":  # a widened zone's squares reach over
+            assert mgrs.codes([sum(p["lon"] for p in ring[:4]) / 4], [sum(p["lat"] for p in ring[:4]) / 4]) == [code]
+
+
 def test_a_histogram_of_nothing_has_no_shares(spark):
     none = mosaic.histogram(spark.createDataFrame([], "v double"), F.col("v"), 4).collect()
     assert [(r.bin, r["count"], r.share) for r in sorted(none)] == [(i, 0, None) for i in range(4)]
