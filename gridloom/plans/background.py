@@ -82,8 +82,10 @@ def build(cells: DataFrame, path: str, settings: Mapping[str, object], chunk: in
     shown = staged(render(wide.join(todo, "chunk", "left_semi"), settings).where("own").drop("own"), "chunks")
     status = todo.join(shown.groupBy("chunk").agg(F.max("a").alias("a")), "chunk", "left").select("chunk", F.when(F.col("a") > 0, RENDERED).otherwise(EMPTY).alias("status"))
     status = staged(status, "status")
+    # A file a chunk takes a task longer than its few bytes tell: an even share of the chunks for each task, which is not to be merged with others.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     visible = shown.join(status.where(F.col("status") == RENDERED), "chunk", "left_semi").withColumn("digest", F.lit(own))
-    for rows, part in ((visible.select("row", "col", "r", "g", "b", "a", "digest", "chunk").repartition("chunk"), "cells"), (status.select(F.lit(own).alias("digest"), "status", "chunk").coalesce(1), "manifest")):
+    for rows, part in ((visible.select("row", "col", "r", "g", "b", "a", "digest", "chunk").repartition(tasks, "chunk"), "cells"), (status.select(F.lit(own).alias("digest"), "status", "chunk").repartition(tasks, "chunk"), "manifest")):
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk").parquet(f"{path}/{part}")
     unstaged(shown)
     return status

@@ -148,3 +148,10 @@ def test_nothing_to_warp(spark):
     far = spark.createDataFrame([(1, 0, 1e6, 1e6, 1.0, 16)], "key int, i int, minx double, maxy double, pixel double, size int")
     assert warp.warp(none, places, far, ["key"], ["i"], project=warp.same, block=16).count() == 0
     assert warp.tile_targets(spark.createDataFrame([(1, 1, 1, 0)], "key int, z int, tx int, ty int"), 256).select("minx", "maxy", F.round("pixel", 3).alias("p")).first().p == round(2 * warp.geo.HALF_WORLD / 512, 3)
+
+
+def test_chunks_are_written_by_many_tasks(spark, tmp_path):
+    cells = spark.range(64 * 4).select((F.col("id") % 64).cast("int").alias("row"), F.floor(F.col("id") / 64).cast("int").alias("col"), F.lit(-500.0).alias("depth"))
+    background.build(cells, str(tmp_path), {"fade": -30.0}, 4)
+    parts = {f.name.split("-")[1] for f in (tmp_path / "manifest").rglob("*.parquet")}
+    assert len(parts) > 1 and background.manifest(spark, str(tmp_path)).count() == 16
