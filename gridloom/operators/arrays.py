@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .focal import SQUARE, gaussian
-from .staging import folder
+from .staging import folder, per_group
 
 #: Where a neighbour lies: (rows, columns) from the block.
 AROUND = tuple((i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0))
@@ -32,28 +32,35 @@ Kernel = Callable[[np.ndarray, tuple[int, int, int, int]], np.ndarray]
 
 
 def from_cells(cells: DataFrame, keys: Sequence[str], values: Sequence[str], block: int = 256, name: str = "data") -> DataFrame:
-    """Cells (keys, row, col, values) as blocks of the rectangle that each raster's cells reach, the values of a cell together. Partial lists, one shuffle
-    of these; blocks without any cell come from the raster's extent."""
-    at = (F.col("row") % block * block + F.col("col") % block).cast("int")
+    """Cells (keys, row, col, values) as blocks of the rectangle that each raster's cells reach, the values of a cell together. One shuffle of
+    the cells; a task holds a batch of them and the block that is open, however many blocks it makes. Blocks without any cell come from the raster's extent."""
     number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(math.nan))
     part = lambda c: F.floor(F.col(c) / block).cast("int")
-    held = cells.groupBy(*keys, part("row").alias("br"), part("col").alias("bc")).agg(F.collect_list(at).alias("_at"), F.collect_list(F.array(*map(number, values))).alias("_v"))
     sizes = cells.groupBy(*keys).agg((F.max("row") + 1).alias("_h"), (F.max("col") + 1).alias("_w"))
     steps = lambda c: F.explode(F.sequence(F.lit(0), F.floor((F.col(c) - 1) / block).cast("int")))
     size = lambda c, k: F.least(F.lit(block), F.col(c) - F.col(k) * block).cast("int")
-    every = sizes.withColumn("br", steps("_h")).withColumn("bc", steps("_w")).select(*keys, "br", "bc", size("_h", "br").alias("height"), size("_w", "bc").alias("width"))
-
-    @F.pandas_udf(T.BinaryType())
-    def dense(at: pd.Series, v: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
-        out = []
-        for i, x, a, b in zip(at, v, h, w, strict=True):
-            data = np.full((a, b, len(values)), np.nan)
-            if i is not None:
-                data[np.divmod(np.asarray(i), block)] = np.stack(x)
-            out.append(data.astype("<f8").tobytes())
-        return pd.Series(out)
-
-    return every.join(held, [*keys, "br", "bc"], "left").select(*keys, "br", "bc", "height", "width", dense("_at", "_v", "height", "width").alias(name))
+    kinds, names = dict(cells.dtypes), [f"_v{i}" for i in range(len(values))]
+    # In pandas whole numbers beside a null would be floats, so they go as text.
+    carried = [F.col(k).cast("string").alias(k) if cells.schema[k].nullable and kinds[k] in ("tinyint", "smallint", "int", "bigint") else F.col(k) for k in keys]
+    own = cells.select(*carried, part("row").alias("br"), part("col").alias("bc"), (F.col("row") % block).cast("int").alias("_r"), (F.col("col") % block).cast("int").alias("_c"), *(number(v).alias(n) for v, n in zip(values, names, strict=True))).where("br >= 0 and bc >= 0")
+    # A row more of each block, without values, says how large it is; so it is there without any cell too.
+    every = sizes.where("_h > 0 and _w > 0").withColumn("br", steps("_h")).withColumn("bc", steps("_w"))
+    every = every.select(*carried, "br", "bc", size("_h", "br").alias("_r"), size("_w", "bc").alias("_c"), *(F.lit(0.0).alias(n) for n in names))
+    of = [*keys, "br", "bc"]
+
+    def dense(t: dict[str, np.ndarray]) -> tuple | None:
+        extent = np.flatnonzero(t["_extent"])
+        if not len(extent):
+            return None
+        h, w = int(t["_r"][extent[0]]), int(t["_c"][extent[0]])
+        cell = ~t["_extent"]
+        data = np.full((h, w, len(values)), np.nan)
+        data[t["_r"][cell], t["_c"][cell]] = np.stack([t[n][cell] for n in names], 1)
+        return (*(t[k][0] for k in of), h, w, data.astype("<f8").tobytes())
+
+    rows = own.withColumn("_extent", F.lit(False)).unionByName(every.withColumn("_extent", F.lit(True)))
+    blocks = per_group(rows, of, dense, ", ".join(f"`{k}` {kind}" for k, kind in rows.select(*of).dtypes) + f", height int, width int, `{name}` binary")
+    return blocks.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
 
 
 def to_cells(blocks: DataFrame, keys: Sequence[str], arrays: Mapping[str, Sequence[str]], block: int) -> DataFrame:

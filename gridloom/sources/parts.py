@@ -80,6 +80,7 @@ def tiled_geotiffs(blocks: DataFrame, side: int, bands: int = 1, levels: int = 1
     """The parts of tiled, deflated BigTIFFs: blocks (path, by, bx, height, width, data; x0, y0, px, the raster's corner and pixel) of ``side`` x ``side``
     cells, and ``levels`` images, each half the size of the one before. Tiles are packed in many tasks; tiles that are missing are left out of the file."""
     own = ["path", "by", "bx", "height", "width", "data"]
+    blocks = staged(blocks, "blocks")  # they are read for each image and for the corners
     image = blocks.select(*own)
     chain = [image.withColumn("level", F.lit(0))]
     for level in range(1, levels):

@@ -242,3 +242,20 @@ def test_mosaics_by_footprints(spark):
             assert np.array_equal(np.frombuffer(r.top, "<f8").reshape(r.height, r.width), top[at], equal_nan=True)
         if pixel and not window:  # the second source hides the first; the third has gaps; a corner is contested
             assert {(r.br, r.bc) for r in made if r.mixed} == {(0, 2), (1, 1), (1, 2), (2, 1), (2, 2)} and len(made) == 9
+
+
+def test_blocks_are_made_of_batches_of_cells(spark):
+    """Not of lists of a block's cells, of which a call of Python would hold as many blocks as a batch has rows."""
+    rows = [(key, i, j, float(i * 100 + j)) for key in (None, 2**53, 2**53 + 1) for i in range(5) for j in range(7) if (i, j) != (4, 6) or key]
+    rows += [(7, -1, 2, 1.0), (7, 9, 0, 2.0), (7, None, 0, 3.0)]
+    blocks = arrays.from_cells(spark.createDataFrame(rows, "key long, row int, col int, v double"), ["key"], ["v"], 4)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "MapInPandas" in plan
+    assert blocks.dtypes == [("key", "bigint"), ("br", "int"), ("bc", "int"), ("height", "int"), ("width", "int"), ("data", "binary")]
+    got = {(r.key, r.br, r.bc): np.frombuffer(r.data, "<f8").reshape(r.height, r.width) for r in blocks.collect()}
+    assert len(got) == 3 * 4 + 3 and {k: v.shape for k, v in got.items() if k[0] == 7} == {(7, 0, 0): (4, 3), (7, 1, 0): (4, 3), (7, 2, 0): (2, 3)}
+    assert np.isnan(got[7, 0, 0]).all() and got[7, 2, 0][1, 0] == 2.0
+    want = np.add.outer(np.arange(5) * 100.0, np.arange(7))
+    for key in (None, 2**53, 2**53 + 1):
+        a = np.block([[got[key, i, j] for j in range(2)] for i in range(2)])
+        assert np.array_equal(a.ravel()[:-1], want.ravel()[:-1]) and (a[4, 6] == want[4, 6] if key else np.isnan(a[4, 6]))
