@@ -9,8 +9,9 @@ The tokens of one URL hang together, so item sets would grow as powers of two. W
 * A token whose labelled URLs all have one verdict is such a rule; no longer rule that holds it can be more confident or
   better supported, so it is not mined further.
 * Tokens that stand in exactly the same labelled URLs are one item: the longest of them (then the first by text).
-* A labelled URL with over ``ITEMS`` = 12 items still left teaches combinations of the 12 that tell the verdicts apart best
-  (by standard errors from the share of all URLs). A combination has 12 tokens at most; its length has no other limit.
+* Of a labelled URL with up to ``ITEMS`` = 12 items still left FP-growth lists all combinations. In a longer one they would grow as powers of two, most of them for nothing:
+  a combination from which a token can go while all its URLs stay the same is no better than without it. So combinations that some longer URL holds are counted level by level over all
+  labelled URLs, and only those are taken further of which each token tells (``generators``). Both ways together give every rule that is left after pruning, whatever ``ITEMS`` is.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no tokens, no explicit rule and the default
 verdict; an empty path fits no rule path, since every rule path starts with ``/``; a host of over 127 labels, which no
@@ -21,6 +22,8 @@ default verdict holds.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -80,7 +83,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     """Rules (rule_id, antecedent: sorted tokens, verdict, confidence, support, size) from rows (items, verdict).
 
     The support is also at least MIN_ROWS rows. A rule is pruned if leaving out one of its tokens gives a rule of the same
-    verdict that is as confident."""
+    verdict that is as confident. most: how many items of a row FP-growth takes; those with more go by ``generators``."""
     rows = staged(labelled.select("items", "verdict", F.monotonically_increasing_id().alias("row")), "labelled")
     total = {r.verdict: r.n for r in rows.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
     n = sum(total.values())
@@ -98,24 +101,29 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     ones = single.select(F.array("token").alias("antecedent"), F.col("n"), F.inline(by)).where(F.col("k") >= min_confidence * F.col("n"))
     ones = ones.select("antecedent", "verdict", (F.col("k") / F.col("n")).alias("confidence"), (F.col("k") / n).alias("support"))
     pure = F.greatest(F.lit(0), *(F.col(f"n{i}") for i in range(len(total)))) == F.col("n")
-    far = [F.abs(F.col(f"n{i}") - F.col("n") * (k / n)) / F.sqrt(F.col("n") * max(k / n * (1 - k / n), 1e-9)) for i, (_, k) in enumerate(sorted(total.items()))]
-    told = single.where(~pure).withColumn("z", F.greatest(F.lit(0.0), *far)).groupBy("m1", "m2", "n").agg(F.min(F.struct((-F.length("token")).alias("long"), "token", "z")).alias("x"))
-    items = told.select(F.col("x.token").alias("token"), F.col("x.z").alias("z"))
+    marks = [f"n{i}" for i in range(len(total))]
+    items = staged(single.where(~pure).groupBy("m1", "m2", "n", *marks).agg(F.min(F.struct((-F.length("token")).alias("long"), "token")).alias("x")).select(F.col("x.token").alias("token"), "n", *marks), "items")
     kept = rows.select("row", "verdict", F.explode("items").alias("token")).join(items, "token")
-    kept = kept.groupBy("row", "verdict").agg(F.sort_array(F.collect_list(F.struct("z", "token")), asc=False).alias("items"))
-    kept = kept.select(F.concat(F.transform(F.slice("items", 1, most), lambda x: x["token"]), F.array(F.concat(F.lit("="), "verdict"))).alias("items")).where(F.size("items") > 2)
+    # The rarest first: what follows a token is short then.
+    kept = kept.groupBy("row", "verdict").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("items"))
+    kept = staged(kept.select(F.transform("items", lambda x: x["token"]).alias("items"), "verdict").where(F.size("items") > 1), "kept")
+    longer, narrow = [], kept.where(F.size("items") <= most)
+    wide = staged(kept.where(F.size("items") > most).select("items").distinct(), "wide")
     # The support is of all labelled rows; FP-growth sees those with two items or more.
-    kept = staged(kept, "items")
-    left = kept.count()
-    rules = ones
-    if left >= least:
-        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / left), minConfidence=min_confidence).fit(kept)
-        longer = model.associationRules.where(
+    if (left := narrow.count()) >= least:
+        seen = narrow.select(F.concat("items", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=(math.ceil(least) - 0.5) / left, minConfidence=min_confidence).fit(seen)
+        grown = model.associationRules.where(
             F.element_at("consequent", 1).startswith("=") & (F.size("antecedent") > 1) & ~F.exists("antecedent", lambda x: x.startswith("="))
         ).select(
-            F.array_sort("antecedent").alias("antecedent"), F.substring(F.element_at("consequent", 1), 2, 99).alias("verdict"), "confidence", (F.col("support") * (left / n)).alias("support"),
+            F.array_sort("antecedent").alias("antecedent"), F.substring(F.element_at("consequent", 1), 2, 99).alias("verdict"), "confidence", (F.round(F.col("support") * left) / n).alias("support"),
         )
-        rules = staged(ones.unionByName(longer), "found")
+        longer.append(grown if wide.isEmpty() else _outside(staged(grown, "grown"), wide, items))
+    if not wide.isEmpty():
+        sets = kept.groupBy("items").agg(*(F.count_if(F.col("verdict") == v).alias(m) for v, m in zip(sorted(total), marks)), F.max(F.size("items") > most).cast("long").alias("wide"))
+        told = generators(sets, items, marks, least).select(F.array_sort("x").alias("antecedent"), "n", F.inline(by))
+        longer.append(told.where((F.col("k") >= least) & (F.col("k") / F.col("n") >= min_confidence)).select("antecedent", "verdict", (F.col("k") / F.col("n")).alias("confidence"), (F.col("k") / n).alias("support")))
+    rules = staged(functools.reduce(DataFrame.unionByName, longer, ones), "found")
     shorter = rules.select(F.col("antecedent").alias("less"), "verdict", F.col("confidence").alias("c"))
     beaten = (
         rules.where(F.size("antecedent") > 1).select("antecedent", "verdict", "confidence", F.explode("antecedent").alias("out"))
@@ -125,6 +133,39 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return rules.select(F.xxhash64("antecedent", "verdict").alias("rule_id"), "antecedent", "verdict", "confidence", "support", F.size("antecedent").alias("size"))
 
 
+def _outside(rules: DataFrame, wide: DataFrame, items: DataFrame) -> DataFrame:
+    """The rules whose antecedent no set of ``wide`` (items) holds; they meet by the antecedent's rarest token."""
+    rarest = rules.select("*", F.explode("antecedent").alias("token")).join(items.select("token", "n"), "token").groupBy(*rules.columns).agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+    held = wide.select("items", F.explode("items").alias("of"))
+    return rarest.join(held, (F.col("token") == F.col("of")) & (F.size(F.array_except("antecedent", "items")) == 0), "left_anti").select(*rules.columns)
+
+
+def generators(sets: DataFrame, items: DataFrame, marks: Sequence[str], least: float) -> DataFrame:
+    """(x, n, marks) of the sets x of two tokens or more that stand in a wide row, in fewer rows than x without any one of its tokens, in at
+    least ``least`` rows of one verdict, and of which no smaller part has one verdict alone.
+
+    sets: distinct rows (items in one order, marks: how often with each verdict, wide: 1 or 0); items: each token's (token, n, marks). A part of such a set is such a set,
+    so sets grow by one token a level: a row is kept as a part (prefix) and the tokens that may follow it, equal rests are one, and only these are shuffled."""
+    sums, n, most = [F.sum(m).alias(m) for m in marks], sum(F.col(m) for m in marks), F.greatest(F.lit(0), *marks)
+    known = items.select(F.array("token").alias("x"), "n")
+    rows, found = sets.select(F.array().cast("array<string>").alias("prefix"), F.col("items").alias("rest"), *marks, "wide"), []
+    while True:
+        grown = rows.select("prefix", "rest", F.posexplode("rest").alias("i", "token"), *marks, "wide")
+        grown = grown.select(F.array_append("prefix", F.col("token")).alias("prefix"), F.slice("rest", F.col("i") + 2, F.size("rest")).alias("rest"), *marks, "wide").where(F.size("rest") > 0)
+        grown = staged(grown.groupBy("prefix", "rest").agg(*sums, F.max("wide").alias("wide")), "rests")
+        counted = grown.select("prefix", F.explode("rest").alias("token"), *marks, "wide").groupBy("prefix", "token").agg(*sums, F.max("wide").alias("wide")).where((F.col("wide") > 0) & (most >= least))
+        counted = staged(counted.select(F.array_append("prefix", F.col("token")).alias("x"), n.alias("n"), *marks), "counted")
+        less = counted.select("x", "n", F.explode(F.transform("x", lambda t: F.array_remove("x", t))).alias("y"))
+        tells = less.join(known.select(F.col("x").alias("y"), F.col("n").alias("m")), "y").where("m > n").groupBy("x").agg(F.count("*").alias("parts")).where(F.col("parts") == F.size("x"))
+        made = staged(counted.join(tells, "x", "left_semi"), "generators")
+        found.append(made)
+        known = made.where(most < F.col("n"))
+        if known.isEmpty():
+            return functools.reduce(DataFrame.unionByName, found)
+        ends = known.groupBy(F.slice("x", F.lit(1), F.size("x") - 1).alias("prefix")).agg(F.collect_list(F.element_at("x", -1)).alias("ends"))
+        rows = grown.join(F.broadcast(ends) if few(ends) else ends, "prefix").select("prefix", F.array_intersect("rest", "ends").alias("rest"), *marks, "wide").where(F.size("rest") > 1)
+
+
 def match(urls: DataFrame, rules: DataFrame, row: str = "row", items: str = "items") -> DataFrame:
     """(row, mined, mined_verdict, mined_confidence) of the best rule whose tokens all occur in a URL: highest confidence, then
     support, then the larger antecedent, then text order. By an inverted index from token to rule."""

@@ -1,5 +1,6 @@
 """Scores, URLs, vectors, pages and the pipeline."""
 
+import collections
 import itertools
 import random
 import time
@@ -196,6 +197,30 @@ def test_mined_rules_equal_plain_counting(spark):
         assert found.get(i) == (best and (best[2], pytest.approx(best[0])))
 
 
+def test_rules_of_urls_with_many_tokens_are_whole(spark):
+    """No token of a labelled URL is left out, however many it has: the same rules whatever FP-growth takes, and as by plain counting."""
+    rnd = random.Random(5)
+    mixed = [([t for t, p in (("a", 0.5), ("b", 0.4), ("c", 0.6), ("d", 0.3), ("e", 0.7), ("f", 0.5)) if rnd.random() < p], rnd.random()) for _ in range(400)]
+    mixed = [(x, "block" if r < (0.95 if {"a", "b"} <= set(x) else 0.05 if {"c", "d", "f"} <= set(x) else 0.5) else "allow") for x, r in mixed]
+    # Tokens inside each other's rows, which tell a little, and two that tell together only.
+    nested = []
+    for i in range(400):
+        x, y, r = rnd.random() < 0.5, rnd.random() < 0.5, rnd.random()
+        chain = [f"n{k:02}" for k in range(1 + (i % 20 if (x != y) == (r < 0.9) else i % 18))]
+        nested.append((chain + ["x"] * x + ["y"] * y, "block" if (x != y) == (r < 0.9) else "allow"))
+    rules = lambda rows, **how: {(tuple(r.antecedent), r.verdict): (r.confidence, r.support) for r in url_rules.mine(spark.createDataFrame(rows, "items array<string>, verdict string"), 0.02, 0.8, **how).collect()}
+    whole = rules(mixed)
+    assert any(len(x) > 2 for x, _ in whole) and whole == rules(mixed, most=3) == rules(mixed, most=1) == rules(mixed, most=4)
+    counts = {}
+    for tokens, verdict in nested:
+        for k in (1, 2, 3, 4):
+            for x in itertools.combinations(sorted(tokens), k):
+                counts.setdefault(x, collections.Counter())[verdict] += 1
+    want = {(x, v): (k / c.total(), k / 400) for x, c in counts.items() for v, k in c.items() if k >= 8 and k >= 0.8 * c.total()}
+    left = {(x, v): c for (x, v), c in want.items() if not any(want.get((x[:i] + x[i + 1 :], v), (0,))[0] >= c[0] for i in range(len(x)))}
+    assert (("x", "y"), "allow") in left and rules(nested) == left
+
+
 def test_deep_paths_and_long_urls(spark):
     deep = "/".join(f"segment{i}" for i in range(10))
     rows = [(i, f"http://s{i % 3}.a.b.example.com/{'fr' if i % 2 else 'de'}/{deep}/{i}") for i in range(200)]
