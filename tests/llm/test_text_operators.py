@@ -133,6 +133,21 @@ def test_repeats_equal_brute_force(docs, hot):
     assert rows == repeats(corpus(), suffix_dedup.LENGTH)
 
 
+def test_planted_passages_are_told_by_n_removed(spark, tmp_path):
+    """The query's columns: n_bytes is the whole text's, whatever goes; passages under 400 bytes stay, repeats within a text go."""
+    rnd = random.Random(12)
+    long_, short, own = words(rnd, 90), words(rnd, 52), words(rnd, 90)
+    assert len(long_) > 400 > len(short)
+    around = lambda x: f"{words(rnd, 20)}\n{x}\t{words(rnd, 20)}"
+    texts = [around(long_), around(long_), around(short), around(short), around(f"{own} - {own}"), words(rnd, 200)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(suffix_dedup.op2_suffix_dedup(spark, str(tmp_path)).collect())
+    want = [(int(k), n, gone, runs, hashlib.sha256(kept).hexdigest()) for k, n, gone, runs, kept in repeats(rows, 400)]
+    assert [tuple(r) for r in got] == want and [r.n_bytes for r in got] == [len(t) for t in texts]
+    assert [r.n_removed > 0 for r in got] == [True, True, False, False, True, False]
+
+
 def test_repetitive_strings_have_few_runs():
     rnd = random.Random(6)
     base = words(rnd, 300).encode()
