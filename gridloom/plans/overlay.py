@@ -5,8 +5,9 @@ coverage is exact, so no piece has to be stitched: an edge belongs to the cell t
 it is part of the union's outline if exactly one of its sides is covered. Areas are sums over slabs between all corners and crossings, within
 which edges do not meet. A cell that many polygons share is quartered inside its task until few differ in a part; a part that one of them covers whole is done.
 
-Overlaps of pairs: a polygon becomes signed sides once (``sides``), and the area that two share is a sum over pairs of sides, taken for many pairs at once.
-Polygons of a cell are filed in blocks of bounded size, and a pair is looked at in the one cell that holds the lower corner of what its boxes share.
+Overlaps of pairs: a polygon becomes signed sides once (``many_sides``), and the area that two share is a sum over pairs of sides, taken for many pairs at once.
+Upright sides that come in pairs are signed boxes, of which each block is taken with each other. Polygons of a cell are filed in blocks of bounded size, and a pair is
+looked at in the one cell that holds the lower corner of what its boxes share; within a cell boxes are parted for as long as that leaves fewer pairs to look at.
 
 Polygons are rings, the outer one first or not: a point is inside if it lies in an odd number of them. Rings of fewer than three corners are
 none; null rings are left out; a polygon without rings covers nothing; equal polygons count once."""
@@ -17,6 +18,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -259,7 +262,10 @@ def union(polygons: DataFrame, keys: Sequence[str], side: float, rings: str = "r
 
 def sides(rings: Sequence[Ring]) -> np.ndarray:
     """(sides, 5) of a polygon (x1, y1, x2, y2 with y1 < y2, sign): the signs of the sides to the left of a point add up to one inside and to nothing outside."""
-    e = edges_of(rings)
+    return _sides(edges_of(rings))
+
+
+def _sides(e: np.ndarray) -> np.ndarray:
     e = e[e[:, 1] != e[:, 3]]
     if not len(e):
         return np.zeros((0, 5))
@@ -290,6 +296,72 @@ def sides(rings: Sequence[Ring]) -> np.ndarray:
 CALL = 1 << 19  # pairs of sides looked at together
 
 
+def _slab_sides(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sides, whose they are, polygons whose edges cross) of polygons of the same number of edges: (polygons, edges, 4), y1 < y2."""
+    x1, y1, x2, y2 = np.moveaxis(e, -1, 0)
+    ys = np.sort(np.concatenate([y1, y2], 1), 1)
+    ys[:, 1:][ys[:, 1:] == ys[:, :-1]] = np.inf
+    ys.sort(1)
+    low, high = ys[:, :-1], ys[:, 1:]
+    slope = (x2 - x1) / (y2 - y1)
+    with np.errstate(invalid="ignore"):
+        mid = (low + high)[:, :, None] / 2
+        live = (y1[:, None] < mid) & (y2[:, None] > mid)
+        at = lambda y: np.where(live, np.where(y == y1[:, None], x1[:, None], np.where(y == y2[:, None], x2[:, None], x1[:, None] + (y - y1[:, None]) * slope[:, None])), np.inf)
+        order = np.argsort(at(mid), axis=2, kind="stable")
+        crossed = np.zeros(len(e), bool)
+        for y in (low, high):
+            crossed |= (np.diff(np.take_along_axis(at(y[:, :, None]), order, 2), axis=2) < 0).any((1, 2))
+    sign = np.where(np.arange(e.shape[1]) % 2, -1, 1) * np.ones(order.shape, int)
+    out = np.empty_like(sign)
+    np.put_along_axis(out, order, sign, 2)
+    # Along an edge, the runs of slabs in which it has the same sign.
+    run = np.where(live, out, 0).transpose(0, 2, 1)
+    run[crossed] = 0
+    edge = np.pad(run, ((0, 0), (0, 0), (1, 1)))
+    i, k, first = np.nonzero((run != 0) & (run != edge[:, :, :-2]))
+    last = np.nonzero((run != 0) & (run != edge[:, :, 2:]))[2]
+    a, b = low[i, first], high[i, last]
+    x1, y1, x2, y2, slope = (v[i, k] for v in (x1, y1, x2, y2, slope))
+    return np.stack([np.where(a == y1, x1, x1 + (a - y1) * slope), a, np.where(b == y2, x2, x1 + (b - y1) * slope), b, run[i, k, first]], 1), i, np.flatnonzero(crossed)
+
+
+def many_sides(e: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sides, whose they are) of many polygons, as ``sides`` gives them for one: (edges, 4) and whose they are, in order."""
+    steep = e[:, 1] != e[:, 3]
+    e, own = e[steep], own[steep]
+    e = np.where((e[:, 1] > e[:, 3])[:, None], e[:, [2, 3, 0, 1]], e)
+    names, start, n = np.unique(own, return_index=True, return_counts=True)
+    found, whose = [np.zeros((0, 5))], [np.zeros(0, int)]
+    for k in np.unique(n).tolist():
+        alike = np.flatnonzero(n == k)
+        step = max(1, CALL // (2 * k * k))
+        for part in (alike[f : f + step] for f in range(0, len(alike), step)):
+            alone = np.arange(len(part))
+            if k <= SHORT:
+                s, i, alone = _slab_sides(e[start[part, None] + np.arange(k)])
+                found.append(s)
+                whose.append(names[part[i]])
+            for i in alone.tolist():
+                s = _sides(e[start[part[i]] : start[part[i]] + k])
+                found.append(s)
+                whose.append(np.full(len(s), names[part[i]]))
+    return np.concatenate(found), np.concatenate(whose)
+
+
+def in_pairs(s: np.ndarray, own: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sides, whose they are, which of the n polygons are in pairs): sides by polygon; if all of a polygon's are upright and each has one of the other sign and the same heights, these follow each other."""
+    paired = np.bincount(own, s[:, 0] != s[:, 2], n) + np.abs(np.bincount(own, s[:, 4], n)) == 0
+    order = np.lexsort((s[:, 0], s[:, 3], s[:, 1], own))
+    even = order[paired[own[order]]]
+    one, other = even[s[even, 4] > 0], even[s[even, 4] < 0]
+    paired[own[one[(s[one][:, [1, 3]] != s[other][:, [1, 3]]).any(1)]]] = False
+    both = np.stack([one, other], 1)[paired[own[one]]].ravel()
+    order = np.concatenate([both, order[~paired[own[order]]]])
+    order = order[np.argsort(own[order], kind="stable")]
+    return s[order], own[order], paired
+
+
 def shared_areas(a: np.ndarray, b: np.ndarray, x0: np.ndarray) -> np.ndarray:
     """The area that the polygons of each pair share: (pairs, sides, 5) of both, padded by sides of sign 0, and a place of each pair that abscissas count from.
 
@@ -307,85 +379,219 @@ def shared_areas(a: np.ndarray, b: np.ndarray, x0: np.ndarray) -> np.ndarray:
     return -(sa * sb * (h / 2) * (b0 + b1 + more)).sum((1, 2))
 
 
+TILE = 1 << 14  # pairs of boxes looked at together
+FEW_BOXES = 8  # pairs of boxes of two polygons that are all looked at
+
+
+def signed_boxes(padded: np.ndarray) -> np.ndarray | None:
+    """(polygons, boxes, 5) of (polygons, sides, 5) in pairs: minx, miny, maxx, maxy, sign; None if they are not."""
+    one, other = padded[:, ::2], padded[:, 1::2]
+    if one.shape != other.shape or (padded[:, :, 0] != padded[:, :, 2]).any() or (one[:, :, [1, 3]] != other[:, :, [1, 3]]).any() or (one[:, :, 4] != -other[:, :, 4]).any():
+        return None
+    a, b = one[:, :, 0], other[:, :, 0]
+    return np.stack([np.minimum(a, b), one[:, :, 1], np.maximum(a, b), one[:, :, 3], one[:, :, 4] * np.sign(b - a)], 2)
+
+
+def box_areas(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places left, places right, areas that are not zero) of each polygon of two blocks with each of the other, by signed boxes."""
+    step = max(1, TILE // len(right))
+    columns = [[np.ascontiguousarray(right[:, v, c]) for c in range(5)] for v in range(right.shape[1])]
+    whole = np.empty((4, min(step, len(left)), len(right)))
+    for first in range(0, len(left), step):
+        part = left[first : first + step]
+        area, w, h, low = whole[:, : len(part)]
+        area[:] = 0
+        for ax1, ay1, ax2, ay2, sa in (part[:, u, :, None].transpose(1, 0, 2) for u in range(part.shape[1])):
+            for bx1, by1, bx2, by2, sb in columns:
+                np.subtract(np.minimum(ax2, bx2, out=w), np.maximum(ax1, bx1, out=low), out=w)
+                np.subtract(np.minimum(ay2, by2, out=h), np.maximum(ay1, by1, out=low), out=h)
+                np.multiply(np.maximum(w, 0, out=w), np.maximum(h, 0, out=h), out=w)
+                if (sa == sa[0]).all() and (sb == sb[0]).all() and sa[0] * sb[0]:
+                    (np.add if sa[0] * sb[0] > 0 else np.subtract)(area, w, out=area)
+                else:
+                    area += np.multiply(np.multiply(w, sa, out=w), sb, out=w)
+        flat = np.flatnonzero(area)
+        i = flat // len(right)
+        yield i + first, flat - i * len(right), area.ravel()[flat]
+
+
+LOOKED, FEWER = 1 << 16, 0.9
+#: Kinds of boxes of a part, 1 if their x begins in it plus 2 if their y does, in an order in which those that go with a kind are in one piece.
+KINDS, PIECES = (2, 3, 1, 0), {3: (0, 4), 1: (0, 2), 2: (1, 3), 0: (1, 2)}
+
+
+def meetings(one: np.ndarray, other: np.ndarray, part: tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places left, places right), each of which is to be looked at with each: a pair of boxes of a part comes once if what they share begins in it, so if the x and the y of
+    either box do. part: places and kinds of both. It is parted at a median for as long as that leaves fewer pairs."""
+
+    def looked(part) -> int:
+        a, b = (np.bincount(kinds, minlength=4) for _, kinds in part)
+        return int(sum(a[k] * sum(b[m] for m in range(4) if k | m == 3) for k in range(4)))
+
+    def halves(axis: int):
+        bit = 1 + axis
+        begun = np.concatenate([boxes[i[kinds & bit > 0], axis] for boxes, (i, kinds) in zip((one, other), part, strict=True)])
+        at = np.partition(begun, len(begun) // 2)[len(begun) // 2]
+        low, high = [], []
+        for boxes, (i, kinds) in zip((one, other), part, strict=True):
+            a, b = boxes[i, axis] < at, boxes[i, axis + 2] > at
+            low.append((i[a], kinds[a]))
+            high.append((i[b], (kinds[b] & ~bit) | np.where(a[b], 0, bit)))
+        return low, high
+
+    total = looked(part)
+    if total > LOOKED:
+        best = min((halves(axis) for axis in (0, 1)), key=lambda ps: sum(map(looked, ps)))
+        if sum(map(looked, best)) < FEWER * total:
+            for p in best:
+                yield from meetings(one, other, p)
+            return
+    (i, kinds), (j, others) = part
+    pieces = [j[others == k] for k in KINDS]
+    for kind, (a, b) in PIECES.items():
+        p, q = i[kinds == kind], np.concatenate(pieces[a:b])
+        if len(p) and len(q):
+            yield p, q
+
+
 def block_areas(left: Sequence[np.ndarray], right: Sequence[np.ndarray], boxes: tuple[np.ndarray, np.ndarray], cell: tuple[int, int], side: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(places left, places right, areas) of the pairs of two blocks that share an area and whose boxes' common part begins in the cell."""
     one, other = boxes
     padded = []
     for part in (left, right):
-        out = np.zeros((len(part), max(map(len, part)), 5))
-        for k, s in enumerate(part):
-            out[k, : len(s)] = s
+        n = np.array([len(s) for s in part])
+        out = np.zeros((len(part), n.max(), 5))
+        out[np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = np.concatenate(part)
         padded.append(out)
     pl, pr = padded
+    signed = [signed_boxes(p) for p in padded] if pl.shape[1] * pr.shape[1] <= 4 * FEW_BOXES else [None, None]
+    whole = tuple((np.arange(len(b)), (np.floor(b[:, 0] / side) == cell[0]) + 2 * (np.floor(b[:, 1] / side) == cell[1])) for b in boxes)
+    for i, j in meetings(one, other, whole):
+        if all(s is not None for s in signed):
+            found = ((i[p], j[q], area) for p, q, area in box_areas(signed[0][i], signed[1][j]))
+        else:
+            found = _side_areas(pl, pr, one, other, i, j)
+        # No box of what two of them span is larger.
+        most = 1e-12 * np.prod(np.maximum(one[i, 2:].max(0), other[j, 2:].max(0)) - np.minimum(one[i, :2].min(0), other[j, :2].min(0)))
+        for p, q, area in found:
+            # What is no more than rounding is settled by slabs.
+            for n in np.flatnonzero((area != 0) & (np.abs(area) < most)):
+                u, v = one[p[n]], other[q[n]]
+                if abs(area[n]) < 1e-12 * np.prod(np.maximum(u[2:], v[2:]) - np.minimum(u[:2], v[:2])):
+                    box = max(u[0], v[0]), max(u[1], v[1]), min(u[2], v[2]), min(u[3], v[3])
+                    area[n] = cell_area([[left[p[n]][:, :4]], [right[q[n]][:, :4]]], box)
+            kept = area > 0
+            yield (p, q, area) if kept.all() else (p[kept], q[kept], area[kept])
+
+
+def _side_areas(pl: np.ndarray, pr: np.ndarray, one: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places left, places right, areas) of each of i with each of j whose boxes meet, by their sides."""
     size = pl.shape[1] * pr.shape[1]
-    step = max(1, CALL // len(other))
-    for first in range(0, len(one), step):
-        o = one[first : first + step, None, :]
-        x0, y0 = np.maximum(o[..., 0], other[:, 0]), np.maximum(o[..., 1], other[:, 1])
-        near = (x0 < np.minimum(o[..., 2], other[:, 2])) & (y0 < np.minimum(o[..., 3], other[:, 3]))
-        i, j = np.nonzero(near & (np.floor(x0 / side) == cell[0]) & (np.floor(y0 / side) == cell[1]))
-        at = x0[i, j]
-        i += first
-        many = max(1, CALL // size)
-        for k in range(0, len(i), many):
-            p, q, x = i[k : k + many], j[k : k + many], at[k : k + many]
+    step, many = max(1, CALL // len(j)), max(1, CALL // size)
+    for first in range(0, len(i), step):
+        a, b = one[i[first : first + step], None, :], other[j]
+        x0, y0 = np.maximum(a[..., 0], b[:, 0]), np.maximum(a[..., 1], b[:, 1])
+        p, q = np.nonzero((x0 < np.minimum(a[..., 2], b[:, 2])) & (y0 < np.minimum(a[..., 3], b[:, 3])))
+        at, p, q = x0[p, q], i[first + p], j[q]
+        for k in range(0, len(p), many):
+            u, v, x = p[k : k + many], q[k : k + many], at[k : k + many]
             if size <= CALL:
-                area = shared_areas(pl[p], pr[q], x)
+                area = shared_areas(pl[u], pr[v], x)
             else:  # polygons of many sides, some at a time
                 rows = max(1, CALL // pr.shape[1])
-                area = sum(shared_areas(pl[p][:, r : r + rows], pr[q], x) for r in range(0, pl.shape[1], rows))
-            # What is no more than rounding is settled by slabs.
-            extent = np.maximum(one[p, 2:], other[q, 2:]) - np.minimum(one[p, :2], other[q, :2])
-            for n in np.flatnonzero((area != 0) & (np.abs(area) < 1e-12 * extent.prod(1))):
-                u, v = one[p[n]], other[q[n]]
-                box = max(u[0], v[0]), max(u[1], v[1]), min(u[2], v[2]), min(u[3], v[3])
-                area[n] = cell_area([[left[p[n]][:, :4]], [right[q[n]][:, :4]]], box)
-            yield p[area > 0], q[area > 0], area[area > 0]
+                area = sum(shared_areas(pl[u][:, r : r + rows], pr[v], x) for r in range(0, pl.shape[1], rows))
+            yield u, v, area
+
+
+BLOCK = 1 << 15  # sides of a block
+PAIRS = 1 << 16  # pairs given at once
 
 
-BLOCK = 2048  # sides of a block
+def edges_in(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edges, whose they are, each polygon's row) of a column of arrays of polygons; rings of fewer than three corners are none."""
+    counts = lambda c: pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(int)
+    rows = np.repeat(np.arange(len(column)), counts(column))
+    polygons = column.flatten()
+    own = np.repeat(np.arange(len(polygons)), counts(polygons))
+    rings = polygons.flatten()
+    n = counts(rings)
+    corners = rings.flatten()
+    first = np.cumsum(width := counts(corners)) - width
+    flat = corners.flatten().to_numpy(zero_copy_only=False).astype(float)
+    p = flat[first[:, None] + np.arange(2)] if len(first) else np.zeros((0, 2))
+    end = np.cumsum(n)
+    following = np.arange(1, len(p) + 1)
+    following[end[n > 0] - 1] = (end - n)[n > 0]
+    long = np.repeat(n > 2, n)
+    return np.concatenate([p, p[following]], 1)[long], np.repeat(own, n)[long], rows
 
 
 def _blocks(polygons: DataFrame, name: str, side: float, rings: str) -> DataFrame:
-    """(cx, cy, box of the block, rows): polygons as signed sides, by the cells that their boxes touch, in blocks of bounded size; those of one id count as one."""
+    """(cx, cy, number and box of the block, ids, sides): polygons as signed sides, by the cells that their boxes touch, in blocks of bounded size; those of one id count as one."""
     kind = dict(polygons.dtypes)["id"]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for id_, many in zip(b["id"], b["many"], strict=True):
-                s = [sides([np.array([list(p) for p in r], float) for r in own if r is not None and len(r) > 2]) for own in many if own is not None]
-                s = np.concatenate([np.zeros((0, 5)), *s])
-                if len(s):
-                    x = s[:, [0, 2]]
-                    out.append((id_, x.min(), s[:, 1].min(), x.max(), s[:, 3].max(), len(s), s.tobytes()))
-            yield pd.DataFrame(out, columns=["id", "minx", "miny", "maxx", "maxy", "n", "sides"])
+            e, own, rows = edges_in(b.column("many"))
+            s, own = many_sides(e, own)
+            s, own, paired = in_pairs(s, rows[own], b.num_rows)
+            if not len(s):
+                continue
+            at, start, n = np.unique(own, return_index=True, return_counts=True)
+            x, y = s[:, [0, 2]], s[:, [1, 3]]
+            box = [np.minimum.reduceat(x.min(1), start), np.minimum.reduceat(y.min(1), start), np.maximum.reduceat(x.max(1), start), np.maximum.reduceat(y.max(1), start)]
+            data = s.tobytes()
+            packed = [data[40 * f : 40 * (f + k)] for f, k in zip(start.tolist(), n.tolist(), strict=True)]
+            columns = [b.column("id").take(pa.array(at)), *map(pa.array, box), pa.array(n.astype("int32")), pa.array(paired[at]), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "minx", "miny", "maxx", "maxy", "n", "paired", "sides"])
 
     whole = polygons.select("id", F.col(rings).alias("rings")).groupBy("id").agg(F.collect_list("rings").alias("many"))
-    known = whole.mapInPandas(read, f"id {kind}, minx double, miny double, maxx double, maxy double, n int, sides binary")
+    known = whole.mapInArrow(read, f"id {kind}, minx double, miny double, maxx double, maxy double, n int, paired boolean, sides binary")
     steps = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / side).cast("long"), F.floor(F.col(b) / side).cast("long")))
     filed = known.select("*", steps("minx", "maxx").alias("cx")).select("*", steps("miny", "maxy").alias("cy"))
-    # Of near numbers of sides, so that they are padded to about the same, then from west to east.
-    order = Window.partitionBy("cx", "cy").orderBy(F.ceil(F.log2("n")), "minx", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Of near numbers of sides, so that they are padded to about the same, from west to east.
+    filed = filed.withColumn("like", F.ceil(F.log2("n")) * 2 + F.col("paired").cast("int"))
+    order = Window.partitionBy("cx", "cy").orderBy("like", "minx", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filed = filed.withColumn("block", F.floor(F.sum("n").over(order) / BLOCK))
     box = [F.min(c).alias(f"{name}_{c}") for c in ("minx", "miny")] + [F.max(c).alias(f"{name}_{c}") for c in ("maxx", "maxy")]
-    return filed.groupBy("cx", "cy", "block").agg(*box, F.collect_list(F.struct("id", "sides")).alias(name)).drop("block")
+    blocks = filed.groupBy("cx", "cy", "like", "block").agg(*box, F.collect_list(F.struct("id", "sides")).alias("rows"))
+    return blocks.select("cx", "cy", F.struct("like", "block").alias(f"{name}_block"), *(f"{name}_{c}" for c in ("minx", "miny", "maxx", "maxy")), F.col("rows.id").alias(name), F.col("rows.sides").alias(f"{name}_sides"))
 
 
 def overlaps(left: DataFrame, right: DataFrame, side: float, rings: str = "rings") -> DataFrame:
-    """(left, right, area) of the polygons (id, rings) of two tables whose insides meet. Blocks of polygons meet by cells; each pair is one row of one task."""
+    """(left, right, area) of the polygons (id, rings) of two tables whose insides meet. Blocks of polygons meet by cells and are dealt to all tasks; each pair is one row of one task."""
     kinds = {"left": dict(left.dtypes)["id"], "right": dict(right.dtypes)["id"]}
+    names = ("left", "right")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for cx, cy, one, other in zip(*(b[c] for c in ("cx", "cy", "left", "right")), strict=True):
-                polygons = [[np.frombuffer(x["sides"]).reshape(-1, 5) for x in part] for part in (one, other)]
-                boxes = tuple(np.array([[s[:, [0, 2]].min(), s[:, 1].min(), s[:, [0, 2]].max(), s[:, 3].max()] for s in part]) for part in polygons)
-                ids = [np.array([x["id"] for x in part]) for part in (one, other)]
-                for p, q, area in block_areas(*polygons, boxes, (cx, cy), side):
-                    yield pd.DataFrame({"left": ids[0][p], "right": ids[1][q], "area": area})
+            for row in range(b.num_rows):
+                ids, polygons, boxes = [], [], []
+                for name in names:
+                    packed = b.column(f"{name}_sides")[row].values.to_pylist()
+                    s = np.frombuffer(b"".join(packed)).reshape(-1, 5)
+                    start = np.cumsum([0, *(len(x) // 40 for x in packed)])
+                    polygons.append([s[f:t] for f, t in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)])
+                    lows, highs = np.minimum.reduceat(s, start[:-1]), np.maximum.reduceat(s, start[:-1])
+                    boxes.append(np.stack([lows[:, [0, 2]].min(1), lows[:, 1], highs[:, [0, 2]].max(1), highs[:, 3]], 1))
+                    ids.append(b.column(name)[row].values)
+                cell = b.column("cx")[row].as_py(), b.column("cy")[row].as_py()
+                some, n = [], 0
+                for found in block_areas(*polygons, tuple(boxes), cell, side):
+                    some.append(found)
+                    n += len(found[0])
+                    if n >= PAIRS:
+                        yield gathered(ids, some)
+                        some, n = [], 0
+                if n:
+                    yield gathered(ids, some)
+
+    def gathered(ids: list[pa.Array], some: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        p, q, area = map(np.concatenate, zip(*some, strict=True))
+        return pa.RecordBatch.from_arrays([ids[0].take(pa.array(p)), ids[1].take(pa.array(q)), pa.array(area)], ["left", "right", "area"])
 
     one, other = _blocks(left, "left", side, rings), _blocks(right, "right", side, rings)
     near = (F.col("left_minx") < F.col("right_maxx")) & (F.col("right_minx") < F.col("left_maxx")) & (F.col("left_miny") < F.col("right_maxy")) & (F.col("right_miny") < F.col("left_maxy"))
-    met = one.join(other, ["cx", "cy"]).where(near).select("cx", "cy", "left", "right")
-    return met.mapInPandas(run, f"left {kinds['left']}, right {kinds['right']}, area double")
+    tasks = 8 * left.sparkSession.sparkContext.defaultParallelism
+    met = one.join(other, ["cx", "cy"]).where(near).repartition(tasks, "cx", "cy", "left_block", "right_block")
+    return met.select("cx", "cy", *names, *(f"{n}_sides" for n in names)).mapInArrow(run, f"left {kinds['left']}, right {kinds['right']}, area double")

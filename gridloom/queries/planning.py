@@ -187,6 +187,6 @@ def q_union_outline(spark, sf_dir):
 
 @query("q_overlaps", f"""WITH {LATTICE} SELECT a.id AS "left", b.id AS "right", CAST(count(*) AS DOUBLE) AS area FROM squares a JOIN squares b ON a.x = b.x AND a.y = b.y WHERE a.owner = 0 AND b.owner <> 0 GROUP BY a.id, b.id""")
 def q_overlaps(spark, sf_dir):
-    """Polygons of one owner against all others', by the area that they share."""
+    """Polygons of one owner against all others', by the area that they share. On whole degrees areas are exact."""
     p = _lattice(spark, sf_dir)
-    return overlay.overlaps(p.where("owner = 0"), p.where("owner <> 0"), 12.5).select("left", "right", F.round("area", 6).alias("area"))
+    return overlay.overlaps(p.where("owner = 0"), p.where("owner <> 0"), 12.5)

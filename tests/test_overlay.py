@@ -124,3 +124,68 @@ def test_many_overlaps_are_taken_together(monkeypatch):
         got |= dict(zip(zip(p.tolist(), q.tolist(), strict=True), area.tolist(), strict=True))
     want = {(i, j): float(len(held[i] & held[300 + j])) for i in range(300) for j in range(300)}
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_many_sides_are_those_of_one_polygon_each():
+    rnd = random.Random(8)
+    ring = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    polygons = [[ring(0, 0, 4, 4), ring(1, 1, 1, 1)], [ring(0, 0, 4, 4), ring(1, 0, 1, 4)], [[(0, 0), (4, 0), (4, 1), (2, 1), (2, 3), (0, 3)]], [[(0, 0), (4, 4), (4, 0), (0, 3)]], [[(1, 1), (2, 1)]], [], [[(0, 0), (5, 0), (5, 0)]]]
+    polygons += [[star(rnd, rnd.uniform(-9, 9), rnd.uniform(-9, 9), 5, rnd.randint(3, 80))] for _ in range(60)]
+    polygons = [[np.array(r, float) for r in rings] for rings in polygons]
+    e = [overlay.edges_of(rings) for rings in polygons]
+    s, own = overlay.many_sides(np.concatenate(e), np.repeat(np.arange(len(e)), [len(x) for x in e]))
+    for k, rings in enumerate(polygons):
+        want = overlay.sides(rings)
+        got = s[own == k]
+        assert len(got) == len(want) and np.allclose(got[np.lexsort(got.T)], want[np.lexsort(want.T)], rtol=0, atol=1e-12)
+    # Pairs of upright sides follow each other; a polygon that has no such pairs, or is not upright, keeps its sides.
+    t, whose, paired = overlay.in_pairs(s, own, len(polygons))
+    assert paired[:4].tolist() == [True, True, False, False] and not paired[7:].any() and (np.diff(whose) >= 0).all()
+    for k in range(len(polygons)):
+        assert sorted(map(tuple, t[whose == k])) == sorted(map(tuple, s[own == k]))
+        boxes = overlay.signed_boxes(t[whose == k][None])
+        assert not paired[k] or boxes is not None and (boxes[0, :, 4] * (boxes[0, :, 2] - boxes[0, :, 0]) * (boxes[0, :, 3] - boxes[0, :, 1])).sum() == pytest.approx([15, 12][k] if k < 2 else 0)
+
+
+def test_upright_polygons_are_boxes(monkeypatch):
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(20), rnd.randrange(20), rnd.randint(1, 6), rnd.randint(1, 6)) for _ in range(900)]
+    ring = lambda x, y, w, h: np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)], float)
+    rings = [[ring(*s), ring(s[0] + 1, s[1] + 1, 1, 1)] if min(s[2:]) > 2 else [ring(*s)] for s in rows]
+    e = [overlay.edges_of(r) for r in rings]
+    s, own = overlay.many_sides(np.concatenate(e), np.repeat(np.arange(900), [len(x) for x in e]))
+    s, own, paired = overlay.in_pairs(s, own, 900)
+    assert paired.all()
+    held = [{(x + i, y + j) for i in range(w) for j in range(h)} - ({(x + 1, y + 1)} if min(w, h) > 2 else set()) for x, y, w, h in rows]
+    polygons, boxes = [s[own == k] for k in range(900)], np.array([(x, y, x + w, y + h) for x, y, w, h in rows], float)
+    want = {(i, j): float(len(held[i] & held[300 + j])) for i in range(300) for j in range(600)}
+    want = {k: v for k, v in want.items() if v}
+    # Neither sums over pairs of sides nor slabs are needed, and each pair is found in one of the cells.
+    monkeypatch.setattr(overlay, "shared_areas", None)
+    monkeypatch.setattr(overlay, "cell_area", None)
+    monkeypatch.setattr(overlay, "LOOKED", 500)
+    for side in (100.0, 7.5):
+        got = {}
+        for cx in range(int(26 // side) + 1):
+            for cy in range(int(26 // side) + 1):
+                here = [np.flatnonzero((b[:, 0] < (cx + 1) * side) & (b[:, 2] >= cx * side) & (b[:, 1] < (cy + 1) * side) & (b[:, 3] >= cy * side)) for b in (boxes[:300], boxes[300:])]
+                if not all(map(len, here)):
+                    continue
+                for p, q, area in overlay.block_areas([polygons[i] for i in here[0]], [polygons[300 + j] for j in here[1]], (boxes[here[0]], boxes[300 + here[1]]), (cx, cy), side):
+                    found = list(zip(here[0][p].tolist(), here[1][q].tolist(), strict=True))
+                    assert not got.keys() & set(found) and len(set(found)) == len(found)
+                    got |= dict(zip(found, area.tolist(), strict=True))
+        assert got == want
+    # Of all pairs few are looked at that do not meet.
+    whole = tuple((np.arange(len(b)), np.full(len(b), 3)) for b in (boxes[:300], boxes[300:]))
+    looked = [(i, j) for p, q in overlay.meetings(boxes[:300], boxes[300:], whole) for i in p.tolist() for j in q.tolist()]
+    assert len(set(looked)) == len(looked) and set(want) <= set(looked) and len(looked) < 0.4 * 300 * 600
+
+
+def test_overlaps_of_rows_of_one_id(spark):
+    ring = lambda x, y, w, h: [[x, y], [x + w, y], [x + w, y + h], [x, y + h]]
+    left = [("a", [ring(0.0, 0.0, 4.0, 4.0), ring(1.0, 1.0, 1.0, 1.0)]), ("b", None), ("c", [None, [[0.0, 0.0], [1.0, 1.0]]]), ("d", [[[0.0, 0.0], [4.0, 0.0], [0.0, 4.0]]])]
+    right = [(1, [ring(3.0, 3.0, 9.0, 2.0)]), (1, [ring(0.0, 0.0, 2.0, 2.0)]), (2, [ring(1.0, 1.0, 1.0, 1.0)]), (3, [ring(-30.0, -30.0, 60.0, 60.0)])]
+    one, other = (spark.createDataFrame(rows, f"id {kind}, rings array<array<array<double>>>") for rows, kind in ((left, "string"), (right, "int")))
+    got = {(r.left, r.right): r.area for r in overlay.overlaps(one, other, 2.5).collect()}
+    assert got == pytest.approx({("a", 1): 4.0, ("a", 3): 15.0, ("d", 1): 4.0, ("d", 2): 1.0, ("d", 3): 8.0})
