@@ -379,7 +379,7 @@ def shared_areas(a: np.ndarray, b: np.ndarray, x0: np.ndarray) -> np.ndarray:
     return -(sa * sb * (h / 2) * (b0 + b1 + more)).sum((1, 2))
 
 
-TILE = 1 << 14  # pairs of boxes looked at together
+TILE = 1 << 15  # pairs of boxes looked at together
 FEW_BOXES = 8  # pairs of boxes of two polygons that are all looked at
 
 
@@ -392,20 +392,34 @@ def signed_boxes(padded: np.ndarray) -> np.ndarray | None:
     return np.stack([np.minimum(a, b), one[:, :, 1], np.maximum(a, b), one[:, :, 3], one[:, :, 4] * np.sign(b - a)], 2)
 
 
+def whole_numbers(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Signed boxes of two blocks as integers of few bytes, from a corner of their own; None if they are not whole numbers or an area may be too large."""
+    every = [b[:, :, :4][b[:, :, 4] != 0] for b in (left, right)]
+    if not all(len(b) and (b == np.rint(b)).all() for b in every):
+        return None
+    low = np.minimum(*(b[:, :2].min(0) for b in every))
+    most = np.prod(np.maximum(*(b[:, 2:].max(0) for b in every)) - low) * left.shape[1] * right.shape[1]
+    for kind in (np.int16, np.int32):
+        if most <= np.iinfo(kind).max:
+            shifted = [np.where(b[:, :, 4:] != 0, b - np.array([*low, *low, 0]), 0) for b in (left, right)]
+            return shifted[0].astype(kind), shifted[1].astype(kind)
+    return None
+
+
 def box_areas(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(places left, places right, areas that are not zero) of each polygon of two blocks with each of the other, by signed boxes."""
     step = max(1, TILE // len(right))
     columns = [[np.ascontiguousarray(right[:, v, c]) for c in range(5)] for v in range(right.shape[1])]
-    whole = np.empty((4, min(step, len(left)), len(right)))
+    whole = np.zeros((5, min(step, len(left)), len(right)), left.dtype)
     for first in range(0, len(left), step):
         part = left[first : first + step]
-        area, w, h, low = whole[:, : len(part)]
+        area, w, h, low, zero = whole[:, : len(part)]
         area[:] = 0
         for ax1, ay1, ax2, ay2, sa in (part[:, u, :, None].transpose(1, 0, 2) for u in range(part.shape[1])):
             for bx1, by1, bx2, by2, sb in columns:
                 np.subtract(np.minimum(ax2, bx2, out=w), np.maximum(ax1, bx1, out=low), out=w)
                 np.subtract(np.minimum(ay2, by2, out=h), np.maximum(ay1, by1, out=low), out=h)
-                np.multiply(np.maximum(w, 0, out=w), np.maximum(h, 0, out=h), out=w)
+                np.multiply(np.maximum(w, zero, out=w), np.maximum(h, zero, out=h), out=w)
                 if (sa == sa[0]).all() and (sb == sb[0]).all() and sa[0] * sb[0]:
                     (np.add if sa[0] * sb[0] > 0 else np.subtract)(area, w, out=area)
                 else:
@@ -465,9 +479,14 @@ def block_areas(left: Sequence[np.ndarray], right: Sequence[np.ndarray], boxes:
         padded.append(out)
     pl, pr = padded
     signed = [signed_boxes(p) for p in padded] if pl.shape[1] * pr.shape[1] <= 4 * FEW_BOXES else [None, None]
+    upright = all(s is not None for s in signed)
+    exact = whole_numbers(*signed) if upright else None
     whole = tuple((np.arange(len(b)), (np.floor(b[:, 0] / side) == cell[0]) + 2 * (np.floor(b[:, 1] / side) == cell[1])) for b in boxes)
     for i, j in meetings(one, other, whole):
-        if all(s is not None for s in signed):
+        if exact:
+            yield from ((i[p], j[q], area.astype(float)) for p, q, area in box_areas(exact[0][i], exact[1][j]))
+            continue
+        if upright:
             found = ((i[p], j[q], area) for p, q, area in box_areas(signed[0][i], signed[1][j]))
         else:
             found = _side_areas(pl, pr, one, other, i, j)

@@ -189,3 +189,23 @@ def test_overlaps_of_rows_of_one_id(spark):
     one, other = (spark.createDataFrame(rows, f"id {kind}, rings array<array<array<double>>>") for rows, kind in ((left, "string"), (right, "int")))
     got = {(r.left, r.right): r.area for r in overlay.overlaps(one, other, 2.5).collect()}
     assert got == pytest.approx({("a", 1): 4.0, ("a", 3): 15.0, ("d", 1): 4.0, ("d", 2): 1.0, ("d", 3): 8.0})
+
+
+def test_whole_numbers_take_few_bytes():
+    rnd = random.Random(10)
+    x, y, w, h = (np.array([rnd.randint(a, b) for _ in range(400)], float) for a, b in ((-5, 30), (-5, 30), (3, 9), (3, 9)))
+    one, minus = np.ones(400), -np.ones(400)
+    boxes = np.stack([np.stack([x, y, x + w, y + h, one], 1), np.stack([x + 1, y + 1, x + 2, y + 2, minus], 1)], 1)
+    boxes[::3, 1] = 0  # no hole: padding
+    want = np.zeros((150, 250))
+    for p, q, area in overlay.box_areas(boxes[:150], boxes[150:]):
+        want[p, q] = area
+    assert (want >= 0).all() and (want > 0).any()
+    for scale, kind in ((1, np.int16), (20, np.int32), (3000, None), (0.5, None)):
+        b = boxes * [scale, scale, scale, scale, 1]
+        small = overlay.whole_numbers(b[:150], b[150:])
+        assert small is None if kind is None else small[0].dtype == small[1].dtype == kind
+        got = np.zeros((150, 250))
+        for p, q, area in overlay.box_areas(*(small or (b[:150], b[150:]))):
+            got[p, q] = area
+        assert np.array_equal(got, want * scale * scale)
